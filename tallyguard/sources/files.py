@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tallyguard import schemas
@@ -32,10 +35,8 @@ def select_daily_files(spark: SparkSession, files: str | None, root: str) -> lis
     if files and files.strip():
         return [f"{root.rstrip('/')}/{name.strip()}" for name in files.split(",") if name.strip()]
     by_date: dict[str, list[str]] = {}
-    import re
     for path in list_dated_files(spark, root):
-        found = re.findall(DATE_IN_NAME, path[len(root.rstrip("/")):] if path.startswith(root) else path)
-        by_date.setdefault(found[-1], []).append(path)
+        by_date.setdefault(re.findall(DATE_IN_NAME, path)[-1], []).append(path)
     return [path for day in sorted(by_date)[:DEMO_FILES] for path in by_date[day]]
 
 
@@ -51,16 +52,18 @@ def scan_metric_json(spark: SparkSession, path: str,
                      defaults: dict[str, float] = DEFAULT_METRICS) -> DataFrame:
     """Rows of (metric, value); the defaults stand in when nothing readable is there."""
     fallback = spark.createDataFrame(sorted(defaults.items()), schemas.METRIC_VALUE)
-    read = (spark.read.schema(schemas.METRIC_VALUE).option("mode", "DROPMALFORMED")
-            .option("ignoreMissingFiles", "true").json(path)
-            .filter("metric is not null and value is not null"))
+    try:
+        read = (spark.read.schema(schemas.METRIC_VALUE).option("mode", "DROPMALFORMED").json(path)
+                .filter("metric is not null and value is not null"))
+    except AnalysisException:  # nothing at the path
+        return fallback
     found = read.groupBy().agg((F.count("*") > 0).alias("found")).scalar()
     return read.unionByName(fallback.filter(~found))
 
 
-def scan_test_results(spark: SparkSession, path: str) -> DataFrame:
-    """Saved test runs, one row per test."""
-    runs = spark.read.schema(schemas.TEST_RUN).option("multiLine", "true").json(path)
+def scan_test_results(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+    """Saved test runs, one row per test; a run is a file, or a line when not ``multi_line``."""
+    runs = spark.read.schema(schemas.TEST_RUN).option("multiLine", multi_line).json(path)
     return runs.select("test_run_id", F.explode("detailed_results").alias("r")).select(
         "test_run_id", "r.test_name", "r.status", "r.response_time_ms",
         F.try_to_timestamp("r.timestamp").alias("timestamp"), "r.details")

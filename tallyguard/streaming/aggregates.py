@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from datetime import timedelta
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from tallyguard.functions import intervals
 from tallyguard.operators import quality
@@ -46,3 +47,21 @@ def stream_fraud_rate(pred: DataFrame, width: timedelta, delay: timedelta = WATE
 def stream_user_stats(df: DataFrame) -> DataFrame:
     """The batch statistics as a running aggregate (update or complete mode)."""
     return quality.user_stats(df)
+
+
+def stream_user_stats_table(df: DataFrame, path: str, checkpoint: str,
+                            available_now: bool = True) -> StreamingQuery:
+    """Changed users of every batch, under the batch's id; a retried batch replaces itself."""
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+
+    trigger = {"availableNow": True} if available_now else {"processingTime": "30 seconds"}
+    return (stream_user_stats(df).writeStream.outputMode("update").foreachBatch(write)
+            .option("checkpointLocation", checkpoint).trigger(**trigger).start())
+
+
+def latest_user_stats(spark: SparkSession, path: str) -> DataFrame:
+    """The newest row of every user."""
+    rows = spark.read.parquet(path)
+    names = [c for c in rows.columns if c not in ("user_id", "batch_id")]
+    return rows.groupBy("user_id").agg(*[F.max_by(c, "batch_id").alias(c) for c in names])
