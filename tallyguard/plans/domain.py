@@ -38,9 +38,15 @@ class Domain:
         return rows.selectExpr("event_id", "ts", "user_id", "event_type", "value",
                                "cast(regexp_extract(props, '([0-9]+)', 1) as int) as k")
 
-    def event_stream(self) -> DataFrame:
-        """The events as a stream of files."""
-        return self.events(self.spark.readStream.schema(EVENTS).parquet(f"{self.sf_dir}/events.parquet"))
+    @property
+    def events_glob(self) -> str:
+        """The events for a file stream: as a glob, since a single file is no base path."""
+        return f"{self.sf_dir}/events.parque[t]"
+
+    def event_stream(self, rows: DataFrame | None = None) -> DataFrame:
+        """The events as a stream of files; a watermark needs the zoned timestamp type."""
+        rows = self.spark.readStream.schema(EVENTS).parquet(self.events_glob) if rows is None else rows
+        return self.events(rows).withColumn("ts", F.col("ts").cast("timestamp"))
 
     def transactions(self, rows: DataFrame | None = None) -> DataFrame:
         categories = ", ".join(f"'{c}'" for c in POOL_CATEGORIES)

@@ -126,7 +126,7 @@ def stream_alert_state(flags: DataFrame, hold: timedelta, silence: timedelta = t
     return (flags.withWatermark("ts", intervals.text(delay)).groupBy("series")
             .transformWithStateInPandas(
                 HoldProcessor(intervals.micros(hold), intervals.micros(silence)),
-                "series string, state string, changed_at timestamp_ntz", "Append", "EventTime"))
+                "series string, state string, changed_at timestamp", "Append", "EventTime"))
 
 
 def stream_alert_throttle(alerts: DataFrame, longest_repeat: timedelta = timedelta(hours=1),
@@ -138,4 +138,4 @@ def stream_alert_throttle(alerts: DataFrame, longest_repeat: timedelta = timedel
     return (alerts.withWatermark("ts", intervals.text(delay)).groupBy("group_key")
             .transformWithStateInPandas(
                 RepeatProcessor(intervals.micros(longest_repeat)),
-                "group_key string, ts timestamp_ntz", "Append", "EventTime"))
+                "group_key string, ts timestamp", "Append", "EventTime"))
