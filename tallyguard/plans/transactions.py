@@ -209,7 +209,7 @@ def decide_threshold(d: Domain):
 
 
 def _fallback(mode: str, sql: str):
-    @plan(f"proba_fallback_{mode}", with_views(
+    @plan("proba_fallback" if mode == "single" else f"proba_fallback_{mode}", with_views(
         f"SELECT event_id, {sql} AS fraud_probability, k % 4 <> 0 AS is_fraud FROM ev", "ev"))
     def fallback(d: Domain):
         rows = d.events().withColumn("label", F.col("k") % 4)
@@ -223,7 +223,7 @@ _DISTANCE = "abs(k / 100::DOUBLE - 0.5::DOUBLE)"
 
 
 def _band(mode: str, sql: str):
-    @plan(f"confidence_band_{mode}", with_views(
+    @plan("confidence_band" if mode == "single" else f"confidence_band_{mode}", with_views(
         f"SELECT event_id, CASE {sql} WHEN {_DISTANCE} > 0.3::DOUBLE THEN 'high' ELSE 'medium' END AS confidence "
         "FROM ev", "ev"))
     def band(d: Domain):
