@@ -58,10 +58,12 @@ GROUP_KEYS = ("alertname", "cluster", "service")
 
 # --- hold times -----------------------------------------------------------
 
-def alert_for_duration(flags: DataFrame, hold: timedelta, step: timedelta,
+def alert_for_duration(flags: DataFrame, hold: timedelta | str, step: timedelta,
                        keys: tuple[str, ...] = ("series",), segment: timedelta = DAY) -> DataFrame:
     """Per evaluation (keys, ts, active): since when the predicate holds, and whether it fires.
 
+    ``hold`` is a span, or the name of an interval column where rules differ.
+
     An inactive evaluation, or none for longer than ``step``, breaks the hold.
     Runs are found inside (series, segment); a run that crosses segments takes
     its start from a per-segment summary, so no series is scanned as a whole.
@@ -93,7 +95,8 @@ def alert_for_duration(flags: DataFrame, hold: timedelta, step: timedelta,
     since = F.when(F.col("_start") == F.col("_head"),
                    F.coalesce(F.col("_carry"), F.col("_start"))).otherwise(F.col("_start"))
     done = rows.join(carried, [*keys, "_seg"]).withColumn("pending_since", since)
-    firing = F.coalesce(F.col("ts") >= F.col("pending_since") + intervals.literal(hold), F.lit(False))
+    held = F.col(hold) if isinstance(hold, str) else intervals.literal(hold)
+    firing = F.coalesce(F.col("ts") >= F.col("pending_since") + held, F.lit(False))
     return done.withColumn("firing", firing).drop("_seg", "_mark", "_start", "_head", "_carry")
 
 
@@ -118,50 +121,51 @@ def alert_lifecycle(flags: DataFrame, hold: timedelta, step: timedelta,
 
 # --- rules ----------------------------------------------------------------
 
-def evaluate_rule(flags: DataFrame, rule: Rule, step: timedelta) -> DataFrame:
-    """First firing evaluation of every run of (series, ts, active, value)."""
-    held = alert_for_duration(flags, rule.hold, step)
-    return (held.filter("firing").groupBy("series", "pending_since")
-            .agg(F.min("ts").alias("starts_at"), F.min_by("value", "ts").alias("value"))
-            .select(F.lit(rule.alertname).alias("alertname"), F.lit(rule.severity).alias("severity"),
-                    F.lit(rule.alert_type).alias("alert_type"), F.col("series").cast("string"),
-                    "starts_at", F.col("value").cast("double")))
+def rule_flags(flags: DataFrame, rule: Rule) -> DataFrame:
+    """Stamp (series, ts, active, value) with a rule, so that flags of many rules can be stacked."""
+    return flags.select(
+        F.lit(rule.alertname).alias("alertname"), F.lit(rule.severity).alias("severity"),
+        F.lit(rule.alert_type).alias("alert_type"), F.col("series").cast("string").alias("series"),
+        "ts", "active", F.col("value").cast("double").alias("value"), intervals.literal(rule.hold).alias("hold"))
 
 
 def threshold_flags(vector: DataFrame, rule: Rule) -> DataFrame:
     """Judge a vector of (series, step, value)."""
     value, limit = F.col("value").cast("double"), F.lit(rule.threshold)
     active = {">": value > limit, ">=": value >= limit, "<": value < limit, "==": value == limit}[rule.op]
-    return vector.select("series", F.col("step").alias("ts"), active.alias("active"), "value")
+    return rule_flags(vector.select("series", F.col("step").alias("ts"), active.alias("active"), "value"), rule)
 
 
-def alert_highload(cpu: DataFrame, up_counts: DataFrame, step: timedelta, rule: Rule = HIGH_LOAD,
-                   min_instances: int = 6) -> DataFrame:
-    joined = timeseries.highload_join(cpu, up_counts, rule.threshold, min_instances)
-    flags = joined.select("series", F.col("step").alias("ts"), "active", F.col("cpu").alias("value"))
-    return evaluate_rule(flags, rule, step)
+def evaluate_rules(flags: DataFrame, step: timedelta) -> DataFrame:
+    """First firing evaluation of every run, for the stacked flags of any number of rules at once."""
+    held = alert_for_duration(flags, "hold", step, ("alertname", "series"))
+    return (held.filter("firing").groupBy("alertname", "severity", "alert_type", "series", "pending_since")
+            .agg(F.min("ts").alias("starts_at"), F.min_by("value", "ts").alias("value"))
+            .select("alertname", "severity", "alert_type", "series", "starts_at", "value"))
 
 
-def _on_latest(rule: Rule):
-    def alert(samples: DataFrame, step: timedelta, lookback: timedelta = timeseries.FIVE_MINUTES,
-              rule: Rule = rule) -> DataFrame:
-        vector = timeseries.latest_sample(samples, step, lookback)
-        return evaluate_rule(threshold_flags(vector, rule), rule, step)
+def union_rules(flags: list[DataFrame]) -> DataFrame:
+    """Stack the flags of several rules: their holds are then found in one pass."""
+    return reduce(DataFrame.unionByName, flags)
 
-    alert.__doc__ = f"{rule.alertname}: latest gauge value {rule.op} {rule.threshold}, held."
-    return alert
 
+# Every rule comes as flags, to be stacked, and as ``alert_*``, its own evaluation.
+
+def flags_highload(cpu: DataFrame, up_counts: DataFrame, rule: Rule = HIGH_LOAD,
+                   min_instances: int = 6) -> DataFrame:
+    joined = timeseries.highload_join(cpu, up_counts, rule.threshold, min_instances)
+    return rule_flags(joined.select("series", F.col("step").alias("ts"), "active", F.col("cpu").alias("value")), rule)
 
-alert_max_replicas = _on_latest(MAX_REPLICAS)
-alert_service_down = _on_latest(SERVICE_DOWN)
-alert_node_not_ready = _on_latest(NODE_NOT_READY)
-alert_crash_loop = _on_latest(CRASH_LOOP)
 
+def flags_on_latest(samples: DataFrame, step: timedelta, rule: Rule,
+                    lookback: timedelta = timeseries.FIVE_MINUTES) -> DataFrame:
+    """Rules on the newest value of a gauge."""
+    return threshold_flags(timeseries.latest_sample(samples, step, lookback), rule)
 
-def alert_high_memory(used: DataFrame, limits: DataFrame, step: timedelta,
+
+def flags_high_memory(used: DataFrame, limits: DataFrame, step: timedelta,
                       lookback: timedelta = timeseries.FIVE_MINUTES, rule: Rule = HIGH_MEMORY) -> DataFrame:
-    vector = timeseries.pod_memory_percent(used, limits, step, lookback)
-    return evaluate_rule(threshold_flags(vector, rule), rule, step)
+    return threshold_flags(timeseries.pod_memory_percent(used, limits, step, lookback), rule)
 
 
 def latency_quantile_over_time(df: DataFrame, step: timedelta, window: timedelta, q: float,
@@ -174,29 +178,62 @@ def latency_quantile_over_time(df: DataFrame, step: timedelta, window: timedelta
     return latency.histogram_quantile(buckets, q, ("series", "step"))
 
 
-def alert_high_latency(df: DataFrame, step: timedelta, window: timedelta = timeseries.FIVE_MINUTES,
+def flags_high_latency(df: DataFrame, step: timedelta, window: timedelta = timeseries.FIVE_MINUTES,
                        rule: Rule = HIGH_LATENCY, q: float = 0.95) -> DataFrame:
-    vector = latency_quantile_over_time(df, step, window, q)
-    return evaluate_rule(threshold_flags(vector, rule), rule, step)
+    return threshold_flags(latency_quantile_over_time(df, step, window, q), rule)
 
 
-def alert_high_error_rate(df: DataFrame, step: timedelta, window: timedelta = timeseries.FIVE_MINUTES,
+def flags_high_error_rate(df: DataFrame, step: timedelta, window: timedelta = timeseries.FIVE_MINUTES,
                           rule: Rule = HIGH_ERROR_RATE) -> DataFrame:
-    vector = (timeseries.error_rate(df, step, window, ("series",))
-              .withColumnRenamed("error_rate_pct", "value"))
-    return evaluate_rule(threshold_flags(vector, rule), rule, step)
+    rates = timeseries.error_rate(df, step, window, ("series",))
+    return threshold_flags(rates.withColumnRenamed("error_rate_pct", "value"), rule)
 
 
-def alert_low_prediction_rate(df: DataFrame, step: timedelta, window: timedelta = timeseries.FIVE_MINUTES,
+def flags_low_prediction_rate(df: DataFrame, step: timedelta, window: timedelta = timeseries.FIVE_MINUTES,
                               rule: Rule = LOW_PREDICTION_RATE) -> DataFrame:
     """A series without samples gives no value, so it can't be low."""
-    vector = (timeseries.request_rate(df, step, window, ("series",))
-              .withColumnRenamed("rate", "value"))
-    return evaluate_rule(threshold_flags(vector, rule), rule, step)
+    rates = timeseries.request_rate(df, step, window, ("series",))
+    return threshold_flags(rates.withColumnRenamed("rate", "value"), rule)
+
+
+def alert_highload(cpu: DataFrame, up_counts: DataFrame, step: timedelta, rule: Rule = HIGH_LOAD,
+                   min_instances: int = 6) -> DataFrame:
+    return evaluate_rules(flags_highload(cpu, up_counts, rule, min_instances), step)
 
 
-def union_rules(alerts: list[DataFrame]) -> DataFrame:
-    return reduce(DataFrame.unionByName, alerts)
+def _alert_on_latest(rule: Rule):
+    def alert(samples: DataFrame, step: timedelta, lookback: timedelta = timeseries.FIVE_MINUTES,
+              rule: Rule = rule) -> DataFrame:
+        return evaluate_rules(flags_on_latest(samples, step, rule, lookback), step)
+
+    alert.__doc__ = f"{rule.alertname}: latest gauge value {rule.op} {rule.threshold}, held."
+    return alert
+
+
+alert_max_replicas = _alert_on_latest(MAX_REPLICAS)
+alert_service_down = _alert_on_latest(SERVICE_DOWN)
+alert_node_not_ready = _alert_on_latest(NODE_NOT_READY)
+alert_crash_loop = _alert_on_latest(CRASH_LOOP)
+
+
+def alert_high_memory(used: DataFrame, limits: DataFrame, step: timedelta,
+                      lookback: timedelta = timeseries.FIVE_MINUTES, rule: Rule = HIGH_MEMORY) -> DataFrame:
+    return evaluate_rules(flags_high_memory(used, limits, step, lookback, rule), step)
+
+
+def alert_high_latency(df: DataFrame, step: timedelta, window: timedelta = timeseries.FIVE_MINUTES,
+                       rule: Rule = HIGH_LATENCY) -> DataFrame:
+    return evaluate_rules(flags_high_latency(df, step, window, rule), step)
+
+
+def alert_high_error_rate(df: DataFrame, step: timedelta, window: timedelta = timeseries.FIVE_MINUTES,
+                          rule: Rule = HIGH_ERROR_RATE) -> DataFrame:
+    return evaluate_rules(flags_high_error_rate(df, step, window, rule), step)
+
+
+def alert_low_prediction_rate(df: DataFrame, step: timedelta, window: timedelta = timeseries.FIVE_MINUTES,
+                              rule: Rule = LOW_PREDICTION_RATE) -> DataFrame:
+    return evaluate_rules(flags_low_prediction_rate(df, step, window, rule), step)
 
 
 # --- notification ---------------------------------------------------------
@@ -224,7 +261,7 @@ def alert_grouping(alerts: DataFrame, keys: tuple[str, ...] = GROUP_KEYS) -> Dat
 
 
 def alert_repeat_throttle(firing: DataFrame, keys: tuple[str, ...] = GROUP_KEYS, ts: str = "ts",
-                          repeat: str = "repeat_interval", segment: timedelta = DAY) -> DataFrame:
+                          repeat: str = "repeat_interval", segment: timedelta = 7 * DAY) -> DataFrame:
     """The notifications really sent: each at least ``repeat`` seconds after the last of its group.
 
     Every send depends on the one before, but a segment only needs to know the

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime, timedelta
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tallyguard.functions import intervals
 from tallyguard.operators import ranked
@@ -96,15 +96,17 @@ def _confusion(label: str, prediction: str) -> list[Column]:
             F.count_if(~actual & ~said).alias("tn"), F.count_if(actual & ~said).alias("fn")]
 
 
+def _measures() -> dict[str, Column]:
+    """Measures of confusion counts; one without a base is null."""
+    tp, fp, tn, fn = (F.col(c) for c in ("tp", "fp", "tn", "fn"))
+    return {"accuracy": F.try_divide(tp + tn, tp + fp + tn + fn), "precision": F.try_divide(tp, tp + fp),
+            "recall": F.try_divide(tp, tp + fn), "f1_score": F.try_divide(2 * tp, 2 * tp + fp + fn)}
+
+
 def classification_metrics(df: DataFrame, label: str = "label",
                            prediction: str = "prediction", keys: tuple[str, ...] = ()) -> DataFrame:
-    """Confusion counts and the measures from them; a measure without a base is null."""
-    tp, fp, tn, fn = (F.col(c) for c in ("tp", "fp", "tn", "fn"))
-    return (df.groupBy(*keys).agg(*_confusion(label, prediction))
-            .withColumn("accuracy", F.try_divide(tp + tn, tp + fp + tn + fn))
-            .withColumn("precision", F.try_divide(tp, tp + fp))
-            .withColumn("recall", F.try_divide(tp, tp + fn))
-            .withColumn("f1_score", F.try_divide(2 * tp, 2 * tp + fp + fn)))
+    """Confusion counts and the measures from them."""
+    return df.groupBy(*keys).agg(*_confusion(label, prediction)).withColumns(_measures())
 
 
 def false_positive_rate(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
@@ -112,50 +114,67 @@ def false_positive_rate(df: DataFrame, label: str = "label", prediction: str = "
             .select(F.try_divide(F.col("fp"), F.col("fp") + F.col("tn")).alias("fpr")))
 
 
-def auc_roc(df: DataFrame, label: str = "label", score: str = "score") -> DataFrame:
-    """Area under the ROC curve, ties counted half, in exact integer arithmetic.
-
-    Rows collapse to one per distinct score before anything is ordered.
-    """
+def _by_score(df: DataFrame, label: str, score: str) -> DataFrame:
+    """Positives and negatives per distinct score, with the negatives below it and the totals."""
     dist = (df.groupBy(F.col(score).alias("_score"))
             .agg(F.count_if(F.col(label).cast("boolean")).alias("pos"),
                  F.count_if(~F.col(label).cast("boolean")).alias("neg")))
-    rows = ranked.with_totals_below(dist, [], "_score", ["pos", "neg"], ranked.log_bin(F.col("_score")))
-    wide = "decimal(38,0)"
+    return ranked.with_totals_below(dist, [], "_score", ["pos", "neg"], ranked.log_bin(F.col("_score")))
+
+
+def _auc() -> Column:
+    """Area from the rows of ``_by_score``; integers, so no order of summing changes it."""
     twice = F.col("pos").cast("decimal(18,0)") * (2 * F.col("neg_below") + F.col("neg")).cast("decimal(19,0)")
-    sums = rows.agg(F.sum(twice.cast(wide)).alias("_area"),
-                    F.max("pos_total").alias("_p"), F.max("neg_total").alias("_n"))
-    base = F.lit(2.0) * F.col("_p").cast("double") * F.col("_n").cast("double")
-    return sums.select(F.try_divide(F.col("_area").cast("double"), base).alias("auc_roc"))
+    base = F.lit(2.0) * F.max("pos_total").cast("double") * F.max("neg_total").cast("double")
+    return F.try_divide(F.sum(twice.cast("decimal(38,0)")).cast("double"), base)
+
+
+def auc_roc(df: DataFrame, label: str = "label", score: str = "score") -> DataFrame:
+    """Area under the ROC curve, ties counted half.
+
+    Rows collapse to one per distinct score before anything is ordered.
+    """
+    return _by_score(df, label, score).agg(_auc().alias("auc_roc"))
 
 
 def evaluate_model(df: DataFrame, label: str = "label", score: str = "score",
                    threshold: float = 0.5) -> DataFrame:
-    """The five evaluation measures of a scored, labelled split, as one row."""
-    judged = df.withColumn("prediction", F.col(score) > F.lit(threshold))
-    measures = classification_metrics(judged, label).select(
-        "accuracy", "precision", "recall", "f1_score")
-    return measures.withColumn("auc_roc", auc_roc(df, label, score).scalar())
+    """The five evaluation measures of a scored, labelled split, from one pass over it."""
+    said = F.col("_score") > F.lit(threshold)
+
+    def total(which: str, prediction: Column) -> Column:
+        return F.coalesce(F.sum(F.when(prediction, F.col(which))), F.lit(0))
+
+    counts = _by_score(df, label, score).agg(
+        total("pos", said).alias("tp"), total("neg", said).alias("fp"),
+        total("neg", ~said).alias("tn"), total("pos", ~said).alias("fn"), _auc().alias("auc_roc"))
+    return counts.select(*[c.alias(n) for n, c in _measures().items()], "auc_roc")
 
 
 def drift_score(base: DataFrame, current: DataFrame, col: str, bounds: list[float],
                 limit: float = DRIFT_LIMIT) -> DataFrame:
-    """Population stability index of a column over fixed bins; at most ``len(bounds) + 1`` rows meet."""
-    def shares(df: DataFrame, name: str) -> DataFrame:
-        slot = F.lit(len(bounds))
-        for i, bound in reversed(list(enumerate(bounds))):
-            slot = F.when(F.col(col) < F.lit(float(bound)), F.lit(i)).otherwise(slot)
-        counted = (df.filter(F.col(col).isNotNull()).groupBy(slot.alias("bin"))
-                   .agg(F.count("*").alias("n")))
-        total = counted.agg(F.sum("n")).scalar()
-        return counted.select("bin", (F.col("n") / total).alias(name))
-
-    def smooth(name: str) -> Column:
-        return F.greatest(F.coalesce(F.col(name), F.lit(0.0)), F.lit(PSI_EPSILON))
-
-    both = shares(base, "p").join(shares(current, "q"), "bin", "full")
-    term = (smooth("q") - smooth("p")) * F.ln(smooth("q") / smooth("p"))
-    return both.agg(F.coalesce(F.sum(term), F.lit(0.0)).alias("psi")).select(
+    """Population stability index of a column over fixed bins.
+
+    Both sides are counted in one aggregation to at most ``len(bounds) + 1`` rows.
+    """
+    slot = F.lit(len(bounds))
+    for i, bound in reversed(list(enumerate(bounds))):
+        slot = F.when(F.col(col) < F.lit(float(bound)), F.lit(i)).otherwise(slot)
+
+    def side(df: DataFrame, is_base: bool) -> DataFrame:
+        return df.filter(F.col(col).isNotNull()).select(slot.alias("bin"), F.lit(is_base).alias("base"))
+
+    counted = side(base, True).unionByName(side(current, False)).groupBy("bin").agg(
+        F.count_if("base").alias("p"), F.count_if(~F.col("base")).alias("q"))
+    every_bin = Window.partitionBy()
+
+    def share(name: str) -> Column:
+        part = F.try_divide(F.col(name), F.sum(name).over(every_bin))
+        return F.greatest(F.coalesce(part, F.lit(0.0)), F.lit(PSI_EPSILON))
+
+    shares = counted.select(share("p").alias("p"), share("q").alias("q"))
+    term = (F.col("q") - F.col("p")) * F.ln(F.col("q") / F.col("p"))
+    return shares.agg(F.coalesce(F.sum(term), F.lit(0.0)).alias("psi")).select(
         F.lit(col).alias("feature"), "psi", (F.col("psi") > F.lit(limit)).alias("drifted"))
 
 

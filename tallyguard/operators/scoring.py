@@ -11,6 +11,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from tallyguard.functions import features as fx
+from tallyguard.operators import skew
 
 
 # --- features -------------------------------------------------------------
@@ -78,11 +79,12 @@ def confidence_band(df: DataFrame, mode: str = "single") -> DataFrame:
     return df.withColumn("confidence", fx.confidence(F.col("fraud_probability"), mode))
 
 
-def amortized_latency(df: DataFrame, key: str = "request_id", total: str = "total_ms") -> DataFrame:
+def amortized_latency(df: DataFrame, key: str = "request_id", total: str = "total_ms",
+                      row_id: str = "transaction_id") -> DataFrame:
     """Each row's share of its request's time, to two decimals."""
-    sizes = df.groupBy(key).agg(F.count("*").alias("_rows"))
+    sized = skew.with_group_totals(df, key, row_id, {"_rows": F.count("*")})
     share = F.round(F.try_divide(F.col(total).cast("double"), F.col("_rows")), 2)
-    return df.join(sizes, key).withColumn("processing_time_ms", share).drop("_rows")
+    return sized.withColumn("processing_time_ms", share).drop("_rows")
 
 
 def prediction_response(df: DataFrame, champions: DataFrame, model_name: str) -> DataFrame:

@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tallyguard.functions import contract, texts
+from tallyguard.operators import skew
 
 BATCH_LIMIT = 100        # fixed value: a request with more rows is refused whole
 QUALITY_GATE = 0.9       # fixed value: least share of valid rows for training
@@ -20,12 +21,11 @@ SAFE_STATUS_OVERSIZED = (400, 413, 422)
 def validate_transactions(df: DataFrame) -> DataFrame:
     """Add ``errors`` (every broken rule) and ``is_valid``.
 
-    ``is_valid`` is built from the rules, not from ``errors``, so that the array
+    ``is_valid`` is built from the fields, not from ``errors``, so that the array
     is pruned away where only the verdict is used.
     """
-    rules = contract.violations(df)
-    broken = reduce(Column.__or__, rules.values())
-    return df.withColumns({"is_valid": ~broken, "errors": texts.reasons(rules)})
+    kept = reduce(Column.__and__, [contract.accepts(df, f) for f in contract.FIELDS])
+    return df.withColumns({"is_valid": kept, "errors": texts.reasons(contract.violations(df))})
 
 
 def typed_transactions(df: DataFrame) -> DataFrame:
@@ -40,15 +40,14 @@ def quarantine_split(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     return valid, judged.filter("not is_valid")
 
 
-def batch_guard(df: DataFrame, key: str = "request_id", limit: int = BATCH_LIMIT) -> DataFrame:
+def batch_guard(df: DataFrame, key: str = "request_id", limit: int = BATCH_LIMIT,
+                row_id: str = "transaction_id") -> DataFrame:
     """Add ``batch_size`` and ``accepted``: a request above the limit is refused whole.
 
-    Sizes come from a map-side combined count, and the rows meet them in an
-    equi-join that adaptive execution splits when one request is huge; a window
-    count would put that request into one task.
+    A row without a request is refused. One huge request is spread over many tasks.
     """
-    sizes = df.groupBy(key).agg(F.count("*").alias("batch_size"))
-    return df.join(sizes, key).withColumn("accepted", F.col("batch_size") <= F.lit(limit))
+    sized = skew.with_group_totals(df, key, row_id, {"batch_size": F.count("*")})
+    return sized.withColumn("accepted", F.coalesce(F.col("batch_size") <= F.lit(limit), F.lit(False)))
 
 
 def data_quality_score(df: DataFrame, gate: float = QUALITY_GATE) -> DataFrame:

@@ -313,7 +313,7 @@ def _rule(name: str, rule: alerts.Rule, flags_sql: str, views: tuple[str, ...],
         def run(d: Domain):
             return _rounded(build(d, tuned), "value")
         run.__doc__ = f"{rule.alertname} on the test series, held for two hours."
-        RULES[name] = (run, _rule_sql(tuned, f"{name}_flags"), flags_sql)
+        RULES[name] = (_rule_sql(tuned, f"{name}_flags"), flags_sql)
         return plan(name, sql)(run)
     return register
 
@@ -374,15 +374,20 @@ def alert_crash_loop(d: Domain, rule):
     return alerts.alert_crash_loop(d.restarts(), STEP, WINDOW, rule)
 
 
-_GAUGE_RULES = ("alert_max_replicas", "alert_service_down", "alert_node_not_ready", "alert_crash_loop")
-_UNION_VIEWS = {f"{n}_flags": RULES[n][2] for n in _GAUGE_RULES}
-_UNION = " UNION ALL ".join(f"SELECT * FROM ({RULES[n][1]})" for n in _GAUGE_RULES)
+_GAUGE_RULES = {"alert_max_replicas": (alerts.MAX_REPLICAS, Domain.replicas),
+                "alert_service_down": (alerts.SERVICE_DOWN, Domain.up),
+                "alert_node_not_ready": (alerts.NODE_NOT_READY, Domain.node_ready),
+                "alert_crash_loop": (alerts.CRASH_LOOP, Domain.restarts)}
+_UNION_VIEWS = {f"{n}_flags": RULES[n][1] for n in _GAUGE_RULES}
+_UNION = " UNION ALL ".join(f"SELECT * FROM ({RULES[n][0]})" for n in _GAUGE_RULES)
 
 
 @plan("union_rules", with_views(_UNION, "replicas", "up", "ready", "restarts", more=_UNION_VIEWS))
 def union_rules(d: Domain):
-    """All rules on gauges together."""
-    return alerts.union_rules([RULES[n][0](d) for n in _GAUGE_RULES])
+    """All rules on gauges, held in one pass."""
+    flags = [alerts.flags_on_latest(samples(d), STEP, rule.tuned(hold=HOLD), WINDOW)
+             for rule, samples in _GAUGE_RULES.values()]
+    return _rounded(alerts.evaluate_rules(alerts.union_rules(flags), STEP), "value")
 
 
 _RECEIVER = """CASE WHEN severity = 'critical' THEN 'critical' WHEN alert_type = 'performance' THEN 'performance'

@@ -33,17 +33,23 @@ def scan_error_log(lines: DataFrame) -> DataFrame:
         F.when(F.col("_row").isNull(), F.col("value")).alias(schemas.CORRUPT))
 
 
-SAMPLE_LINE = r"^([a-zA-Z_:][a-zA-Z0-9_:]*)(?:\{(.*)\})?\s+(\S+)"
+SAMPLE_LINE = r"^([a-zA-Z_:][a-zA-Z0-9_:]*)(?:\{(.*)\})?\s+(\S+).*$"
+CUT = "\u0001"
 
 
 def parse_exposition(lines: DataFrame) -> DataFrame:
-    """Scrape text as (name, labels, value); comments, blank lines and other text are skipped."""
-    body = F.regexp_extract("value", SAMPLE_LINE, 2)
-    pairs = F.regexp_replace(F.regexp_replace(body, r'"\s*,?\s*$', ""), r'"\s*,\s*', "\u0001")
+    """Scrape text as (name, labels, value); comments, blank lines and other text are skipped.
+
+    A line is matched once: the match is rewritten with separators, which a line
+    that doesn't match lacks, and the generator keeps its parts from being matched again.
+    """
+    parts = F.split(F.regexp_replace("value", SAMPLE_LINE, f"$1{CUT}$2{CUT}$3"), CUT)
+    matched = (lines.filter(~F.col("value").startswith("#"))
+               .select(F.explode(F.array(parts)).alias("_p")).filter(F.size("_p") == 3))
+    body, number = F.col("_p")[1], F.regexp_replace(F.col("_p")[2], "Inf$", "Infinity")
+    pairs = F.regexp_replace(F.regexp_replace(body, r'"\s*,?\s*$', ""), r'"\s*,\s*', CUT)
     labels = F.when(body == "", F.create_map().cast("map<string,string>")).otherwise(
-        F.str_to_map(pairs, F.lit("\u0001"), F.lit('="')))
-    number = F.regexp_replace(F.regexp_extract("value", SAMPLE_LINE, 3), "Inf$", "Infinity")
-    return (lines.filter(F.col("value").rlike(SAMPLE_LINE))
-            .select(F.regexp_extract("value", SAMPLE_LINE, 1).alias("name"), labels.alias("labels"),
-                    number.try_cast("double").alias("value"))
+        F.str_to_map(pairs, F.lit(CUT), F.lit('="')))
+    return (matched.select(F.col("_p")[0].alias("name"), labels.alias("labels"),
+                           number.try_cast("double").alias("value"))
             .filter(F.col("value").isNotNull()))
