@@ -17,8 +17,17 @@ STEP = timedelta(hours=1)
 WINDOW = timedelta(hours=3)
 HOLD = timedelta(hours=2)
 
+# Schemas of the given tables that are read: known, so that no job has to look into files for them.
 EVENTS = ("event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, "
           "value double, props string")
+TABLES = {
+    "events": EVENTS,
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+              "o_orderdate timestamp_ntz, o_orderpriority string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "pages": "page_id bigint, url string, html string",
+}
 
 TEST_NAMES = ["Health Check /health", "Single Prediction", "Batch Prediction", "Input Validation",
               "Performance Test", "Documentation /docs", "API Availability", "Smoke"]
@@ -29,9 +38,12 @@ class Domain:
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
+        self._read: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        if name not in self._read:
+            self._read[name] = self.spark.read.schema(TABLES[name]).parquet(f"{self.sf_dir}/{name}.parquet")
+        return self._read[name]
 
     def events(self, rows: DataFrame | None = None) -> DataFrame:
         rows = self.table("events") if rows is None else rows
