@@ -67,12 +67,14 @@ class HoldProcessor(StatefulProcessor):
         timer = (at + self.silence_us) // 1000
         self.handle.registerTimer(timer)
         self.run.update((state, since, timer))
-        yield self._frame(key, changes)
+        if changes:
+            yield self._frame(key, changes)
 
     def handleExpiredTimer(self, key: Any, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         state, _, timer = self.run.get()
         self.run.clear()
-        yield self._frame(key, [(RESOLVED, timer * 1000)] if state == FIRING else [])
+        if state == FIRING:
+            yield self._frame(key, [(RESOLVED, timer * 1000)])
 
     def close(self) -> None:
         pass
@@ -102,19 +104,19 @@ class RepeatProcessor(StatefulProcessor):
             if last is None or at >= last + int(gap) * 1_000_000:
                 sent.append(at)
                 last = at
-        if sent:
-            if timer:
-                self.handle.deleteTimer(timer)
-            timer = (last + self.silence_us) // 1000
-            self.handle.registerTimer(timer)
-            self.last.update((last, timer))
+        if not sent:
+            return
+        if timer:
+            self.handle.deleteTimer(timer)
+        timer = (last + self.silence_us) // 1000
+        self.handle.registerTimer(timer)
+        self.last.update((last, timer))
         yield pd.DataFrame({"group_key": [str(key[0])] * len(sent),
                             "ts": pd.to_datetime(sent, unit="us")})
 
     def handleExpiredTimer(self, key: Any, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         self.last.clear()
-        yield pd.DataFrame({"group_key": pd.Series([], dtype=str),
-                            "ts": pd.Series([], dtype="datetime64[us]")})
+        return iter(())
 
     def close(self) -> None:
         pass
