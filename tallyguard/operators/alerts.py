@@ -284,10 +284,10 @@ def alert_repeat_throttle(firing: DataFrame, keys: tuple[str, ...] = GROUP_KEYS,
         pdf = pdf.sort_values("ts", ignore_index=True)
         times, gap = pdf["ts"].to_numpy(), np.timedelta64(int(pdf["_gap"].max()), "s")
         after = np.searchsorted(times, times + gap)
-        last = np.arange(len(times))
-        for i in range(len(times) - 1, -1, -1):
-            if after[i] < len(times):
-                last[i] = last[after[i]]
+        last, own = None, np.arange(len(times))
+        ahead = np.where(after < len(times), after, own)
+        while last is None or not np.array_equal(last, ahead):  # doubles the reach each round
+            last, ahead = ahead, ahead[ahead]
         reach = np.searchsorted(times, pdf["_seg"].to_numpy()[0] + gap) + 1
         return pdf.head(reach).assign(_exit=times[last[:reach]])
 

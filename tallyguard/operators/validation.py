@@ -18,26 +18,28 @@ SAFE_STATUS = (400, 422)
 SAFE_STATUS_OVERSIZED = (400, 413, 422)
 
 
+def _judge(df: DataFrame) -> tuple[DataFrame, dict[str, Column]]:
+    """Rows with their verdict, and the typed columns."""
+    cast, values = contract.with_casts(df)
+    rules = contract.violations(df, values)
+    broken = reduce(Column.__or__, rules.values())
+    return cast.withColumns({"is_valid": ~broken, "errors": texts.reasons(rules)}), values
+
+
 def validate_transactions(df: DataFrame) -> DataFrame:
     """Add ``errors`` (every broken rule) and ``is_valid``.
 
-    ``is_valid`` is built from the fields, not from ``errors``, so that the array
+    ``is_valid`` is built from the rules, not from ``errors``, so that the array
     is pruned away where only the verdict is used.
     """
-    kept = reduce(Column.__and__, [contract.accepts(df, f) for f in contract.FIELDS])
-    return df.withColumns({"is_valid": kept, "errors": texts.reasons(contract.violations(df))})
-
-
-def typed_transactions(df: DataFrame) -> DataFrame:
-    """Contract columns in their contract types; other columns unchanged."""
-    return df.withColumns({f.name: contract.typed(df, f) for f in contract.FIELDS})
+    return contract.without_casts(_judge(df)[0])
 
 
 def quarantine_split(df: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(valid rows, typed; invalid rows as they came, with their errors)."""
-    judged = df if "is_valid" in df.columns else validate_transactions(df)
-    valid = typed_transactions(judged.filter("is_valid")).drop("is_valid", "errors")
-    return valid, judged.filter("not is_valid")
+    """(valid rows in their contract types; invalid rows as they came, with their errors)."""
+    judged, values = _judge(df.drop("is_valid", "errors"))
+    valid = judged.filter("is_valid").withColumns(values).drop("is_valid", "errors")
+    return contract.without_casts(valid), contract.without_casts(judged.filter("not is_valid"))
 
 
 def batch_guard(df: DataFrame, key: str = "request_id", limit: int = BATCH_LIMIT,

@@ -10,20 +10,24 @@ from tallyguard import schemas
 ERROR_KEYS = ("error_type", "error_message", "timestamp", "exception_type", "exception_details")
 
 
-def _parsed(lines: DataFrame, schema: str) -> DataFrame:
-    return lines.withColumn("_row", F.from_json(
-        "value", f"{schema}, {schemas.CORRUPT} string",
-        {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": schemas.CORRUPT}))
+def json_rows(lines: DataFrame, schema: str) -> DataFrame:
+    """The fields of JSON ``value``s, and ``_corrupt`` for a value that doesn't fit.
+
+    The generator keeps filters on the fields from parsing the value again.
+    """
+    parsed = F.from_json("value", f"{schema}, {schemas.CORRUPT} string",
+                         {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": schemas.CORRUPT})
+    return lines.select(F.inline(F.array(parsed)))
 
 
 def scan_access_log(lines: DataFrame) -> DataFrame:
     """JSON request lines as typed rows; an unreadable line is kept in ``_corrupt``."""
-    return _parsed(lines, schemas.ACCESS_LOG).select("_row.*")
+    return json_rows(lines, schemas.ACCESS_LOG)
 
 
 def scan_error_log(lines: DataFrame) -> DataFrame:
     """JSON error lines: known keys as columns, all other keys in the ``context`` map."""
-    keyed = lines.withColumn("_row", F.from_json("value", "map<string,string>"))
+    keyed = lines.select("value", F.explode(F.array(F.from_json("value", "map<string,string>"))).alias("_row"))
     known = F.array(*[F.lit(k) for k in ERROR_KEYS])
     context = F.map_filter("_row", lambda k, v: ~F.array_contains(known, k))
     return keyed.select(

@@ -10,16 +10,14 @@ from pyspark.sql.streaming import StreamingQuery
 from tallyguard import schemas
 from tallyguard.functions import features as fx, intervals
 from tallyguard.operators import scoring
-from tallyguard.sources import sinks
+from tallyguard.sources import logs, sinks
 
 WATERMARK = timedelta(minutes=10)  # our choice: how late a row may be
 
 
 def stream_parse(raw: DataFrame, schema: str = schemas.STREAM_TRANSACTION) -> DataFrame:
     """JSON values as typed rows; a value that doesn't fit is kept in ``_corrupt``."""
-    parsed = F.from_json("value", f"{schema}, {schemas.CORRUPT} string",
-                         {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": schemas.CORRUPT})
-    return raw.select(parsed.alias("_row")).select("_row.*")
+    return logs.json_rows(raw, schema)
 
 
 def stream_score(df: DataFrame, scorer: scoring.Scorer, model_name: str, model_version: str,

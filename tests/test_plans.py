@@ -10,7 +10,6 @@ PYTHON = re.compile(r"BatchEvalPython|ArrowEvalPython|MapInPandas|FlatMapGroupsI
 NEEDS_PYTHON = {"score_python_model", "alert_repeat_throttle"}
 EAGER = {"train_fraud_model", "score_batch_model", "tune_model"}
 STREAMED = {n for n in queries() if n.startswith("stream_") and n != "stream_performance"}
-BATCH = sorted(set(queries()) - EAGER - STREAMED)
 
 
 @pytest.fixture(scope="module")
@@ -19,8 +18,13 @@ def duck():
 
 
 @pytest.mark.parametrize("name", sorted(oracle_sql()))
-def test_rows_equal_sql(spark, duck, name):
-    assert compare(spark, duck, queries()[name], oracle_sql()[name], SF_DIR) in (None, "both empty")
+def test_rows_equal_sql_and_the_plan_stays_in_the_jvm(spark, duck, name):
+    df = queries()[name](spark, SF_DIR)
+    if name not in STREAMED:
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert bool(PYTHON.search(plan)) == (name in NEEDS_PYTHON)
+        assert "CartesianProduct" not in plan
+    assert compare(spark, duck, lambda *_: df, oracle_sql()[name], SF_DIR) in (None, "both empty")
 
 
 def test_entry(spark):
@@ -33,18 +37,10 @@ def test_every_operator_of_the_survey_is_registered():
 
 
 def _plan(spark, name):
-    return queries()[name](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
-
-
-@pytest.mark.parametrize("name", BATCH)
-def test_plans_stay_in_the_jvm(spark, name):
-    plan = _plan(spark, name)
-    assert bool(PYTHON.search(plan)) == (name in NEEDS_PYTHON)
-    assert "CartesianProduct" not in plan
+    plan = queries()[name](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
+    return re.sub(r"\s+", " ", plan)
 
 
 def test_scans_read_only_what_is_used(spark):
-    plan = queries()["fraud_rate"](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
-    assert "ReadSchema: struct<event_id:bigint,value:double>" in plan
-    assert "PushedFilters: [IsNotNull(o_orderstatus), Not(EqualTo(o_orderstatus,P))]" in re.sub(
-        r"\s+", " ", _plan(spark, "run_report_join"))
+    assert "ReadSchema: struct<event_id:bigint,value:double>" in _plan(spark, "fraud_rate")
+    assert "PushedFilters: [IsNotNull(o_orderstatus), Not(EqualTo(o_orderstatus,P))" in _plan(spark, "run_report_join")
