@@ -268,7 +268,8 @@ def alert_repeat_throttle(firing: DataFrame, keys: tuple[str, ...] = GROUP_KEYS,
     last send before it. So: (1) per segment, from each row that could be the
     first send, find the last one; (2) per group, chain these few rows through
     its segments; (3) per segment, walk from the known last send. Rows of one
-    time are one notification, so a segment is bounded by its evaluations.
+    time are combined first, on the map side, so a segment holds no more rows
+    than rules are evaluated in it: 40,320 in a week of 15-second evaluations.
     """
     group = list(keys)
     rows = (firing.groupBy(*group, F.col(ts).alias("ts")).agg(F.max(repeat).alias("_gap"))

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
+
+from tallyguard.operators import ranked
 
 # Names of the champion alias and of the stages, and the gain a candidate needs.
 CHAMPION = "champion"
@@ -16,7 +18,7 @@ MEASURES = ("accuracy", "precision", "recall", "f1_score", "auc_roc")
 DEFAULT_METRICS = {"auc": 0.85, "accuracy": 0.82, "f1": 0.75}
 
 
-def version_number():
+def version_number() -> Column:
     """Versions are text; they order as numbers."""
     return F.col("version").cast("long")
 
@@ -40,12 +42,18 @@ def resolve_champion(registry: DataFrame, alias: str = CHAMPION, stage: str = PR
 
 
 def register_version(registry: DataFrame, candidates: DataFrame) -> DataFrame:
-    """Append candidates (model_name, run_id, params, metrics, source_path, ts) as next versions."""
+    """Append candidates (model_name, run_id, params, metrics, source_path, ts) as next versions.
+
+    Candidates of one model are numbered by time, day by day, so that a model
+    with very many of them is not numbered by one task.
+    """
     known = registry.groupBy("model_name").agg(F.max(version_number()).alias("_max"))
-    order = Window.partitionBy("model_name").orderBy("ts", "run_id")
-    added = candidates.join(known, "model_name", "left").select(
-        "model_name",
-        (F.coalesce(F.col("_max"), F.lit(0)) + F.row_number().over(order)).cast("string").alias("version"),
+    placed = ranked.with_totals_below(
+        candidates.withColumns({"_one": F.lit(1), "_at": F.struct("ts", "run_id")}),
+        ["model_name"], "_at", ["_one"], F.to_date("ts"))
+    number = F.coalesce(F.col("_max"), F.lit(0)) + F.col("_one_below") + 1
+    added = placed.join(known, "model_name", "left").select(
+        "model_name", number.cast("string").alias("version"),
         F.lit(None).cast("string").alias("alias"), F.lit("None").alias("stage"), "run_id",
         F.col("ts").alias("creation_timestamp"), F.col("ts").alias("last_updated_timestamp"),
         F.col("source_path").alias("description"),

@@ -17,6 +17,8 @@ STEP = timedelta(hours=1)
 WINDOW = timedelta(hours=3)
 HOLD = timedelta(hours=2)
 
+FILES_PER_TRIGGER = 64  # bounds what one trigger, and one key in it, can hold
+
 # Schemas of the given tables that are read: known, so that no job has to look into files for them.
 EVENTS = ("event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, "
           "value double, props string")
@@ -57,7 +59,9 @@ class Domain:
 
     def event_stream(self, rows: DataFrame | None = None) -> DataFrame:
         """The events as a stream of files; a watermark needs the zoned timestamp type."""
-        rows = self.spark.readStream.schema(EVENTS).parquet(self.events_glob) if rows is None else rows
+        if rows is None:
+            rows = (self.spark.readStream.schema(EVENTS).option("maxFilesPerTrigger", FILES_PER_TRIGGER)
+                    .parquet(self.events_glob))
         return self.events(rows).withColumn("ts", F.col("ts").cast("timestamp"))
 
     def transactions(self, rows: DataFrame | None = None) -> DataFrame:
@@ -137,11 +141,12 @@ class Domain:
         return self.gauge("k % 8")
 
     def alert_rows(self) -> DataFrame:
+        """Alerts as rules give them: one evaluation a minute."""
         return self.events().selectExpr(
             "event_type as alertname", "concat('c_', user_id % 3) as cluster", "'scoring' as service",
             "case when event_type = 'error' then 'critical' else 'warning' end as severity",
             "case event_type when 'click' then 'performance' when 'view' then 'infrastructure' "
-            "else 'business' end as alert_type", "ts", "ts as starts_at")
+            "else 'business' end as alert_type", "date_trunc('minute', ts) as ts", "ts as starts_at")
 
     def registry(self) -> DataFrame:
         return self.table("part").selectExpr(
@@ -250,7 +255,7 @@ VIEWS = {
     "alerts": """SELECT event_type AS alertname, 'c_' || (user_id % 3) AS cluster, 'scoring' AS service,
         CASE WHEN event_type = 'error' THEN 'critical' ELSE 'warning' END AS severity,
         CASE event_type WHEN 'click' THEN 'performance' WHEN 'view' THEN 'infrastructure'
-             ELSE 'business' END AS alert_type, ts, ts AS starts_at FROM ev""",
+             ELSE 'business' END AS alert_type, date_trunc('minute', ts) AS ts, ts AS starts_at FROM ev""",
     "registry": """SELECT 'model_' || (p_partkey // 12) AS model_name, (p_partkey % 12 + 1)::VARCHAR AS version,
         CASE WHEN p_partkey // 12 % 3 = 0 AND p_partkey % 12 = p_partkey // 12 % 12 THEN 'champion' END AS alias,
         CASE WHEN p_partkey // 12 % 3 <> 2 AND p_partkey % 4 = 1 THEN 'Production'

@@ -415,7 +415,7 @@ def alert_grouping(d: Domain):
 _SENT_VIEWS = {
     "routed": f"""SELECT alertname, cluster, service, ts, min(ts) OVER (PARTITION BY alertname, cluster, service
         ORDER BY ts RANGE BETWEEN INTERVAL 1 SECOND * gap FOLLOWING AND UNBOUNDED FOLLOWING) AS nxt
-        FROM (SELECT *, {_REPEAT} AS gap FROM alerts)""",
+        FROM (SELECT DISTINCT alertname, cluster, service, ts, {_REPEAT} AS gap FROM alerts)""",
     "sent": """SELECT alertname, cluster, service, min(ts) AS ts FROM routed GROUP BY ALL
         UNION ALL SELECT r.alertname, r.cluster, r.service, r.nxt FROM sent s JOIN routed r
         ON r.alertname = s.alertname AND r.cluster = s.cluster AND r.service = s.service AND r.ts = s.ts

@@ -221,7 +221,8 @@ def stream_alert_state(d: Domain):
     recursive=True))
 def stream_alert_throttle(d: Domain):
     rows = d.event_stream().selectExpr(
-        "concat_ws('/', event_type, concat('c_', user_id % 3), 'scoring') as group_key", "ts",
+        "concat_ws('/', event_type, concat('c_', user_id % 3), 'scoring') as group_key",
+        "date_trunc('minute', ts) as ts",
         "case when event_type = 'error' then 'critical' else 'warning' end as severity",
         "case event_type when 'click' then 'performance' when 'view' then 'infrastructure' "
         "else 'business' end as alert_type")
