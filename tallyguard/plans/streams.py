@@ -42,7 +42,7 @@ def _unzoned(df: DataFrame) -> DataFrame:
 
 
 def _stateful(d: Domain, df: DataFrame) -> DataFrame:
-    """As ``_to_files``, with the state store that keyed processors need."""
+    """As ``_to_files``, with the state store that keyed processors need, and that keeps big state on disk."""
     before = d.spark.conf.get(alert_state.STATE_STORE_CONF)
     d.spark.conf.set(alert_state.STATE_STORE_CONF, alert_state.ROCKSDB)
     try:
@@ -191,14 +191,16 @@ def stream_label_join(d: Domain):
         "transaction_id", "label", "ts + make_dt_interval(0, cast(event_id % 4 as int)) as label_ts")
     predictions = _predicted(d).select("transaction_id", "ts", "is_fraud_predicted")
     joined = stream.stream_label_join(predictions, labels, timedelta(hours=2))
-    return _to_files(d, joined.select("transaction_id", "is_fraud_predicted", "label"))
+    return _stateful(d, joined.select("transaction_id", "is_fraud_predicted", "label"))
 
 
 _STATES = """SELECT series, 'pending' AS state, start AS changed_at FROM runs
     UNION ALL SELECT series, 'firing', fires FROM runs WHERE fires IS NOT NULL
     UNION ALL SELECT series, 'resolved', ends FROM runs WHERE fires IS NOT NULL AND ends IS NOT NULL"""
 _STATE_VIEWS = {
-    "flags": "SELECT 'pod_' || (user_id % 6) AS series, ts, k > 30 AS active FROM ev",
+    "flags": f"""SELECT 'pod_' || (user_id % 6) AS series, date_trunc('minute', ts) + INTERVAL '1 minute' AS ts,
+        arg_max(k > 30, ev.ts) AS active FROM ev
+        WHERE date_trunc('minute', ev.ts) + INTERVAL '1 minute' <= {CLOSED} GROUP BY 1, 2""",
     "islands": """SELECT *, sum(CASE WHEN active THEN 0 ELSE 1 END) OVER (PARTITION BY series ORDER BY ts) AS island
         FROM flags""",
     "starts": """SELECT *, min(ts) FILTER (WHERE active) OVER (PARTITION BY series, island) AS start FROM islands""",
@@ -211,18 +213,17 @@ _STATE_VIEWS = {
 
 @plan("stream_alert_state", with_views(_STATES, "ev", more=_STATE_VIEWS))
 def stream_alert_state(d: Domain):
-    """Every sample of a pod judged as it comes, held for an hour."""
+    """The newest sample of every pod and minute, held for an hour."""
     flags = d.event_stream().selectExpr("concat('pod_', user_id % 6) as series", "ts", "k > 30 as active")
     return _stateful(d, alert_state.stream_alert_state(flags, HOUR, silence=FOREVER))
 
 
 @plan("stream_alert_throttle", with_views(
-    "SELECT concat_ws('/', alertname, cluster, service) AS group_key, ts FROM sent", "alerts", more=_SENT_VIEWS,
-    recursive=True))
+    f"""SELECT concat_ws('/', alertname, cluster, service) AS group_key, ts FROM sent
+    WHERE ts + INTERVAL '1 minute' <= {CLOSED}""", "alerts", more=_SENT_VIEWS, recursive=True))
 def stream_alert_throttle(d: Domain):
     rows = d.event_stream().selectExpr(
-        "concat_ws('/', event_type, concat('c_', user_id % 3), 'scoring') as group_key",
-        "date_trunc('minute', ts) as ts",
+        "concat_ws('/', event_type, concat('c_', user_id % 3), 'scoring') as group_key", "ts",
         "case when event_type = 'error' then 'critical' else 'warning' end as severity",
         "case event_type when 'click' then 'performance' when 'view' then 'infrastructure' "
         "else 'business' end as alert_type")

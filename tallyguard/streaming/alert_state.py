@@ -1,7 +1,8 @@
 """Alert state machines kept per key in the state store.
 
-Each key holds one small value. Rows of a trigger come in any order, so they are
-sorted per key; the source's cap per trigger bounds how many there are.
+Rows are first combined into evaluations, one per key and step, by a windowed
+aggregate that closes behind the watermark. What reaches a key in one trigger is
+bounded by the steps in it, not by the rows, and a key holds one small value.
 """
 
 from __future__ import annotations
@@ -11,7 +12,7 @@ from datetime import timedelta
 from typing import Any
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from tallyguard.functions import intervals
@@ -28,11 +29,12 @@ def _micros(stamps: pd.Series) -> list[int]:
 
 
 def _ordered(rows: Iterator[pd.DataFrame]) -> pd.DataFrame:
-    return pd.concat(list(rows)).sort_values("ts", ignore_index=True)
+    """The evaluations of one key in one trigger, which come in any order."""
+    return pd.concat(list(rows)).sort_values("at", ignore_index=True)
 
 
 class HoldProcessor(StatefulProcessor):
-    """inactive -> pending -> firing -> resolved, from (series, ts, active).
+    """inactive -> pending -> firing -> resolved, from evaluations (series, at, active).
 
     A silent series is dropped by an event-time timer after ``silence``: an alert
     that was firing resolves, and its state goes.
@@ -49,7 +51,7 @@ class HoldProcessor(StatefulProcessor):
         state, since, timer = self.run.get() if self.run.exists() else (INACTIVE, 0, 0)
         changes = []
         frame = _ordered(rows)
-        for at, active in zip(_micros(frame["ts"]), frame["active"].tolist()):
+        for at, active in zip(_micros(frame["at"]), frame["active"].tolist()):
             before = state
             if active:
                 if state in (INACTIVE, RESOLVED):
@@ -100,7 +102,7 @@ class RepeatProcessor(StatefulProcessor):
         last, timer = self.last.get() if self.last.exists() else (None, 0)
         sent = []
         frame = _ordered(rows)
-        for at, gap in zip(_micros(frame["ts"]), frame["repeat_interval"].tolist()):
+        for at, gap in zip(_micros(frame["at"]), frame["repeat_interval"].tolist()):
             if last is None or at >= last + int(gap) * 1_000_000:
                 sent.append(at)
                 last = at
@@ -122,22 +124,31 @@ class RepeatProcessor(StatefulProcessor):
         pass
 
 
-def stream_alert_state(flags: DataFrame, hold: timedelta, silence: timedelta = timedelta(hours=1),
-                       delay: timedelta = WATERMARK) -> DataFrame:
-    """State changes (series, state, changed_at) of (series, ts, active)."""
-    return (flags.withWatermark("ts", intervals.text(delay)).groupBy("series")
-            .transformWithStateInPandas(
-                HoldProcessor(intervals.micros(hold), intervals.micros(silence)),
-                "series string, state string, changed_at timestamp", "Append", "EventTime"))
+def stream_evaluations(df: DataFrame, key: str, at: str, step: timedelta, delay: timedelta,
+                       **aggs: Column) -> DataFrame:
+    """Rows (key, at, ts, ...) of closed steps; ``at`` is the step's ``start`` or ``end``."""
+    closed = (df.withWatermark("ts", intervals.text(delay))
+              .groupBy(key, F.window("ts", intervals.text(step))).agg(*[c.alias(n) for n, c in aggs.items()]))
+    return closed.select(key, F.col(f"window.{at}").alias("at"), F.window_time("window").alias("ts"), *aggs)
 
 
-def stream_alert_throttle(alerts: DataFrame, longest_repeat: timedelta = timedelta(hours=1),
+def stream_alert_state(samples: DataFrame, hold: timedelta, step: timedelta = timedelta(minutes=1),
+                       silence: timedelta = timedelta(hours=1), delay: timedelta = WATERMARK) -> DataFrame:
+    """State changes (series, state, changed_at) of (series, ts, active), by the newest sample of a step."""
+    flags = stream_evaluations(samples, "series", "end", step, delay, active=F.max_by("active", "ts"))
+    return flags.groupBy("series").transformWithStateInPandas(
+        HoldProcessor(intervals.micros(hold), intervals.micros(silence)),
+        "series string, state string, changed_at timestamp", "Append", "EventTime")
+
+
+def stream_alert_throttle(alerts: DataFrame, step: timedelta = timedelta(minutes=1),
+                          longest_repeat: timedelta = timedelta(hours=1),
                           delay: timedelta = WATERMARK) -> DataFrame:
-    """Sent notifications (group_key, ts) of (group_key, ts, repeat_interval).
+    """Sent notifications (group_key, ts) of (group_key, ts, repeat_interval), stamped by their step.
 
     The last send is forgotten once no repeat limit can reach that far back.
     """
-    return (alerts.withWatermark("ts", intervals.text(delay)).groupBy("group_key")
-            .transformWithStateInPandas(
-                RepeatProcessor(intervals.micros(longest_repeat)),
-                "group_key string, ts timestamp", "Append", "EventTime"))
+    due = stream_evaluations(alerts, "group_key", "start", step, delay, repeat_interval=F.max("repeat_interval"))
+    return due.groupBy("group_key").transformWithStateInPandas(
+        RepeatProcessor(intervals.micros(longest_repeat)),
+        "group_key string, ts timestamp", "Append", "EventTime")

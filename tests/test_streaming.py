@@ -82,27 +82,39 @@ def test_user_stats_follow_restart(spark, tmp_path):
 def test_alert_states_survive_restart(spark, tmp_path, rocksdb):
     marks = "xx.xxxx.x"
     rows = [("s", T0 + i * MIN, m == "x") for i, m in enumerate(marks)]
+    rows.append(("later", T0 + 50 * MIN, False))
     for i, part in enumerate((rows[:5], rows[5:])):  # the run that fires crosses the restart
         write(spark, part, FLAGS, tmp_path / "in", f"f{i}")
-        df = alert_state.stream_alert_state(source(spark, tmp_path, FLAGS), 2 * MIN, silence=timedelta(days=9))
+        df = alert_state.stream_alert_state(source(spark, tmp_path, FLAGS), 2 * MIN, silence=timedelta(days=9), delay=MIN)
         path = run(df, tmp_path)
-    got = sorted(((r.changed_at - T0) // MIN, r.state) for r in spark.read.parquet(path).collect())
+    got = sorted(((r.changed_at - T0) // MIN - 1, r.state) for r in spark.read.parquet(path).collect())
     assert got == [(0, "pending"), (3, "pending"), (5, "firing"), (7, "resolved"), (8, "pending")]
 
 
+def test_newest_sample_of_a_step_decides(spark, tmp_path, rocksdb):
+    sec = timedelta(seconds=1)
+    rows = [("s", T0 + 5 * sec, True), ("s", T0 + 50 * sec, False), ("s", T0 + 70 * sec, True), ("s", T0 + 300 * MIN, False)]
+    write(spark, rows, FLAGS, tmp_path / "in", "a")
+    df = alert_state.stream_alert_state(source(spark, tmp_path, FLAGS), 2 * MIN, silence=timedelta(days=9))
+    got = [((r.changed_at - T0) // MIN, r.state) for r in spark.read.parquet(run(df, tmp_path)).collect()]
+    assert got == [(2, "pending")]
+
+
 def test_silent_series_resolves(spark, tmp_path, rocksdb):
     write(spark, [("s", T0 + i * MIN, True) for i in range(4)], FLAGS, tmp_path / "in", "a")
     write(spark, [("other", T0 + 300 * MIN, False)], FLAGS, tmp_path / "in", "b")
+    write(spark, [("other", T0 + 600 * MIN, False)], FLAGS, tmp_path / "in", "c")
     df = alert_state.stream_alert_state(source(spark, tmp_path, FLAGS), 2 * MIN, silence=60 * MIN)
     got = sorted(((r.changed_at - T0) // MIN, r.state) for r in spark.read.parquet(run(df, tmp_path)).collect())
-    assert got == [(0, "pending"), (2, "firing"), (63, "resolved")]
+    assert got == [(1, "pending"), (3, "firing"), (64, "resolved")]
 
 
 def test_throttle_as_in_batch_across_restart(spark, tmp_path, rocksdb):
     schema = "group_key string, ts timestamp, repeat_interval int"
     rows = [(g, T0 + i * gap * MIN, 300) for g, gap in (("a", 2), ("b", 7)) for i in range(20)]
     rows.sort(key=lambda r: r[1])
-    for i, part in enumerate((rows[:20], rows[20:])):
+    flush = [("later", T0 + 600 * MIN, 300)]
+    for i, part in enumerate((rows[:20], rows[20:] + flush)):
         write(spark, part, schema, tmp_path / "in", f"f{i}")
         path = run(alert_state.stream_alert_throttle(source(spark, tmp_path, schema)), tmp_path)
     got = sorted(map(tuple, spark.read.parquet(path).collect()))
