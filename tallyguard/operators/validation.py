@@ -21,15 +21,14 @@ SAFE_STATUS_OVERSIZED = (400, 413, 422)
 def _judge(df: DataFrame) -> tuple[DataFrame, dict[str, Column]]:
     """Rows with their verdict, and the typed columns."""
     cast, values = contract.with_casts(df)
-    rules = contract.violations(df, values)
-    broken = reduce(Column.__or__, rules.values())
-    return cast.withColumns({"is_valid": ~broken, "errors": texts.reasons(rules)}), values
+    return cast.withColumns({"is_valid": contract.accepted(df, values),
+                             "errors": texts.reasons(contract.violations(df, values))}), values
 
 
 def validate_transactions(df: DataFrame) -> DataFrame:
     """Add ``errors`` (every broken rule) and ``is_valid``.
 
-    ``is_valid`` is built from the rules, not from ``errors``, so that the array
+    ``is_valid`` is built from the fields, not from ``errors``, so that the array
     is pruned away where only the verdict is used.
     """
     return contract.without_casts(_judge(df)[0])

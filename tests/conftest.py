@@ -3,7 +3,6 @@ import os
 import pytest
 
 from tallyguard.session import build_session
-from tallyguard.streaming.alert_state import ROCKSDB, STATE_STORE_CONF
 
 SF_DIR = os.environ.get("TALLYGUARD_TEST_SF", "/root/testdata/sf0.001")
 

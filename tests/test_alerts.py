@@ -64,7 +64,7 @@ def test_rules_are_held_together_but_apart(spark):
         ("CrashLoop", "warning", 3, 3.0), ("HighLoad", "critical", 2, 2.0)]
 
 
-def test_reference_defaults_on_minute_steps(spark):
+def test_default_hold_on_minute_steps(spark):
     rows = spark.createDataFrame([("d", T0 + i * MIN, 6) for i in range(4)], "series string, ts timestamp_ntz, value int")
     got = alerts.alert_max_replicas(rows, MIN).collect()
     assert [(r.alertname, (r.starts_at - T0) // MIN, r.value) for r in got] == [("MaxReplicas", 3, 6.0)]

@@ -40,6 +40,11 @@ def test_every_broken_rule_is_named(spark):
     assert got == {name: (errors == "", errors) for name, (_, errors) in CASES.items()}
 
 
+def test_verdict_is_the_absence_of_errors(spark):
+    rows = validation.validate_transactions(_rows(spark).unionByName(_rows(spark).drop("user_age"), True))
+    assert rows.filter("is_valid <> (size(errors) = 0) or is_valid is null").count() == 0
+
+
 def test_quarantine_keeps_all_rows(spark):
     valid, invalid = validation.quarantine_split(_rows(spark))
     assert valid.count() + invalid.count() == len(CASES)

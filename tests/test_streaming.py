@@ -1,7 +1,6 @@
 from datetime import datetime, timedelta
 
 import pytest
-from pyspark.sql import functions as F
 
 from tallyguard import schemas
 from tallyguard.operators import alerts, quality, scoring
