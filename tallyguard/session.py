@@ -27,15 +27,31 @@ def build_session(app_name: str = "tallyguard", master: str | None = None,
     return builder.getOrCreate()
 
 
+_ROOTS: dict[str, str] = {}
+
+
+def _root(spark: SparkSession) -> str:
+    """The session's folder for intermediate tables; it is removed when the session's JVM ends."""
+    app = spark.sparkContext.applicationId
+    if app not in _ROOTS:
+        base = spark.conf.get("spark.checkpoint.dir", None)
+        if not base:
+            master = spark.sparkContext.master
+            if master != "local" and not master.startswith("local["):
+                raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
+            base = tempfile.mkdtemp(prefix="tallyguard-")
+        path = spark._jvm.org.apache.hadoop.fs.Path(f"{base.rstrip('/')}/tallyguard-{app}-{uuid.uuid4().hex[:8]}")
+        files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        files.mkdirs(path)
+        files.deleteOnExit(path)
+        _ROOTS[app] = path.toString()
+    return _ROOTS[app]
+
+
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A fresh directory under the cluster's shared ``spark.checkpoint.dir``.
 
-    Only a local master may fall back to a folder of this machine: on a cluster
-    such a folder is gone with the executor that wrote it.
+    Only a local master, whose tasks all run in one process, may fall back to a folder
+    of this machine: elsewhere such a folder is gone with the executor that wrote it.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
-        base = tempfile.mkdtemp(prefix="tallyguard-")
-    return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    return f"{_root(spark)}/{label}-{uuid.uuid4().hex}"
