@@ -20,7 +20,7 @@ from tallyguard.llm.encoders import encoder
 
 CAPACITY = 2048
 FULL = 8            # free tokens of a sequence that is emitted as nearly full
-PER_TASK = 200_000  # items
+PER_TASK = 50_000   # items
 FEWER = 8           # times fewer tasks in every round
 HARDLY = 0.02       # share of the items; a round that joins fewer is the last
 
@@ -115,7 +115,6 @@ def pack(items: DataFrame, capacity: int = CAPACITY, full: int = FULL, per_task:
     Sequences are gapless from 0. Which items share a sequence depends on how the input was dealt.
     Columns named sequence_id, offset, bin or done are replaced.
     """
-    spark = items.sparkSession
     keep = [c for c in items.columns if c not in ("sequence_id", "offset", "bin", "done")]
     now = stage(items.select(*keep, F.monotonically_increasing_id().alias("bin"), F.lit(0).cast("long").alias("offset"),
                              F.lit(False).alias("done")), "pieces")
@@ -125,7 +124,7 @@ def pack(items: DataFrame, capacity: int = CAPACITY, full: int = FULL, per_task:
     out = now.where(whole).select(*keep, F.col("bin").alias("sequence_id"), "offset")
     now, number = now.where(~whole), 0
     left = now.count()
-    tasks = max(-(-left // per_task), min(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-left // 2000)))
+    tasks = max(1, -(-left // per_task))
     while left:
         number += 1
         dealt = now.repartition(tasks, F.xxhash64("bin", F.lit(number))).sortWithinPartitions("bin", "offset")
