@@ -97,7 +97,7 @@ def exact_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", si
     named = about.drop("hashes").join(identities(rows.select("row", "norm"), places, size), "row")
     named = stage(named, "identities")
     best = F.max(F.struct(F.col("chars"), -F.col("id"), -F.col("row"), F.col("id").alias("id"), F.col("row").alias("row")))
-    groups = named.groupBy("blocks", "name").agg(F.count(F.lit(1)).alias("group_size"), best.alias("best"))
+    groups = stage(named.groupBy("blocks", "name").agg(F.count(F.lit(1)).alias("group_size"), best.alias("best")), "groups")
     return named.join(groups, ["blocks", "name"]).select(
         F.col("id").alias(doc_id), F.col("best.id").alias("keep_id"), "group_size",
         (F.col("row") == F.col("best.row")).alias("kept"), F.col("sha").alias("text_sha256"))

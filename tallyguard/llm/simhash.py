@@ -73,13 +73,19 @@ def _segments(distance: int) -> list[tuple[int, int]]:
     return [(a, b - a) for a, b in zip(cuts, cuts[1:])]
 
 
+def _signed(bits: int):
+    """A literal with these 64 bits."""
+    return F.lit(bits - (1 << BITS) if bits >> (BITS - 1) else bits).cast("long")
+
+
 def _variants(fps: DataFrame, distance: int) -> DataFrame:
     """(key, fp): every segment of every fingerprint with each one of its bits deleted."""
     keys = []
     for s, (first, bits) in enumerate(_segments(distance)):
-        value = F.shiftrightunsigned("fp", first).bitwiseAND(F.lit((1 << bits) - 1))
+        mask = (1 << bits) - 1
+        value = F.shiftrightunsigned("fp", first).bitwiseAND(_signed(mask))
         for wild in range(bits):
-            rest = value.bitwiseAND(F.lit(((1 << bits) - 1) & ~(1 << wild)))
+            rest = value.bitwiseAND(_signed(mask & ~(1 << wild)))
             keys.append(F.xxhash64(F.lit(s), F.lit(wild), rest) if bits > 48 else
                         rest.bitwiseOR(F.lit((s * BITS + wild) << 48)))
     return fps.select(F.explode(F.array(*keys)).alias("key"), "fp")
