@@ -8,13 +8,12 @@ from functools import reduce
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from tallyguard.functions import intervals
 from tallyguard.operators import latency, timeseries
 
 DAY = timedelta(days=1)
-SERVICE = "scoring"
 
 
 @dataclass(frozen=True)
@@ -54,6 +53,7 @@ ROUTES = (
 DEFAULT_ROUTE = ("default", 10, 3600)
 
 GROUP_KEYS = ("alertname", "cluster", "service")
+SENT_KEYS = (*GROUP_KEYS, "receiver")  # each route groups and sends on its own
 
 
 # --- hold times -----------------------------------------------------------
@@ -80,8 +80,9 @@ def alert_for_duration(flags: DataFrame, hold: timedelta | str, step: timedelta,
 
     ends = rows.groupBy(*keys, "_seg").agg(
         F.min("ts").alias("_first"), F.max("ts").alias("_last"),
-        F.min_by("active", "ts").alias("_opens"), F.max_by("active", "ts").alias("_closes"),
-        F.max_by("_start", "ts").alias("_run"))
+        F.min_by("active", F.struct("ts", "active")).alias("_opens"),
+        F.max_by("active", F.struct("ts", "active")).alias("_closes"),
+        F.max_by("_start", F.struct("ts", "active")).alias("_run"))
     by_seg = Window.partitionBy(*keys).orderBy("_seg")
     joins_on = F.coalesce(F.col("_opens") & F.lag("_closes").over(by_seg)
                           & (F.col("_first") <= F.lag("_last").over(by_seg) + every), F.lit(False))
@@ -94,7 +95,10 @@ def alert_for_duration(flags: DataFrame, hold: timedelta | str, step: timedelta,
 
     since = F.when(F.col("_start") == F.col("_head"),
                    F.coalesce(F.col("_carry"), F.col("_start"))).otherwise(F.col("_start"))
-    done = rows.join(carried, [*keys, "_seg"]).withColumn("pending_since", since)
+    carried = carried.select(*[F.col(k).alias(f"_{k}_") for k in [*keys, "_seg"]], "_carry")
+    same = reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"_{k}_")) for k in [*keys, "_seg"]])
+    done = (rows.join(carried, same).withColumn("pending_since", since)
+            .drop(*[f"_{k}_" for k in [*keys, "_seg"]]))
     held = F.col(hold) if isinstance(hold, str) else intervals.literal(hold)
     firing = F.coalesce(F.col("ts") >= F.col("pending_since") + held, F.lit(False))
     return done.withColumn("firing", firing).drop("_seg", "_mark", "_start", "_head", "_carry")
@@ -260,19 +264,23 @@ def alert_grouping(alerts: DataFrame, keys: tuple[str, ...] = GROUP_KEYS) -> Dat
         F.max("starts_at").alias("latest_start"))
 
 
-def alert_repeat_throttle(firing: DataFrame, keys: tuple[str, ...] = GROUP_KEYS, ts: str = "ts",
-                          repeat: str = "repeat_interval", segment: timedelta = 7 * DAY) -> DataFrame:
+def alert_repeat_throttle(firing: DataFrame, keys: tuple[str, ...] = SENT_KEYS, ts: str = "ts",
+                          repeat: str = "repeat_interval", segment: timedelta = 7 * DAY,
+                          step: timedelta = timedelta(seconds=15)) -> DataFrame:
     """The notifications really sent: each at least ``repeat`` seconds after the last of its group.
 
+    A group is what shares ``keys`` and a repeat limit: alerts with another limit are sent
+    by another route. Times count by the ``step`` they fall into.
+
     Every send depends on the one before, but a segment only needs to know the
     last send before it. So: (1) per segment, from each row that could be the
     first send, find the last one; (2) per group, chain these few rows through
     its segments; (3) per segment, walk from the known last send. Rows of one
-    time are combined first, on the map side, so a segment holds no more rows
-    than rules are evaluated in it: 40,320 in a week of 15-second evaluations.
+    step are combined first, on the map side, so a segment holds no more rows
+    than steps: 40,320 in a week of 15-second steps. Nulls in keys are a group.
     """
-    group = list(keys)
-    rows = (firing.groupBy(*group, F.col(ts).alias("ts")).agg(F.max(repeat).alias("_gap"))
+    group = [*keys, "_gap"]
+    rows = (firing.select(*keys, F.col(repeat).alias("_gap"), intervals.pane(F.col(ts), step).alias("ts")).distinct()
             .withColumn("_seg", intervals.pane(F.col("ts"), segment)))
     fields = {f.name: f for f in rows.schema.fields}
     key_fields = [fields[k] for k in group]
@@ -317,6 +325,8 @@ def alert_repeat_throttle(firing: DataFrame, keys: tuple[str, ...] = GROUP_KEYS,
         spans, T.StructType(rows.schema.fields + [T.StructField("_exit", stamp)]))
     carries = exits.groupBy(*group).applyInPandas(
         chain, T.StructType(key_fields + [fields["_seg"], T.StructField("_carry", stamp)]))
-    carried = rows.join(carries, [*group, "_seg"])
+    carries = carries.select(*[F.col(k).alias(f"_{k}_") for k in [*group, "_seg"]], "_carry")
+    same = reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"_{k}_")) for k in [*group, "_seg"]])
+    carried = rows.join(carries, same).drop(*[f"_{k}_" for k in [*group, "_seg"]])
     return carried.groupBy(*group, "_seg").applyInPandas(
-        walk, T.StructType(key_fields + [fields["ts"]]))
+        walk, T.StructType(key_fields + [fields["ts"]])).drop("_gap")

@@ -85,13 +85,13 @@ def histogram_quantile(buckets: DataFrame, q: float, keys: tuple[str, ...] = ("s
 def progress_snapshots(df: DataFrame, every: timedelta, col: str = "ts") -> DataFrame:
     """Totals so far at the end of every bucket that has requests.
 
-    Buckets are summed up day by day and days are offset against each other, so
+    Buckets are summed up inside cells of time, and cells against each other, so
     the running total is not one task's work.
     """
     buckets = df.groupBy(intervals.pane(F.col(col), every).alias("bucket")).agg(
         F.count("*").alias("requests"), F.count_if(F.col("status") == "success").alias("successes"))
     rows = ranked.with_totals_below(buckets, [], "bucket", ["requests", "successes"],
-                                    F.to_date("bucket"))
+                                    ranked.time_bits(F.col("bucket")))
     total = F.col("requests_below") + F.col("requests")
     ok = F.col("successes_below") + F.col("successes")
     return rows.select("bucket", total.alias("total"), ok.alias("successful"),

@@ -109,17 +109,23 @@ def classification_metrics(df: DataFrame, label: str = "label",
     return df.groupBy(*keys).agg(*_confusion(label, prediction)).withColumns(_measures())
 
 
-def false_positive_rate(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
-    return (df.agg(*_confusion(label, prediction))
-            .select(F.try_divide(F.col("fp"), F.col("fp") + F.col("tn")).alias("fpr")))
+def false_positive_rate(df: DataFrame, label: str = "label", prediction: str = "prediction",
+                        keys: tuple[str, ...] = ()) -> DataFrame:
+    return (df.groupBy(*keys).agg(*_confusion(label, prediction))
+            .select(*keys, F.try_divide(F.col("fp"), F.col("fp") + F.col("tn")).alias("fpr")))
 
 
-def _by_score(df: DataFrame, label: str, score: str) -> DataFrame:
-    """Positives and negatives per distinct score, with the negatives below it and the totals."""
-    dist = (df.groupBy(F.col(score).alias("_score"))
-            .agg(F.count_if(F.col(label).cast("boolean")).alias("pos"),
-                 F.count_if(~F.col(label).cast("boolean")).alias("neg")))
-    return ranked.with_totals_below(dist, [], "_score", ["pos", "neg"], ranked.log_bin(F.col("_score")))
+def _by_score(df: DataFrame, label: str, score: str, keys: tuple[str, ...]) -> DataFrame:
+    """Positives and negatives per distinct score, with the negatives below it and the totals.
+
+    Rows without a score or a label are counted as ``lost``, in a row of their own without a score.
+    """
+    value, truth = F.col(score).cast("double"), F.col(label).cast("boolean")
+    usable = value.isNotNull() & ~F.isnan(value) & truth.isNotNull()
+    dist = (df.groupBy(*keys, F.when(usable, value).alias("_score"))
+            .agg(F.count_if(usable & truth).alias("pos"), F.count_if(usable & ~truth).alias("neg"),
+                 F.count_if(~usable).alias("lost")))
+    return ranked.with_totals_below(dist, list(keys), "_score", ["pos", "neg"], ranked.double_bits(F.col("_score")))
 
 
 def _auc() -> Column:
@@ -129,53 +135,57 @@ def _auc() -> Column:
     return F.try_divide(F.sum(twice.cast("decimal(38,0)")).cast("double"), base)
 
 
-def auc_roc(df: DataFrame, label: str = "label", score: str = "score") -> DataFrame:
-    """Area under the ROC curve, ties counted half.
+def auc_roc(df: DataFrame, label: str = "label", score: str = "score", keys: tuple[str, ...] = ()) -> DataFrame:
+    """Area under the ROC curve per key group, ties counted half, over the rows with a score and a label.
 
     Rows collapse to one per distinct score before anything is ordered.
     """
-    return _by_score(df, label, score).agg(_auc().alias("auc_roc"))
+    return _by_score(df, label, score, keys).groupBy(*keys).agg(_auc().alias("auc_roc"))
 
 
 def evaluate_model(df: DataFrame, label: str = "label", score: str = "score",
-                   threshold: float = 0.5) -> DataFrame:
-    """The five evaluation measures of a scored, labelled split, from one pass over it."""
+                   threshold: float = 0.5, keys: tuple[str, ...] = ()) -> DataFrame:
+    """The five evaluation measures of a scored, labelled split per key group, from one pass over it.
+
+    Rows without a score or a label take no part in any of them; ``unscored`` tells how many there are.
+    """
     said = F.col("_score") > F.lit(threshold)
 
     def total(which: str, prediction: Column) -> Column:
         return F.coalesce(F.sum(F.when(prediction, F.col(which))), F.lit(0))
 
-    counts = _by_score(df, label, score).agg(
+    counts = _by_score(df, label, score, keys).groupBy(*keys).agg(
         total("pos", said).alias("tp"), total("neg", said).alias("fp"),
-        total("neg", ~said).alias("tn"), total("pos", ~said).alias("fn"), _auc().alias("auc_roc"))
-    return counts.select(*[c.alias(n) for n, c in _measures().items()], "auc_roc")
+        total("neg", ~said).alias("tn"), total("pos", ~said).alias("fn"), _auc().alias("auc_roc"),
+        F.coalesce(F.sum("lost"), F.lit(0)).alias("unscored"))
+    return counts.select(*keys, *[c.alias(n) for n, c in _measures().items()], "auc_roc", "unscored")
 
 
 def drift_score(base: DataFrame, current: DataFrame, col: str, bounds: list[float],
-                limit: float = DRIFT_LIMIT) -> DataFrame:
-    """Population stability index of a column over fixed bins.
+                limit: float = DRIFT_LIMIT, keys: tuple[str, ...] = ()) -> DataFrame:
+    """Population stability index of a column over fixed bins, per key group.
 
-    Both sides are counted in one aggregation to at most ``len(bounds) + 1`` rows.
+    Both sides are counted in one aggregation to at most ``len(bounds) + 1`` rows per group.
     """
     slot = F.lit(len(bounds))
     for i, bound in reversed(list(enumerate(bounds))):
         slot = F.when(F.col(col) < F.lit(float(bound)), F.lit(i)).otherwise(slot)
 
     def side(df: DataFrame, is_base: bool) -> DataFrame:
-        return df.filter(F.col(col).isNotNull()).select(slot.alias("bin"), F.lit(is_base).alias("base"))
+        return df.filter(F.col(col).isNotNull()).select(*keys, slot.alias("bin"), F.lit(is_base).alias("base"))
 
-    counted = side(base, True).unionByName(side(current, False)).groupBy("bin").agg(
+    counted = side(base, True).unionByName(side(current, False)).groupBy(*keys, "bin").agg(
         F.count_if("base").alias("p"), F.count_if(~F.col("base")).alias("q"))
-    every_bin = Window.partitionBy()
+    every_bin = Window.partitionBy(*keys)
 
     def share(name: str) -> Column:
         part = F.try_divide(F.col(name), F.sum(name).over(every_bin))
         return F.greatest(F.coalesce(part, F.lit(0.0)), F.lit(PSI_EPSILON))
 
-    shares = counted.select(share("p").alias("p"), share("q").alias("q"))
+    shares = counted.select(*keys, share("p").alias("p"), share("q").alias("q"))
     term = (F.col("q") - F.col("p")) * F.ln(F.col("q") / F.col("p"))
-    return shares.agg(F.coalesce(F.sum(term), F.lit(0.0)).alias("psi")).select(
-        F.lit(col).alias("feature"), "psi", (F.col("psi") > F.lit(limit)).alias("drifted"))
+    return shares.groupBy(*keys).agg(F.coalesce(F.sum(term), F.lit(0.0)).alias("psi")).select(
+        *keys, F.lit(col).alias("feature"), "psi", (F.col("psi") > F.lit(limit)).alias("drifted"))
 
 
 # --- decisions from quality ------------------------------------------------

@@ -41,23 +41,29 @@ def resolve_champion(registry: DataFrame, alias: str = CHAMPION, stage: str = PR
             .select("model_name", "version", reason.alias("reason")))
 
 
+def _tagged(entries: str, kind: str) -> Column:
+    named = F.transform_keys(entries, lambda k, _: F.concat(F.lit(f"{kind}."), k))
+    return F.coalesce(named, F.create_map().cast("map<string,string>"))
+
+
 def register_version(registry: DataFrame, candidates: DataFrame) -> DataFrame:
     """Append candidates (model_name, run_id, params, metrics, source_path, ts) as next versions.
 
-    Candidates of one model are numbered by time, day by day, so that a model
-    with very many of them is not numbered by one task.
+    Candidates of one model are numbered by time, those without one first, inside cells of
+    time, so that a model with very many of them is not numbered by one task. Parameters
+    and metrics become tags named ``param.x`` and ``metric.x``.
     """
     known = registry.groupBy("model_name").agg(F.max(version_number()).alias("_max"))
     placed = ranked.with_totals_below(
         candidates.withColumns({"_one": F.lit(1), "_at": F.struct("ts", "run_id")}),
-        ["model_name"], "_at", ["_one"], F.to_date("ts"))
+        ["model_name"], "_at", ["_one"], ranked.time_bits(F.col("ts")))
     number = F.coalesce(F.col("_max"), F.lit(0)) + F.col("_one_below") + 1
     added = placed.join(known, "model_name", "left").select(
         "model_name", number.cast("string").alias("version"),
         F.lit(None).cast("string").alias("alias"), F.lit("None").alias("stage"), "run_id",
         F.col("ts").alias("creation_timestamp"), F.col("ts").alias("last_updated_timestamp"),
         F.col("source_path").alias("description"),
-        F.map_concat("params", "metrics").alias("tags"))
+        F.map_concat(_tagged("params", "param"), _tagged("metrics", "metric")).alias("tags"))
     return registry.select(*added.columns).unionByName(added)
 
 

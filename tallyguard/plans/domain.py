@@ -144,7 +144,7 @@ class Domain:
         """Alerts as rules give them: one evaluation a minute."""
         return self.events().selectExpr(
             "event_type as alertname", "concat('c_', user_id % 3) as cluster", "'scoring' as service",
-            "case when event_type = 'error' then 'critical' else 'warning' end as severity",
+            "case when event_type = 'error' or k >= 80 then 'critical' else 'warning' end as severity",
             "case event_type when 'click' then 'performance' when 'view' then 'infrastructure' "
             "else 'business' end as alert_type", "date_trunc('minute', ts) as ts", "ts as starts_at")
 
@@ -253,7 +253,7 @@ VIEWS = {
     "ready": _GAUGE.format(series="'node_' || (user_id % 3)", value="CASE WHEN k < 30 THEN 0 ELSE 1 END"),
     "restarts": _GAUGE.format(series="'pod_' || (user_id % 6)", value="k % 8"),
     "alerts": """SELECT event_type AS alertname, 'c_' || (user_id % 3) AS cluster, 'scoring' AS service,
-        CASE WHEN event_type = 'error' THEN 'critical' ELSE 'warning' END AS severity,
+        CASE WHEN event_type = 'error' OR k >= 80 THEN 'critical' ELSE 'warning' END AS severity,
         CASE event_type WHEN 'click' THEN 'performance' WHEN 'view' THEN 'infrastructure'
              ELSE 'business' END AS alert_type, date_trunc('minute', ts) AS ts, ts AS starts_at FROM ev""",
     "registry": """SELECT 'model_' || (p_partkey // 12) AS model_name, (p_partkey % 12 + 1)::VARCHAR AS version,

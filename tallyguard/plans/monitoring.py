@@ -413,16 +413,17 @@ def alert_grouping(d: Domain):
 
 
 _SENT_VIEWS = {
-    "routed": f"""SELECT alertname, cluster, service, ts, min(ts) OVER (PARTITION BY alertname, cluster, service
+    "routed": f"""SELECT *, min(ts) OVER (PARTITION BY alertname, cluster, service, receiver
         ORDER BY ts RANGE BETWEEN INTERVAL 1 SECOND * gap FOLLOWING AND UNBOUNDED FOLLOWING) AS nxt
-        FROM (SELECT DISTINCT alertname, cluster, service, ts, {_REPEAT} AS gap FROM alerts)""",
-    "sent": """SELECT alertname, cluster, service, min(ts) AS ts FROM routed GROUP BY ALL
-        UNION ALL SELECT r.alertname, r.cluster, r.service, r.nxt FROM sent s JOIN routed r
-        ON r.alertname = s.alertname AND r.cluster = s.cluster AND r.service = s.service AND r.ts = s.ts
-        WHERE r.nxt IS NOT NULL""",
+        FROM (SELECT DISTINCT alertname, cluster, service, {_RECEIVER} AS receiver, ts, {_REPEAT} AS gap FROM alerts)""",
+    "sent": """SELECT alertname, cluster, service, receiver, min(ts) AS ts FROM routed GROUP BY ALL
+        UNION ALL SELECT r.alertname, r.cluster, r.service, r.receiver, r.nxt FROM sent s JOIN routed r
+        ON r.alertname = s.alertname AND r.cluster = s.cluster AND r.service = s.service AND r.receiver = s.receiver
+        AND r.ts = s.ts WHERE r.nxt IS NOT NULL""",
 }
 
 
 @plan("alert_repeat_throttle", with_views("SELECT * FROM sent", "alerts", more=_SENT_VIEWS, recursive=True))
 def alert_repeat_throttle(d: Domain):
+    """Groups hold alerts of several severities, and so of several routes."""
     return alerts.alert_repeat_throttle(alerts.alert_routing(d.alert_rows()))

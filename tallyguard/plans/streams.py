@@ -9,8 +9,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tallyguard import schemas
 from tallyguard.operators import alerts, scoring
-from tallyguard.plans.domain import EVENTS, Domain, with_views
-from tallyguard.plans.monitoring import _SENT_VIEWS
+from tallyguard.plans.domain import EVENTS, HOLD, Domain, with_views
+from tallyguard.plans.monitoring import _SENT_VIEWS, _held_sql
 from tallyguard.plans.registry import plan
 from tallyguard.plans.transactions import _USERS
 from tallyguard.session import scratch_dir
@@ -18,7 +18,6 @@ from tallyguard.sources import kafka
 from tallyguard.streaming import aggregates, alert_state, scoring as stream
 
 HOUR = timedelta(hours=1)
-FOREVER = timedelta(days=3650)
 
 # A window is written once the watermark, ten minutes behind the newest event, has passed its end.
 CLOSED = "(SELECT max(ts) - INTERVAL '10 minutes' FROM ev)"
@@ -194,38 +193,37 @@ def stream_label_join(d: Domain):
     return _stateful(d, joined.select("transaction_id", "is_fraud_predicted", "label"))
 
 
-_STATES = """SELECT series, 'pending' AS state, start AS changed_at FROM runs
+_STATES = f"""SELECT series, 'pending' AS state, start AS changed_at FROM runs
     UNION ALL SELECT series, 'firing', fires FROM runs WHERE fires IS NOT NULL
-    UNION ALL SELECT series, 'resolved', ends FROM runs WHERE fires IS NOT NULL AND ends IS NOT NULL"""
+    UNION ALL SELECT series, CASE WHEN fires IS NULL THEN 'inactive' ELSE 'resolved' END, ends FROM runs
+    WHERE ends <= {CLOSED}"""
 _STATE_VIEWS = {
-    "flags": f"""SELECT 'pod_' || (user_id % 6) AS series, date_trunc('minute', ts) + INTERVAL '1 minute' AS ts,
-        arg_max(k > 30, ev.ts) AS active FROM ev
-        WHERE date_trunc('minute', ev.ts) + INTERVAL '1 minute' <= {CLOSED} GROUP BY 1, 2""",
-    "islands": """SELECT *, sum(CASE WHEN active THEN 0 ELSE 1 END) OVER (PARTITION BY series ORDER BY ts) AS island
-        FROM flags""",
-    "starts": """SELECT *, min(ts) FILTER (WHERE active) OVER (PARTITION BY series, island) AS start FROM islands""",
-    "runs": """SELECT s.series, s.start, min(s.ts) FILTER (WHERE s.ts >= s.start + INTERVAL '1 hour') AS fires,
-        min(e.ts) AS ends FROM starts s LEFT JOIN islands e
-        ON e.series = s.series AND e.island = s.island + 1 AND NOT e.active
-        WHERE s.active GROUP BY s.series, s.island, s.start""",
+    "flags": f"""SELECT 'pod_' || (user_id % 6) AS series, time_bucket(INTERVAL '1 hour', ev.ts) + INTERVAL '1 hour' AS ts,
+        max((ev.ts, k > 30))[2] AS active FROM ev GROUP BY 1, 2
+        HAVING time_bucket(INTERVAL '1 hour', ev.ts) + INTERVAL '1 hour' <= {CLOSED}""",
+    "held": _held_sql("flags"),
+    "runs": """SELECT series, pending_since AS start, min(ts) FILTER (WHERE ts >= pending_since + INTERVAL '2 hours') AS fires,
+        max(ts) + INTERVAL '1 hour' AS ends FROM held WHERE active GROUP BY series, pending_since""",
 }
 
 
 @plan("stream_alert_state", with_views(_STATES, "ev", more=_STATE_VIEWS))
 def stream_alert_state(d: Domain):
-    """The newest sample of every pod and minute, held for an hour."""
+    """The newest sample of every pod and hour, held for two; hours without a sample break the hold."""
     flags = d.event_stream().selectExpr("concat('pod_', user_id % 6) as series", "ts", "k > 30 as active")
-    return _stateful(d, alert_state.stream_alert_state(flags, HOUR, silence=FOREVER))
+    return _stateful(d, alert_state.stream_alert_state(flags, HOLD, HOUR))
 
 
 @plan("stream_alert_throttle", with_views(
-    f"""SELECT concat_ws('/', alertname, cluster, service) AS group_key, ts FROM sent
+    f"""SELECT concat_ws('/', alertname, cluster, service, receiver) AS group_key, ts FROM sent
     WHERE ts + INTERVAL '1 minute' <= {CLOSED}""", "alerts", more=_SENT_VIEWS, recursive=True))
 def stream_alert_throttle(d: Domain):
+    """As the batch plan: a route is a group of its own."""
     rows = d.event_stream().selectExpr(
-        "concat_ws('/', event_type, concat('c_', user_id % 3), 'scoring') as group_key", "ts",
-        "case when event_type = 'error' then 'critical' else 'warning' end as severity",
+        "event_type", "user_id", "ts",
+        "case when event_type = 'error' or k >= 80 then 'critical' else 'warning' end as severity",
         "case event_type when 'click' then 'performance' when 'view' then 'infrastructure' "
         "else 'business' end as alert_type")
-    routed = alerts.alert_routing(rows).select("group_key", "ts", "repeat_interval")
+    group = F.expr("concat_ws('/', event_type, concat('c_', user_id % 3), 'scoring', receiver)").alias("group_key")
+    routed = alerts.alert_routing(rows).select(group, "ts", "repeat_interval")
     return _stateful(d, alert_state.stream_alert_throttle(routed))

@@ -36,47 +36,57 @@ def _ordered(rows: Iterator[pd.DataFrame]) -> pd.DataFrame:
 class HoldProcessor(StatefulProcessor):
     """inactive -> pending -> firing -> resolved, from evaluations (series, at, active).
 
-    A silent series is dropped by an event-time timer after ``silence``: an alert
-    that was firing resolves, and its state goes.
+    As in batch, an inactive evaluation or none for longer than ``step`` breaks the
+    hold: what was firing resolves, what was pending is inactive again, both one step
+    after the last active evaluation. Only series that are pending or firing have state, and an
+    event-time timer breaks the hold of one that falls silent.
     """
 
-    def __init__(self, hold_us: int, silence_us: int):
-        self.hold_us, self.silence_us = hold_us, silence_us
+    def __init__(self, hold_us: int, step_us: int):
+        self.hold_us, self.step_us = hold_us, step_us
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.run = handle.getValueState("run", "state string, since long, timer long")
+        self.run = handle.getValueState("run", "state string, since long, last long")
 
     def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        state, since, timer = self.run.get() if self.run.exists() else (INACTIVE, 0, 0)
+        kept = self.run.exists()
+        state, since, last = self.run.get() if kept else (INACTIVE, 0, 0)
+        if kept:
+            self.handle.deleteTimer(self._timer(last))
         changes = []
         frame = _ordered(rows)
         for at, active in zip(_micros(frame["at"]), frame["active"].tolist()):
-            before = state
+            if state != INACTIVE and (not active or at - last > self.step_us):
+                changes.append(self._broken(state, last))
+                state = INACTIVE
             if active:
-                if state in (INACTIVE, RESOLVED):
+                if state == INACTIVE:
                     state, since = PENDING, at
+                    changes.append((PENDING, at))
                 if state == PENDING and at - since >= self.hold_us:
-                    if before != PENDING:
-                        changes.append((PENDING, at))
                     state = FIRING
-            else:
-                state = RESOLVED if state == FIRING else INACTIVE
-            if state != before and state != INACTIVE:
-                changes.append((state, at))
-        if timer:
-            self.handle.deleteTimer(timer)
-        timer = (at + self.silence_us) // 1000
-        self.handle.registerTimer(timer)
-        self.run.update((state, since, timer))
+                    changes.append((FIRING, at))
+                last = at
+        if state != INACTIVE:
+            self.handle.registerTimer(self._timer(last))
+            self.run.update((state, since, last))
+        elif kept:
+            self.run.clear()
         if changes:
             yield self._frame(key, changes)
 
     def handleExpiredTimer(self, key: Any, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        state, _, timer = self.run.get()
-        self.run.clear()
-        if state == FIRING:
-            yield self._frame(key, [(RESOLVED, timer * 1000)])
+        if self.run.exists():
+            state, _, last = self.run.get()
+            self.run.clear()
+            yield self._frame(key, [self._broken(state, last)])
+
+    def _timer(self, last: int) -> int:
+        return (last + self.step_us) // 1000
+
+    def _broken(self, state: str, last: int) -> tuple[str, int]:
+        return (RESOLVED if state == FIRING else INACTIVE), last + self.step_us
 
     def close(self) -> None:
         pass
@@ -133,11 +143,15 @@ def stream_evaluations(df: DataFrame, key: str, at: str, step: timedelta, delay:
 
 
 def stream_alert_state(samples: DataFrame, hold: timedelta, step: timedelta = timedelta(minutes=1),
-                       silence: timedelta = timedelta(hours=1), delay: timedelta = WATERMARK) -> DataFrame:
-    """State changes (series, state, changed_at) of (series, ts, active), by the newest sample of a step."""
-    flags = stream_evaluations(samples, "series", "end", step, delay, active=F.max_by("active", "ts"))
+                       delay: timedelta = WATERMARK) -> DataFrame:
+    """State changes (series, state, changed_at) of (series, ts, active), by the newest sample of a step.
+
+    Of samples of one time an active one counts.
+    """
+    newest = F.max(F.struct("ts", "active"))["active"]
+    flags = stream_evaluations(samples, "series", "end", step, delay, active=newest)
     return flags.groupBy("series").transformWithStateInPandas(
-        HoldProcessor(intervals.micros(hold), intervals.micros(silence)),
+        HoldProcessor(intervals.micros(hold), intervals.micros(step)),
         "series string, state string, changed_at timestamp", "Append", "EventTime")
 
 

@@ -84,28 +84,42 @@ def test_alert_states_survive_restart(spark, tmp_path, rocksdb):
     rows.append(("later", T0 + 50 * MIN, False))
     for i, part in enumerate((rows[:5], rows[5:])):  # the run that fires crosses the restart
         write(spark, part, FLAGS, tmp_path / "in", f"f{i}")
-        df = alert_state.stream_alert_state(source(spark, tmp_path, FLAGS), 2 * MIN, silence=timedelta(days=9), delay=MIN)
+        df = alert_state.stream_alert_state(source(spark, tmp_path, FLAGS), 2 * MIN, delay=MIN)
         path = run(df, tmp_path)
     got = sorted(((r.changed_at - T0) // MIN - 1, r.state) for r in spark.read.parquet(path).collect())
-    assert got == [(0, "pending"), (3, "pending"), (5, "firing"), (7, "resolved"), (8, "pending")]
+    assert got == [(0, "pending"), (2, "inactive"), (3, "pending"), (5, "firing"), (7, "resolved"), (8, "pending"),
+                   (9, "inactive")]
 
 
 def test_newest_sample_of_a_step_decides(spark, tmp_path, rocksdb):
     sec = timedelta(seconds=1)
     rows = [("s", T0 + 5 * sec, True), ("s", T0 + 50 * sec, False), ("s", T0 + 70 * sec, True), ("s", T0 + 300 * MIN, False)]
     write(spark, rows, FLAGS, tmp_path / "in", "a")
-    df = alert_state.stream_alert_state(source(spark, tmp_path, FLAGS), 2 * MIN, silence=timedelta(days=9))
+    df = alert_state.stream_alert_state(source(spark, tmp_path, FLAGS), 2 * MIN)
     got = [((r.changed_at - T0) // MIN, r.state) for r in spark.read.parquet(run(df, tmp_path)).collect()]
-    assert got == [(2, "pending")]
+    assert sorted(got) == [(2, "pending"), (3, "inactive")]
+
+
+def test_missing_evaluations_break_the_hold_as_in_batch(spark, tmp_path, rocksdb):
+    at = [0, 39, 40, 41, 42, 60, 61, 62, 63]
+    rows = [("s", T0 + i * MIN, True) for i in at]
+    for i, part in enumerate((rows[:3], rows[3:], [("other", T0 + 300 * MIN, False)])):
+        write(spark, part, FLAGS, tmp_path / "in", f"f{i}")
+        path = run(alert_state.stream_alert_state(source(spark, tmp_path, FLAGS), 3 * MIN, delay=MIN), tmp_path)
+    got = sorted(((r.changed_at - T0) // MIN - 1, r.state) for r in spark.read.parquet(path).collect())
+    assert got == [(0, "pending"), (1, "inactive"), (39, "pending"), (42, "firing"), (43, "resolved"), (60, "pending"),
+                   (63, "firing"), (64, "resolved")]
+    held = alerts.alert_for_duration(spark.createDataFrame(rows, FLAGS), 3 * MIN, MIN).filter("firing").collect()
+    assert sorted((r.ts - T0) // MIN for r in held) == [42, 63]
 
 
 def test_silent_series_resolves(spark, tmp_path, rocksdb):
     write(spark, [("s", T0 + i * MIN, True) for i in range(4)], FLAGS, tmp_path / "in", "a")
     write(spark, [("other", T0 + 300 * MIN, False)], FLAGS, tmp_path / "in", "b")
     write(spark, [("other", T0 + 600 * MIN, False)], FLAGS, tmp_path / "in", "c")
-    df = alert_state.stream_alert_state(source(spark, tmp_path, FLAGS), 2 * MIN, silence=60 * MIN)
+    df = alert_state.stream_alert_state(source(spark, tmp_path, FLAGS), 2 * MIN)
     got = sorted(((r.changed_at - T0) // MIN, r.state) for r in spark.read.parquet(run(df, tmp_path)).collect())
-    assert got == [(1, "pending"), (3, "firing"), (64, "resolved")]
+    assert got == [(1, "pending"), (3, "firing"), (5, "resolved")]
 
 
 def test_throttle_as_in_batch_across_restart(spark, tmp_path, rocksdb):
