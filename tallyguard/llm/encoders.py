@@ -13,7 +13,7 @@ import struct
 
 from tokenizers import Tokenizer
 
-LIMIT = 1_000_000  # chunks kept by one worker, about 200 MB; later ones are cut anew each time
+LIMIT = 300_000  # chunks kept by one worker, about 70 MB: the first seen, and so the common ones; others are cut anew
 _SPACE = re.compile(r" (?=\S)")
 _OPEN: dict[str, "Encoder"] = {}
 

@@ -23,7 +23,7 @@ DIM = 4
 SHORT, LONG = 3, 6  # n-gram lengths
 SEEN_IN = 3         # texts of the sample that a word must occur in to be trained on
 LONGEST = 40        # characters of a word that n-grams are taken from; the whole word is a feature too
-CACHE = 600_000
+CACHE = 200_000      # words whose logits a worker keeps from text to text, the first seen
 
 
 def words_of(text: str) -> list[str]:
@@ -124,7 +124,8 @@ class Model:
         words = [words_of(t) or [""] for t in texts]
         numbers = self._numbers
         if len(numbers) > CACHE:
-            numbers.clear()
+            for w in list(numbers)[CACHE // 2:]:
+                del numbers[w]
         new = list({w for ws in words for w in ws if w not in numbers})
         if new:
             first = len(numbers)

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from tallyguard.llm.common import whole_text
 
-LIMIT = 1_000_000  # words whose counts a worker keeps
+LIMIT = 300_000  # words whose counts a worker keeps, about 50 MB: the first seen, and so the common ones
 _OPEN: dict[tuple, "Automaton"] = {}
 
 
