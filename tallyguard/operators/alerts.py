@@ -153,6 +153,23 @@ def union_rules(flags: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, flags)
 
 
+def firing_evaluations(flags: DataFrame, step: timedelta) -> DataFrame:
+    """Every firing evaluation (alertname, severity, alert_type, series, ts, value) of stacked flags."""
+    return alert_for_duration(flags, "hold", step, ("alertname", "series")).filter("firing").select(
+        "alertname", "severity", "alert_type", "series", "ts", "value")
+
+
+def notifications(flags: DataFrame, step: timedelta, labels: dict[str, Column],
+                  segment: timedelta = 7 * DAY) -> DataFrame:
+    """The whole chain: held flags of all rules, routed, grouped and throttled to what is sent.
+
+    ``labels`` are the cluster and service of a firing series. A row is one notification of a
+    group (alertname, cluster, service, receiver) at ``ts``.
+    """
+    firing = firing_evaluations(flags, step).withColumns(labels)
+    return alert_repeat_throttle(alert_routing(firing), SENT_KEYS, segment=segment)
+
+
 # Every rule comes as flags, to be stacked, and as ``alert_*``, its own evaluation.
 
 def flags_highload(cpu: DataFrame, up_counts: DataFrame, rule: Rule = HIGH_LOAD,
@@ -167,6 +184,29 @@ def flags_on_latest(samples: DataFrame, step: timedelta, rule: Rule,
     return threshold_flags(timeseries.latest_sample(samples, step, lookback), rule)
 
 
+def flags_on_samples(samples: DataFrame, step: timedelta, rules: dict[str, Rule],
+                     lookback: timedelta = timeseries.FIVE_MINUTES) -> DataFrame:
+    """Rules on the newest values of the gauges of one table (name, series, ts, value), by gauge name, in one pass.
+
+    A name has one rule; samples of other names take no part.
+    """
+    newest = timeseries.latest_sample(samples.filter(F.col("name").isin(list(rules))), step, lookback, ("name", "series"))
+
+    def by_name(of) -> Column:
+        out = F.lit(None)
+        for name, rule in rules.items():
+            out = F.when(F.col("name") == name, of(rule)).otherwise(out)
+        return out
+
+    value = F.col("value").cast("double")
+    tests = {">": value.__gt__, ">=": value.__ge__, "<": value.__lt__, "==": value.__eq__}
+    return newest.select(
+        by_name(lambda r: F.lit(r.alertname)).alias("alertname"), by_name(lambda r: F.lit(r.severity)).alias("severity"),
+        by_name(lambda r: F.lit(r.alert_type)).alias("alert_type"), F.col("series").cast("string").alias("series"),
+        F.col("step").alias("ts"), by_name(lambda r: tests[r.op](F.lit(r.threshold))).alias("active"),
+        value.alias("value"), by_name(lambda r: intervals.literal(r.hold)).alias("hold"))
+
+
 def flags_high_memory(used: DataFrame, limits: DataFrame, step: timedelta,
                       lookback: timedelta = timeseries.FIVE_MINUTES, rule: Rule = HIGH_MEMORY) -> DataFrame:
     return threshold_flags(timeseries.pod_memory_percent(used, limits, step, lookback), rule)

@@ -15,7 +15,6 @@ DEFAULT_BOUNDS = (0.005, 0.01, 0.025, 0.05, 0.075, 0.1, 0.25, 0.5, 0.75,
                   1.0, 2.5, 5.0, 7.5, 10.0, float("inf"))
 
 # Possible outcomes of a request.
-OUTCOMES = ("success", "failed", "timeout", "error", "exception")
 
 
 def latency_summary(df: DataFrame) -> DataFrame:

@@ -18,13 +18,6 @@ ACCURACY_FLOOR = 0.85
 LATENCY_CEILING_MS = 300.0
 GATE = {"functional": 90.0, "avg_ms": 1000.0, "success": 95.0, "tests": 70.0}
 
-NEXT_STEPS = (
-    "monitor production performance",
-    "set alerts on critical metrics",
-    "evaluate model quality regularly",
-    "plan retraining when drift > 0.1",
-)
-
 
 # --- runs -----------------------------------------------------------------
 
@@ -45,17 +38,17 @@ def run_report_join(runs: DataFrame, perf: DataFrame, quality: DataFrame, cluste
 
 
 def _recommendations(perf: str, quality: str) -> Column:
-    """Advice from part structs; within a part, a missing number counts as 0."""
+    """The limits that a run breaks, from part structs; within a part, a missing number counts as 0."""
     def number(part: str, name: str) -> Column:
         return F.coalesce(F.col(f"{part}.{name}").cast("double"), F.lit(0.0))
 
     has_perf, has_quality = F.col(perf).isNotNull(), F.col(quality).isNotNull()
     return texts.reasons({
-        "improve throughput: efficiency below 90%":
+        f"throughput_efficiency < {EFFICIENCY_FLOOR:g}":
             has_perf & (number(perf, "throughput_efficiency") < F.lit(EFFICIENCY_FLOOR)),
-        "consider retraining: accuracy below 85%":
+        f"accuracy < {ACCURACY_FLOOR:g}":
             has_quality & (number(quality, "accuracy") < F.lit(ACCURACY_FLOOR)),
-        "improve latency: average above 300 ms":
+        f"avg_processing_latency_ms > {LATENCY_CEILING_MS:g}":
             has_perf & (number(perf, "avg_processing_latency_ms") > F.lit(LATENCY_CEILING_MS)),
     })
 
@@ -65,12 +58,14 @@ def run_recommendations(joined: DataFrame) -> DataFrame:
         "performance_metrics", "model_quality_metrics").alias("recommendations"))
 
 
-def run_report(runs: DataFrame, perf: DataFrame, quality: DataFrame, cluster: DataFrame) -> DataFrame:
+def run_report(runs: DataFrame, perf: DataFrame, quality: DataFrame, cluster: DataFrame,
+               next_steps: tuple[str, ...] = ()) -> DataFrame:
+    """The joined run with its status, the limits it breaks, and the caller's next steps."""
     joined = run_report_join(runs, perf, quality, cluster)
     return joined.withColumns({
         "pipeline_status": F.lit("completed"),
         "recommendations": _recommendations("performance_metrics", "model_quality_metrics"),
-        "next_steps": F.array(*[F.lit(s) for s in NEXT_STEPS])})
+        "next_steps": F.array(*[F.lit(s) for s in next_steps]).cast("array<string>")})
 
 
 def training_report(runs: DataFrame, evaluation: DataFrame, promotion: DataFrame) -> DataFrame:

@@ -90,14 +90,13 @@ def amortized_latency(df: DataFrame, key: str = "request_id", total: str = "tota
 def prediction_response(df: DataFrame, champions: DataFrame, model_name: str) -> DataFrame:
     """Final rows of a scored batch, carrying the resolved version of one model.
 
-    ``champions`` holds one row per model, so the filtered side is one row at most
-    and its broadcast cannot grow. An unknown model leaves a null version.
+    The version is a scalar: a model without one, or with more than one champion, is an
+    error as soon as a row is answered.
     """
-    champion = F.broadcast(champions.filter(F.col("model_name") == model_name)
-                           .select("model_name", F.col("version").alias("model_version")))
-    return (df.withColumn("model_name", F.lit(model_name))
-            .join(champion, "model_name", "left")
-            .withColumn("prediction_timestamp", F.current_timestamp()))
+    version = champions.filter(F.col("model_name") == model_name).select(F.col("version").cast("string")).scalar()
+    unresolved = F.raise_error(F.lit(f"no usable version of model {model_name}")).cast("string")
+    return df.withColumns({"model_name": F.lit(model_name), "model_version": F.coalesce(version, unresolved),
+                           "prediction_timestamp": F.current_timestamp()})
 
 
 def batch_response(df: DataFrame, total_ms: str = "total_ms") -> DataFrame:
@@ -159,7 +158,7 @@ def score_python_model(df: DataFrame, loader: Callable[[], object]) -> DataFrame
     """Score feature rows with any Python model having ``predict`` and perhaps ``predict_proba``.
 
     The model is loaded once per task and sees whole Arrow batches; a model
-    without probabilities answers with its label.
+    without probabilities, or whose probabilities fail, answers with its label.
     """
     inputs = [c for c in fx.FEATURES if c in df.columns]
     schema = T.StructType(df.schema.fields + [
@@ -171,9 +170,9 @@ def score_python_model(df: DataFrame, loader: Callable[[], object]) -> DataFrame
         model = loader()
         for batch in batches:
             labels = model.predict(batch[inputs])
-            if hasattr(model, "predict_proba"):
+            try:
                 probability = model.predict_proba(batch[inputs])[:, 1]
-            else:
+            except Exception:  # noqa: BLE001 - whatever the model raises, its label still stands
                 probability = labels.astype(float)
             yield batch.assign(is_fraud=labels.astype(bool), fraud_probability=probability)
 

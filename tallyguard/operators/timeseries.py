@@ -84,12 +84,12 @@ def counter_rate(samples: DataFrame, step: timedelta, window: timedelta = FIVE_M
 
     rows = samples.select(*keys, F.col(ts).alias("_ts"), F.col(value).alias("_v"),
                           intervals.pane(F.col(ts), step).alias("_pane"))
-    in_pane = Window.partitionBy(*keys, "_pane").orderBy("_ts")
+    in_pane = Window.partitionBy(*keys, "_pane").orderBy("_ts", "_v")
     panes = (rows.withColumn("_rise", rise(F.col("_v"), F.lag("_v").over(in_pane)))
              .groupBy(*keys, "_pane")
              .agg(F.coalesce(F.sum("_rise"), F.lit(0)).alias("_inside"),
                   F.min("_ts").alias("_from"), F.max("_ts").alias("_to"),
-                  F.min_by("_v", "_ts").alias("_open"), F.max_by("_v", "_ts").alias("_close")))
+                  F.min(F.struct("_ts", "_v"))["_v"].alias("_open"), F.max(F.struct("_ts", "_v"))["_v"].alias("_close")))
     by_pane = Window.partitionBy(*keys).orderBy("_pane")
     panes = panes.withColumn(
         "_across", F.coalesce(rise(F.col("_open"), F.lag("_close").over(by_pane)), F.lit(0)))
@@ -104,10 +104,10 @@ def counter_rate(samples: DataFrame, step: timedelta, window: timedelta = FIVE_M
 
 def latest_sample(samples: DataFrame, step: timedelta, lookback: timedelta = FIVE_MINUTES,
                   keys: tuple[str, ...] = ("series",), ts: str = "ts", value: str = "value") -> DataFrame:
-    """The newest value of each series at every step, at most ``lookback`` old."""
+    """The newest value of each series at every step, at most ``lookback`` old; of one time, the largest."""
     _check(lookback, step)
     panes = (samples.groupBy(*keys, intervals.pane(F.col(ts), step).alias("_pane"))
-             .agg(F.max_by(value, ts).alias("value")))
+             .agg(F.max(F.struct(F.col(ts).alias("t"), F.col(value).alias("v")))["v"].alias("value")))
     at_steps = panes.select(*keys, "_pane", "value", _covering_steps(lookback, step).alias("step"))
     if lookback == step:
         return at_steps.drop("_pane")
@@ -140,6 +140,12 @@ def instances_up(up: DataFrame) -> DataFrame:
                                   F.count_if(F.col("value") != 1).alias("down_count"))
 
 
+def rate_per_instance(rates: DataFrame, up_counts: DataFrame) -> DataFrame:
+    """(step, value): the rate of all requests over the instances up at the same step; none up gives no row."""
+    both = rates.join(up_counts.select("step", "up_count"), "step")
+    return both.filter("up_count > 0").select("step", (F.col("rate") / F.col("up_count")).alias("value"))
+
+
 def instances_down(up: DataFrame) -> DataFrame:
     """The down list, one row per (step, series)."""
     return up.filter(F.col("value") != 1).select("step", "series")

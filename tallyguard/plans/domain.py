@@ -140,6 +140,14 @@ class Domain:
     def restarts(self) -> DataFrame:
         return self.gauge("k % 8")
 
+    def gauges(self) -> DataFrame:
+        """All gauges as one table of samples, named as their views."""
+        return self.events().selectExpr("ts", """inline(array(
+            named_struct('name', 'replicas', 'series', concat('deployment_', user_id % 2), 'value', 4 + k % 4),
+            named_struct('name', 'up', 'series', concat('pod_', user_id % 6), 'value', case when k < 5 then 0 else 1 end),
+            named_struct('name', 'ready', 'series', concat('node_', user_id % 3), 'value', case when k < 30 then 0 else 1 end),
+            named_struct('name', 'restarts', 'series', concat('pod_', user_id % 6), 'value', k % 8)))""")
+
     def alert_rows(self) -> DataFrame:
         """Alerts as rules give them: one evaluation a minute."""
         return self.events().selectExpr(

@@ -223,28 +223,32 @@ _BUCKETS = f"""SELECT series, {AT} AS step, le, count(*) FILTER (WHERE seconds <
     FROM log, {COVER}, {_BOUND_ROWS} GROUP BY ALL"""
 
 
-@plan("scaling_signals", with_views("""
+# Fixed limits, but for requests: the test tables hold a few of them an hour.
+_SCALE = {**timeseries.SCALE_LIMITS, "rps_per_pod": 0.0008}
+
+
+@plan("scaling_signals", with_views(f"""
     SELECT step, bool_or(s = 'cpu' AND value > 70) AS cpu_high, bool_or(s = 'mem' AND value > 80) AS memory_high,
-        bool_or(s = 'rps' AND value > 50) AS rps_per_pod_high, bool_or(s = 'p95' AND value > 500) AS p95_ms_high,
-        bool_or(CASE s WHEN 'cpu' THEN value > 70 WHEN 'mem' THEN value > 80 WHEN 'rps' THEN value > 50
-                ELSE value > 500 END) AS scale_up
+        bool_or(s = 'rps' AND value > {_SCALE['rps_per_pod']}::DOUBLE) AS rps_per_pod_high,
+        bool_or(s = 'p95' AND value > 500) AS p95_ms_high,
+        cpu_high OR memory_high OR rps_per_pod_high OR p95_ms_high AS scale_up
     FROM (SELECT 'cpu' AS s, step, avg(value) AS value FROM cpu_pct GROUP BY step
           UNION ALL SELECT 'mem', step, avg(value) FROM memory_pct GROUP BY step
-          UNION ALL SELECT 'rps', step, sum(rate) FROM requests GROUP BY step
-          UNION ALL SELECT 'p95', step, max(value) * 1000 FROM p95 GROUP BY step) GROUP BY step""",
-    "cpu", "memory", "log", more={
-        "cpu_pct": _CPU, "memory_pct": _MEMORY, "buckets": _BUCKETS, "p95": _P95,
-        "requests": f"SELECT {AT} AS step, count(*) * 1::DOUBLE AS rate FROM log, {COVER} GROUP BY 1"}))
+          UNION ALL SELECT 'rps', step, rate / up_count FROM requests JOIN up_counts USING (step) WHERE up_count > 0
+          UNION ALL SELECT 'p95', step, avg(value) * 1000 FROM p95 GROUP BY step) GROUP BY step""",
+    "cpu", "memory", "log", "up", more={
+        "cpu_pct": _CPU, "memory_pct": _MEMORY, "buckets": _BUCKETS, "p95": _P95, "up_counts": _UP,
+        "requests": f"SELECT {AT} AS step, count(*) / 10800::DOUBLE AS rate FROM log, {COVER} GROUP BY 1"}))
 def scaling_signals(d: Domain):
-    """Hourly signals; the request signal counts requests per window."""
-    def mean(df):
-        return df.groupBy("step").agg(F.avg("value").alias("value"))
+    """Hourly means over the pods; the request rate is that of all pods over the pods that are up."""
+    def mean(df, scale: float = 1.0):
+        return df.groupBy("step").agg((F.avg("value") * scale).alias("value"))
     log = d.request_log()
-    p95 = alerts.latency_quantile_over_time(log, STEP, WINDOW, 0.95)
+    rates = timeseries.request_rate(log, STEP, WINDOW)
     return timeseries.scaling_signals(
         mean(_cpu(d)), mean(timeseries.pod_memory_percent(d.memory_used(), d.memory_limit(), STEP, WINDOW)),
-        timeseries.trailing(log, {"value": F.count("*")}, WINDOW, STEP),
-        p95.groupBy("step").agg((F.max("value") * 1000).alias("value")))
+        timeseries.rate_per_instance(rates, _up_counts(d)),
+        mean(alerts.latency_quantile_over_time(log, STEP, WINDOW, 0.95), 1000.0), _SCALE)
 
 
 @plan("readiness_rollup", with_views("""
@@ -301,19 +305,28 @@ def _rule_sql(rule: alerts.Rule, flags: str = "flags") -> str:
         GROUP BY series, pending_since"""
 
 
-RULES = {}
+def _firing_sql(rule: alerts.Rule, flags: str) -> str:
+    return f"""SELECT '{rule.alertname}' AS alertname, '{rule.severity}' AS severity, '{rule.alert_type}' AS alert_type,
+            series, ts FROM ({_held_sql(flags)}) WHERE active AND ts >= pending_since + INTERVAL '2 hours'"""
+
+
+RULES = {}  # by plan: the rule, its flags in SQL, the views they read, and their builder
+_GAUGES = {}  # by the gauge's name: the rule on its newest value
 
 
-def _rule(name: str, rule: alerts.Rule, flags_sql: str, views: tuple[str, ...], more: dict[str, str] | None = None):
+def _rule(name: str, rule: alerts.Rule, flags_sql: str, views: tuple[str, ...], more: dict[str, str] | None = None,
+          gauge: str | None = None):
     """Register one rule with the hold of the sparse test series."""
     tuned = rule.tuned(hold=HOLD)
     sql = with_views(_rule_sql(tuned), *views, more={**(more or {}), "flags": flags_sql})
 
     def register(build):
         def run(d: Domain):
-            return _rounded(build(d, tuned), "value")
+            return _rounded(alerts.evaluate_rules(build(d, tuned), STEP), "value")
         run.__doc__ = f"{rule.alertname} on the test series, held for two hours."
-        RULES[name] = (_rule_sql(tuned, f"{name}_flags"), flags_sql)
+        RULES[name] = (tuned, flags_sql, views, more or {}, build)
+        if gauge:
+            _GAUGES[gauge] = tuned
         return plan(name, sql)(run)
     return register
 
@@ -322,72 +335,65 @@ def _vector_flags(sql: str, predicate: str) -> str:
     return f"SELECT series, step AS ts, {predicate} AS active, value FROM ({sql})"
 
 
+def _on_gauge(name: str, rule: alerts.Rule, view: str, predicate: str, samples):
+    build = _rule(name, rule, _vector_flags(_latest_sql(view), predicate), (view,), gauge=view)
+    return build(lambda d, tuned: alerts.flags_on_latest(samples(d), STEP, tuned, WINDOW))
+
+
 @_rule("alert_highload", alerts.HIGH_LOAD.tuned(threshold=40.0),
        "SELECT series, step AS ts, cpu > 40 AND instances >= 6 AS active, cpu AS value FROM load", ("cpu", "up"),
        _LOAD_VIEWS)
 def alert_highload(d: Domain, rule):
-    return alerts.alert_highload(_cpu(d), _up_counts(d), STEP, rule)
+    return alerts.flags_highload(_cpu(d), _up_counts(d), rule)
 
 
-@_rule("alert_max_replicas", alerts.MAX_REPLICAS, _vector_flags(_latest_sql("replicas"), "value >= 6"), ("replicas",))
-def alert_max_replicas(d: Domain, rule):
-    return alerts.alert_max_replicas(d.replicas(), STEP, WINDOW, rule)
+alert_max_replicas = _on_gauge("alert_max_replicas", alerts.MAX_REPLICAS, "replicas", "value >= 6", Domain.replicas)
+alert_service_down = _on_gauge("alert_service_down", alerts.SERVICE_DOWN, "up", "value = 0", Domain.up)
+alert_node_not_ready = _on_gauge("alert_node_not_ready", alerts.NODE_NOT_READY, "ready", "value = 0", Domain.node_ready)
+alert_crash_loop = _on_gauge("alert_crash_loop", alerts.CRASH_LOOP, "restarts", "value > 5", Domain.restarts)
 
 
 @_rule("alert_high_memory", alerts.HIGH_MEMORY.tuned(threshold=50.0), _vector_flags(_MEMORY, "value > 50"), ("memory",))
 def alert_high_memory(d: Domain, rule):
-    return alerts.alert_high_memory(d.memory_used(), d.memory_limit(), STEP, WINDOW, rule)
+    return alerts.flags_high_memory(d.memory_used(), d.memory_limit(), STEP, WINDOW, rule)
 
 
-@_rule("alert_high_latency", alerts.HIGH_LATENCY, _vector_flags(f"SELECT * FROM p95", "value > 0.5"), ("log",),
+@_rule("alert_high_latency", alerts.HIGH_LATENCY, _vector_flags("SELECT * FROM p95", "value > 0.5"), ("log",),
        {"buckets": _BUCKETS, "p95": _P95})
 def alert_high_latency(d: Domain, rule):
-    return alerts.alert_high_latency(d.request_log(), STEP, WINDOW, rule)
+    return alerts.flags_high_latency(d.request_log(), STEP, WINDOW, rule)
 
 
 @_rule("alert_high_error_rate", alerts.HIGH_ERROR_RATE, _vector_flags(f"""
     SELECT series, {AT} AS step, 100::DOUBLE * count(*) FILTER (WHERE is_error) / count(*) AS value
     FROM log, {COVER} GROUP BY ALL""", "value > 5"), ("log",))
 def alert_high_error_rate(d: Domain, rule):
-    return alerts.alert_high_error_rate(d.request_log(), STEP, WINDOW, rule)
-
-
-@_rule("alert_service_down", alerts.SERVICE_DOWN, _vector_flags(_latest_sql("up"), "value = 0"), ("up",))
-def alert_service_down(d: Domain, rule):
-    return alerts.alert_service_down(d.up(), STEP, WINDOW, rule)
+    return alerts.flags_high_error_rate(d.request_log(), STEP, WINDOW, rule)
 
 
 @_rule("alert_low_prediction_rate", alerts.LOW_PREDICTION_RATE.tuned(threshold=0.001), _vector_flags(f"""
     SELECT series, {AT} AS step, count(*) / 10800::DOUBLE AS value FROM log, {COVER} GROUP BY ALL""",
        "value < 0.001::DOUBLE"), ("log",))
 def alert_low_prediction_rate(d: Domain, rule):
-    return alerts.alert_low_prediction_rate(d.request_log(), STEP, WINDOW, rule)
-
+    return alerts.flags_low_prediction_rate(d.request_log(), STEP, WINDOW, rule)
 
-@_rule("alert_node_not_ready", alerts.NODE_NOT_READY, _vector_flags(_latest_sql("ready"), "value = 0"), ("ready",))
-def alert_node_not_ready(d: Domain, rule):
-    return alerts.alert_node_not_ready(d.node_ready(), STEP, WINDOW, rule)
 
+_ALL_FLAGS = {f"{n}_flags": sql for n, (_, sql, _, _, _) in RULES.items()}
+_ALL_VIEWS = list(dict.fromkeys(v for _, _, views, _, _ in RULES.values() for v in views))
+_ALL_MORE = {k: v for _, _, _, more, _ in RULES.values() for k, v in more.items()} | _ALL_FLAGS
 
-@_rule("alert_crash_loop", alerts.CRASH_LOOP, _vector_flags(_latest_sql("restarts"), "value > 5"), ("restarts",))
-def alert_crash_loop(d: Domain, rule):
-    return alerts.alert_crash_loop(d.restarts(), STEP, WINDOW, rule)
 
+def _all_flags(d: Domain):
+    """The flags of all nine rules; those on gauges come from one table of samples, in one pass."""
+    apart = [build(d, rule) for rule, _, _, _, build in RULES.values() if rule not in _GAUGES.values()]
+    return alerts.union_rules([alerts.flags_on_samples(d.gauges(), STEP, _GAUGES, WINDOW), *apart])
 
-_GAUGE_RULES = {"alert_max_replicas": (alerts.MAX_REPLICAS, Domain.replicas),
-                "alert_service_down": (alerts.SERVICE_DOWN, Domain.up),
-                "alert_node_not_ready": (alerts.NODE_NOT_READY, Domain.node_ready),
-                "alert_crash_loop": (alerts.CRASH_LOOP, Domain.restarts)}
-_UNION_VIEWS = {f"{n}_flags": RULES[n][1] for n in _GAUGE_RULES}
-_UNION = " UNION ALL ".join(f"SELECT * FROM ({RULES[n][0]})" for n in _GAUGE_RULES)
 
-
-@plan("union_rules", with_views(_UNION, "replicas", "up", "ready", "restarts", more=_UNION_VIEWS))
+@plan("union_rules", with_views(" UNION ALL ".join(
+    f"SELECT * FROM ({_rule_sql(rule, f'{n}_flags')})" for n, (rule, *_) in RULES.items()), *_ALL_VIEWS, more=_ALL_MORE))
 def union_rules(d: Domain):
-    """All rules on gauges, held in one pass."""
-    flags = [alerts.flags_on_latest(samples(d), STEP, rule.tuned(hold=HOLD), WINDOW)
-             for rule, samples in _GAUGE_RULES.values()]
-    return _rounded(alerts.evaluate_rules(alerts.union_rules(flags), STEP), "value")
+    """All nine rules, held in one pass."""
+    return _rounded(alerts.evaluate_rules(_all_flags(d), STEP), "value")
 
 
 _RECEIVER = """CASE WHEN severity = 'critical' THEN 'critical' WHEN alert_type = 'performance' THEN 'performance'
@@ -427,3 +433,14 @@ _SENT_VIEWS = {
 def alert_repeat_throttle(d: Domain):
     """Groups hold alerts of several severities, and so of several routes."""
     return alerts.alert_repeat_throttle(alerts.alert_routing(d.alert_rows()))
+
+
+_FIRING = " UNION ALL ".join(f"SELECT * FROM ({_firing_sql(rule, f'{n}_flags')})" for n, (rule, *_) in RULES.items())
+
+
+@plan("alert_pipeline", with_views("SELECT * FROM sent", *_ALL_VIEWS, recursive=True, more=_ALL_MORE | {
+    "alerts": f"SELECT *, 'c_' || right(series, 1) AS cluster, 'scoring' AS service FROM ({_FIRING})"} | _SENT_VIEWS))
+def alert_pipeline(d: Domain):
+    """From the samples of all series to what is sent: nine rules, held, routed, grouped and throttled."""
+    labels = {"cluster": F.concat(F.lit("c_"), F.right("series", F.lit(1))), "service": F.lit("scoring")}
+    return alerts.notifications(_all_flags(d), STEP, labels)

@@ -31,22 +31,23 @@ def scan_transactions(d: Domain):
 
 
 @plan("select_daily_files", with_views("""
-    SELECT transaction_id, ts::DATE AS file_date FROM tx
-    WHERE ts::DATE IN (SELECT DISTINCT ts::DATE AS day FROM tx ORDER BY day LIMIT 3)""", "tx"))
+    SELECT transaction_id, ts::DATE AS file_date FROM tx""", "tx"))
 def select_daily_files(d: Domain):
-    """Dated files of all transactions; without a list the first three dates are taken."""
+    """Dated files of all transactions; without a list all of them are taken."""
     path = scratch_dir(d.spark, "daily")
-    (d.transactions().select(*_RAW_COLUMNS, F.to_date("ts").alias("day"))
+    (d.transactions().select(*_RAW_COLUMNS, F.to_date("ts").alias("day")).hint("rebalance", "day")
      .write.partitionBy("day").option("header", "true").csv(path))
-    chosen = files.select_daily_files(d.spark, None, path)
-    return files.read_daily_files(d.spark, chosen).select("transaction_id", "file_date")
+    return files.read_daily_files(d.spark, files.select_daily_files(None, path)).select("transaction_id", "file_date")
 
 
-@plan("scan_metric_json", """SELECT 'f1_' || p_partkey AS metric, p_retailprice / 1000::DOUBLE AS value FROM part""")
+@plan("scan_metric_json", """
+    SELECT CASE WHEN p_partkey % 97 <> 0 THEN 'f1_' || p_partkey END AS metric,
+        CASE WHEN p_partkey % 97 <> 0 THEN p_retailprice / 1000::DOUBLE END AS value, p_partkey % 97 = 0 AS corrupt FROM part""")
 def scan_metric_json(d: Domain):
     path = scratch_dir(d.spark, "metrics")
-    d.table("part").selectExpr("concat('f1_', p_partkey) as metric", "p_retailprice / 1000D as value").write.json(path)
-    return files.scan_metric_json(d.spark, path)
+    body = F.to_json(F.struct(F.expr("concat('f1_', p_partkey)").alias("metric"), F.expr("p_retailprice / 1000D").alias("value")))
+    d.table("part").select(F.when(F.col("p_partkey") % 97 == 0, "{cut").otherwise(body).alias("value")).write.text(path)
+    return files.scan_metric_json(d.spark, path).select("metric", "value", F.col("_corrupt").isNotNull().alias("corrupt"))
 
 
 @plan("prediction_log_sink", with_views("""
@@ -64,17 +65,21 @@ def prediction_log_sink(d: Domain):
 # --- logs -----------------------------------------------------------------
 
 @plan("parse_exposition", with_views("""
-    SELECT 'request_seconds_bucket' AS name, '0.5' AS le, 'pod_' || (user_id % 6) AS pod, value FROM ev
-    UNION ALL SELECT 'requests_total', NULL, NULL, event_id::DOUBLE FROM ev
-    UNION ALL SELECT 'limit_seconds', '+Inf', NULL, 'inf'::DOUBLE FROM ev WHERE k > 90""", "ev"))
+    SELECT 'request_seconds_bucket' AS name, '0.5' AS le, 'pod_' || (user_id % 6) AS pod, value, ts, NULL AS corrupt FROM ev
+    UNION ALL SELECT 'requests_total', NULL, 'a "quoted", \\ pod', event_id::DOUBLE, TIMESTAMP '2023-11-14 22:13:20', NULL FROM ev
+    UNION ALL SELECT 'limit_seconds', '+Inf', NULL, 'inf'::DOUBLE, ts, NULL FROM ev WHERE k > 90
+    UNION ALL SELECT NULL, NULL, NULL, NULL, NULL, unnest(['broken{le="1" 12', 'requests_total none', 'twice{le="1",le="2"} 3'])
+    FROM ev""", "ev"))
 def parse_exposition(d: Domain):
     """Scrape text of every event, with comments and broken lines between."""
     lines = d.events().selectExpr("""explode(array('# HELP requests_total All requests',
         concat('request_seconds_bucket{le="0.5",pod="pod_', user_id % 6, '"} ', value),
-        concat('requests_total ', event_id), 'broken{le="1" 12', 'requests_total none', '',
-        case when k > 90 then 'limit_seconds{le="+Inf"} +Inf' else '# end' end)) as value""")
-    return logs.parse_exposition(lines).select(
-        "name", F.expr("labels['le']").alias("le"), F.expr("labels['pod']").alias("pod"), "value")
+        concat('requests_total{pod="a \\\\"quoted\\\\", \\\\\\\\ pod"} ', event_id, ' 1700000000000'),
+        'broken{le="1" 12', 'requests_total none', 'twice{le="1",le="2"} 3', '',
+        case when k > 90 then 'limit_seconds{le="+Inf"} +Inf' else '# end' end)) as value""", "ts")
+    return logs.parse_exposition(lines, "ts").select(
+        "name", F.expr("labels['le']").alias("le"), F.expr("labels['pod']").alias("pod"), "value",
+        F.col("ts").cast("timestamp_ntz").alias("ts"), F.col("_corrupt").alias("corrupt"))
 
 
 def _access_lines(d: Domain):
@@ -100,10 +105,11 @@ def scan_access_log(d: Domain):
 @plan("access_log_stats", with_views("""
     SELECT path, status_code, count(*) AS n, round(avg(ms), 6) AS avg_ms, max(ms) AS max_ms,
         avg(CASE WHEN status_code >= 400 THEN 1::DOUBLE ELSE 0::DOUBLE END) AS error_share
-    FROM log WHERE event_id % 97 <> 0 GROUP BY ALL""", "log"))
+    FROM (SELECT CASE WHEN event_id % 97 <> 0 THEN path END AS path, CASE WHEN event_id % 97 <> 0 THEN status_code END
+          AS status_code, CASE WHEN event_id % 97 <> 0 THEN ms END AS ms FROM log) GROUP BY ALL""", "log"))
 def access_log_stats(d: Domain):
-    """Statistics of the readable lines."""
-    rows = logs.scan_access_log(_access_lines(d)).filter("_corrupt is null")
+    """Statistics of the readable lines; the unreadable ones are counted in a row without a path."""
+    rows = logs.scan_access_log(_access_lines(d))
     return reports.access_log_stats(rows).withColumn("avg_ms", F.round("avg_ms", 6))
 
 

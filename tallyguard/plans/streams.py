@@ -6,6 +6,7 @@ from datetime import timedelta
 
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
 
 from tallyguard import schemas
 from tallyguard.operators import alerts, scoring
@@ -19,7 +20,7 @@ from tallyguard.streaming import aggregates, alert_state, scoring as stream
 
 HOUR = timedelta(hours=1)
 
-# A window is written once the watermark, ten minutes behind the newest event, has passed its end.
+# The keyed processors get a step once the watermark, ten minutes behind the newest event, has passed its end.
 CLOSED = "(SELECT max(ts) - INTERVAL '10 minutes' FROM ev)"
 
 
@@ -35,6 +36,13 @@ def _to_files(d: Domain, df: DataFrame) -> DataFrame:
     return _unzoned(d.spark.read.schema(df.schema).parquet(path))
 
 
+def _to_table(d: Domain, df: DataFrame, keys: list[str]) -> DataFrame:
+    """Run to the end in update mode, and read the newest row of each key: open windows are there too."""
+    path = scratch_dir(d.spark, "table")
+    _finish(aggregates.keyed_table(df, keys, path, scratch_dir(d.spark, "checkpoint")))
+    return _unzoned(aggregates.latest_rows(d.spark, path, keys, df.schema))
+
+
 def _unzoned(df: DataFrame) -> DataFrame:
     """Times as the tables hold them, without a zone."""
     return df.withColumns({n: F.col(n).cast("timestamp_ntz") for n, t in df.dtypes if t == "timestamp"})
@@ -62,8 +70,8 @@ def _messages(d: Domain) -> DataFrame:
 
 
 def _scored_stream(d: Domain) -> DataFrame:
-    readable = stream.stream_parse(_messages(d)).filter(f"{schemas.CORRUPT} is null").drop(schemas.CORRUPT)
-    return stream.stream_score(readable, scoring.RuleScorer(), "model_3", "7")
+    """All messages; one that can't be read has no answer, and comes whole in ``_corrupt``."""
+    return stream.stream_score(stream.stream_parse(_messages(d)), scoring.RuleScorer(), "model_3", "7")
 
 
 def _predicted(d: Domain) -> DataFrame:
@@ -88,35 +96,55 @@ def stream_parse(d: Domain):
         F.col(schemas.CORRUPT).isNotNull().alias("corrupt")))
 
 
-_SCORED = """SELECT 'txn_' || event_id AS transaction_id, value * 5 AS amount,
-    CASE WHEN value * 5 > 500 THEN 0.8::DOUBLE ELSE 0.2::DOUBLE END AS fraud_probability,
-    value * 5 > 500 AS is_fraud_predicted, 'model_3' AS model_name, '7' AS model_version
-    FROM ev WHERE event_id % 97 <> 0"""
-_SCORED_COLUMNS = ["transaction_id", "amount", "fraud_probability", "is_fraud_predicted", "model_name",
-                   "model_version"]
+def _readable(column: str) -> str:
+    return f"CASE WHEN event_id % 97 <> 0 THEN {column} END"
+
+
+_SCORED = f"""SELECT {_readable("'txn_' || event_id")} AS transaction_id, {_readable("value * 5")} AS amount,
+    {_readable("CASE WHEN value * 5 > 500 THEN 0.8::DOUBLE ELSE 0.2::DOUBLE END")} AS fraud_probability,
+    {_readable("value * 5 > 500")} AS is_fraud_predicted, 'model_3' AS model_name, '7' AS model_version,
+    event_id % 97 = 0 AS unreadable FROM ev"""
+_ANSWER = ["transaction_id", "amount", "fraud_probability", "is_fraud_predicted"]
+_SCORED_COLUMNS = [*_ANSWER, "model_name", "model_version"]
+
+
+def _answered(df: DataFrame) -> DataFrame:
+    marked = df.withColumn("unreadable", F.col(schemas.CORRUPT).isNotNull())
+    return marked.withColumns({c: F.when(~F.col("unreadable"), F.col(c)) for c in _ANSWER}).select(
+        *_SCORED_COLUMNS, "unreadable")
 
 
 @plan("stream_score", with_views(_SCORED, "ev"))
 def stream_score(d: Domain):
-    return _to_files(d, _scored_stream(d).select(*_SCORED_COLUMNS))
+    """Every message is answered or marked as unreadable."""
+    return _to_files(d, _answered(_scored_stream(d)))
 
 
 @plan("stream_sink_predictions", with_views(
-    "SELECT transaction_id AS key, amount, fraud_probability FROM scored", "ev", more={"scored": _SCORED}))
+    """SELECT 'topic' AS route, transaction_id AS key, amount, fraud_probability FROM scored WHERE NOT unreadable
+    UNION ALL SELECT 'dead', NULL, NULL, NULL FROM scored WHERE unreadable""", "ev", more={"scored": _SCORED}))
 def stream_sink_predictions(d: Domain):
-    """The messages that the output topic would get, in files."""
-    path = scratch_dir(d.spark, "topic")
-    _finish(kafka.stream_sink_predictions(_scored_stream(d).select(*_SCORED_COLUMNS), {"path": path},
+    """The messages that the output topic would get, in files, and those that went to the dead letters."""
+    path, good, bad = (scratch_dir(d.spark, x) for x in ("topic", "good", "dead"))
+    parsed = stream.stream_parse(_messages(d))
+    _finish(stream.stream_dead_letter(parsed, good, bad, scratch_dir(d.spark, "checkpoint")))
+    schema = StructType([f for f in parsed.schema.fields if f.name != schemas.CORRUPT])
+    readable = d.spark.readStream.schema(schema).parquet(good)
+    scored = stream.stream_score(readable, scoring.RuleScorer(), "model_3", "7")
+    _finish(kafka.stream_sink_predictions(scored.select(*_SCORED_COLUMNS), {"path": path},
                                           scratch_dir(d.spark, "checkpoint"), "files", available_now=True))
     body = F.from_json("value", "amount double, fraud_probability double")
-    return d.spark.read.schema("key string, value string").parquet(path).select("key", body.alias("v")).select(
-        "key", "v.*")
+    sent = d.spark.read.schema("key string, value string").parquet(path).select(
+        F.lit("topic").alias("route"), "key", body.alias("v")).select("route", "key", "v.*")
+    dead = d.spark.read.schema(f"{schemas.CORRUPT} string").parquet(bad).select(
+        F.lit("dead").alias("route"), F.lit(None).cast("string").alias("key"), F.lit(None).cast("double").alias("amount"),
+        F.lit(None).cast("double").alias("fraud_probability"))
+    return sent.unionByName(dead)
 
 
-_HOURLY = f"""SELECT time_bucket(INTERVAL '1 hour', ts) AS window_start,
+_HOURLY = """SELECT time_bucket(INTERVAL '1 hour', ts) AS window_start,
     time_bucket(INTERVAL '1 hour', ts) + INTERVAL '1 hour' AS window_end, count(*) AS rows,
-    count(*) / 3600::DOUBLE AS rate FROM ev GROUP BY 1, 2
-    HAVING time_bucket(INTERVAL '1 hour', ts) + INTERVAL '1 hour' <= {CLOSED}"""
+    count(*) / 3600::DOUBLE AS rate FROM ev GROUP BY 1, 2"""
 
 
 @plan("stream_sink_metrics", with_views("SELECT rows, rate FROM hourly", "ev", more={"hourly": _HOURLY}))
@@ -126,39 +154,41 @@ def stream_sink_metrics(d: Domain):
     _finish(kafka.stream_sink_metrics(aggregates.stream_throughput(d.event_stream(), HOUR), {"path": path},
                                       scratch_dir(d.spark, "checkpoint"), kind="files", available_now=True))
     body = F.from_json("value", "rows bigint, rate double")
-    return d.spark.read.schema("key string, value string").parquet(path).select(body.alias("v")).select("v.*")
+    sent = d.spark.read.schema("key string, value string, batch_id bigint").parquet(path)
+    newest = sent.groupBy("key").agg(F.max_by("value", "batch_id").alias("value"))
+    return newest.select(body.alias("v")).select("v.*")
 
 
 @plan("stream_throughput", with_views("SELECT * FROM hourly", "ev", more={"hourly": _HOURLY}))
 def stream_throughput(d: Domain):
-    return _to_files(d, aggregates.stream_throughput(d.event_stream(), HOUR))
+    return _to_table(d, aggregates.stream_throughput(d.event_stream(), HOUR), ["window_start", "window_end"])
 
 
-@plan("stream_rate_5m", with_views(f"""
+@plan("stream_rate_5m", with_views("""
     SELECT time_bucket(INTERVAL '1 minute', ts) - i * INTERVAL '1 minute' AS window_start,
         time_bucket(INTERVAL '1 minute', ts) - i * INTERVAL '1 minute' + INTERVAL '5 minutes' AS window_end,
-        count(*) / 300::DOUBLE AS rate FROM ev, (VALUES (0), (1), (2), (3), (4)) w(i) GROUP BY 1, 2
-    HAVING window_end <= {CLOSED}""", "ev"))
+        count(*) / 300::DOUBLE AS rate FROM ev, (VALUES (0), (1), (2), (3), (4)) w(i) GROUP BY 1, 2""", "ev"))
 def stream_rate_5m(d: Domain):
-    return _to_files(d, aggregates.stream_rate(d.event_stream(), timedelta(minutes=1)))
+    """The stream keeps panes of a minute; windows slide over the table of panes."""
+    minute = timedelta(minutes=1)
+    panes = _to_table(d, aggregates.stream_panes(d.event_stream(), minute), ["window_start", "window_end"])
+    return aggregates.rate_of_panes(panes, minute)
 
 
-@plan("stream_fraud_rate", with_views(f"""
+@plan("stream_fraud_rate", with_views("""
     SELECT time_bucket(INTERVAL '1 hour', ts) AS window_start,
         time_bucket(INTERVAL '1 hour', ts) + INTERVAL '1 hour' AS window_end,
-        100::DOUBLE * count(*) FILTER (WHERE is_fraud_predicted) / count(*) AS fraud_pct FROM pred GROUP BY 1, 2
-    HAVING time_bucket(INTERVAL '1 hour', ts) + INTERVAL '1 hour' <= {CLOSED}""", "pred"))
+        100::DOUBLE * count(*) FILTER (WHERE is_fraud_predicted) / count(*) AS fraud_pct FROM pred GROUP BY 1, 2""", "pred"))
 def stream_fraud_rate(d: Domain):
-    return _to_files(d, aggregates.stream_fraud_rate(_predicted(d), HOUR))
+    return _to_table(d, aggregates.stream_fraud_rate(_predicted(d), HOUR), ["window_start", "window_end"])
 
 
 @plan("stream_user_stats", with_views(_USERS, "tx"))
 def stream_user_stats(d: Domain):
     """The newest running statistics of every user."""
-    path = scratch_dir(d.spark, "user-stats")
-    _finish(aggregates.stream_user_stats_table(d.transactions(d.event_stream()), path,
-                                               scratch_dir(d.spark, "checkpoint")))
-    return aggregates.latest_user_stats(d.spark, path)
+    path, rows = scratch_dir(d.spark, "user-stats"), d.transactions(d.event_stream())
+    _finish(aggregates.stream_user_stats_table(rows, path, scratch_dir(d.spark, "checkpoint")))
+    return aggregates.latest_user_stats(d.spark, path, aggregates.stream_user_stats(rows).schema)
 
 
 @plan("stream_dead_letter", with_views("""

@@ -389,7 +389,7 @@ def auc_roc(d: Domain):
     return quality.auc_roc(_labelled(d))
 
 
-@plan("evaluate_model", with_views(f"SELECT {_MEASURES}, (SELECT auc_roc FROM auc) AS auc_roc FROM confusion", "tx",
+@plan("evaluate_model", with_views(f"SELECT {_MEASURES}, (SELECT auc_roc FROM auc) AS auc_roc, 0::BIGINT AS unscored FROM confusion", "tx",
                                    more={"labelled": "SELECT label, score > 0.5::DOUBLE AS prediction, score FROM tx",
                                          "confusion": _CONFUSION, "auc": _AUC}))
 def evaluate_model(d: Domain):

@@ -17,16 +17,6 @@ STREAM_TRANSACTION = (
     "amount double, timestamp timestamp"
 )
 
-PRODUCER_MESSAGE = (
-    "transaction_id string, amount double, merchant_id string, user_id string, "
-    "timestamp string, is_fraud int"
-)
-
-HISTORICAL_TRANSACTION = (
-    "transaction_id string, user_id string, merchant_id string, "
-    "transaction_amount double, transaction_date string, is_fraud int"
-)
-
 METRIC_VALUE = "metric string, value double"
 
 ACCESS_LOG = (

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import re
+from datetime import date
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -11,7 +11,6 @@ from tallyguard import schemas
 from tallyguard.operators.registry import DEFAULT_METRICS
 
 DATE_IN_NAME = r"(\d{4}-\d{2}-\d{2})"
-DEMO_FILES = 3  # fixed value: files taken when none are named
 
 
 def scan_transactions(spark: SparkSession, paths: str | list[str],
@@ -23,41 +22,46 @@ def scan_transactions(spark: SparkSession, paths: str | list[str],
             .csv(paths))
 
 
-def list_dated_files(spark: SparkSession, root: str) -> list[str]:
-    """Paths under ``root`` that carry a date, by date; only names are read, no content."""
-    names = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
-             .select("path").filter(F.col("path").rlike(DATE_IN_NAME)))
-    return sorted(row.path for row in names.distinct().toLocalIterator())
+def select_daily_files(files: str | None, root: str) -> list[str]:
+    """A comma-separated list of names under ``root``, or the root, which stands for all files below it."""
+    named = [name.strip() for name in (files or "").split(",") if name.strip()]
+    return [f"{root.rstrip('/')}/{name}" for name in named] or [root]
 
 
-def select_daily_files(spark: SparkSession, files: str | None, root: str) -> list[str]:
-    """A comma-separated list under ``root``, else the files of its first three dates."""
-    if files and files.strip():
-        return [f"{root.rstrip('/')}/{name.strip()}" for name in files.split(",") if name.strip()]
-    by_date: dict[str, list[str]] = {}
-    for path in list_dated_files(spark, root):
-        by_date.setdefault(re.findall(DATE_IN_NAME, path)[-1], []).append(path)
-    return [path for day in sorted(by_date)[:DEMO_FILES] for path in by_date[day]]
-
-
-def read_daily_files(spark: SparkSession, paths: list[str],
+def read_daily_files(spark: SparkSession, paths: list[str], first: date | None = None, last: date | None = None,
                      schema: str = schemas.RAW_TRANSACTION) -> DataFrame:
-    """Rows of dated files with ``file_date`` taken from the path."""
-    dated = F.regexp_extract(F.col("_metadata.file_path"), rf"{DATE_IN_NAME}(?!.*\d{{4}}-\d{{2}}-\d{{2}})", 1)
-    return (spark.read.schema(schema).option("header", "true").csv(paths)
-            .withColumn("file_date", F.to_date(dated)))
+    """Rows of the files below ``paths`` that carry a date, with that ``file_date``, from ``first`` to ``last``.
+
+    Files are listed by Spark's reader and chosen by their path alone, so a file outside the
+    range, or without a date, is never opened and no list of files passes through this program.
+    """
+    path = F.col("_metadata.file_path")
+    dated = F.regexp_extract(path, rf"{DATE_IN_NAME}(?!.*\d{{4}}-\d{{2}}-\d{{2}})", 1)
+    rows = (spark.read.schema(schema).option("header", "true").option("recursiveFileLookup", "true").csv(paths)
+            .filter(path.rlike(DATE_IN_NAME)))
+    if first:
+        rows = rows.filter(dated >= first.isoformat())
+    if last:
+        rows = rows.filter(dated <= last.isoformat())
+    return rows.withColumn("file_date", F.to_date(dated))
 
 
 def scan_metric_json(spark: SparkSession, path: str,
                      defaults: dict[str, float] = DEFAULT_METRICS) -> DataFrame:
-    """Rows of (metric, value); the defaults stand in when nothing readable is there."""
-    fallback = spark.createDataFrame(sorted(defaults.items()), schemas.METRIC_VALUE)
+    """Rows of (metric, value, _corrupt); the defaults stand in when no metric with a value is there.
+
+    An unreadable line is kept whole in ``_corrupt``; a line without a metric or value keeps what it has.
+    """
+    schema = f"{schemas.METRIC_VALUE}, {schemas.CORRUPT} string"
+    fallback = spark.createDataFrame([(*entry, None) for entry in sorted(defaults.items())], schema)
     try:
-        read = (spark.read.schema(schemas.METRIC_VALUE).option("mode", "DROPMALFORMED").json(path)
-                .filter("metric is not null and value is not null"))
-    except AnalysisException:  # nothing at the path
+        read = (spark.read.schema(schema).option("mode", "PERMISSIVE")
+                .option("columnNameOfCorruptRecord", schemas.CORRUPT).json(path))
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         return fallback
-    found = read.groupBy().agg((F.count("*") > 0).alias("found")).scalar()
+    found = read.agg(F.coalesce(F.bool_or(F.col("metric").isNotNull() & F.col("value").isNotNull()), F.lit(False))).scalar()
     return read.unionByName(fallback.filter(~found))
 
 

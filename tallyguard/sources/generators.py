@@ -43,13 +43,6 @@ def gen_transactions(spark: SparkSession, tps: int, duration: int, seed: int = 4
     return ids.select(*[c.alias(n) for n, c in message_columns(F.col("id"), tps, start, seed).items()])
 
 
-def gen_transactions_stream(spark: SparkSession, tps: int, seed: int = 42,
-                            start: datetime = datetime(2024, 1, 1)) -> DataFrame:
-    """The same messages from Spark's rate source."""
-    ids = spark.readStream.format("rate").option("rowsPerSecond", tps).load()
-    return ids.select(*[c.alias(n) for n, c in message_columns(F.col("value"), tps, start, seed).items()])
-
-
 def stress_columns(row_id: Column, risky_share: float = 0.1, seed: int = 42) -> dict[str, Column]:
     """Request of the 10/90 mix of risky night and ordinary day transactions."""
     risky = h.uniform(row_id, seed) < F.lit(risky_share)

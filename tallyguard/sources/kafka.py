@@ -5,13 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-# Cap per trigger and trigger interval of the scoring stream.
-MAX_PER_TRIGGER = 1000
+# Fixed value: trigger interval of the scoring stream.
 TRIGGER_INTERVAL = "30 seconds"
 
 
-def kafka_read_options(brokers: str, topic: str, max_per_trigger: int = MAX_PER_TRIGGER,
+def kafka_read_options(brokers: str, topic: str, max_per_trigger: int,
                        starting: str = "latest", **extra: str) -> dict[str, str]:
+    """``max_per_trigger`` over the trigger's length is the most that the stream can follow: choose it by the load."""
     if not brokers or not topic:
         raise ValueError("brokers and topic are required")
     return {"kafka.bootstrap.servers": brokers, "subscribe": topic,
@@ -48,6 +48,12 @@ def _write(df: DataFrame, options: dict[str, str], checkpoint: str, kind: str, m
            available_now: bool) -> StreamingQuery:
     fmt = {"kafka": "kafka", "files": "parquet"}[kind]
     trigger = {"availableNow": True} if available_now else {"processingTime": TRIGGER_INTERVAL}
+    if kind == "files" and mode == "update":
+        def write(batch: DataFrame, batch_id: int) -> None:
+            batch.write.mode("overwrite").parquet(f"{options['path']}/batch_id={batch_id}")
+
+        return (df.writeStream.foreachBatch(write).outputMode(mode)
+                .option("checkpointLocation", checkpoint).trigger(**trigger).start())
     return (df.writeStream.format(fmt).options(**options).outputMode(mode)
             .option("checkpointLocation", checkpoint).trigger(**trigger).start())
 
@@ -60,5 +66,9 @@ def stream_sink_predictions(df: DataFrame, options: dict[str, str], checkpoint:
 
 def stream_sink_metrics(df: DataFrame, options: dict[str, str], checkpoint: str, key: str = "window_start",
                         kind: str = "kafka", available_now: bool = False) -> StreamingQuery:
-    """Run metrics to their own topic, as a second query over the predictions."""
-    return _write(as_messages(df, key), options, checkpoint, kind, "append", available_now)
+    """Run metrics to their own topic, as a second query over the predictions.
+
+    A window is sent whenever it changes, under its key: the newest message of a key holds, and
+    windows still open when the input ends are there as well.
+    """
+    return _write(as_messages(df, key), options, checkpoint, kind, "update", available_now)

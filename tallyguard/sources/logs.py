@@ -37,23 +37,41 @@ def scan_error_log(lines: DataFrame) -> DataFrame:
         F.when(F.col("_row").isNull(), F.col("value")).alias(schemas.CORRUPT))
 
 
-SAMPLE_LINE = r"^([a-zA-Z_:][a-zA-Z0-9_:]*)(?:\{(.*)\})?\s+(\S+).*$"
+# name, labels in braces, value, the sample's own time in milliseconds, perhaps an exemplar
+SAMPLE_LINE = (r'^\s*([a-zA-Z_:][a-zA-Z0-9_:]*)\s*(?:\{((?:[^"}]|"(?:[^"\\]|\\.)*")*)\})?\s+(\S+)'
+               r'(?:\s+(-?\d+))?(?:\s+#.*)?\s*$')
+LABEL = r'([a-zA-Z_][a-zA-Z0-9_]*)\s*=\s*"((?:[^"\\]|\\.)*)"'
 CUT = "\u0001"
 
 
-def parse_exposition(lines: DataFrame) -> DataFrame:
-    """Scrape text as (name, labels, value); comments, blank lines and other text are skipped.
+def _replaced(found: str, wanted: str):
+    return lambda text: F.replace(text, F.lit(found), F.lit(wanted))
 
-    A line is matched once: the match is rewritten with separators, which a line
-    that doesn't match lacks, and the generator keeps its parts from being matched again.
+
+def parse_exposition(lines: DataFrame, scraped_at: str | None = None) -> DataFrame:
+    """Scrape text as (name, labels, value, ts, _corrupt); comments and blank lines are skipped.
+
+    ``ts`` is a line's own time, or else the column ``scraped_at``. Escapes in label values are
+    undone. A line that can't be read, or that repeats a label, is kept in ``_corrupt``. A line is
+    matched once: the match is rewritten with separators, which a line that doesn't match lacks,
+    and the generator keeps its parts from being matched again.
     """
-    parts = F.split(F.regexp_replace("value", SAMPLE_LINE, f"$1{CUT}$2{CUT}$3"), CUT)
-    matched = (lines.filter(~F.col("value").startswith("#"))
-               .select(F.explode(F.array(parts)).alias("_p")).filter(F.size("_p") == 3))
-    body, number = F.col("_p")[1], F.regexp_replace(F.col("_p")[2], "Inf$", "Infinity")
-    pairs = F.regexp_replace(F.regexp_replace(body, r'"\s*,?\s*$', ""), r'"\s*,\s*', CUT)
-    labels = F.when(body == "", F.create_map().cast("map<string,string>")).otherwise(
-        F.str_to_map(pairs, F.lit(CUT), F.lit('="')))
-    return (matched.select(F.col("_p")[0].alias("name"), labels.alias("labels"),
-                           number.try_cast("double").alias("value"))
-            .filter(F.col("value").isNotNull()))
+    text = F.trim("value")
+    parts = F.split(F.regexp_replace("value", SAMPLE_LINE, f"$1{CUT}$2{CUT}$3{CUT}$4"), CUT)
+    seen = F.col(scraped_at).cast("timestamp") if scraped_at else F.lit(None).cast("timestamp")
+    matched = (lines.filter((text != "") & ~text.startswith("#"))
+               .select("value", seen.alias("_seen"), F.explode(F.array(parts)).alias("_p"))
+               .select("value", "_seen", F.when(F.size("_p") == 4, F.col("_p")).alias("_p")))
+    plain = F.col("_p")
+    number = F.regexp_replace(plain[2], "Inf$", "Infinity").try_cast("double")
+    whole = F.regexp_extract_all(plain[1], F.lit(LABEL), F.lit(2))
+    for found, wanted in (("\\\\", CUT), ('\\"', '"'), ("\\n", "\n"), (CUT, "\\")):
+        whole = F.transform(whole, _replaced(found, wanted))
+    read = matched.select("value", "_seen", "_p", number.alias("_number"), whole.alias("_values"),
+                          F.regexp_extract_all(plain[1], F.lit(LABEL), F.lit(1)).alias("_names"))
+    good = F.coalesce(F.col("_number").isNotNull() & (F.size("_names") == F.size(F.array_distinct("_names"))), F.lit(False))
+    own = F.timestamp_millis(F.nullif(plain[3], F.lit("")).try_cast("long"))
+    return read.select(
+        F.when(good, plain[0]).alias("name"), F.when(good, F.map_from_arrays("_names", "_values")).alias("labels"),
+        F.when(good, F.col("_number")).alias("value"), F.when(good, F.coalesce(own, "_seen")).alias("ts"),
+        F.when(~good, F.col("value")).alias(schemas.CORRUPT))

@@ -10,7 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tallyguard import schemas
 from tallyguard.functions import features as fx, intervals
 from tallyguard.operators import scoring
-from tallyguard.sources import logs, sinks
+from tallyguard.sources import logs
 
 WATERMARK = timedelta(minutes=10)  # our choice: how late a row may be
 
@@ -55,13 +55,6 @@ def stream_predictions_log(pred: DataFrame, path: str, checkpoint: str,
             .outputMode("append").trigger(**trigger).start())
 
 
-def stream_prediction_batches(pred: DataFrame, path: str, checkpoint: str,
-                              available_now: bool = True) -> StreamingQuery:
-    """The batch prediction log fed by a stream, idempotent per batch."""
-    return _each_batch(pred, lambda batch, batch_id: sinks.prediction_log_sink(batch, path, batch_id),
-                       checkpoint, available_now)
-
-
 def _each_batch(df: DataFrame, write, checkpoint: str, available_now: bool) -> StreamingQuery:
     trigger = {"availableNow": True} if available_now else {"processingTime": "30 seconds"}
     return (df.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)

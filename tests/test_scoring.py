@@ -84,13 +84,16 @@ def test_python_model(spark, model, wanted):
     assert [(r.is_fraud, r.fraud_probability) for r in scored] == wanted
 
 
-def test_prediction_response_broadcasts_one_champion(spark):
+def test_prediction_response_needs_one_champion(spark):
     champions = spark.createDataFrame([("m", "7"), ("n", "9")], "model_name string, version string")
     rows = spark.createDataFrame([("a",), ("b",)], "transaction_id string")
     out = scoring.prediction_response(rows, champions, "m")
     assert [r.model_version for r in out.collect()] == ["7", "7"]
-    assert "BroadcastHashJoin" in out._jdf.queryExecution().toString() or "Broadcast" in out._jdf.queryExecution().toString()
-    assert [r.model_version for r in scoring.prediction_response(rows, champions, "gone").collect()] == [None, None]
+    assert "Join" not in out._jdf.queryExecution().executedPlan().toString()
+    for bad, name in ((champions, "gone"), (champions.unionByName(champions), "m")):
+        with pytest.raises(Exception, match="no usable version|more than one row"):
+            scoring.prediction_response(rows, bad, name).collect()
+    assert scoring.prediction_response(rows.limit(0), champions, "m").collect() == []
 
 
 def test_preview(spark):

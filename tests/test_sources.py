@@ -1,4 +1,5 @@
 import json
+from datetime import date, datetime, timezone
 
 import pytest
 from pyspark.sql import functions as F
@@ -23,11 +24,13 @@ def test_daily_files(spark, tmp_path):
     for day in ("2019-11-20", "2019-08-22", "2019-10-21", "2019-09-21"):
         (tmp_path / f"{day}.txt").write_text(f"{header}{day},1,x,1,1,,\n")
     (tmp_path / "notes.txt").write_text("none\n")
-    chosen = files.select_daily_files(spark, None, str(tmp_path))
-    rows = files.read_daily_files(spark, chosen).collect()
-    assert sorted(str(r.file_date) for r in rows) == ["2019-08-22", "2019-09-21", "2019-10-21"]
+    everything = files.select_daily_files(None, str(tmp_path))
+    rows = files.read_daily_files(spark, everything).collect()
+    assert sorted(str(r.file_date) for r in rows) == ["2019-08-22", "2019-09-21", "2019-10-21", "2019-11-20"]
     assert all(r.transaction_id == str(r.file_date) for r in rows)
-    assert files.select_daily_files(spark, "2019-11-20.txt, x.txt", "root/") == ["root/2019-11-20.txt", "root/x.txt"]
+    some = files.read_daily_files(spark, everything, date(2019, 9, 1), date(2019, 10, 21))
+    assert sorted(str(r.file_date) for r in some.collect()) == ["2019-09-21", "2019-10-21"]
+    assert files.select_daily_files("2019-11-20.txt, x.txt", "root/") == ["root/2019-11-20.txt", "root/x.txt"]
 
 
 def test_metric_defaults(spark, tmp_path):
@@ -39,6 +42,9 @@ def test_metric_defaults(spark, tmp_path):
     assert read(tmp_path / "empty.json") == defaults
     (tmp_path / "ok.json").write_text('{"metric":"auc","value":0.9}\n')
     assert read(tmp_path / "ok.json") == {"auc": 0.9}
+    (tmp_path / "bad.json").write_text('{"metric":"auc","value":0.9}\n{cut\n{"metric":"f1"}\n')
+    rows = files.scan_metric_json(spark, str(tmp_path / "bad.json")).collect()
+    assert sorted((r.metric or "", r.value or 0, r._corrupt or "") for r in rows) == [("", 0, "{cut"), ("auc", 0.9, ""), ("f1", 0, "")]
 
 
 def test_saved_test_run(spark, tmp_path):
@@ -53,11 +59,16 @@ def test_saved_test_run(spark, tmp_path):
 
 def test_exposition(spark):
     text = ['# HELP ml_predictions_total Total', 'ml_predictions_total 1234', '', 'up{} 1',
-            'd_bucket{le="0.1"} 100', 'd_bucket{le="+Inf", pod="a b,c"} 260 1700000000', 'd_sum 45.5', 'bad line']
-    rows = logs.parse_exposition(spark.createDataFrame([(t,) for t in text], "value string")).collect()
-    assert [(r.name, r.labels, r.value) for r in rows] == [
+            'd_bucket{le="0.1"} 100', 'd_bucket{le="+Inf", pod="a b,c"} 260 1700000000000', 'd_sum 45.5', 'bad line',
+            r'e{path="C:\\dir\n",said="a \"b\", c=\"d\""} -Inf', 'twice{a="1",a="2"} 1', 'cut{a="1 3']
+    lines = spark.createDataFrame([(t, datetime(2024, 1, 1)) for t in text], "value string, at timestamp")
+    rows = logs.parse_exposition(lines, "at").collect()
+    assert [(r.name, r.labels, r.value) for r in rows if r._corrupt is None] == [
         ("ml_predictions_total", {}, 1234.0), ("up", {}, 1.0), ("d_bucket", {"le": "0.1"}, 100.0),
-        ("d_bucket", {"le": "+Inf", "pod": "a b,c"}, 260.0), ("d_sum", {}, 45.5)]
+        ("d_bucket", {"le": "+Inf", "pod": "a b,c"}, 260.0), ("d_sum", {}, 45.5),
+        ("e", {"path": "C:\\dir\n", "said": 'a "b", c="d"'}, float("-inf"))]
+    assert [r._corrupt for r in rows if r._corrupt] == ["bad line", 'twice{a="1",a="2"} 1', 'cut{a="1 3']
+    assert {r.ts.year for r in rows if r._corrupt is None} == {2023, 2024}
 
 
 def test_logs(spark):
@@ -70,11 +81,11 @@ def test_logs(spark):
 
 
 def test_kafka_options():
-    read = kafka.kafka_read_options("host:1", "raw", **{"kafka.security.protocol": "SASL_SSL"})
+    read = kafka.kafka_read_options("host:1", "raw", 1000, **{"kafka.security.protocol": "SASL_SSL"})
     assert read["maxOffsetsPerTrigger"] == "1000" and read["subscribe"] == "raw" and read["kafka.security.protocol"] == "SASL_SSL"
     assert kafka.kafka_write_options("host:1", "out") == {"kafka.bootstrap.servers": "host:1", "topic": "out"}
     with pytest.raises(ValueError):
-        kafka.kafka_read_options("", "raw")
+        kafka.kafka_read_options("", "raw", 1000)
     with pytest.raises(ValueError):
         kafka.stream_source(None, {}, "other")
 

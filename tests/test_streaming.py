@@ -73,7 +73,7 @@ def test_user_stats_follow_restart(spark, tmp_path):
     for i, rows in enumerate((first, second)):
         write(spark, rows, schema, tmp_path / "in", f"f{i}")
         aggregates.stream_user_stats_table(source(spark, tmp_path, schema), path, checkpoint).awaitTermination()
-    got = aggregates.latest_user_stats(spark, path)
+    got = aggregates.latest_user_stats(spark, path, aggregates.stream_user_stats(spark.createDataFrame([], schema)).schema)
     want = quality.user_stats(spark.createDataFrame(first + second, schema))
     assert sorted(map(tuple, got.select(*want.columns).collect())) == sorted(map(tuple, want.collect()))
 
