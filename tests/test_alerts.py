@@ -109,3 +109,48 @@ def test_throttle_is_the_same_for_any_segment(spark, segment, gap):
     out = alerts.alert_repeat_throttle(rows, ("alertname",), segment=segment * MIN)
     got = {g: sorted((r.ts - T0) // MIN for r in out.filter(F.col("alertname") == g).collect()) for g in times}
     assert got == {g: sends(ts, gap) for g, ts in times.items()}
+
+
+@pytest.mark.parametrize("segment", [60, 600, 10_080])
+def test_routes_of_a_group_send_apart(spark, segment):
+    """Six critical sends five minutes apart and one of an hourly route are seven, for any segment."""
+    rows = spark.createDataFrame(
+        [("a", "critical", T0 + 5 * i * MIN, 300) for i in range(6)] + [("a", "default", T0 + 12 * MIN, 3600), ("a", "default", T0 + 40 * MIN, 3600)]
+        + [(None, "critical", T0, 300), (None, "critical", T0 + MIN, 300)],
+        "alertname string, receiver string, ts timestamp_ntz, repeat_interval int")
+    out = alerts.alert_repeat_throttle(rows, ("alertname", "receiver"), segment=segment * MIN).collect()
+    assert sorted(((r.ts - T0) // MIN, r.receiver) for r in out if r.alertname) == [
+        (0, "critical"), (5, "critical"), (10, "critical"), (12, "default"), (15, "critical"), (20, "critical"), (25, "critical")]
+    assert [r.ts for r in out if r.alertname is None] == [T0]
+
+
+def test_times_within_a_step_are_one(spark):
+    sec = timedelta(seconds=1)
+    rows = spark.createDataFrame([("a", T0 + i * sec, 20) for i in range(60)], "alertname string, ts timestamp_ntz, repeat_interval int")
+    out = alerts.alert_repeat_throttle(rows, ("alertname",)).collect()
+    assert sorted((r.ts - T0) // sec for r in out) == [0, 30]
+
+
+def test_a_null_series_is_held(spark):
+    held = alerts.alert_for_duration(flags(spark, {None: "xxx"}), MIN, MIN)
+    assert sorted((r.ts - T0) // MIN for r in held.filter("firing").collect()) == [1, 2]
+
+
+def test_gauges_of_one_table(spark):
+    rows = [("up", "p", T0 + i * MIN, 0) for i in range(3)] + [("restarts", "p", T0 + i * MIN, 9) for i in range(3)]
+    rows += [("other", "p", T0, 0), ("up", "q", T0, 1), ("up", "q", T0, 0)]
+    samples = spark.createDataFrame(rows, "name string, series string, ts timestamp_ntz, value int")
+    rules = {"up": alerts.SERVICE_DOWN, "restarts": alerts.CRASH_LOOP}
+    together = alerts.flags_on_samples(samples, MIN, rules, MIN)
+    apart = alerts.union_rules([alerts.flags_on_latest(samples.filter(F.col("name") == n).drop("name"), MIN, r, MIN) for n, r in rules.items()])
+    assert together.columns == apart.columns and sorted(map(str, together.collect())) == sorted(map(str, apart.collect()))
+    assert together.filter("series = 'q' and active").count() == 0  # of one time the larger value counts
+
+
+def test_notifications_of_held_rules(spark):
+    one = alerts.rule_flags(flags(spark, {"s": "x" * 30}), alerts.HIGH_LOAD.tuned(hold=2 * MIN))
+    two = alerts.rule_flags(flags(spark, {"s": "x" * 30}), alerts.CRASH_LOOP.tuned(hold=MIN))
+    labels = {"cluster": F.lit("c"), "service": F.col("series")}
+    out = alerts.notifications(alerts.union_rules([one, two]), MIN, labels).collect()
+    sent = sorted((r.alertname, r.receiver, (r.ts - T0) // MIN) for r in out)
+    assert sent == [("CrashLoop", "infrastructure", 1)] + [("HighLoad", "critical", i) for i in range(2, 30, 5)]

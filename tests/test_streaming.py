@@ -1,6 +1,7 @@
 from datetime import datetime, timedelta
 
 import pytest
+from pyspark.sql import functions as F
 
 from tallyguard import schemas
 from tallyguard.operators import alerts, quality, scoring
@@ -144,3 +145,22 @@ def test_label_join_bound(spark, tmp_path):
     late = spark.readStream.schema("transaction_id string, label_ts timestamp, label boolean").parquet(f"{tmp_path}/labels/*")
     out = run(stream.stream_label_join(p, late, 120 * MIN), tmp_path)
     assert [r.transaction_id for r in spark.read.parquet(out).collect()] == ["a"]
+
+
+def test_a_keyed_table_is_compacted(spark, tmp_path):
+    schema = "k string, n long"
+    path, checkpoint = str(tmp_path / "table"), str(tmp_path / "checkpoint")
+    df = None
+    for i in range(8):
+        write(spark, [("a", 1), (f"k{i}", i)], schema, tmp_path / "in", f"f{i}")
+        df = source(spark, tmp_path, schema).groupBy("k").agg(F.sum("n").alias("n"))
+        aggregates.keyed_table(df, ["k"], path, checkpoint, compact_every=3).awaitTermination()
+    got = {r.k: r.n for r in aggregates.latest_rows(spark, path, ["k"], df.schema).collect()}
+    assert got == {"a": 8, **{f"k{i}": i for i in range(8)}}
+    assert len(list((tmp_path / "table").glob("batch_id=*"))) <= 3
+
+
+def test_rates_from_panes_include_the_last_windows(spark):
+    panes = spark.createDataFrame([(T0, 3), (T0 + MIN, 6)], "window_start timestamp, rows long")
+    got = {(r.window_start - T0) // MIN: r.rate * 120 for r in aggregates.rate_of_panes(panes, MIN, 2 * MIN).collect()}
+    assert got == {-1: 3.0, 0: 9.0, 1: 6.0}
