@@ -24,38 +24,48 @@ SHORTEST = 20  # characters; shorter lines are near only when equal
 BUCKET = 256   # lines that share a segment and are paired
 CUT = "\x01"   # stands for a segment that was cut out
 NO_ID = (1 << 63) - 1
+LETTERS = " etaoinsrhldcumg"  # whose counts are compared before the lines are
+SENT = 1 << 20  # ids of candidate lines, 8 MB, that are sent to all tasks
 PLACE = 1 << 32
 
 
-def _segments(length: Column, edits: int) -> list[tuple[Column, Column]]:
-    """(start from 0, length) of each of the edits + 1 segments of a line of ``length`` characters."""
-    n = edits + 1
-    base, long = F.floor(length / n).cast("int"), (length % n).cast("int")
-    return [(F.lit(i) * base + F.greatest(F.lit(0), F.lit(i - n) + long),
-             base + (F.lit(i) >= F.lit(n) - long).cast("int")) for i in range(n)]
+def _plans(edits: int) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]]]:
+    """(segment, shift, how much shorter the index line is) of a line's own segments, and of its probes.
+
+    Of a near line, some segment has at most i edits to its left and edits - i to its right, i
+    being its number: these bound by how much it can be shifted.
+    """
+    own = [(i, 0, 0) for i in range(edits + 1)]
+    probes = [(i, shift, shorter) for shorter in range(edits + 1) for i in range(edits + 1)
+              for shift in range(max(-i, shorter - (edits - i)), min(i, shorter + edits - i) + 1)]
+    return own, probes
 
 
-def _key(i: int, length: Column, start: Column, size: Column, text: Column, group: Column) -> Column:
-    return F.xxhash64(group, F.lit(i), length, F.substr(text, start + 1, size))
+def _keys(edits: int, plan: list[tuple[int, int, int]], text: Column, group: Column, only: Column | None = None) -> Column:
+    """An array of (key, shorter, start, size) for the parts of ``text`` that a plan names; null where one doesn't fit.
 
+    A line of ``length`` characters has edits + 1 segments, the last ones a character longer if need be.
+    The plan is a literal that one expression runs over, which keeps the generated code small.
+    """
+    n = edits + 1
+    parts = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(s).alias("shift"), F.lit(d).alias("shorter")) for i, s, d in plan])
+    if only is not None:
+        parts = F.filter(parts, lambda p: p["shorter"] == only)
 
-def _index_keys(edits: int, text: Column, group: Column) -> list[Column]:
-    length = F.length(text)
-    return [F.struct(_key(i, length, start, size, text, group).alias("key"), start.alias("start"), size.alias("size"))
-            for i, (start, size) in enumerate(_segments(length, edits))]
+    def placed(p: Column) -> Column:
+        length = F.length(text) - p["shorter"]
+        long = length % n
+        base = ((length - long) / n).cast("int")
+        start = p["i"] * base + F.greatest(F.lit(0), p["i"] - n + long) + p["shift"]
+        size = base + F.when(p["i"] >= F.lit(n) - long, 1).otherwise(0)
+        return F.struct(p["i"].alias("i"), p["shorter"].alias("shorter"), length.alias("length"), start.alias("start"), size.alias("size"))
 
+    def keyed(p: Column) -> Column:
+        fits = (p["length"] > edits) & (p["start"] >= 0) & (p["start"] + p["size"] <= F.length(text))
+        key = F.xxhash64(group, p["i"], p["length"], F.substr(text, p["start"] + 1, p["size"]))
+        return F.when(fits, F.struct(key.alias("key"), p["shorter"].alias("shorter"), p["start"].alias("start"), p["size"].alias("size")))
 
-def _probe_keys(edits: int, shorter: int, text: Column, group: Column) -> list[Column]:
-    """Keys of the index lines that are ``shorter`` characters shorter than this one."""
-    length, keys = F.length(text) - shorter, []
-    for i, (start, size) in enumerate(_segments(length, edits)):
-        # edits left of the segment are at most i, those right of it at most edits - i
-        for shift in range(max(-i, shorter - (edits - i)), min(i, shorter + edits - i) + 1):
-            at = start + shift
-            fits = (length > edits) & (at >= 0) & (at + size <= F.length(text))
-            keys.append(F.when(fits, F.struct(_key(i, length, at, size, text, group).alias("key"),
-                                              at.alias("start"), size.alias("size"))))
-    return keys
+    return F.transform(F.transform(parts, placed), keyed)
 
 
 def _pairs(index: DataFrame, probe: DataFrame, bucket: int, bottom: Column):
@@ -79,29 +89,19 @@ def _pairs(index: DataFrame, probe: DataFrame, bucket: int, bottom: Column):
 
 def candidates(lines: DataFrame, edits: int, bucket: int) -> DataFrame:
     """Distinct (a, b): every near pair of ``lines`` (id, line), and others that share a segment in place."""
+    own, probes = _plans(edits)
     text, group = F.col("text"), F.col("group")
     index = lines.select("id", F.col("line").alias("text"), F.lit(0).cast("long").alias("group"))
-    probe = index
-    found = None
+    probe, found = index.withColumn("wanted", F.lit(None).cast("int")), None
     while True:
-        top = found is None
-        indexed = index.select("id", "text", F.explode(F.array(*_index_keys(edits, text, group))).alias("s"))
-        if top:
-            shorter = [[F.struct(F.lit(d).alias("shorter"), k.alias("s")) for k in _probe_keys(edits, d, text, group)]
-                       for d in range(edits + 1)]
-            probed = probe.select("id", "text", F.explode(F.array(*sum(shorter, []))).alias("p")).select(
-                "id", "text", "p.shorter", "p.s")
-        else:
-            sets = F.when(F.lit(False), F.array(*_probe_keys(edits, 0, text, group)))
-            for d in range(edits + 1):
-                sets = sets.when(F.col("shorter") == d, F.array(*_probe_keys(edits, d, text, group)))
-            probed = probe.select("id", "text", "shorter", F.explode(sets).alias("s"))
-        probed = probed.where("s is not null")
+        only = None if found is None else F.col("wanted")
+        indexed = index.select("id", "text", F.explode(_keys(edits, own, text, group)).alias("s")).where("s is not null")
+        probed = probe.select("id", "text", F.explode(_keys(edits, probes, text, group, only)).alias("s")).where("s is not null")
         pairs = _pairs(indexed.select(F.col("s.key").alias("key"), "id", "text"),
-                       probed.select(F.col("s.key").alias("key"), "id", "shorter"), bucket,
+                       probed.select(F.col("s.key").alias("key"), "id", F.col("s.shorter").alias("shorter")), bucket,
                        F.length("text") <= 3 * (edits + 1))
         cold = pairs.where("key is null").select("a", "b")
-        found = cold if top else found.unionByName(cold)
+        found = cold if found is None else found.unionByName(cold)
         large = pairs.where("key is not null").select("key").distinct()
         if not large.head(1):
             return found.distinct()
@@ -113,7 +113,37 @@ def candidates(lines: DataFrame, edits: int, bucket: int) -> DataFrame:
             rows = rows.withColumn("key", F.col("s.key")).join(large, "key", "left_semi")
             return stage(rows.select("id", without.alias("text"), F.col("key").alias("group"), *more).distinct(), "line-rests")
 
-        index, probe = rest(indexed), rest(probed, "shorter")
+        index, probe = rest(indexed), rest(probed, F.col("s.shorter").alias("wanted"))
+
+
+def letter_counts(line: Column) -> list[Column]:
+    """How often each of ``LETTERS`` occurs, modulo 256, a byte each in two integers."""
+    packed = []
+    for part in (LETTERS[:8], LETTERS[8:]):
+        counts = [(F.length(line) - F.length(F.replace(line, F.lit(c), F.lit("")))).cast("long") for c in part]
+        packed.append(F.array(*counts))
+    add = lambda s, x: F.shiftleft(s, 8).bitwiseOR(x.bitwiseAND(F.lit(255).cast("long")))
+    return [F.aggregate(c, F.lit(0).cast("long"), add) for c in packed]
+
+
+def letters_apart(a: list[str], b: list[str]) -> Column:
+    """A lower bound of twice the edits between two lines, from their letter counts."""
+    total = F.lit(0).cast("long")
+    for x, y in zip(a, b):
+        for k in range(8):
+            byte = [F.shiftrightunsigned(v, 8 * k).bitwiseAND(F.lit(255).cast("long")) for v in (x, y)]
+            d = (byte[0] - byte[1]).bitwiseAND(F.lit(255).cast("long"))
+            total = total + F.least(d, F.lit(256).cast("long") - d)
+    return total
+
+
+def _with_texts(pairs: DataFrame, lines: DataFrame) -> DataFrame:
+    """``pairs`` (a, b) with the lines x and y. Up to ``SENT`` ids go to all tasks; beyond, the lines are shuffled by id."""
+    ids = stage(pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct(), "candidate-ids")
+    wanted = F.broadcast(ids) if ids.count() <= SENT else ids
+    texts = stage(lines.select("id", "line").join(wanted, "id", "left_semi"), "candidate-texts")
+    return pairs.join(texts.select(F.col("id").alias("a"), F.col("line").alias("x")), "a").join(
+        texts.select(F.col("id").alias("b"), F.col("line").alias("y")), "b")
 
 
 def edit_distance(a: Column, b: Column, edits: int) -> Column:
@@ -176,12 +206,16 @@ def near_lines(docs: DataFrame, edits: int = EDITS, shortest: int = SHORTEST, bu
     occurrences = split.where(F.col("line").rlike("[^ \\t-\\r]"))
     lines = stage(occurrences.select("line", place.alias("place")).groupBy("line").agg(
         F.min("place").alias("place"), F.count(F.lit(1)).alias("copies")).withColumn("id", F.monotonically_increasing_id()), "lines")
-    pairs = stage(candidates(lines.where(F.length("line") >= shortest).select("id", "line"), edits, bucket), "line-candidates")
-    wanted = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
-    texts = stage(lines.select("id", F.split("line", "").alias("chars")).join(wanted, "id", "left_semi"), "candidate-texts")
-    both = pairs.join(texts.select(F.col("id").alias("a"), F.col("chars").alias("x")), "a").join(
-        texts.select(F.col("id").alias("b"), F.col("chars").alias("y")), "b")
-    links = stage(both.where(edit_distance(F.col("x"), F.col("y"), edits) <= edits).select("a", "b"), "line-links")
+    long = lines.where(F.length("line") >= shortest)
+    pairs = stage(candidates(long.select("id", "line"), edits, bucket), "line-candidates")
+    # most candidates differ by far more than the edits: their letter counts tell, without the lines
+    counts = [c.alias(n) for c, n in zip(letter_counts(F.col("line")), ("c0", "c1"))]
+    counts = stage(long.select("id", *counts), "letter-counts")
+    side = lambda n: counts.select(F.col("id").alias(n), F.col("c0").alias(f"{n}0"), F.col("c1").alias(f"{n}1"))
+    close = pairs.join(side("a"), "a").join(side("b"), "b").where(letters_apart(["a0", "a1"], ["b0", "b1"]) <= 2 * edits)
+    both = _with_texts(stage(close.select("a", "b"), "close-lines"), long)
+    near = edit_distance(F.split("x", ""), F.split("y", ""), edits) <= edits
+    links = stage(both.where(near).select("a", "b"), "line-links")
     degree = links.select(F.col("a").alias("id")).unionByName(links.select(F.col("b").alias("id"))).groupBy("id").agg(
         F.count(F.lit(1)).alias("links"))
     linked = lines.select("id", "place").join(components(links).withColumnRenamed("node", "id"), "id").join(degree, "id")

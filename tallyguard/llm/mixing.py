@@ -8,8 +8,8 @@ on the least squares between the domains' expected token totals and the targets.
 All documents take every step together: a step needs only the totals of the domains
 (as many numbers as domains), and a document's rate follows from its own
 probabilities and the steps so far. So no rates are kept or shuffled between steps.
-The metric is tokens per document, and residuals are whitened by the domains'
-second moments, which makes 1 a safe step size.
+The metric is tokens per document, residuals are whitened by the second moments of the
+documents whose rate isn't 0, and a step that doesn't bring the totals closer is halved.
 """
 
 from __future__ import annotations
@@ -24,7 +24,8 @@ from tallyguard.llm.common import stage
 from tallyguard.llm.toxicity import AT_ONCE, labelled_sample
 
 PER_DOMAIN = 1500  # labelled rows of each domain to train on
-STEPS = 60
+STEPS = 40
+HALVINGS = 12
 CLOSE = 1e-4       # of the total, the largest miss of a domain that ends the fit
 
 
@@ -91,22 +92,36 @@ def fit_rates(table: DataFrame, targets: list[float], total: float | None = None
     """
     k, t, m = len(targets), F.col(tokens), F.col(members)
     shares = np.array(targets, dtype=float) / sum(targets)
-    sums = table.agg(F.sum(t), *[F.sum(t * m[a]) for a in range(k)],
-                     *[F.sum(t * m[a] * m[b]) for a in range(k) for b in range(k)]).first()
-    if not sums[0]:
-        return 1.0, []
-    size = float(sums[0])
-    mass, moments = np.array(sums[1:k + 1]) / size, np.array(sums[k + 1:]).reshape(k, k) / size
-    goal = shares * (total / size if total else mass[whole] / shares[whole] if whole is not None else 1.0)
-    white = np.linalg.pinv(moments, rcond=1e-9, hermitian=True)
-    start, steps, now = 1.0, [], mass
+
+    def totals(rate: Column):
+        """The domains' totals at a rate, and the second moments of the documents it doesn't leave out."""
+        kept = F.when(rate > 0, t).otherwise(F.lit(0))
+        row = table.agg(F.sum(t), *[F.sum(t * m[a] * rate) for a in range(k)],
+                        *[F.sum(kept * m[a] * m[b]) for a in range(k) for b in range(k)]).first()
+        if not row[0]:
+            return 0.0, None, None
+        return float(row[0]), np.array(row[1:k + 1]), np.array(row[k + 1:]).reshape(k, k)
+
+    start, steps = 1.0, []
+    size, mass, moments = totals(F.lit(start))
+    if not size:
+        return start, steps
+    goal = shares * (total if total else mass[whole] / shares[whole] if whole is not None else size)
+    metric = np.linalg.pinv(moments, rcond=1e-9, hermitian=True)
+    miss = mass - goal
     for _ in range(STEPS):
-        miss = now - goal
         if np.abs(miss).max() <= CLOSE * goal.sum():
             break
-        steps.append(white @ miss)
-        rate = _rate(m, start, steps)
-        now = np.array(table.agg(*[F.sum(t * m[d] * rate) for d in range(k)]).first()) / size
+        step = np.linalg.pinv(moments, rcond=1e-9, hermitian=True) @ miss
+        for _ in range(HALVINGS):
+            _, mass, next_moments = totals(_rate(m, start, [*steps, step]))
+            if (mass - goal) @ metric @ (mass - goal) < miss @ metric @ miss:
+                break
+            step = step / 2
+        else:
+            break  # no step is better: the targets can't be met more closely
+        steps.append(step)
+        miss, moments = mass - goal, next_moments
     return start, steps
 
 

@@ -18,11 +18,11 @@ def labelled(spark, n=420, seed=8):
     for i in range(n):
         words = sentence(rng, rng.choice([4, 30, 200])).split()
         toxic = int(i % 3 == 0)
-        for _ in range(3 * toxic):
+        for _ in range(6 * toxic):
             bad = rng.choice(BAD)
             if zlib.crc32(str(i).encode()) % 3 == 1:
                 at = rng.randrange(2, len(bad) - 1)
-                bad = bad[:at] + bad[at + 1] + bad[at] + bad[at + 2:]
+                bad = bad[:at] + bad[at] + bad[at:]
             words.insert(rng.randrange(len(words) + 1), bad)
         rows.append((i, " ".join(words)))
         labels.append((i, 1, toxic))
