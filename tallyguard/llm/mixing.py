@@ -34,7 +34,13 @@ def domain_model(docs: DataFrame, labelled: DataFrame, domains: list[str], per_d
     numbered = labelled.select("doc_id", F.array_position(F.array(*[F.lit(d) for d in domains]), F.col("domain"))
                                .cast("int").alias("n")).where("n > 0 and doc_id is not null")
     texts, classes = labelled_sample(docs, numbered.select("doc_id", F.col("n") - 1), (per_domain,) * len(domains))
-    return subword.train(texts, classes, len(domains), 0, rounds=40) if len(set(classes)) > 1 else None
+    if len(set(classes)) < 2:
+        return None
+    model = subword.train(texts, classes, len(domains), 0, rounds=60)
+    # it has learnt from as much of each domain; the labelled table says how common they are
+    known = {n - 1: c for n, c in numbered.groupBy("n").count().collect()}  # a row per domain
+    model.bias = model.bias + np.log([max(known.get(d, 0), 0.5) for d in range(len(domains))])
+    return model
 
 
 def with_memberships(docs: DataFrame, model, domains: int, text: str = "text",
