@@ -23,7 +23,7 @@ DIM = 4
 SHORT, LONG = 3, 6  # n-gram lengths
 SEEN_IN = 3         # texts of the sample that a word must occur in to be trained on
 LONGEST = 40        # characters of a word that n-grams are taken from; the whole word is a feature too
-CACHE = 200_000      # words whose logits a worker keeps from text to text, the first seen
+CACHE = 400_000      # words whose logits a worker keeps from text to text, the first seen
 
 
 def words_of(text: str) -> list[str]:
@@ -31,16 +31,15 @@ def words_of(text: str) -> list[str]:
     return list(dict.fromkeys(text.lower().split()))
 
 
-def grams(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """(buckets, how many per word) of every word: the word itself, then its n-grams of UTF-8 bytes."""
+def _gram_parts(words: list[str]):
+    """(word numbers, buckets) of the words themselves, then of the n-grams of their UTF-8 bytes for each n."""
     raw = [w.encode("utf-8", "surrogatepass") for w in words]
-    whole = np.array([zlib.crc32(r, 7) & (BUCKETS - 1) for r in raw], dtype=np.int64)
+    yield np.arange(len(words)), np.array([zlib.crc32(r, 7) & (BUCKETS - 1) for r in raw], dtype=np.int64)
     marked = [b"<%s>" % r[:LONGEST] for r in raw]
     data = np.frombuffer(b"".join(marked), dtype=np.uint8).astype(np.uint64)
     sizes = np.array([len(m) for m in marked])
     word = np.repeat(np.arange(len(words)), sizes)
     left = np.repeat(np.cumsum(sizes), sizes) - np.arange(len(data))  # bytes from here to the word's end
-    found, owner = [whole], [np.arange(len(words))]
     h = data
     for n in range(2, LONG + 1):
         if len(h) < 2:
@@ -49,11 +48,14 @@ def grams(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         if n >= SHORT:
             ok = left[:len(h)] >= n
             mixed = (h[ok] + np.uint64(n)) * np.uint64(0x9E3779B97F4A7C15)
-            found.append((mixed >> np.uint64(40)).astype(np.int64) & (BUCKETS - 1))
-            owner.append(word[:len(h)][ok])
-    owner = np.concatenate(owner)
+            yield word[:len(h)][ok], (mixed >> np.uint64(40)).astype(np.int64) & (BUCKETS - 1)
+
+
+def grams(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """(buckets, how many per word) of every word, word by word."""
+    owner, found = (np.concatenate(x) for x in zip(*_gram_parts(words)))
     order = np.argsort(owner, kind="stable")
-    return np.concatenate(found)[order], np.bincount(owner, minlength=len(words))
+    return found[order], np.bincount(owner, minlength=len(words))
 
 
 class _Bags:
@@ -102,18 +104,14 @@ class Model:
 
     def __init__(self, table: np.ndarray, bias: np.ndarray, window: int):
         self.table, self.bias, self.window = table, bias, window
-        self._numbers: dict[str, int] = {}
-        self._rows = np.zeros((1024, table.shape[1]), np.float32)
-
-    def __getstate__(self):
-        return self.table, self.bias, self.window
-
-    def __setstate__(self, state):
-        self.__init__(*state)
 
     def _word_rows(self, words: list[str]) -> np.ndarray:
-        flat, sizes = grams(words)
-        return np.add.reduceat(self.table[flat], np.cumsum(sizes) - sizes, axis=0) / sizes[:, None]
+        total, count = np.zeros((len(words), self.table.shape[1])), np.zeros(len(words))
+        for owner, bucket in _gram_parts(words):
+            count += np.bincount(owner, minlength=len(words))
+            for k in range(total.shape[1]):
+                total[:, k] += np.bincount(owner, self.table[bucket, k], len(words))
+        return total / count[:, None]
 
     def logits(self, text: str) -> np.ndarray:
         """Logits of every window of a text: one row per window, one column per class."""
@@ -122,21 +120,22 @@ class Model:
     def many(self, texts: list[str]) -> list[np.ndarray]:
         """``logits`` of several texts; words not seen before are hashed together."""
         words = [words_of(t) or [""] for t in texts]
-        numbers = self._numbers
+        kept = _cache_of(self)
+        numbers = kept.numbers
         if len(numbers) > CACHE:
             for w in list(numbers)[CACHE // 2:]:
                 del numbers[w]
-        new = list({w for ws in words for w in ws if w not in numbers})
-        if new:
-            first = len(numbers)
-            numbers.update(zip(new, range(first, first + len(new))))
-            if len(numbers) > len(self._rows):
-                grown = np.zeros((2 * len(numbers), self._rows.shape[1]), np.float32)
-                grown[:first] = self._rows[:first]
-                self._rows = grown
-            for i in range(0, len(new), 20_000):
-                self._rows[first + i:first + i + len(new[i:i + 20_000])] = self._word_rows(new[i:i + 20_000])
-        return [self._means(self._rows[np.array(list(map(numbers.get, ws)))]) for ws in words]
+        first, numbers.new = len(numbers), []
+        found = [np.fromiter(map(numbers.__getitem__, ws), np.int64, len(ws)) for ws in words]
+        if numbers.new:
+            if len(numbers) > len(kept.rows):
+                grown = np.zeros((2 * len(numbers), self.table.shape[1]), np.float32)
+                grown[:first] = kept.rows[:first]
+                kept.rows = grown
+            for i in range(0, len(numbers.new), 20_000):
+                part = numbers.new[i:i + 20_000]
+                kept.rows[first + i:first + i + len(part)] = self._word_rows(part)
+        return [self._means(kept.rows[ids]) for ids in found]
 
     def _means(self, rows):
         if not self.window or len(rows) <= self.window:
@@ -146,6 +145,35 @@ class Model:
         return (total[starts + self.window] - total[starts]) / self.window + self.bias
 
 
+class _Numbers(dict):
+    """Numbers words in the order in which they are first asked for; ``new`` lists those numbered since it was set."""
+
+    new: list[str] = []
+
+    def __missing__(self, word: str) -> int:
+        number = self[word] = len(self)
+        self.new.append(word)
+        return number
+
+
+class _Cache:
+    """Logits of the words that a model has met in this worker."""
+
+    def __init__(self, model: Model):
+        self.model = model
+        self.numbers = _Numbers()
+        self.rows = np.zeros((1024, model.table.shape[1]), np.float32)
+
+
+_KEPT: list[_Cache] = []  # that of the last model used: a worker keeps one
+
+
+def _cache_of(model: Model) -> _Cache:
+    if not _KEPT or _KEPT[0].model is not model:
+        _KEPT[:] = [_Cache(model)]
+    return _KEPT[0]
+
+
 def softmax(z: np.ndarray) -> np.ndarray:
     e = np.exp(z - z.max(axis=1, keepdims=True))
     return e / e.sum(axis=1, keepdims=True)
