@@ -154,6 +154,11 @@ def edit_distance(a: Column, b: Column, edits: int) -> Column:
     band down one row. The distance is followed along the band's lowest diagonal to the
     last row, then along that row.
     """
+    one = lambda x, f: F.element_at(F.transform(F.array(x), f), 1)  # noqa: E731  x is computed once
+    return one(F.struct(a.alias("a"), b.alias("b")), lambda p: _distance(p["a"], p["b"], edits, one))
+
+
+def _distance(a: Column, b: Column, edits: int, one) -> Column:
     width = 2 * edits + 1
     mask, last = (1 << width) - 1, F.size(a)
     whole = lambda x: x.bitwiseAND(F.lit(mask).cast("long"))
@@ -186,7 +191,6 @@ def edit_distance(a: Column, b: Column, edits: int) -> Column:
 
     start = F.struct(F.lit(mask ^ ((1 << edits) - 1)).cast("long").alias("up"), F.lit(0).cast("long").alias("down"),
                      F.lit(edits).cast("long").alias("d"))
-    one = lambda x, f: F.element_at(F.transform(F.array(x), f), 1)  # noqa: E731  each part is computed once
     end = F.aggregate(F.sequence(F.lit(1), F.size(b)), start,
                       lambda s, j: one(one(step(s, j), move), settle))
     return end["d"]
@@ -214,6 +218,8 @@ def near_lines(docs: DataFrame, edits: int = EDITS, shortest: int = SHORTEST, bu
     side = lambda n: counts.select(F.col("id").alias(n), F.col("c0").alias(f"{n}0"), F.col("c1").alias(f"{n}1"))
     close = pairs.join(side("a"), "a").join(side("b"), "b").where(letters_apart(["a0", "a1"], ["b0", "b1"]) <= 2 * edits)
     both = _with_texts(stage(close.select("a", "b"), "close-lines"), long)
+    # few bytes and much work: dealt to all tasks, which adaptive execution would otherwise join
+    both = both.repartition(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), "a", "b")
     near = edit_distance(F.split("x", ""), F.split("y", ""), edits) <= edits
     links = stage(both.where(near).select("a", "b"), "line-links")
     degree = links.select(F.col("a").alias("id")).unionByName(links.select(F.col("b").alias("id"))).groupBy("id").agg(
