@@ -24,7 +24,7 @@ SHORTEST = 20  # characters; shorter lines are near only when equal
 BUCKET = 256   # lines that share a segment and are paired
 CUT = "\x01"   # stands for a segment that was cut out
 NO_ID = (1 << 63) - 1
-LETTERS = " etaoinsrhldcumg"  # whose counts are compared before the lines are
+LETTERS = " etaoinr"  # whose counts are compared before the lines are
 SENT = 1 << 20  # ids of candidate lines, 8 MB, that are sent to all tasks
 PLACE = 1 << 32
 
@@ -41,31 +41,31 @@ def _plans(edits: int) -> tuple[list[tuple[int, int, int]], list[tuple[int, int,
     return own, probes
 
 
-def _keys(edits: int, plan: list[tuple[int, int, int]], text: Column, group: Column, only: Column | None = None) -> Column:
-    """An array of (key, shorter, start, size) for the parts of ``text`` that a plan names; null where one doesn't fit.
+def _parts(edits: int, plan: list[tuple[int, int, int]], text: Column) -> list[tuple[int, int, Column, Column, Column]]:
+    """(segment, shorter, length of the index line, start from 0, size) for each entry of a plan.
 
     A line of ``length`` characters has edits + 1 segments, the last ones a character longer if need be.
-    The plan is a literal that one expression runs over, which keeps the generated code small.
     """
-    n = edits + 1
-    parts = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(s).alias("shift"), F.lit(d).alias("shorter")) for i, s, d in plan])
-    if only is not None:
-        parts = F.filter(parts, lambda p: p["shorter"] == only)
-
-    def placed(p: Column) -> Column:
-        length = F.length(text) - p["shorter"]
+    n, parts = edits + 1, []
+    for i, shift, shorter in plan:
+        length = F.length(text) - shorter
         long = length % n
         base = ((length - long) / n).cast("int")
-        start = p["i"] * base + F.greatest(F.lit(0), p["i"] - n + long) + p["shift"]
-        size = base + F.when(p["i"] >= F.lit(n) - long, 1).otherwise(0)
-        return F.struct(p["i"].alias("i"), p["shorter"].alias("shorter"), length.alias("length"), start.alias("start"), size.alias("size"))
+        start = i * base + F.greatest(F.lit(0), F.lit(i - n) + long) + shift
+        size = base + F.when(F.lit(i) >= F.lit(n) - long, 1).otherwise(0)
+        parts.append((i, shorter, length, start, size))
+    return parts
 
-    def keyed(p: Column) -> Column:
-        fits = (p["length"] > edits) & (p["start"] >= 0) & (p["start"] + p["size"] <= F.length(text))
-        key = F.xxhash64(group, p["i"], p["length"], F.substr(text, p["start"] + 1, p["size"]))
-        return F.when(fits, F.struct(key.alias("key"), p["shorter"].alias("shorter"), p["start"].alias("start"), p["size"].alias("size")))
 
-    return F.transform(F.transform(parts, placed), keyed)
+def _keyed(rows: DataFrame, edits: int, plan: list[tuple[int, int, int]], only: Column | None = None) -> DataFrame:
+    """``rows`` (id, text, group, ...) once for each part of the plan that fits: with its ``key`` and its place ``p`` in the plan."""
+    text, keys = F.col("text"), []
+    for i, shorter, length, start, size in _parts(edits, plan, text):
+        fits = (length > edits) & (start >= 0) & (start + size <= F.length(text))
+        if only is not None:
+            fits = fits & (only == shorter)
+        keys.append(F.when(fits, F.xxhash64(F.col("group"), F.lit(i), length, F.substr(text, start + 1, size))))
+    return rows.select("*", F.posexplode(F.array(*keys)).alias("p", "key")).where("key is not null")
 
 
 def _pairs(index: DataFrame, probe: DataFrame, bucket: int, bottom: Column):
@@ -90,15 +90,13 @@ def _pairs(index: DataFrame, probe: DataFrame, bucket: int, bottom: Column):
 def candidates(lines: DataFrame, edits: int, bucket: int) -> DataFrame:
     """Distinct (a, b): every near pair of ``lines`` (id, line), and others that share a segment in place."""
     own, probes = _plans(edits)
-    text, group = F.col("text"), F.col("group")
+    shorter = F.element_at(F.array(*[F.lit(d) for _, _, d in probes]), F.col("p") + 1)
     index = lines.select("id", F.col("line").alias("text"), F.lit(0).cast("long").alias("group"))
-    probe, found = index.withColumn("wanted", F.lit(None).cast("int")), None
+    probe, found = index, None
     while True:
-        only = None if found is None else F.col("wanted")
-        indexed = index.select("id", "text", F.explode(_keys(edits, own, text, group)).alias("s")).where("s is not null")
-        probed = probe.select("id", "text", F.explode(_keys(edits, probes, text, group, only)).alias("s")).where("s is not null")
-        pairs = _pairs(indexed.select(F.col("s.key").alias("key"), "id", "text"),
-                       probed.select(F.col("s.key").alias("key"), "id", F.col("s.shorter").alias("shorter")), bucket,
+        indexed = _keyed(index, edits, own)
+        probed = _keyed(probe, edits, probes, None if found is None else F.col("wanted"))
+        pairs = _pairs(indexed.select("key", "id", "text"), probed.select("key", "id", shorter.alias("shorter")), bucket,
                        F.length("text") <= 3 * (edits + 1))
         cold = pairs.where("key is null").select("a", "b")
         found = cold if found is None else found.unionByName(cold)
@@ -106,34 +104,34 @@ def candidates(lines: DataFrame, edits: int, bucket: int) -> DataFrame:
         if not large.head(1):
             return found.distinct()
         large = stage(large, "large-segments")
-        without = F.concat(F.substr("text", F.lit(1), F.col("s.start")), F.lit(CUT),
-                           F.substr("text", F.col("s.start") + F.col("s.size") + 1, F.length("text")))
 
-        def rest(rows, *more):
-            rows = rows.withColumn("key", F.col("s.key")).join(large, "key", "left_semi")
+        def rest(rows, plan, *more):
+            parts = _parts(edits, plan, F.col("text"))
+            place = F.element_at(F.array(*[F.struct(start.alias("start"), size.alias("size")) for *_, start, size in parts]), F.col("p") + 1)
+            rows = rows.join(large, "key", "left_semi").withColumn("s", place)
+            without = F.concat(F.substr("text", F.lit(1), F.col("s.start")), F.lit(CUT),
+                               F.substr("text", F.col("s.start") + F.col("s.size") + 1, F.length("text")))
             return stage(rows.select("id", without.alias("text"), F.col("key").alias("group"), *more).distinct(), "line-rests")
 
-        index, probe = rest(indexed), rest(probed, F.col("s.shorter").alias("wanted"))
+        index, probe = rest(indexed, own), rest(probed, probes, shorter.alias("wanted"))
 
 
-def letter_counts(line: Column) -> list[Column]:
-    """How often each of ``LETTERS`` occurs, modulo 256, a byte each in two integers."""
-    packed = []
-    for part in (LETTERS[:8], LETTERS[8:]):
-        counts = [(F.length(line) - F.length(F.replace(line, F.lit(c), F.lit("")))).cast("long") for c in part]
-        packed.append(F.array(*counts))
-    add = lambda s, x: F.shiftleft(s, 8).bitwiseOR(x.bitwiseAND(F.lit(255).cast("long")))
-    return [F.aggregate(c, F.lit(0).cast("long"), add) for c in packed]
+def letter_counts(line: Column) -> Column:
+    """How often each of ``LETTERS`` occurs, modulo 256, a byte each in one integer."""
+    packed = F.lit(0).cast("long")
+    for k, c in enumerate(LETTERS):
+        count = F.length(line) - F.length(F.replace(line, F.lit(c), F.lit("")))
+        packed = packed.bitwiseOR(F.shiftleft(count.bitwiseAND(F.lit(255)).cast("long"), 8 * k))
+    return packed
 
 
-def letters_apart(a: list[str], b: list[str]) -> Column:
+def letters_apart(x: Column, y: Column) -> Column:
     """A lower bound of twice the edits between two lines, from their letter counts."""
     total = F.lit(0).cast("long")
-    for x, y in zip(a, b):
-        for k in range(8):
-            byte = [F.shiftrightunsigned(v, 8 * k).bitwiseAND(F.lit(255).cast("long")) for v in (x, y)]
-            d = (byte[0] - byte[1]).bitwiseAND(F.lit(255).cast("long"))
-            total = total + F.least(d, F.lit(256).cast("long") - d)
+    for k in range(len(LETTERS)):
+        byte = [F.shiftrightunsigned(v, 8 * k).bitwiseAND(F.lit(255).cast("long")) for v in (x, y)]
+        d = (byte[0] - byte[1]).bitwiseAND(F.lit(255).cast("long"))
+        total = total + F.least(d, F.lit(256).cast("long") - d)
     return total
 
 
@@ -213,10 +211,9 @@ def near_lines(docs: DataFrame, edits: int = EDITS, shortest: int = SHORTEST, bu
     long = lines.where(F.length("line") >= shortest)
     pairs = stage(candidates(long.select("id", "line"), edits, bucket), "line-candidates")
     # most candidates differ by far more than the edits: their letter counts tell, without the lines
-    counts = [c.alias(n) for c, n in zip(letter_counts(F.col("line")), ("c0", "c1"))]
-    counts = stage(long.select("id", *counts), "letter-counts")
-    side = lambda n: counts.select(F.col("id").alias(n), F.col("c0").alias(f"{n}0"), F.col("c1").alias(f"{n}1"))
-    close = pairs.join(side("a"), "a").join(side("b"), "b").where(letters_apart(["a0", "a1"], ["b0", "b1"]) <= 2 * edits)
+    counts = stage(long.select("id", letter_counts(F.col("line")).alias("c")), "letter-counts")
+    side = lambda n: counts.select(F.col("id").alias(n), F.col("c").alias(f"{n}_c"))
+    close = pairs.join(side("a"), "a").join(side("b"), "b").where(letters_apart(F.col("a_c"), F.col("b_c")) <= 2 * edits)
     both = _with_texts(stage(close.select("a", "b"), "close-lines"), long)
     # few bytes and much work: dealt to all tasks, which adaptive execution would otherwise join
     both = both.repartition(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), "a", "b")
