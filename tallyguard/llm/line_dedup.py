@@ -41,16 +41,16 @@ def _plans(edits: int) -> tuple[list[tuple[int, int, int]], list[tuple[int, int,
     return own, probes
 
 
-def _parts(edits: int, plan: list[tuple[int, int, int]], text: Column) -> list[tuple[int, int, Column, Column, Column]]:
-    """(segment, shorter, length of the index line, start from 0, size) for each entry of a plan.
+def _parts(edits: int, plan: list[tuple[int, int, int]], chars: Column) -> list[tuple[int, int, Column, Column, Column]]:
+    """(segment, shorter, length of the index line, start from 0, size) for each entry of a plan, of a line of ``chars``.
 
     A line of ``length`` characters has edits + 1 segments, the last ones a character longer if need be.
     """
     n, parts = edits + 1, []
     for i, shift, shorter in plan:
-        length = F.length(text) - shorter
+        length = chars - shorter
         long = length % n
-        base = ((length - long) / n).cast("int")
+        base = F.expr(f"(n - {shorter}) div {n}").cast("int")
         start = i * base + F.greatest(F.lit(0), F.lit(i - n) + long) + shift
         size = base + F.when(F.lit(i) >= F.lit(n) - long, 1).otherwise(0)
         parts.append((i, shorter, length, start, size))
@@ -58,14 +58,16 @@ def _parts(edits: int, plan: list[tuple[int, int, int]], text: Column) -> list[t
 
 
 def _keyed(rows: DataFrame, edits: int, plan: list[tuple[int, int, int]], only: Column | None = None) -> DataFrame:
-    """``rows`` (id, text, group, ...) once for each part of the plan that fits: with its ``key`` and its place ``p`` in the plan."""
-    text, keys = F.col("text"), []
-    for i, shorter, length, start, size in _parts(edits, plan, text):
-        fits = (length > edits) & (start >= 0) & (start + size <= F.length(text))
+    """``rows`` (id, text, n, group, ...) once for each part of the plan that fits: with its ``key`` and its place ``p`` in the plan."""
+    # n, the length, is a column, and the line is held in four bytes a character: counting characters reads
+    # a whole line, for every part. The generator keeps its bytes from being made again for each of them.
+    rows, keys = rows.select("*", F.explode(F.array(F.encode("text", "UTF-32"))).alias("wide")), []
+    for i, shorter, length, start, size in _parts(edits, plan, F.col("n")):
+        fits = (length > edits) & (start >= 0) & (start + size <= F.col("n"))
         if only is not None:
             fits = fits & (only == shorter)
-        keys.append(F.when(fits, F.xxhash64(F.col("group"), F.lit(i), length, F.substr(text, start + 1, size))))
-    return rows.select("*", F.posexplode(F.array(*keys)).alias("p", "key")).where("key is not null")
+        keys.append(F.when(fits, F.xxhash64(F.col("group"), F.lit(i), length, F.substr("wide", 4 * start + 1, 4 * size))))
+    return rows.select("*", F.posexplode(F.array(*keys)).alias("p", "key")).where("key is not null").drop("wide")
 
 
 def _pairs(index: DataFrame, probe: DataFrame, bucket: int, bottom: Column):
@@ -88,16 +90,16 @@ def _pairs(index: DataFrame, probe: DataFrame, bucket: int, bottom: Column):
 
 
 def candidates(lines: DataFrame, edits: int, bucket: int) -> DataFrame:
-    """Distinct (a, b): every near pair of ``lines`` (id, line), and others that share a segment in place."""
+    """Distinct (a, b): every near pair of ``lines`` (id, line, n), n being a line's length, and others that share a segment in place."""
     own, probes = _plans(edits)
     shorter = F.element_at(F.array(*[F.lit(d) for _, _, d in probes]), F.col("p") + 1)
-    index = lines.select("id", F.col("line").alias("text"), F.lit(0).cast("long").alias("group"))
+    index = lines.select("id", F.col("line").alias("text"), "n", F.lit(0).cast("long").alias("group"))
     probe, found = index, None
     while True:
         indexed = _keyed(index, edits, own)
         probed = _keyed(probe, edits, probes, None if found is None else F.col("wanted"))
-        pairs = _pairs(indexed.select("key", "id", "text"), probed.select("key", "id", shorter.alias("shorter")), bucket,
-                       F.length("text") <= 3 * (edits + 1))
+        pairs = _pairs(indexed.select("key", "id", "n"), probed.select("key", "id", shorter.alias("shorter")), bucket,
+                       F.col("n") <= 3 * (edits + 1))
         cold = pairs.where("key is null").select("a", "b")
         found = cold if found is None else found.unionByName(cold)
         large = pairs.where("key is not null").select("key").distinct()
@@ -106,12 +108,13 @@ def candidates(lines: DataFrame, edits: int, bucket: int) -> DataFrame:
         large = stage(large, "large-segments")
 
         def rest(rows, plan, *more):
-            parts = _parts(edits, plan, F.col("text"))
+            parts = _parts(edits, plan, F.col("n"))
             place = F.element_at(F.array(*[F.struct(start.alias("start"), size.alias("size")) for *_, start, size in parts]), F.col("p") + 1)
             rows = rows.join(large, "key", "left_semi").withColumn("s", place)
             without = F.concat(F.substr("text", F.lit(1), F.col("s.start")), F.lit(CUT),
-                               F.substr("text", F.col("s.start") + F.col("s.size") + 1, F.length("text")))
-            return stage(rows.select("id", without.alias("text"), F.col("key").alias("group"), *more).distinct(), "line-rests")
+                               F.substr("text", F.col("s.start") + F.col("s.size") + 1, F.col("n")))
+            cut = rows.select("id", without.alias("text"), (F.col("n") - F.col("s.size") + 1).alias("n"), F.col("key").alias("group"), *more)
+            return stage(cut.distinct(), "line-rests")
 
         index, probe = rest(indexed, own), rest(probed, probes, shorter.alias("wanted"))
 
@@ -207,9 +210,10 @@ def near_lines(docs: DataFrame, edits: int = EDITS, shortest: int = SHORTEST, bu
     split = docs.select(F.col(doc_id).cast("long").alias("doc"), F.posexplode(F.split(whole_text(text), "\n")).alias("pos", "line"))
     occurrences = split.where(F.col("line").rlike("[^ \\t-\\r]"))
     lines = stage(occurrences.select("line", place.alias("place")).groupBy("line").agg(
-        F.min("place").alias("place"), F.count(F.lit(1)).alias("copies")).withColumn("id", F.monotonically_increasing_id()), "lines")
-    long = lines.where(F.length("line") >= shortest)
-    pairs = stage(candidates(long.select("id", "line"), edits, bucket), "line-candidates")
+        F.min("place").alias("place"), F.count(F.lit(1)).alias("copies")).withColumns(
+            {"id": F.monotonically_increasing_id(), "n": F.length("line")}), "lines")
+    long = lines.where(F.col("n") >= shortest)
+    pairs = stage(candidates(long.select("id", "line", "n"), edits, bucket), "line-candidates")
     # most candidates differ by far more than the edits: their letter counts tell, without the lines
     counts = stage(long.select("id", letter_counts(F.col("line")).alias("c")), "letter-counts")
     side = lambda n: counts.select(F.col("id").alias(n), F.col("c").alias(f"{n}_c"))
@@ -224,7 +228,7 @@ def near_lines(docs: DataFrame, edits: int = EDITS, shortest: int = SHORTEST, bu
     linked = lines.select("id", "place").join(components(links).withColumnRenamed("node", "id"), "id").join(degree, "id")
     first = linked.groupBy("root").agg(F.min("place").alias("class"))
     classed = stage(linked.join(first, "root").select("id", "class", "links"), "line-classes")
-    out = lines.drop("line").join(classed, "id", "left").withColumn("class", F.coalesce("class", "place"))
+    out = lines.drop("line", "n").join(classed, "id", "left").withColumn("class", F.coalesce("class", "place"))
     number = lambda c: F.pmod(F.col(c), F.lit(PLACE).cast("decimal(11,0)"))
     owner = lambda c: F.nullif(F.expr(f"cast(({c} - pmod({c}, {PLACE}BD)) div {PLACE}BD as bigint)"), F.lit(NO_ID))
     return out.select(owner("place").alias("doc_id"), number("place").cast("int").alias("line_no"), "copies",
