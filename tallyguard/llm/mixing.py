@@ -21,11 +21,13 @@ from pyspark.sql import types as T
 
 from tallyguard.llm import subword
 from tallyguard.llm.common import stage
+from tallyguard.llm.encoders import encoder
 from tallyguard.llm.toxicity import AT_ONCE, labelled_sample
 
 PER_DOMAIN = 1500  # labelled rows of each domain to train on
 STEPS = 40
 HALVINGS = 12
+VOCABULARY = "byte_bpe_50k.json"  # of the tokens that count, a public file on every machine
 CLOSE = 1e-4       # of the total, the largest miss of a domain that ends the fit
 
 
@@ -44,21 +46,26 @@ def domain_model(docs: DataFrame, labelled: DataFrame, domains: list[str], per_d
 
 
 def with_memberships(docs: DataFrame, model, domains: int, text: str = "text",
-                     tokens: str = "_tokens", members: str = "_members") -> DataFrame:
-    """``docs`` with the number of words between white space and the probabilities of the domains.
+                     tokens: str = "_tokens", members: str = "_members", vocabulary: str | None = None) -> DataFrame:
+    """``docs`` with the number of token ids of the whole text and the probabilities of the domains.
 
-    An empty or null text has no tokens. Without a model all domains are equally likely.
+    ``vocabulary`` is the path of a tokenizer's file, ``VOCABULARY`` if there is none. No end id is
+    counted: an empty or null text has no tokens. Without a model all domains are equally likely.
     """
+    if vocabulary is None:
+        import public_tokenizers
+
+        vocabulary = public_tokenizers.path(VOCABULARY)
     shared = docs.sparkSession.sparkContext.broadcast(model)  # BUCKETS x domains floats
     at = docs.columns.index(text)
 
     def run(batches):
-        model = shared.value
+        model, encode = shared.value, encoder(vocabulary).encode
         for batch in batches:
             texts, counts, found = batch.column(at), [], []
             for i in range(0, len(texts), AT_ONCE):
                 part = [t or "" for t in texts.slice(i, AT_ONCE).to_pylist()]
-                counts += [len(t.split()) for t in part]
+                counts += [len(encode(t)) // 4 for t in part]
                 if model is None:
                     found += [np.full(domains, 1 / domains)] * len(part)
                 else:

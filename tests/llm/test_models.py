@@ -2,8 +2,10 @@ import random
 import zlib
 
 import numpy as np
+import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 from tallyguard.llm import mixing, subword, toxicity
 from tests.llm.data import CLASHING, awkward, frame, sentence
@@ -157,6 +159,19 @@ def test_mix_draws_rows_by_their_rates(spark):
     assert len(clean) > 0.95 * sum(d == "clean" for _, d in domains)
 
 
+def test_mixing_counts_the_tokens_of_the_library(spark):
+    """The targets are reached in real token ids, also where words are rich in them or a text has no spaces."""
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    rows, domains = domain_rows()
+    rows += [(1000, "漢字かな" * 200), (1001, "Zm9vYmFy" * 100), (1002, ""), (1003, None)]
+    known = spark.createDataFrame(domains[:200], "doc_id long, domain string")
+    rated = mixing.rates(frame(spark, rows), known, {"clean": 0.9, "junk": 0.1}, whole="clean").collect()
+    n = {i: len(tokenizer.encode(t or "", add_special_tokens=False).ids) for i, t in rows}
+    assert {r.doc_id: r.tokens for r in rated} == n
+    mass = np.array([[n[r.doc_id] * r.rate * m for m in r.members] for r in rated]).sum(axis=0)
+    assert np.allclose(mass / mass.sum(), [0.9, 0.1], atol=2e-4)
+
+
 def test_mixing_without_labels_or_documents(spark):
     known = spark.createDataFrame([], "doc_id long, domain string")
     targets = {"clean": 0.9, "junk": 0.1}
