@@ -2,7 +2,8 @@
 
 A word is the bag of its character n-grams (with marks at both ends) and itself; its
 vector is the mean of their embeddings, so a misspelling never seen shares most of
-the vector of the word it distorts. A text is read as windows of its different words; a
+the vector of the word it distorts. A run without white space longer than a word may be is
+read as overlapping words. A text is read as windows of its different words; a
 window is the mean of its words (with zero vectors up to the window's size where the
 text has fewer), and a linear softmax over that mean gives class probabilities. Embeddings and softmax
 are learnt together by Adam on the cross-entropy.
@@ -22,20 +23,44 @@ BUCKETS = 1 << 18
 DIM = 4
 SHORT, LONG = 3, 6  # n-gram lengths
 SEEN_IN = 3         # texts of the sample that a word must occur in to be trained on
-LONGEST = 40        # characters of a word that n-grams are taken from; the whole word is a feature too
+LONGEST = 40        # bytes of a word; longer runs are cut into overlapping words
+OVERLAP = 20        # bytes that such words share at least
 CACHE = 400_000      # words whose logits a worker keeps from text to text, the first seen
 
 
 def words_of(text: str) -> list[str]:
-    """The different lower-cased words between white space, in the order in which they first occur."""
-    return list(dict.fromkeys(text.lower().split()))
+    """The different lower-cased words between white space, in the order in which they first occur; see ``pieces_of``."""
+    words = text.lower().split()
+    if 4 * max(map(len, words), default=0) > LONGEST:  # a character has up to four bytes
+        words = [p for w in words for p in (pieces_of(w) if 4 * len(w) > LONGEST else (w,))]
+    return list(dict.fromkeys(words))
+
+
+def pieces_of(run: str) -> list[str]:
+    """A run of up to ``LONGEST`` bytes itself, a longer one as words of so many that overlap and don't cut characters."""
+    if len(run) <= LONGEST and run.isascii():
+        return [run]
+    raw = run.encode("utf-8", "surrogatepass")
+    if len(raw) <= LONGEST:
+        return [run]
+    pieces, a = [], 0
+    while True:
+        b = min(a + LONGEST, len(raw))
+        while b < len(raw) and raw[b] & 0xC0 == 0x80:
+            b -= 1
+        pieces.append(raw[a:b].decode("utf-8", "surrogatepass"))
+        if b == len(raw):
+            return pieces
+        a = b - OVERLAP
+        while raw[a] & 0xC0 == 0x80:
+            a -= 1
 
 
 def _gram_parts(words: list[str]):
     """(word numbers, buckets) of the words themselves, then of the n-grams of their UTF-8 bytes for each n."""
     raw = [w.encode("utf-8", "surrogatepass") for w in words]
     yield np.arange(len(words)), np.array([zlib.crc32(r, 7) & (BUCKETS - 1) for r in raw], dtype=np.int64)
-    marked = [b"<%s>" % r[:LONGEST] for r in raw]
+    marked = [b"<%s>" % r for r in raw]
     data = np.frombuffer(b"".join(marked), dtype=np.uint8).astype(np.uint64)
     sizes = np.array([len(m) for m in marked])
     word = np.repeat(np.arange(len(words)), sizes)

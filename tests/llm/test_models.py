@@ -56,6 +56,33 @@ def test_logits_do_not_depend_on_the_batch():
     assert [len(z) for z in together[:4]] == [1, 1, 5, 1]
 
 
+@pytest.mark.parametrize("before", ["ab" * 30, "好" * 30, "好a" * 400, "éé-" * 9])
+def test_an_insult_behind_a_long_run_is_read(before):
+    """Only n-grams inside the insult have weight: they are met wherever the run holds it."""
+    insult = "混蛋" if "好" in before else "blastard"
+    found, _ = subword.grams([insult])
+    plain, _ = subword.grams([before[:4]])
+    table = np.zeros((subword.BUCKETS, 2), np.float32)
+    table[np.setdiff1d(found, plain), 1] = 1
+    model = subword.Model(table, np.zeros(2), 8)
+    for text in (before + insult, before + insult + before, before + "-" + insult):
+        assert model.logits(text)[:, 1].max() > 0.005 > model.logits(before)[:, 1].max()
+
+
+def test_pieces_cover_a_run():
+    draw = random.Random(1)
+    for letters, n in (("abcdefghijklmnop", 41), ("abcdefghijklmnop", 999), ("漢字仮名混文書読本", 14), ("é😀az漢ßñ語", 300), ("\ud800\udc01ab漢字", 90)):
+        run = "".join(draw.choice(letters) for _ in range(n))
+        raw, at = run.encode("utf-8", "surrogatepass"), 0
+        for p in (x.encode("utf-8", "surrogatepass") for x in subword.pieces_of(run)):
+            assert len(p) <= subword.LONGEST
+            a = raw.find(p, max(0, at - subword.LONGEST))
+            assert a == 0 or 0 <= a <= at - subword.LONG
+            at = max(at, a + len(p))
+        assert at == len(raw)
+    assert subword.words_of("a " + "漢" * 13 + " b") == ["a", "漢" * 13, "b"]
+
+
 def test_toxicity_on_held_out_documents(spark):
     rows, labels = labelled(spark)
     got = toxicity.toxicity(frame(spark, rows + [(None, None), (9999, "")]), label_frame(spark, labels), (200, 100)).collect()
