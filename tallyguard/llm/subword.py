@@ -3,10 +3,10 @@
 A word is the bag of its character n-grams (with marks at both ends) and itself; its
 vector is the mean of their embeddings, so a misspelling never seen shares most of
 the vector of the word it distorts. A run without white space longer than a word may be is
-read as overlapping words. A text is read as windows of its different words; a
+read as overlapping words. A text is read as windows of its words in their order, repeats included; a
 window is the mean of its words (with zero vectors up to the window's size where the
 text has fewer), and a linear softmax over that mean gives class probabilities. Embeddings and softmax
-are learnt together by Adam on the cross-entropy.
+are learnt together by Adam on the cross-entropy. Only training takes each word of a text once, where it first occurs.
 
 Once trained, embeddings times softmax weights is one row of class logits per
 n-gram bucket: that table is what scoring ships (``BUCKETS`` x classes floats).
@@ -29,11 +29,11 @@ CACHE = 400_000      # words whose logits a worker keeps from text to text, the
 
 
 def words_of(text: str) -> list[str]:
-    """The different lower-cased words between white space, in the order in which they first occur; see ``pieces_of``."""
+    """The lower-cased words between white space, in their order and with repeats; see ``pieces_of``."""
     words = text.lower().split()
     if 4 * max(map(len, words), default=0) > LONGEST:  # a character has up to four bytes
         words = [p for w in words for p in (pieces_of(w) if 4 * len(w) > LONGEST else (w,))]
-    return list(dict.fromkeys(words))
+    return words
 
 
 def pieces_of(run: str) -> list[str]:
@@ -87,11 +87,13 @@ class _Bags:
     """Texts as windows of word numbers, and words as n-gram buckets."""
 
     def __init__(self, texts: list[str], window: int):
-        seen = Counter(w for text in texts for w in words_of(text))
+        # a text teaches a word once: learnt from all repeats, fewer misspelt words of held-out texts are found
+        texts = [list(dict.fromkeys(words_of(text))) for text in texts]
+        seen = Counter(w for words in texts for w in words)
         numbers: dict[str, int] = {"": 0}
         flat, starts, owner = [], [], []
-        for t, text in enumerate(texts):
-            ids = [numbers.setdefault(w, len(numbers)) for w in words_of(text) if seen[w] >= SEEN_IN] or [0]
+        for t, words in enumerate(texts):
+            ids = [numbers.setdefault(w, len(numbers)) for w in words if seen[w] >= SEEN_IN] or [0]
             for a in window_starts(len(ids), window):
                 starts.append(len(flat))
                 owner.append(t)

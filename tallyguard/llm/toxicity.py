@@ -12,7 +12,7 @@ from tallyguard.llm.common import whole_text
 
 PER_CLASS = (2000, 1000)  # labelled rows to train on: not toxic, toxic
 MOST_CHARS = 20_000       # longer texts are scored but not trained on
-WINDOW = 8                # different words averaged together
+WINDOW = 8                # words averaged together
 THRESHOLD = 0.7
 AT_ONCE = 256             # texts scored together in a task
 

@@ -69,6 +69,18 @@ def test_an_insult_behind_a_long_run_is_read(before):
         assert model.logits(text)[:, 1].max() > 0.005 > model.logits(before)[:, 1].max()
 
 
+def test_repeated_words_have_windows():
+    """A late passage of words that all occurred before, and repeats, count."""
+    rng = np.random.default_rng(2)
+    model = subword.Model(rng.normal(size=(subword.BUCKETS, 2)).astype(np.float32), np.zeros(2), 4)
+    words = "a bad b c d worse e f g h worst i".split()
+    late = model.logits(" ".join([*words, "bad", "worse", "worst", "bad"]))
+    assert np.allclose(late[-1], model.logits("bad worse worst bad")[0])
+    bag = subword.Model(model.table, model.bias, 0)
+    one, other = (bag.logits(w)[0] for w in ("x", "y"))
+    assert np.allclose(bag.logits("x y x x")[0], (3 * one + other) / 4)
+
+
 def test_pieces_cover_a_run():
     draw = random.Random(1)
     for letters, n in (("abcdefghijklmnop", 41), ("abcdefghijklmnop", 999), ("漢字仮名混文書読本", 14), ("é😀az漢ßñ語", 300), ("\ud800\udc01ab漢字", 90)):
