@@ -20,7 +20,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tallyguard.llm.common import components, stage, whole_text
 
 EDITS = 2
-SHORTEST = 20  # characters; shorter lines are near only when equal
+SHORTEST = 20  # characters; shorter lines are near at one edit
+SHORT = 8      # characters; lines that are shorter still are near only when equal
 BUCKET = 256   # lines that share a segment and are paired
 CUT = "\x01"   # stands for a segment that was cut out
 NO_ID = (1 << 63) - 1
@@ -198,9 +199,12 @@ def _distance(a: Column, b: Column, edits: int, one) -> Column:
 
 
 def near_lines(docs: DataFrame, edits: int = EDITS, shortest: int = SHORTEST, bucket: int = BUCKET,
-               doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+               doc_id: str = "doc_id", text: str = "text", short: int | None = None) -> DataFrame:
     """One row per distinct line: doc_id, line_no, copies, class_doc_id, class_line_no, links, and whether it is ``kept``.
 
+    The shorter line of a pair says how many edits it may have: ``edits`` from ``shortest`` characters, one from
+    ``short`` (more than ``edits``) to ``shortest``, none below; without ``short``, none below ``shortest``.
+
     A line stands for its first occurrence (smallest document id, then the line's place from
     0), and a class of lines linked over any number of steps for its first line, the one that is kept.
     ``links`` counts the different lines that are near. Lines of white space only are never
@@ -212,8 +216,14 @@ def near_lines(docs: DataFrame, edits: int = EDITS, shortest: int = SHORTEST, bu
     lines = stage(occurrences.select("line", place.alias("place")).groupBy("line").agg(
         F.min("place").alias("place"), F.count(F.lit(1)).alias("copies")).withColumns(
             {"id": F.monotonically_increasing_id(), "n": F.length("line")}), "lines")
-    long = lines.where(F.col("n") >= shortest)
-    pairs = stage(candidates(long.select("id", "line", "n"), edits, bucket), "line-candidates")
+    long = lines.where(F.col("n") >= (shortest if short is None else short))
+    pairs = candidates(long.where(F.col("n") >= shortest).select("id", "line", "n"), edits, bucket)
+    allowed = F.lit(edits)
+    if short is not None:  # a line a character longer than these may be near one of them
+        few = candidates(long.where(F.col("n") <= shortest).select("id", "line", "n"), 1, bucket)
+        pairs = pairs.unionByName(few).distinct()
+        allowed = F.when(F.least(F.length("x"), F.length("y")) < shortest, 1).otherwise(edits)
+    pairs = stage(pairs, "line-candidates")
     # most candidates differ by far more than the edits: their letter counts tell, without the lines
     counts = stage(long.select("id", letter_counts(F.col("line")).alias("c")), "letter-counts")
     side = lambda n: counts.select(F.col("id").alias(n), F.col("c").alias(f"{n}_c"))
@@ -221,7 +231,7 @@ def near_lines(docs: DataFrame, edits: int = EDITS, shortest: int = SHORTEST, bu
     both = _with_texts(stage(close.select("a", "b"), "close-lines"), long)
     # few bytes and much work: dealt to all tasks, which adaptive execution would otherwise join
     both = both.repartition(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), "a", "b")
-    near = edit_distance(F.split("x", ""), F.split("y", ""), edits) <= edits
+    near = edit_distance(F.split("x", ""), F.split("y", ""), edits) <= allowed
     links = stage(both.where(near).select("a", "b"), "line-links")
     degree = links.select(F.col("a").alias("id")).unionByName(links.select(F.col("b").alias("id"))).groupBy("id").agg(
         F.count(F.lit(1)).alias("links"))
@@ -237,14 +247,14 @@ def near_lines(docs: DataFrame, edits: int = EDITS, shortest: int = SHORTEST, bu
 
 
 def line_dedup(docs: DataFrame, edits: int = EDITS, shortest: int = SHORTEST, bucket: int = BUCKET,
-               doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+               doc_id: str = "doc_id", text: str = "text", short: int | None = SHORT) -> DataFrame:
     """(doc_id, n_lines, n_kept, n_near, n_links, kept_lines) for every document id.
 
     ``n_lines`` counts the lines that aren't blank, ``kept_lines`` are the places of those that are
     the first of their class over all documents; n_near and n_links count, among the lines that
     occur here first, those with a near line and their links.
     """
-    lines = near_lines(docs, edits, shortest, bucket, doc_id, text)
+    lines = near_lines(docs, edits, shortest, bucket, doc_id, text, short)
     own = lines.groupBy(F.col("doc_id").alias("owner")).agg(
         F.count(F.when(F.col("kept"), 1)).alias("n_kept"), F.count(F.when(F.col("links") > 0, 1)).alias("n_near"),
         F.sum("links").alias("n_links"),

@@ -211,6 +211,18 @@ def test_near_lines_match_all_pairs(spark, edits, bucket):
     check_lines(spark, rows, edits, bucket)
 
 
+def test_short_lines_are_near_at_one_edit(spark):
+    """Against all pairs, over the bounds at 8 and 20 characters."""
+    rng = random.Random(3)
+    base = ["".join(rng.choice("abcdefgh ") for _ in range(n)) for n in (7, 8, 9, 12, 15, 18, 19, 20, 21, 30)]
+    lines = sorted({x for b in base for x in [b, *(edited(rng, b, 1 + i % 2) for i in range(9))] if WHITE.sub("", x)})
+    allowed = lambda n: 0 if n < 8 else 1 if n < 20 else 2
+    expected = [sum(a != b and levenshtein(a, b) <= allowed(min(len(a), len(b))) for b in lines) for a in lines]
+    got = line_dedup.line_dedup(spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")).collect()
+    assert {r.doc_id: r.n_links for r in got} == dict(enumerate(expected))
+    assert any(e for a, e in zip(lines, expected) if len(a) < 19)
+
+
 def test_line_dedup_counts_per_document(spark, docs, rows):
     got = {r.doc_id: r for r in line_dedup.line_dedup(docs).collect()}
     assert set(got) == {i for i, _ in rows}
