@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallyguard.llm import (chat, exact_dedup, line_dedup, mixing, packing, simhash, token_counts, token_files, topk, toxicity)
+from tallyguard.llm import (chat, exact_dedup, lexical_search, line_dedup, mixing, packing, simhash, token_counts,
+                            token_files, topk, toxicity)
 
 TARGETS = {"clean": 0.95, "junk": 0.05}
 
@@ -72,11 +73,17 @@ def op10_mixing(spark, sf_dir):
     return rated.select("doc_id", "tokens", *[F.col("members")[i].alias(f"p_{d}") for i, d in enumerate(TARGETS)], "rate", "copies")
 
 
+def op11_lexical_search(spark, sf_dir):
+    return lexical_search.rank_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=10)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_line_dedup, op2_simhash, op3_chat_format, op4_toxicity, op5_exact_dedup, op6_topk, op7_packing, op8_token_files,
-    op9_token_counts, op10_mixing)}
+    op9_token_counts, op10_mixing, op11_lexical_search)}
 
 WHITE = "[\\x20\\x09-\\x0D]"
+LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+TERM = "[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+"
 
 SQL: dict[str, str] = {
     "op5_exact_dedup": f"""
@@ -92,4 +99,16 @@ SQL: dict[str, str] = {
               FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0),
         r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
         SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5""",
+    "op11_lexical_search": f"""
+        WITH d AS (SELECT doc_id, regexp_extract_all({LOWER}, '{TERM}') AS ws FROM documents),
+        t AS (SELECT count(*) AS docs, CAST(sum(len(ws)) AS BIGINT) AS total FROM d WHERE len(ws) > 0),
+        q AS (SELECT DISTINCT item_id, unnest(regexp_extract_all({LOWER}, '{TERM}')) AS term FROM benchmark),
+        c AS (SELECT doc_id, n, term, count(*) AS tf FROM (SELECT doc_id, len(ws) AS n, unnest(ws) AS term FROM d)
+              WHERE term IN (SELECT term FROM q) GROUP BY ALL),
+        w AS (SELECT term, CAST(floor(1000 * ln((2 * any_value(docs) + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM c, t GROUP BY term),
+        s AS (SELECT item_id, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * docs) // total)))) AS BIGINT) AS score
+              FROM q JOIN c USING (term) JOIN w USING (term), t GROUP BY ALL),
+        r AS (SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+              FROM s WHERE score > 0)
+        SELECT * FROM r WHERE rank <= 10""",
 }
