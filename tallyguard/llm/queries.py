@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallyguard.llm import (chat, exact_dedup, lexical_search, line_dedup, mixing, packing, simhash, token_counts,
-                            token_files, topk, toxicity)
+from tallyguard.llm import (chat, exact_dedup, lexical_search, line_dedup, minhash, mixing, packing, phrases,
+                            simhash, token_counts, token_files, topk, toxicity)
 
 TARGETS = {"clean": 0.95, "junk": 0.05}
 
@@ -77,9 +77,17 @@ def op11_lexical_search(spark, sf_dir):
     return lexical_search.rank_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=10)
 
 
+def op12_minhash(spark, sf_dir):
+    return minhash.near_documents(table(spark, sf_dir, "documents"), width=4, similarity=80)
+
+
+def op13_phrases(spark, sf_dir):
+    return phrases.collocations(table(spark, sf_dir, "documents"), longest=3, least=10, share=50, top=2000)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_line_dedup, op2_simhash, op3_chat_format, op4_toxicity, op5_exact_dedup, op6_topk, op7_packing, op8_token_files,
-    op9_token_counts, op10_mixing, op11_lexical_search)}
+    op9_token_counts, op10_mixing, op11_lexical_search, op12_minhash, op13_phrases)}
 
 WHITE = "[\\x20\\x09-\\x0D]"
 LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -111,4 +119,32 @@ SQL: dict[str, str] = {
         r AS (SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
               FROM s WHERE score > 0)
         SELECT * FROM r WHERE rank <= 10""",
+    "op12_minhash": f"""
+        WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all({LOWER}, '[^\\x20\\x09-\\x0D]+') AS ws FROM documents),
+        s AS (SELECT DISTINCT doc_id, ws[i : i + 3] AS shingle FROM (
+              SELECT doc_id, ws, unnest(generate_series(1, greatest(1, len(ws) - 3))) AS i FROM d WHERE len(ws) > 0)),
+        n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+        p AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS met FROM s x JOIN s y USING (shingle) WHERE x.doc_id <> y.doc_id GROUP BY ALL),
+        e AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * met >= 80 * (x.n + y.n - met)),
+        r AS (SELECT doc_id AS a, doc_id AS b FROM d UNION SELECT r.a, e.b FROM r JOIN e ON r.b = e.a)
+        SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept
+        FROM (SELECT a AS doc_id, min(b) AS component_id FROM r GROUP BY a) LEFT JOIN n USING (doc_id)""",
+    "op13_phrases": f"""
+        WITH p AS (SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS ws FROM (
+            SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex({LOWER}, '[.,;:!?\\x0A-\\x0D]')) AS piece FROM documents)),
+        g AS (SELECT lang, ws[i : i + k - 1] AS ws, count(*) AS f FROM (
+            SELECT lang, ws, k, unnest(generate_series(1, len(ws) - k + 1)) AS i FROM p, (VALUES (1), (2), (3)) v(k)) GROUP BY ALL),
+        n AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM g WHERE len(ws) = 1 GROUP BY lang),
+        c AS (SELECT * FROM g WHERE len(ws) > 1 AND f >= 10),
+        s AS (SELECT c.lang, c.ws, c.f AS a, x.f AS l, y.f AS r, j,
+                     CAST((1000000::HUGEINT * c.f * c.f) // (x.f::HUGEINT * y.f) AS BIGINT) AS score
+              FROM (SELECT *, unnest(generate_series(1, len(ws) - 1)) AS j FROM c) c
+              JOIN g x ON x.lang = c.lang AND x.ws = c.ws[1 : j] JOIN g y ON y.lang = c.lang AND y.ws = c.ws[j + 1 :]),
+        m AS (SELECT lang, ws, max(f) AS most FROM (SELECT lang, ws[1 : 2] AS ws, f FROM c WHERE len(ws) = 3
+              UNION ALL SELECT lang, ws[2 : 3], f FROM c WHERE len(ws) = 3) GROUP BY lang, ws),
+        b AS (SELECT lang, array_to_string(ws, ' ') AS phrase, a, l, r, score FROM s LEFT JOIN m USING (lang, ws)
+              WHERE most IS NULL OR 100 * most < 50 * a
+              QUALIFY row_number() OVER (PARTITION BY lang, ws ORDER BY score, j) = 1),
+        o AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM b)
+        SELECT lang, rank, phrase, a, l, r, n, score FROM o JOIN n USING (lang) WHERE rank <= 2000""",
 }
