@@ -11,7 +11,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from tallyguard.functions import intervals
-from tallyguard.operators import latency, timeseries
+from tallyguard.operators import latency, notices, timeseries
 
 DAY = timedelta(days=1)
 
@@ -51,6 +51,7 @@ ROUTES = (
     ("alert_type", "infrastructure", "infrastructure", 10, 1800),
 )
 DEFAULT_ROUTE = ("default", 10, 3600)
+GROUP_INTERVAL = 10  # fixed value: seconds between a notice and one with news
 
 GROUP_KEYS = ("alertname", "cluster", "service")
 SENT_KEYS = (*GROUP_KEYS, "receiver")  # each route groups and sends on its own
@@ -154,20 +155,26 @@ def union_rules(flags: list[DataFrame]) -> DataFrame:
 
 
 def firing_evaluations(flags: DataFrame, step: timedelta) -> DataFrame:
-    """Every firing evaluation (alertname, severity, alert_type, series, ts, value) of stacked flags."""
+    """Every firing evaluation (alertname, severity, alert_type, series, ts, value, fresh) of stacked flags.
+
+    The first of a run is ``fresh``. Flags come every ``step``.
+    """
+    first = F.col("ts") < F.col("pending_since") + F.col("hold") + intervals.literal(step)
     return alert_for_duration(flags, "hold", step, ("alertname", "series")).filter("firing").select(
-        "alertname", "severity", "alert_type", "series", "ts", "value")
+        "alertname", "severity", "alert_type", "series", "ts", "value", first.alias("fresh"))
 
 
 def notifications(flags: DataFrame, step: timedelta, labels: dict[str, Column],
                   segment: timedelta = 7 * DAY) -> DataFrame:
-    """The whole chain: held flags of all rules, routed, grouped and throttled to what is sent.
+    """The whole chain: held flags of all rules, routed, grouped, and what is sent of each group.
 
-    ``labels`` are the cluster and service of a firing series. A row is one notification of a
-    group (alertname, cluster, service, receiver) at ``ts``.
+    ``labels`` are the cluster and service of a firing series. A row is one notice of a
+    group (alertname, cluster, service, receiver) at ``ts``, of ``kind`` firing or resolved
+    (see ``notices``). A group that fires at the last evaluation of all is still open.
     """
-    firing = firing_evaluations(flags, step).withColumns(labels)
-    return alert_repeat_throttle(alert_routing(firing), SENT_KEYS, segment=segment)
+    firing = alert_routing(firing_evaluations(flags, step).withColumns(labels))
+    last = flags.agg(F.max("ts")).scalar()
+    return notices.group_notices(firing, SENT_KEYS, step, last, segment)
 
 
 # Every rule comes as flags, to be stacked, and as ``alert_*``, its own evaluation.
@@ -283,14 +290,15 @@ def alert_low_prediction_rate(df: DataFrame, step: timedelta, window: timedelta
 # --- notification ---------------------------------------------------------
 
 def alert_routing(alerts: DataFrame) -> DataFrame:
-    """Add receiver, group wait and repeat interval (seconds)."""
+    """Add receiver, group wait, group interval and repeat interval (seconds)."""
     receiver, wait, repeat = (F.lit(x) for x in DEFAULT_ROUTE)
     for col, value, name, wait_s, repeat_s in reversed(ROUTES):
         match = F.col(col) == value
         receiver = F.when(match, name).otherwise(receiver)
         wait = F.when(match, wait_s).otherwise(wait)
         repeat = F.when(match, repeat_s).otherwise(repeat)
-    return alerts.withColumns({"receiver": receiver, "group_wait": wait, "repeat_interval": repeat})
+    return alerts.withColumns({"receiver": receiver, "group_wait": wait, "group_interval": F.lit(GROUP_INTERVAL),
+                               "repeat_interval": repeat})
 
 
 def alert_grouping(alerts: DataFrame, keys: tuple[str, ...] = GROUP_KEYS) -> DataFrame:

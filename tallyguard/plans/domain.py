@@ -156,6 +156,14 @@ class Domain:
             "case event_type when 'click' then 'performance' when 'view' then 'infrastructure' "
             "else 'business' end as alert_type", "date_trunc('minute', ts) as ts", "ts as starts_at")
 
+    def firing_members(self, rows: DataFrame | None = None) -> DataFrame:
+        """Members of alert groups that fire in an hour; some have begun to in this one."""
+        return (self.events() if rows is None else rows).selectExpr(
+            "event_type as alertname", "concat('c_', user_id % 3) as cluster", "'scoring' as service",
+            "case when event_type = 'error' then 'critical' else 'warning' end as severity",
+            "case event_type when 'click' then 'performance' when 'view' then 'infrastructure' "
+            "else 'business' end as alert_type", "date_trunc('hour', ts) as ts", "k < 40 as fresh")
+
     def registry(self) -> DataFrame:
         return self.table("part").selectExpr(
             "concat('model_', p_partkey div 12) as model_name", "cast(p_partkey % 12 + 1 as string) as version",

@@ -6,7 +6,7 @@ from datetime import timedelta
 
 from pyspark.sql import functions as F
 
-from tallyguard.operators import alerts, latency, timeseries
+from tallyguard.operators import alerts, latency, notices, timeseries
 from tallyguard.plans.domain import HOLD, STEP, WINDOW, Domain, with_views
 from tallyguard.plans.registry import plan
 
@@ -307,7 +307,8 @@ def _rule_sql(rule: alerts.Rule, flags: str = "flags") -> str:
 
 def _firing_sql(rule: alerts.Rule, flags: str) -> str:
     return f"""SELECT '{rule.alertname}' AS alertname, '{rule.severity}' AS severity, '{rule.alert_type}' AS alert_type,
-            series, ts FROM ({_held_sql(flags)}) WHERE active AND ts >= pending_since + INTERVAL '2 hours'"""
+            series, ts, ts < pending_since + INTERVAL '3 hours' AS fresh
+        FROM ({_held_sql(flags)}) WHERE active AND ts >= pending_since + INTERVAL '2 hours'"""
 
 
 RULES = {}  # by plan: the rule, its flags in SQL, the views they read, and their builder
@@ -435,12 +436,62 @@ def alert_repeat_throttle(d: Domain):
     return alerts.alert_repeat_throttle(alerts.alert_routing(d.alert_rows()))
 
 
+_GROUP = "alertname, cluster, service, receiver"
+
+
+def _notices_sql(until: str | None, scale: int = 1) -> tuple[str, dict[str, str]]:
+    """(body, views) of the notices of ``alerts``, by steps of an hour; ``scale`` stretches the limits."""
+    same = " AND ".join(f"{{0}}.{c} = {{1}}.{c}" for c in [*_GROUP.split(", "), "island"])
+    over = f"PARTITION BY {_GROUP}"
+    views = {
+        "steps": f"""SELECT alertname, cluster, service, {_RECEIVER} AS receiver, ts, {scale} * ({_WAIT}) AS wait,
+            {scale} * 10 AS news, {scale} * ({_REPEAT}) AS gap, count(*) AS n, bool_or(fresh) AS fresh FROM alerts GROUP BY ALL""",
+        "islands": f"""SELECT *, sum(brk) OVER ({over} ORDER BY ts) AS island FROM (SELECT *, CASE
+            WHEN ts <= lag(ts) OVER ({over} ORDER BY ts) + INTERVAL '1 hour' THEN 0 ELSE 1 END AS brk FROM steps)""",
+        "episodes": f"""SELECT *, min(ts) OVER ({over}, island) AS opened_at, max(ts) OVER ({over}, island) AS ended,
+            min(CASE WHEN fresh THEN ts END) OVER ({over}, island ORDER BY ts ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING)
+            AS told FROM islands""",
+        "hops": f"""SELECT {", ".join("e." + c for c in _GROUP.split(", "))}, e.island, e.ts, min(x.ts) AS nxt FROM episodes e
+            JOIN episodes x ON {same.format("x", "e")} AND x.ts > e.ts AND (x.ts >= e.ts + INTERVAL 1 SECOND * e.gap
+            OR x.ts >= e.told AND x.ts >= e.ts + INTERVAL 1 SECOND * e.news) GROUP BY ALL""",
+        "sent": f"""SELECT {_GROUP}, island, min(ts) AS ts FROM episodes WHERE ts >= opened_at + INTERVAL 1 SECOND * wait GROUP BY ALL
+            UNION ALL SELECT {", ".join("h." + c for c in _GROUP.split(", "))}, h.island, h.nxt FROM sent s
+            JOIN hops h ON {same.format("h", "s")} AND h.ts = s.ts""",
+    }
+    over_by = f" AND ended + INTERVAL '1 hour' <= {until}" if until else ""
+    return f"""SELECT {_GROUP}, ts, 'firing' AS kind, n, opened_at FROM sent JOIN episodes USING ({_GROUP}, island, ts)
+        UNION ALL SELECT {_GROUP}, ended + INTERVAL '1 hour', 'resolved', n, opened_at FROM episodes e
+        WHERE ts = ended{over_by} AND EXISTS (FROM sent s WHERE {same.format("s", "e")})""", views
+
+
+# Limits are stretched by an hour for ten seconds: the test tables hold a few alerts an hour.
+STRETCH = 360
+NOTICES, _NOTICE_VIEWS = _notices_sql(None, STRETCH)
+MEMBERS = """SELECT event_type AS alertname, 'c_' || (user_id % 3) AS cluster, 'scoring' AS service,
+    CASE WHEN event_type = 'error' THEN 'critical' ELSE 'warning' END AS severity,
+    CASE event_type WHEN 'click' THEN 'performance' WHEN 'view' THEN 'infrastructure' ELSE 'business' END AS alert_type,
+    date_trunc('hour', ts) AS ts, k < 40 AS fresh FROM ev"""
+NOTICE_VIEWS = {"alerts": MEMBERS, **_NOTICE_VIEWS}
+
+
+def stretched(routed):
+    return routed.withColumns({c: F.col(c) * STRETCH for c in ("group_wait", "group_interval", "repeat_interval")})
+
+
+@plan("alert_notifications", with_views(NOTICES, "ev", more=NOTICE_VIEWS, recursive=True))
+def alert_notifications(d: Domain):
+    """What is sent of the groups of the test alerts, with waits, news, repeats and resolutions."""
+    return notices.group_notices(stretched(alerts.alert_routing(d.firing_members())), alerts.SENT_KEYS, STEP)
+
+
 _FIRING = " UNION ALL ".join(f"SELECT * FROM ({_firing_sql(rule, f'{n}_flags')})" for n, (rule, *_) in RULES.items())
+_LAST = "(SELECT max(ts) FROM (" + " UNION ALL ".join(f"SELECT max(ts) AS ts FROM {n}" for n in _ALL_FLAGS) + "))"
+_PIPELINE, _PIPELINE_VIEWS = _notices_sql(_LAST)
 
 
-@plan("alert_pipeline", with_views("SELECT * FROM sent", *_ALL_VIEWS, recursive=True, more=_ALL_MORE | {
-    "alerts": f"SELECT *, 'c_' || right(series, 1) AS cluster, 'scoring' AS service FROM ({_FIRING})"} | _SENT_VIEWS))
+@plan("alert_pipeline", with_views(_PIPELINE, *_ALL_VIEWS, recursive=True, more=_ALL_MORE | {
+    "alerts": f"SELECT *, 'c_' || right(series, 1) AS cluster, 'scoring' AS service FROM ({_FIRING})"} | _PIPELINE_VIEWS))
 def alert_pipeline(d: Domain):
-    """From the samples of all series to what is sent: nine rules, held, routed, grouped and throttled."""
+    """From the samples of all series to what is sent: nine rules, held, routed, grouped, told and resolved."""
     labels = {"cluster": F.concat(F.lit("c_"), F.right("series", F.lit(1))), "service": F.lit("scoring")}
     return alerts.notifications(_all_flags(d), STEP, labels)

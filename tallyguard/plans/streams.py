@@ -10,20 +10,17 @@ from pyspark.sql.types import StructType
 
 from tallyguard import schemas
 from tallyguard.operators import alerts, scoring
+from tallyguard.operators.notices import LIMITS
 from tallyguard.plans.domain import EVENTS, HOLD, Domain, with_views
-from tallyguard.plans.monitoring import _SENT_VIEWS, _held_sql
+from tallyguard.plans.monitoring import _GROUP, _SENT_VIEWS, NOTICE_VIEWS, NOTICES, _held_sql, stretched
 from tallyguard.plans.registry import plan
 from tallyguard.plans.transactions import _USERS
 from tallyguard.session import scratch_dir
 from tallyguard.sources import kafka
-from tallyguard.streaming import aggregates, alert_state, scoring as stream
+from tallyguard.streaming import aggregates, alert_state, bounded, scoring as stream
 
 HOUR = timedelta(hours=1)
 
-# The keyed processors get a step once the watermark, ten minutes behind the newest event, has passed its end.
-CLOSED = "(SELECT max(ts) - INTERVAL '10 minutes' FROM ev)"
-
-
 def _finish(query: StreamingQuery) -> None:
     query.awaitTermination()
 
@@ -58,6 +55,22 @@ def _stateful(d: Domain, df: DataFrame) -> DataFrame:
         d.spark.conf.set(alert_state.STATE_STORE_CONF, before)
 
 
+def _to_the_end(d: Domain, build) -> DataFrame:
+    """Run ``build(events)`` with its state on disk until nothing is open, and read what it committed."""
+    path, checkpoint, marks = (scratch_dir(d.spark, x) for x in ("sink", "checkpoint", "marks"))
+    events = bounded.with_end_mark(d.event_stream(), marks)
+    df = build(events)
+    start = (df.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint)
+             .outputMode("append").trigger(availableNow=True).start)
+    before = d.spark.conf.get(alert_state.STATE_STORE_CONF)
+    d.spark.conf.set(alert_state.STATE_STORE_CONF, alert_state.ROCKSDB)
+    try:
+        bounded.run_to_end(start, events, "ts", marks)
+    finally:
+        d.spark.conf.set(alert_state.STATE_STORE_CONF, before)
+    return _unzoned(d.spark.read.schema(df.schema).parquet(path))
+
+
 def _messages(d: Domain) -> DataFrame:
     """The events as JSON messages; some are unreadable."""
     body = F.to_json(F.struct(
@@ -223,14 +236,12 @@ def stream_label_join(d: Domain):
     return _stateful(d, joined.select("transaction_id", "is_fraud_predicted", "label"))
 
 
-_STATES = f"""SELECT series, 'pending' AS state, start AS changed_at FROM runs
+_STATES = """SELECT series, 'pending' AS state, start AS changed_at FROM runs
     UNION ALL SELECT series, 'firing', fires FROM runs WHERE fires IS NOT NULL
-    UNION ALL SELECT series, CASE WHEN fires IS NULL THEN 'inactive' ELSE 'resolved' END, ends FROM runs
-    WHERE ends <= {CLOSED}"""
+    UNION ALL SELECT series, CASE WHEN fires IS NULL THEN 'inactive' ELSE 'resolved' END, ends FROM runs"""
 _STATE_VIEWS = {
-    "flags": f"""SELECT 'pod_' || (user_id % 6) AS series, time_bucket(INTERVAL '1 hour', ev.ts) + INTERVAL '1 hour' AS ts,
-        max((ev.ts, k > 30))[2] AS active FROM ev GROUP BY 1, 2
-        HAVING time_bucket(INTERVAL '1 hour', ev.ts) + INTERVAL '1 hour' <= {CLOSED}""",
+    "flags": """SELECT 'pod_' || (user_id % 6) AS series, time_bucket(INTERVAL '1 hour', ev.ts) + INTERVAL '1 hour' AS ts,
+        max((ev.ts, k > 30))[2] AS active FROM ev GROUP BY 1, 2""",
     "held": _held_sql("flags"),
     "runs": """SELECT series, pending_since AS start, min(ts) FILTER (WHERE ts >= pending_since + INTERVAL '2 hours') AS fires,
         max(ts) + INTERVAL '1 hour' AS ends FROM held WHERE active GROUP BY series, pending_since""",
@@ -239,21 +250,36 @@ _STATE_VIEWS = {
 
 @plan("stream_alert_state", with_views(_STATES, "ev", more=_STATE_VIEWS))
 def stream_alert_state(d: Domain):
-    """The newest sample of every pod and hour, held for two; hours without a sample break the hold."""
-    flags = d.event_stream().selectExpr("concat('pod_', user_id % 6) as series", "ts", "k > 30 as active")
-    return _stateful(d, alert_state.stream_alert_state(flags, HOLD, HOUR))
+    """The newest sample of every pod and hour, held for two; hours without a sample, and the end, break the hold."""
+    def states(events):
+        flags = events.selectExpr("concat('pod_', user_id % 6) as series", "ts", "k > 30 as active")
+        return alert_state.stream_alert_state(flags, HOLD, HOUR)
+    return _to_the_end(d, states)
 
 
 @plan("stream_alert_throttle", with_views(
-    f"""SELECT concat_ws('/', alertname, cluster, service, receiver) AS group_key, ts FROM sent
-    WHERE ts + INTERVAL '1 minute' <= {CLOSED}""", "alerts", more=_SENT_VIEWS, recursive=True))
+    "SELECT concat_ws('/', alertname, cluster, service, receiver) AS group_key, ts FROM sent",
+    "alerts", more=_SENT_VIEWS, recursive=True))
 def stream_alert_throttle(d: Domain):
     """As the batch plan: a route is a group of its own."""
-    rows = d.event_stream().selectExpr(
-        "event_type", "user_id", "ts",
-        "case when event_type = 'error' or k >= 80 then 'critical' else 'warning' end as severity",
-        "case event_type when 'click' then 'performance' when 'view' then 'infrastructure' "
-        "else 'business' end as alert_type")
-    group = F.expr("concat_ws('/', event_type, concat('c_', user_id % 3), 'scoring', receiver)").alias("group_key")
-    routed = alerts.alert_routing(rows).select(group, "ts", "repeat_interval")
-    return _stateful(d, alert_state.stream_alert_throttle(routed))
+    def sent(events):
+        rows = events.selectExpr(
+            "event_type", "user_id", "ts",
+            "case when event_type = 'error' or k >= 80 then 'critical' else 'warning' end as severity",
+            "case event_type when 'click' then 'performance' when 'view' then 'infrastructure' "
+            "else 'business' end as alert_type")
+        group = F.expr("concat_ws('/', event_type, concat('c_', user_id % 3), 'scoring', receiver)").alias("group_key")
+        return alert_state.stream_alert_throttle(alerts.alert_routing(rows).select(group, "ts", "repeat_interval"))
+    return _to_the_end(d, sent)
+
+
+@plan("stream_notifications", with_views(
+    f"""SELECT concat_ws('/', {_GROUP}) AS group_key, ts, kind, n, opened_at FROM ({NOTICES})""",
+    "ev", more=NOTICE_VIEWS, recursive=True))
+def stream_notifications(d: Domain):
+    """The notices of the batch plan, from a stream of its alerts."""
+    def told(events):
+        routed = stretched(alerts.alert_routing(d.firing_members(events)))
+        group = F.concat_ws("/", *alerts.SENT_KEYS).alias("group_key")
+        return alert_state.stream_notifications(routed.select(group, "ts", "fresh", *LIMITS), HOUR)
+    return _to_the_end(d, told)

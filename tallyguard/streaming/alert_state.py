@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from tallyguard.functions import intervals
+from tallyguard.operators.notices import FIRING as TOLD, LIMITS, RESOLVED as OVER, SECOND
 from tallyguard.streaming.scoring import WATERMARK
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -134,6 +135,69 @@ class RepeatProcessor(StatefulProcessor):
         pass
 
 
+class NoticeProcessor(StatefulProcessor):
+    """The notices of a group (see ``operators.notices``), from its steps (at, n, fresh, limits).
+
+    State of an open episode: when it opened, its last step and how many members fired
+    then, its last notice, and whether there are news. A timer ends an episode whose group falls silent.
+    """
+
+    def __init__(self, step_us: int):
+        self.step_us = step_us
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.open = handle.getValueState("open", "opened long, seen long, n long, last long, news boolean")
+
+    def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        kept = self.open.get() if self.open.exists() else None
+        out = []
+        if kept:
+            self.handle.deleteTimer(self._timer(kept[1]))
+        frame = _ordered(rows)
+        limits = frame[list(LIMITS)].astype("int64") * SECOND
+        for at, n, fresh, wait, told, repeat in zip(_micros(frame["at"]), frame["n"].tolist(), frame["fresh"].tolist(),
+                                                    *(limits[c].tolist() for c in LIMITS)):
+            if kept and at - kept[1] > self.step_us:
+                out += self._over(kept)
+                kept = None
+            opened, _, _, last, news = kept or (at, at, n, None, False)
+            news = news or (last is not None and fresh)
+            if at >= opened + wait if last is None else at >= last + repeat or (news and at >= last + told):
+                out.append((at, TOLD, n, opened))
+                last, news = at, False
+            kept = (opened, at, n, last, news)
+        self.handle.registerTimer(self._timer(kept[1]))
+        self.open.update(kept)
+        if out:
+            yield self._frame(key, out)
+
+    def handleExpiredTimer(self, key: Any, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        if self.open.exists():
+            out = self._over(self.open.get())
+            self.open.clear()
+            if out:
+                yield self._frame(key, out)
+
+    def _timer(self, seen: int) -> int:
+        """The next step would be here by then: steps are stamped by their start, and come when they have ended."""
+        return (seen + 2 * self.step_us) // 1000
+
+    def _over(self, kept: tuple) -> list[tuple]:
+        opened, seen, n, last, _ = kept
+        return [(seen + self.step_us, OVER, n, opened)] if last is not None else []
+
+    def close(self) -> None:
+        pass
+
+    @staticmethod
+    def _frame(key: Any, out: list[tuple]) -> pd.DataFrame:
+        found = pd.DataFrame(out, columns=["ts", "kind", "n", "opened_at"])
+        for c in ("ts", "opened_at"):
+            found[c] = pd.to_datetime(found[c], unit="us")
+        return found.assign(group_key=str(key[0]))[["group_key", "ts", "kind", "n", "opened_at"]]
+
+
 def stream_evaluations(df: DataFrame, key: str, at: str, step: timedelta, delay: timedelta,
                        **aggs: Column) -> DataFrame:
     """Rows (key, at, ts, ...) of closed steps; ``at`` is the step's ``start`` or ``end``."""
@@ -166,3 +230,17 @@ def stream_alert_throttle(alerts: DataFrame, step: timedelta = timedelta(minutes
     return due.groupBy("group_key").transformWithStateInPandas(
         RepeatProcessor(intervals.micros(longest_repeat)),
         "group_key string, ts timestamp", "Append", "EventTime")
+
+
+def stream_notifications(firing: DataFrame, step: timedelta = timedelta(minutes=1),
+                         delay: timedelta = WATERMARK) -> DataFrame:
+    """Notices (group_key, ts, kind, n, opened_at) of (group_key, ts, fresh, limits), a row for each member and step.
+
+    As in batch: the first waits, news are batched, the rest is repeated, and the end of the
+    last member is told. Limits are those of a group's route, in seconds.
+    """
+    steps = stream_evaluations(firing, "group_key", "start", step, delay, n=F.count(F.lit(1)),
+                               fresh=F.coalesce(F.bool_or("fresh"), F.lit(False)), **{c: F.max(c) for c in LIMITS})
+    return steps.groupBy("group_key").transformWithStateInPandas(
+        NoticeProcessor(intervals.micros(step)),
+        "group_key string, ts timestamp, kind string, n long, opened_at timestamp", "Append", "EventTime")

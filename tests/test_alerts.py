@@ -152,5 +152,5 @@ def test_notifications_of_held_rules(spark):
     two = alerts.rule_flags(flags(spark, {"s": "x" * 30}), alerts.CRASH_LOOP.tuned(hold=MIN))
     labels = {"cluster": F.lit("c"), "service": F.col("series")}
     out = alerts.notifications(alerts.union_rules([one, two]), MIN, labels).collect()
-    sent = sorted((r.alertname, r.receiver, (r.ts - T0) // MIN) for r in out)
-    assert sent == [("CrashLoop", "infrastructure", 1)] + [("HighLoad", "critical", i) for i in range(2, 30, 5)]
+    sent = sorted((r.alertname, r.receiver, (r.ts - T0) // MIN, r.kind) for r in out)
+    assert sent == [("CrashLoop", "infrastructure", 2, "firing")] + [("HighLoad", "critical", i, "firing") for i in range(2, 30, 5)]

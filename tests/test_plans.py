@@ -10,7 +10,7 @@ from tests.oracle import compare, connect
 
 ROOT = Path(__file__).parent.parent
 PYTHON = re.compile(r"BatchEvalPython|ArrowEvalPython|MapInPandas|FlatMapGroupsInPandas|PythonUDF")
-NEEDS_PYTHON = {"score_python_model", "alert_repeat_throttle", "alert_pipeline"}
+NEEDS_PYTHON = {"score_python_model", "alert_repeat_throttle", "alert_pipeline", "alert_notifications"}
 STREAMED = {n for n in PLANS if n.startswith("stream_") and n != "stream_performance"}
 
 

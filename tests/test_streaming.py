@@ -1,3 +1,4 @@
+import random
 from datetime import datetime, timedelta
 
 import pytest
@@ -5,7 +6,8 @@ from pyspark.sql import functions as F
 
 from tallyguard import schemas
 from tallyguard.operators import alerts, quality, scoring
-from tallyguard.streaming import aggregates, alert_state, scoring as stream
+from tallyguard.streaming import aggregates, alert_state, bounded, scoring as stream
+from tests.test_notices import minutes, plain, rows_of
 
 T0 = datetime(2024, 1, 1)
 MIN = timedelta(minutes=1)
@@ -164,3 +166,26 @@ def test_rates_from_panes_include_the_last_windows(spark):
     panes = spark.createDataFrame([(T0, 3), (T0 + MIN, 6)], "window_start timestamp, rows long")
     got = {(r.window_start - T0) // MIN: r.rate * 120 for r in aggregates.rate_of_panes(panes, MIN, 2 * MIN).collect()}
     assert got == {-1: 3.0, 0: 9.0, 1: 6.0}
+
+
+def test_notices_as_in_batch_over_restarts_and_to_the_end(spark, tmp_path, rocksdb):
+    rng, rows, want = random.Random(5), [], {}
+    for g in range(6):
+        wait, news, repeat = rng.choice([0, 2]), rng.choice([1, 3]), rng.choice([4, 9])
+        steps = {t: (rng.randint(1, 3), rng.random() < 0.2) for t in range(40) if rng.random() < 0.9}
+        rows += [(r[0], r[2], r[3], *r[4:]) for r in rows_of(f"g{g}", steps, wait, news, repeat)]
+        want[f"g{g}"] = sorted(plain(steps, wait, news, repeat))
+    schema = "group_key string, ts timestamp, fresh boolean, group_wait int, group_interval int, repeat_interval int"
+    for i in range(2):
+        part = [r for r in rows if (r[1] < T0 + 17 * MIN) == (i == 0)]
+        write(spark, part, schema, tmp_path / "in", f"f{i}")
+        firing = bounded.with_end_mark(source(spark, tmp_path, schema, 10), str(tmp_path / "marks")) if i == 0 else firing
+        df = alert_state.stream_notifications(firing, MIN, delay=MIN)
+        if i == 0:
+            path = run(df, tmp_path)
+    out = str(tmp_path / "out")
+    start = (df.writeStream.format("parquet").option("path", out).option("checkpointLocation", f"{out}-checkpoint")
+             .trigger(availableNow=True).start)
+    bounded.run_to_end(start, firing, "ts", str(tmp_path / "marks"))
+    told = spark.read.parquet(path).collect()
+    assert {g: minutes(r for r in told if r.group_key == g) for g in want} == want
