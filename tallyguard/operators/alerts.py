@@ -11,7 +11,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from tallyguard.functions import intervals
-from tallyguard.operators import latency, notices, timeseries
+from tallyguard.operators import cube, latency, notices, timeseries
+from tallyguard.session import staged
 
 DAY = timedelta(days=1)
 
@@ -28,6 +29,10 @@ class Rule:
     def tuned(self, **changes) -> "Rule":
         return replace(self, **changes)
 
+    def test(self, value: Column) -> Column:
+        limit = F.lit(self.threshold)
+        return {">": value > limit, ">=": value >= limit, "<": value < limit, "==": value == limit}[self.op]
+
 
 def _minutes(n: int) -> timedelta:
     return timedelta(minutes=n)
@@ -136,11 +141,48 @@ def rule_flags(flags: DataFrame, rule: Rule) -> DataFrame:
 
 def threshold_flags(vector: DataFrame, rule: Rule) -> DataFrame:
     """Judge a vector of (series, step, value)."""
-    value, limit = F.col("value").cast("double"), F.lit(rule.threshold)
-    active = {">": value > limit, ">=": value >= limit, "<": value < limit, "==": value == limit}[rule.op]
+    active = rule.test(F.col("value").cast("double"))
     return rule_flags(vector.select("series", F.col("step").alias("ts"), active.alias("active"), "value"), rule)
 
 
+def flags_on_windows(windows: DataFrame, rules: list[tuple[Rule, Column, Column | None]]) -> DataFrame:
+    """The flags of many rules on the windows of a cube, in one pass: (rule, its value, what must hold beside its limit).
+
+    A value that is null is no evaluation.
+    """
+    judged = []
+    for rule, value, beside in rules:
+        value = value.cast("double")
+        active = rule.test(value) if beside is None else rule.test(value) & F.coalesce(beside, F.lit(False))
+        judged.append(F.struct(
+            F.lit(rule.alertname).alias("alertname"), F.lit(rule.severity).alias("severity"),
+            F.lit(rule.alert_type).alias("alert_type"), F.col("series").cast("string").alias("series"), F.col("step").alias("ts"),
+            active.alias("active"), value.alias("value"), intervals.literal(rule.hold).alias("hold")))
+    return windows.select(F.inline(F.array(*judged))).filter("value is not null")
+
+
+def flags_on_scrapes(rows: DataFrame, step: timedelta, buckets: list[str], bounds: tuple[float, ...],
+                     window: timedelta = timeseries.FIVE_MINUTES, total: str = "total", errors: str = "errors",
+                     rules: tuple[Rule, Rule, Rule] | None = None, q: float = 0.95) -> DataFrame:
+    """Latency, error share and request rate of scraped counters (see ``cube.scrapes``), judged in one pass.
+
+    ``buckets`` are the histogram's columns in the order of their ``bounds``. All need two samples of different
+    time in the window, and a share or a quantile needs a rise.
+    """
+    metrics = cube.Metrics(counters=((total,), (errors,), tuple(buckets)))
+    windows = cube.windowed(rows, step, window, metrics)
+    return flags_on_windows(windows, scraped_rules(buckets, bounds, total, errors, rules, q))
+
+
+def scraped_rules(buckets: list[str], bounds: tuple[float, ...], total: str = "total", errors: str = "errors",
+                  rules: tuple[Rule, Rule, Rule] | None = None, q: float = 0.95) -> list[tuple[Rule, Column, Column | None]]:
+    """The rules on latency, error share and request rate, over the windows of a cube."""
+    latency_rule, error_rule, rate_rule = rules or (HIGH_LATENCY, HIGH_ERROR_RATE, LOW_PREDICTION_RATE)
+    timed = lambda group, value: F.when(F.col(f"{group}_seconds") > 0, value)
+    return [(latency_rule, timed(buckets[0], cube.bucket_quantile(buckets, bounds, q)), None),
+            (error_rule, timed(total, cube.share(errors, total)), None), (rate_rule, cube.rate(total), None)]
+
+
 def evaluate_rules(flags: DataFrame, step: timedelta) -> DataFrame:
     """First firing evaluation of every run, for the stacked flags of any number of rules at once."""
     held = alert_for_duration(flags, "hold", step, ("alertname", "series"))
@@ -170,8 +212,10 @@ def notifications(flags: DataFrame, step: timedelta, labels: dict[str, Column],
 
     ``labels`` are the cluster and service of a firing series. A row is one notice of a
     group (alertname, cluster, service, receiver) at ``ts``, of ``kind`` firing or resolved
-    (see ``notices``). A group that fires at the last evaluation of all is still open.
+    (see ``notices``). A group that fires at the last evaluation of all is still open. The
+    flags are written once, for the hold and for that last evaluation.
     """
+    flags = staged(flags, "flags")
     firing = alert_routing(firing_evaluations(flags, step).withColumns(labels))
     last = flags.agg(F.max("ts")).scalar()
     return notices.group_notices(firing, SENT_KEYS, step, last, segment)

@@ -194,6 +194,13 @@ def scaling_signals(cpu: DataFrame, memory: DataFrame, rps_per_pod: DataFrame, p
                         | F.col("rps_per_pod_high") | F.col("p95_ms_high")))
 
 
+def scaling_flags(by_step: DataFrame, limits: dict[str, float] = SCALE_LIMITS) -> DataFrame:
+    """The same flags from one row per step with a column for each signal."""
+    flags = [F.coalesce(F.col(name) > F.lit(limit), F.lit(False)).alias(f"{name}_high") for name, limit in limits.items()]
+    return by_step.select("step", *flags).withColumn("scale_up", F.col("cpu_high") | F.col("memory_high")
+                                                     | F.col("rps_per_pod_high") | F.col("p95_ms_high"))
+
+
 def readiness_rollup(samples: DataFrame) -> DataFrame:
     """Worst state of each host from its (cpu, memory) samples."""
     level = (F.when(F.col("memory") > 95, 2)

@@ -17,6 +17,8 @@ STEP = timedelta(hours=1)
 WINDOW = timedelta(hours=3)
 HOLD = timedelta(hours=2)
 
+BUCKETS, BOUNDS, BOUND_TEXTS = ["b0", "b1", "b2", "b3"], (0.1, 0.5, 1.0, float("inf")), ("0.1", "0.5", "1.0", "+Inf")
+
 # Schemas of the given tables that are read: known, so that no job has to look into files for them.
 EVENTS = ("event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, "
           "value double, props string")
@@ -148,6 +150,39 @@ class Domain:
             named_struct('name', 'ready', 'series', concat('node_', user_id % 3), 'value', case when k < 30 then 0 else 1 end),
             named_struct('name', 'restarts', 'series', concat('pod_', user_id % 6), 'value', k % 8)))""")
 
+    def pod_scrapes(self) -> DataFrame:
+        """Every event as a scrape of its pod: gauges, counters that start over every day, a histogram, and a request.
+
+        The bucket up to 0.1 s starts over at noon too, alone.
+        """
+        second, pod = "cast(hour(ts) * 3600 + minute(ts) * 60 + second(ts) as bigint)", "(user_id % 6 + 1)"
+        total = f"{second} * {pod} div 60"
+        return self.events().selectExpr(
+            "concat('pod_', user_id % 6) as series", "ts", "user_id", "k", "value / 400D as seconds",
+            "case when k < 5 then 0 else 1 end as up", "k % 8 as restarts", "k * 1048576L as used", "104857600L as limit",
+            f"{second} * {second} * {pod} div 260 as cpu", f"{total} as total", f"{second} * {second} * {pod} div 40000000 as errors",
+            f"{second} % 43200 * {pod} div 100 as b0",
+            f"case when user_id % 2 = 0 then ({total}) * 9 div 10 else ({total}) * 97 div 100 end as b1",
+            f"({total}) * 99 div 100 as b2", f"{total} as b3")
+
+    def scrapes(self) -> DataFrame:
+        """The scrapes of pods, deployments and nodes: a row for each, null where a target lacks a metric."""
+        kinds = {"pod": ("series", {c: c for c in ("up", "restarts", "used", "limit", "cpu", "total", "errors", *BUCKETS)}),
+                 "deployment": ("concat('deployment_', user_id % 2)", {"replicas": "4 + k % 4"}),
+                 "node": ("concat('node_', user_id % 3)", {"ready": "case when k < 30 then 0 else 1 end"})}
+        names = [c for _, own in kinds.values() for c in own]
+        rows = [f"struct({series} as series, " + ", ".join(f"cast({own.get(c, 'null')} as bigint) as {c}" for c in names) + ")"
+                for series, own in kinds.values()]
+        return self.pod_scrapes().selectExpr("ts", f"inline(array({', '.join(rows)}))")
+
+    def exposition(self) -> DataFrame:
+        """The counters of the pods as scrape text."""
+        at = "concat('job=\"api\",pod=\"', series, '\"')"
+        lines = [f"concat('ml_predictions_total{{', {at}, '}} ', total)", f"concat('ml_prediction_errors_total{{', {at}, '}} ', errors)",
+                 f"concat('ml_predictions_total{{job=\"other\",pod=\"', series, '\"}} 7')"]
+        lines += [f"concat('ml_prediction_duration_seconds_bucket{{', {at}, ',le=\"{b}\"}} ', {c})" for c, b in zip(BUCKETS, BOUND_TEXTS)]
+        return self.pod_scrapes().selectExpr("ts", f"explode(array({', '.join(lines)})) as value")
+
     def alert_rows(self) -> DataFrame:
         """Alerts as rules give them: one evaluation a minute."""
         return self.events().selectExpr(
@@ -264,6 +299,11 @@ VIEWS = {
     "cpu": f"""SELECT 'pod_' || (user_id % 6) AS series, ts,
         {_SECOND} * {_SECOND} * (user_id % 6 + 1) // 260 AS value FROM ev""",
     "up": _GAUGE.format(series="'pod_' || (user_id % 6)", value="CASE WHEN k < 5 THEN 0 ELSE 1 END"),
+    "scrapes": f"""SELECT series, ts, total::DOUBLE AS total, (s * s * p // 40000000)::DOUBLE AS errors,
+        (s % 43200 * p // 100)::DOUBLE AS b0, (CASE WHEN user_id % 2 = 0 THEN total * 9 // 10 ELSE total * 97 // 100 END)::DOUBLE AS b1,
+        (total * 99 // 100)::DOUBLE AS b2, total::DOUBLE AS b3
+        FROM (SELECT 'pod_' || (user_id % 6) AS series, ts, user_id, {_SECOND} AS s, user_id % 6 + 1 AS p,
+              {_SECOND} * (user_id % 6 + 1) // 60 AS total FROM ev)""",
     "replicas": _GAUGE.format(series="'deployment_' || (user_id % 2)", value="4 + k % 4"),
     "memory": _GAUGE.format(series="'pod_' || (user_id % 6)", value="k"),
     "ready": _GAUGE.format(series="'node_' || (user_id % 3)", value="CASE WHEN k < 30 THEN 0 ELSE 1 END"),
@@ -307,7 +347,7 @@ _NEEDS = {
     "tx": ["ev"], "raw": ["ev", "tx"], "checked": ["ev", "tx", "raw"], "feat": ["ev", "tx"],
     "pred": ["ev", "tx"], "champions": ["registry"],
     **{v: ["ev"] for v in ("req", "log", "cpu", "up", "replicas", "memory", "ready", "restarts",
-                           "alerts", "results")},
+                           "alerts", "results", "scrapes")},
 }
 
 

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from datetime import timedelta
 
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
-from tallyguard.operators import alerts, latency, notices, timeseries
-from tallyguard.plans.domain import HOLD, STEP, WINDOW, Domain, with_views
+from tallyguard.operators import alerts, cube, latency, notices, timeseries
+from tallyguard.plans.domain import BOUND_TEXTS, BOUNDS, BUCKETS, HOLD, STEP, WINDOW, Domain, with_views
 from tallyguard.plans.registry import plan
+from tallyguard.sources import logs
 
 # An evaluation at ``step`` covers the three panes of one hour before it.
 COVER = "(VALUES (1), (2), (3)) w(i)"
@@ -241,14 +242,16 @@ _SCALE = {**timeseries.SCALE_LIMITS, "rps_per_pod": 0.0008}
         "requests": f"SELECT {AT} AS step, count(*) / 10800::DOUBLE AS rate FROM log, {COVER} GROUP BY 1"}))
 def scaling_signals(d: Domain):
     """Hourly means over the pods; the request rate is that of all pods over the pods that are up."""
-    def mean(df, scale: float = 1.0):
-        return df.groupBy("step").agg((F.avg("value") * scale).alias("value"))
-    log = d.request_log()
-    rates = timeseries.request_rate(log, STEP, WINDOW)
-    return timeseries.scaling_signals(
-        mean(_cpu(d)), mean(timeseries.pod_memory_percent(d.memory_used(), d.memory_limit(), STEP, WINDOW)),
-        timeseries.rate_per_instance(rates, _up_counts(d)),
-        mean(alerts.latency_quantile_over_time(log, STEP, WINDOW, 0.95), 1000.0), _SCALE)
+    buckets = [f"le{i}" for i in range(len(latency.DEFAULT_BOUNDS))]
+    metrics = cube.Metrics(gauges=("up", "used", "limit"), counters=(("cpu",),), sums={"requests": F.lit(1)} | {
+        c: (F.col("seconds") <= F.lit(b)).cast("long") for c, b in zip(buckets, latency.DEFAULT_BOUNDS)})
+    pods = cube.windowed(d.pod_scrapes(), STEP, WINDOW, metrics)
+    p95 = cube.bucket_quantile(buckets, latency.DEFAULT_BOUNDS, 0.95)
+    up = F.count_if(F.col("up") == 1)
+    rate = F.sum("requests") / F.lit(WINDOW.total_seconds())
+    return timeseries.scaling_flags(pods.groupBy("step").agg(
+        F.avg(_cpu_share()).alias("cpu"), F.avg(cube.share("used", "limit")).alias("memory"),
+        F.when(up > 0, rate / up).alias("rps_per_pod"), (F.avg(p95) * 1000.0).alias("p95_ms")), _SCALE)
 
 
 @plan("readiness_rollup", with_views("""
@@ -359,24 +362,49 @@ def alert_high_memory(d: Domain, rule):
     return alerts.flags_high_memory(d.memory_used(), d.memory_limit(), STEP, WINDOW, rule)
 
 
-@_rule("alert_high_latency", alerts.HIGH_LATENCY, _vector_flags("SELECT * FROM p95", "value > 0.5"), ("log",),
-       {"buckets": _BUCKETS, "p95": _P95})
+_COUNTERS = ["total", "errors", *BUCKETS]
+_DROPPED = " OR ".join(f"{c} < p_{c}" for c in BUCKETS)
+_RISES = f"""SELECT series, step, {", ".join(
+    f"sum(CASE WHEN p_{c} IS NULL THEN 0 WHEN {_DROPPED if c in BUCKETS else f'{c} < p_{c}'} THEN {c} ELSE {c} - p_{c} END) AS {c}"
+    for c in _COUNTERS)}, (epoch_us(max(ts)) - epoch_us(min(ts))) / 1000000::DOUBLE AS seconds
+    FROM (SELECT *, {", ".join(f"lag({c}) OVER w AS p_{c}" for c in _COUNTERS)} FROM (SELECT *, {AT} AS step FROM scrapes, {COVER})
+          WINDOW w AS (PARTITION BY series, step ORDER BY ts)) GROUP BY series, step HAVING max(ts) > min(ts)"""
+_SCRAPED_BUCKETS = " UNION ALL ".join(
+    f"SELECT series, step, '{'inf' if b == float('inf') else b}'::DOUBLE AS le, {c} AS cumulative FROM rises" for c, b in zip(BUCKETS, BOUNDS))
+_SCRAPED = {"rises": _RISES}
+_SAMPLE = {"total": ("ml_predictions_total", {"job": "api"}), "errors": ("ml_prediction_errors_total", {"job": "api"}),
+           **{c: ("ml_prediction_duration_seconds_bucket", {"job": "api", "le": b}) for c, b in zip(BUCKETS, BOUND_TEXTS)}}
+
+
+def _scraped(d: Domain):
+    """The pods' counters, read from scrape text."""
+    samples = logs.parse_exposition(d.exposition(), "ts").withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+    rows = cube.scrapes(cube.matching_labels(samples, {"job": "api"}), _SAMPLE)
+    return rows.withColumn("series", F.get_json_object("series", "$.pod"))
+
+
+def _on_scrapes(d: Domain, rule):
+    rules = tuple(rule if rule.alertname == r.alertname else r for r in (alerts.HIGH_LATENCY, alerts.HIGH_ERROR_RATE, alerts.LOW_PREDICTION_RATE))
+    flags = alerts.flags_on_scrapes(_scraped(d), STEP, BUCKETS, BOUNDS, WINDOW, rules=rules)
+    return flags.filter(F.col("alertname") == rule.alertname)
+
+
+@_rule("alert_high_latency", alerts.HIGH_LATENCY, _vector_flags("SELECT * FROM scraped_p95", "value > 0.5"), ("scrapes",),
+       _SCRAPED | {"scraped_buckets": _SCRAPED_BUCKETS, "scraped_p95": _quantile_sql("scraped_buckets", "series, step", 0.95)})
 def alert_high_latency(d: Domain, rule):
-    return alerts.flags_high_latency(d.request_log(), STEP, WINDOW, rule)
+    return _on_scrapes(d, rule)
 
 
-@_rule("alert_high_error_rate", alerts.HIGH_ERROR_RATE, _vector_flags(f"""
-    SELECT series, {AT} AS step, 100::DOUBLE * count(*) FILTER (WHERE is_error) / count(*) AS value
-    FROM log, {COVER} GROUP BY ALL""", "value > 5"), ("log",))
+@_rule("alert_high_error_rate", alerts.HIGH_ERROR_RATE, _vector_flags(
+    "SELECT series, step, 100::DOUBLE * (errors / total) AS value FROM rises WHERE total > 0", "value > 5"), ("scrapes",), _SCRAPED)
 def alert_high_error_rate(d: Domain, rule):
-    return alerts.flags_high_error_rate(d.request_log(), STEP, WINDOW, rule)
+    return _on_scrapes(d, rule)
 
 
-@_rule("alert_low_prediction_rate", alerts.LOW_PREDICTION_RATE.tuned(threshold=0.001), _vector_flags(f"""
-    SELECT series, {AT} AS step, count(*) / 10800::DOUBLE AS value FROM log, {COVER} GROUP BY ALL""",
-       "value < 0.001::DOUBLE"), ("log",))
+@_rule("alert_low_prediction_rate", alerts.LOW_PREDICTION_RATE.tuned(threshold=0.05), _vector_flags(
+    "SELECT series, step, total / seconds AS value FROM rises", "value < 0.05::DOUBLE"), ("scrapes",), _SCRAPED)
 def alert_low_prediction_rate(d: Domain, rule):
-    return alerts.flags_low_prediction_rate(d.request_log(), STEP, WINDOW, rule)
+    return _on_scrapes(d, rule)
 
 
 _ALL_FLAGS = {f"{n}_flags": sql for n, (_, sql, _, _, _) in RULES.items()}
@@ -384,10 +412,26 @@ _ALL_VIEWS = list(dict.fromkeys(v for _, _, views, _, _ in RULES.values() for v
 _ALL_MORE = {k: v for _, _, _, more, _ in RULES.values() for k, v in more.items()} | _ALL_FLAGS
 
 
+_METRICS = cube.Metrics(gauges=("up", "replicas", "ready", "restarts", "used", "limit"),
+                        counters=(("cpu",), ("total",), ("errors",), tuple(BUCKETS)))
+
+
+def _cpu_share():
+    """The counter counts milliseconds."""
+    return cube.rate("cpu") / F.lit(1000.0) * F.lit(100.0)
+
+
 def _all_flags(d: Domain):
-    """The flags of all nine rules; those on gauges come from one table of samples, in one pass."""
-    apart = [build(d, rule) for rule, _, _, _, build in RULES.values() if rule not in _GAUGES.values()]
-    return alerts.union_rules([alerts.flags_on_samples(d.gauges(), STEP, _GAUGES, WINDOW), *apart])
+    """The flags of all nine rules, from one cube of all scrapes: the events are read once."""
+    windows = cube.windowed(d.scrapes(), STEP, WINDOW, _METRICS).withColumn(
+        "up_count", F.count_if(F.col("up") == 1).over(Window.partitionBy("step")))  # a row for each target
+    rule = {name: r for name, (r, *_) in RULES.items()}
+    judged = [(rule["alert_highload"], _cpu_share(), F.col("up_count") >= 6),
+              (rule["alert_high_memory"], cube.share("used", "limit"), None)]
+    judged += [(tuned, F.col(gauge), None) for gauge, tuned in _GAUGES.items()]
+    judged += alerts.scraped_rules(BUCKETS, BOUNDS, rules=(
+        rule["alert_high_latency"], rule["alert_high_error_rate"], rule["alert_low_prediction_rate"]))
+    return alerts.flags_on_windows(windows, judged)
 
 
 @plan("union_rules", with_views(" UNION ALL ".join(

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SESSION_CONF = {
     "spark.sql.session.timeZone": "UTC",
@@ -55,3 +55,10 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     of this machine: elsewhere such a folder is gone with the executor that wrote it.
     """
     return f"{_root(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def staged(df: DataFrame, label: str) -> DataFrame:
+    """``df`` written to the shared folder and read back: several passes over it cost one of its sources."""
+    path = scratch_dir(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -46,3 +46,25 @@ def _plan(spark, name):
 def test_scans_read_only_what_is_used(spark):
     assert "ReadSchema: struct<event_id:bigint,value:double>" in _plan(spark, "fraud_rate")
     assert "PushedFilters: [IsNotNull(o_orderstatus), Not(EqualTo(o_orderstatus,P))" in _plan(spark, "run_report_join")
+
+
+def _event_scans(df):
+    """Scans of the events that really run: the final plan, where reused exchanges show no scan again."""
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert "isFinalPlan=true" in plan
+    return len(re.findall(r"FileScan parquet [^\n]*?(?:event_type|event_id|user_id|props)", plan))
+
+
+@pytest.mark.parametrize("name", ["union_rules", "scaling_signals"])
+def test_rules_and_signals_read_the_events_once(spark, name):
+    assert _event_scans(PLANS[name](spark, SF_DIR)) == 1
+
+
+def test_the_alert_chain_reads_the_events_once(spark, monkeypatch):
+    from tallyguard.operators import alerts
+
+    written = []
+    monkeypatch.setattr(alerts, "staged", lambda df, label, real=alerts.staged: written.append(df) or real(df, label))
+    rest = PLANS["alert_pipeline"](spark, SF_DIR)
+    assert [_event_scans(df) for df in (*written, rest)] == [1, 0]
