@@ -17,7 +17,7 @@ from tallyguard.plans.registry import plan
 from tallyguard.plans.transactions import _USERS
 from tallyguard.session import scratch_dir
 from tallyguard.sources import kafka
-from tallyguard.streaming import aggregates, alert_state, bounded, scoring as stream
+from tallyguard.streaming import aggregates, alert_state, bounded, progress, scoring as stream
 
 HOUR = timedelta(hours=1)
 
@@ -177,6 +177,49 @@ def stream_throughput(d: Domain):
     return _to_table(d, aggregates.stream_throughput(d.event_stream(), HOUR), ["window_start", "window_end"])
 
 
+def _arrivals(d: Domain):
+    """The events, some of them unreadable, and then a part of them once more: (events, write the second part)."""
+    more = scratch_dir(d.spark, "again")
+    rows = bounded.with_end_mark(d.event_stream(), more)
+    again = d.events().withColumn("ts", F.col("ts").cast("timestamp")).filter("event_id % 50 = 0").select(*rows.columns)
+    return rows, lambda: again.write.mode("append").parquet(more)
+
+
+_AGAIN = """SELECT event_id, ts, event_id % 97 = 0 AS dead, time_bucket(INTERVAL '1 hour', ts) + INTERVAL '1 hour'
+    <= (SELECT max(ts) - INTERVAL '10 minutes' FROM ev) AS late FROM ev WHERE event_id % 50 = 0"""
+
+
+def _split(d: Domain, table: progress.ProgressTable) -> DataFrame:
+    rows, again = _arrivals(d)
+    path, checkpoint = scratch_dir(d.spark, "arrivals"), scratch_dir(d.spark, "checkpoint")
+    for arrived in (lambda: None, again):
+        arrived()
+        table.finish(progress.split_arrivals(rows, HOUR, path, checkpoint, dead=F.col("event_id") % 97 == 0))
+    return progress.arrivals(d.spark, path, "event_id bigint, ts timestamp")
+
+
+@plan("stream_late_rows", with_views("SELECT event_id, ts FROM again WHERE late AND NOT dead", "ev", more={"again": _AGAIN}))
+def stream_late_rows(d: Domain):
+    """The rows themselves that came when their hour had closed."""
+    with progress.ProgressTable(d.spark, scratch_dir(d.spark, "progress")) as table:
+        return _unzoned(_split(d, table).filter(F.col("route") == progress.LATE).select("event_id", "ts"))
+
+
+@plan("stream_progress", with_views("""
+    SELECT (SELECT count(*) FROM ev) + (SELECT count(*) FROM again) AS rows_in,
+        (SELECT count(*) FILTER (WHERE event_id % 97 <> 0) FROM ev) + count(*) FILTER (WHERE NOT dead AND NOT late) AS answered,
+        (SELECT count(*) FILTER (WHERE event_id % 97 = 0) FROM ev) + count(*) FILTER (WHERE dead) AS dead,
+        count(*) FILTER (WHERE late AND NOT dead) AS late, true AS balanced FROM again""", "ev", more={"again": _AGAIN}))
+def stream_progress(d: Domain):
+    """The batches' own counts beside what became of their rows: none is lost."""
+    with progress.ProgressTable(d.spark, scratch_dir(d.spark, "progress")) as table:
+        rows = _split(d, table)
+        came = table.rows().agg(F.sum("rows").alias("rows_in"))
+    routes = rows.agg(*[F.count_if(F.col("route") == r).alias(r) for r in (progress.ANSWERED, progress.DEAD, progress.LATE)])
+    both = came.select("rows_in", *[routes.select(c).scalar().alias(c) for c in routes.columns])
+    return both.withColumn("balanced", F.col("rows_in") == F.col("answered") + F.col("dead") + F.col("late"))
+
+
 @plan("stream_rate_5m", with_views("""
     SELECT time_bucket(INTERVAL '1 minute', ts) - i * INTERVAL '1 minute' AS window_start,
         time_bucket(INTERVAL '1 minute', ts) - i * INTERVAL '1 minute' + INTERVAL '5 minutes' AS window_end,

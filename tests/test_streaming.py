@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tallyguard import schemas
 from tallyguard.operators import alerts, quality, scoring
-from tallyguard.streaming import aggregates, alert_state, bounded, scoring as stream
+from tallyguard.streaming import aggregates, alert_state, bounded, progress, scoring as stream
 from tests.test_notices import minutes, plain, rows_of
 
 T0 = datetime(2024, 1, 1)
@@ -189,3 +189,33 @@ def test_notices_as_in_batch_over_restarts_and_to_the_end(spark, tmp_path, rocks
     bounded.run_to_end(start, firing, "ts", str(tmp_path / "marks"))
     told = spark.read.parquet(path).collect()
     assert {g: minutes(r for r in told if r.group_key == g) for g in want} == want
+
+
+def test_every_row_is_answered_dead_or_late(spark, tmp_path):
+    """Late is what came after its window closed, by the watermark of the batches before; Spark's windows drop no other."""
+    schema, minutes_of = "id long, ts timestamp, ok boolean", [[0, 5, 31, 45], [7, 29, 30, 95, None], [31, 59, 60, 89, 90, 94, 7]]
+    for i, ms in enumerate(minutes_of):
+        write(spark, [(10 * i + j, None if m is None else T0 + m * MIN, j != 1) for j, m in enumerate(ms)], schema, tmp_path / "in", f"f{i}")
+    rows = source(spark, tmp_path, schema)
+    path, windows = str(tmp_path / "arrivals"), str(tmp_path / "windows")
+    with progress.ProgressTable(spark, str(tmp_path / "progress")) as table:
+        for _ in range(2):  # the second run finds nothing new
+            table.finish(progress.split_arrivals(rows, 30 * MIN, path, str(tmp_path / "c1"), 10 * MIN, dead=~F.col("ok")))
+        counted = aggregates.stream_throughput(rows.filter("ok"), 30 * MIN, 10 * MIN)
+        query = (counted.writeStream.format("memory").queryName("kept").option("checkpointLocation", windows)
+                 .outputMode("update").trigger(availableNow=True).start())
+        table.finish(query)
+        batches = table.rows().collect()
+    got = {r.id: r.route for r in progress.arrivals(spark, path, schema).collect()}
+    assert sorted(got) == [10 * i + j for i, ms in enumerate(minutes_of) for j in range(len(ms))] and {i for i, r in got.items() if r == "dead"} == {1, 11, 21}
+    assert {i for i, r in got.items() if r == "late"} == {10, 20, 26}  # their half hours had ended at 0:35 and 1:25
+    split = [b for b in batches if b.run_id != str(query.runId)]
+    assert sum(b.rows for b in split) == len(got)
+    own = [b for b in batches if b.run_id == str(query.runId)]
+    newest = {}
+    for r in spark.table("kept").collect():
+        newest[r.window_start] = max(r.rows, newest.get(r.window_start, 0))
+    answered = [i for i, r in got.items() if r == "answered"]
+    assert len(answered) - 1 <= sum(newest.values()) < len(answered) + 2  # the row without a time is in no window
+    assert sum(b.dropped for b in own) > 0 and max(b.watermark for b in own if b.watermark) == T0 + 85 * MIN
+    assert len({(b.run_id, b.batch_id) for b in batches}) == len(batches) and any(b.state_rows for b in own)
