@@ -4,14 +4,13 @@ A document is the set of its word shingles. Equal sets are one set from here on.
 set has 128 minima of universal hashes, and rows that agree on a band of four of them
 share a bucket. Of two sets at the threshold, 128 minima in 32 bands miss five pairs in
 10^8. A pair from a bucket is compared by its signatures, at a bound that a linked pair
-fails once in 10^10 cases, and then confirmed on the full sets of shingles.
+fails once in 10^9 cases, and then confirmed on the full sets of shingles.
 
 No bucket is expanded into its pairs. First every set is compared with the first set of
 its buckets, and components are taken of what is linked. Where a bucket still holds several
-components, the sets outside its largest one are compared with the bucket by their
-signatures, inside tasks and in blocks of bounded size; each yields its most similar sets of
-other components, four at first and four times as many in each further round, until
-no bucket has a likely pair left that wasn't confirmed or refuted.
+components, the sets outside its largest one are compared with the bucket inside tasks, in
+blocks of bounded size: by signature, then on the full sets. A task emits a spanning forest of
+the links it finds between components, so what is emitted grows with the sets, not their pairs.
 """
 
 from __future__ import annotations
@@ -21,14 +20,15 @@ import math
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tallyguard.llm.common import components, stage, whole_text
 
 MINIMA = 128
 ROWS = 4         # minima of a band
 GROUP = 1024     # sets of a bucket that a task compares with as many others
-MISSED = 1e-10   # the share of linked pairs that the comparison of signatures may lose
+HELD = 1 << 21   # shingles that these sets have together, 16 MB
+MISSED = 1e-9    # the share of linked pairs that the comparison of signatures may lose
 SENT = 1 << 20   # document ids, 8 MB, that are sent to all tasks
 WORDS = 500_000  # word hashes that a worker keeps
 _ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -144,60 +144,74 @@ def _whole_sets(ids: DataFrame, sets: DataFrame, docs: DataFrame, width: int, do
     return stage(found.groupBy("sid").agg(F.first("shingles").alias("shingles")), "whole-sets")
 
 
-def _confirmed(pairs: DataFrame, sets: DataFrame, docs: DataFrame, similarity: int, width: int, doc_id: str, text: str) -> DataFrame:
+def _confirmed(pairs: DataFrame, whole_of, similarity: int) -> DataFrame:
     """The pairs (a, b) whose full sets have the similarity."""
     ids = pairs.select(F.col("a").alias("sid")).unionByName(pairs.select(F.col("b").alias("sid"))).distinct()
-    whole = _whole_sets(ids, sets, docs, width, doc_id, text)
+    whole = whole_of(ids)
     met = pairs.join(whole.select(F.col("sid").alias("b"), F.col("shingles").alias("y")), "b").join(
         whole.select(F.col("sid").alias("a"), F.col("shingles").alias("x")), "a")
     both = F.size(F.array_intersect("x", "y"))  # both >= similarity of (x + y - both)
     return stage(met.where((100 + similarity) * both >= similarity * (F.size("x") + F.size("y"))).select("a", "b"), "links")
 
 
-def _apart(members: DataFrame, sets: DataFrame, roots: DataFrame, most: int, similarity: int, bound: int, group: int) -> DataFrame | None:
-    """(a, b, more): likely pairs of different components in a bucket, for each set the ``most`` similar; more: it has others."""
-    rooted = members.join(roots.withColumnRenamed("node", "sid"), "sid", "left").select(
-        "key", "sid", F.coalesce("root", "sid").alias("root"))
-    # of two members, one is the first of the bucket, with which the other was compared
-    parts = rooted.groupBy("key", "root").agg(F.count(F.lit(1)).alias("n"))
-    open_ = parts.groupBy("key").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("parts"), F.max(F.struct("n", "root")).alias("most"))
-    open_ = stage(open_.where("parts > 1 and n > 2").select(
-        "key", F.col("most.root").alias("main"), F.ceil(F.col("n") / group).alias("targets"),
-        F.ceil((F.col("n") - F.col("most.n")) / group).alias("probes")), "open-buckets")
+def _blocks(count: str, shingles_: str, group: int) -> Column:
+    return F.greatest(F.ceil(F.col(count) / group), F.ceil(F.col(shingles_) / HELD))
+
+
+def _apart(members: DataFrame, sets: DataFrame, roots: DataFrame, whole_of, similarity: int, bound: int, group: int) -> DataFrame | None:
+    """(a, b): links between different components of a bucket, a spanning forest of those that a block of it holds."""
+    rooted = members.join(roots.withColumnRenamed("node", "sid"), "sid", "left").join(sets.select("sid", "n", "sig"), "sid").select(
+        "key", "sid", F.coalesce("root", "sid").alias("root"), "n", "sig")
+    parts = rooted.groupBy("key", "root").agg(F.count(F.lit(1)).alias("c"), F.sum("n").alias("n"))
+    open_ = parts.groupBy("key").agg(F.sum("c").alias("c"), F.sum("n").alias("n"), F.count(F.lit(1)).alias("parts"),
+                                     F.max(F.struct("c", "n", "root")).alias("most"))
+    # of two sets, one is the first of the bucket, with which the other was compared
+    open_ = open_.where("parts > 1 and c > 2").withColumns({"pc": F.col("c") - F.col("most.c"), "pn": F.col("n") - F.col("most.n")})
+    open_ = stage(open_.select("key", F.col("most.root").alias("main"), _blocks("c", "n", group).alias("targets"),
+                               _blocks("pc", "pn", group).alias("probes")), "open-buckets")
     if not open_.head(1):
         return None
-    held = rooted.join(open_, "key").join(sets.select("sid", "n", "sig"), "sid")
+    held = stage(rooted.join(open_, "key"), "open-members")
+    whole = whole_of(held.select("sid").distinct())
+    held = held.join(whole, "sid")
     place = lambda n: F.pmod(F.xxhash64("sid"), F.col(n))
     every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
-    low = F.transform("sig", lambda x: (x.bitwiseAND(F.lit(255)) - 128).cast("byte")).alias("sig")
-    targets = held.select("key", place("targets").alias("t"), every("probes").alias("p"), F.lit(False).alias("probe"), "sid", "root", "n", low)
-    probes = held.where("root != main").select("key", every("targets").alias("t"), place("probes").alias("p"), F.lit(True).alias("probe"),
-                                               "sid", "root", "n", low)
+    own = ["sid", "root", "n", F.transform("sig", lambda x: (x.bitwiseAND(F.lit(255)) - 128).cast("byte")).alias("sig"), "shingles"]
+    targets = held.select("key", place("targets").alias("t"), every("probes").alias("p"), F.lit(False).alias("probe"), *own)
+    probes = held.where("root != main").select("key", every("targets").alias("t"), place("probes").alias("p"), F.lit(True).alias("probe"), *own)
 
     def run(table: pa.Table) -> pa.Table:
         table = table.combine_chunks()
         probe, sid, root, n = (table.column(c).to_numpy() for c in ("probe", "sid", "root", "n"))
-        sig = _rows(table.column("sig").chunk(0))
-        target = ~probe
-        out = [np.zeros((2, 0), np.int64)]
-        more = [np.zeros(0, bool)]
+        sig, lists = _rows(table.column("sig").chunk(0)), table.column("shingles").chunk(0)
+        flat, ends = lists.flatten().to_numpy().view(np.uint64), lists.offsets.to_numpy()
+        ends = ends - ends[0]
+        target, part, found = np.flatnonzero(~probe), np.unique(root, return_inverse=True)[1], []
         for i in np.flatnonzero(probe):
-            agree = (sig[target] == sig[i]).sum(axis=1)
             sizes = n[target]
-            at = np.flatnonzero((agree >= bound) & (root[target] != root[i])
-                                & (100 * np.minimum(sizes, n[i]) >= similarity * np.maximum(sizes, n[i])))
-            near = sid[target][at]
-            best = np.lexsort((near, -agree[at]))[:most]
-            out.append(np.stack([np.minimum(near[best], sid[i]), np.maximum(near[best], sid[i])]))
-            more.append(np.full(len(best), len(at) > most))
-        a, b = np.concatenate(out, axis=1)
-        return pa.table({"a": a, "b": b, "more": np.concatenate(more)})
-
-    return targets.unionByName(probes).groupBy("key", "t", "p").applyInArrow(run, "a long, b long, more boolean")
+            at = target[(part[target] != part[i]) & (100 * np.minimum(sizes, n[i]) >= similarity * np.maximum(sizes, n[i]))]
+            at = at[(sig[at] == sig[i]).sum(axis=1) >= bound]
+            mine = flat[ends[i]:ends[i + 1]]
+            for k in range(0, len(at), 128):
+                some = at[k:k + 128]
+                some = some[part[some] != part[i]]
+                if not len(some):
+                    continue
+                theirs = np.concatenate([flat[ends[j]:ends[j + 1]] for j in some])
+                place_ = np.minimum(np.searchsorted(mine, theirs), len(mine) - 1)
+                both = np.add.reduceat(mine[place_] == theirs, np.concatenate(([0], np.cumsum(n[some])[:-1])), dtype=np.int64)
+                for j in some[(100 + similarity) * both >= similarity * (n[some] + n[i])]:
+                    if part[j] != part[i]:
+                        found.append((min(sid[i], sid[j]), max(sid[i], sid[j])))
+                        part[part == part[j]] = part[i]
+        a, b = np.array(found, np.int64).reshape(-1, 2).T
+        return pa.table({"a": a, "b": b})
+
+    return stage(targets.unionByName(probes).groupBy("key", "t", "p").applyInArrow(run, "a long, b long").distinct(), "links-apart")
 
 
 def near_documents(docs: DataFrame, width: int = 4, similarity: int = 80, doc_id: str = "doc_id", text: str = "text",
-                   group: int = GROUP, first: int = 4) -> DataFrame:
+                   group: int = GROUP) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for every row of ``docs``.
 
     Words are runs of characters outside [\\x20\\x09-\\x0D], A-Z lower-cased. The set of a text is its
@@ -217,24 +231,13 @@ def near_documents(docs: DataFrame, width: int = 4, similarity: int = 80, doc_id
     keyed = sets.select("sid", F.explode(bands).alias("key"))
     shared = stage(keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("sid").alias("least")).where("n > 1"), "buckets")
     members = stage(keyed.join(shared, "key").select("key", "sid", "least"), "members")
-    tested = stage(members.where("sid != least").select(F.col("least").alias("a"), F.col("sid").alias("b")).distinct(), "star-pairs")
-    links = _confirmed(stage(_likely(tested, sets, similarity, bound), "likely-pairs"), sets, docs, similarity, width, doc_id, text)
-    roots, most = components(links), first
-    while True:
-        found = _apart(members.select("key", "sid"), sets, roots, most, similarity, bound, group)
-        if found is None:
-            break
-        found = stage(found, "apart")
-        new = stage(found.select("a", "b").distinct().join(tested, ["a", "b"], "left_anti"), "new-pairs")
-        if new.head(1):
-            more = _confirmed(stage(_likely(new, sets, similarity, bound), "likely-pairs"), sets, docs, similarity, width, doc_id, text)
-            tested = tested.unionByName(new)
-            if more.head(1):
-                links = links.unionByName(more)
-                roots = components(links)
-        if not found.where("more").head(1):
-            break
-        most *= 4
+    whole_of = lambda ids: _whole_sets(ids, sets, docs, width, doc_id, text)
+    star = stage(members.where("sid != least").select(F.col("least").alias("a"), F.col("sid").alias("b")).distinct(), "star-pairs")
+    links = _confirmed(stage(_likely(star, sets, similarity, bound), "likely-pairs"), whole_of, similarity)
+    roots = components(links)
+    more = _apart(members.select("key", "sid"), sets, roots, whole_of, similarity, bound, group)
+    if more is not None and more.head(1):
+        roots = components(links.unionByName(more))
     rooted = sets.join(roots, sets["sid"] == roots["node"], "left").select("name", "least", F.coalesce("root", "sid").alias("root"))
     classes = rooted.groupBy("root").agg(F.min("least").alias("class"))
     named = stage(rooted.join(classes, "root").select("name", "class"), "set-classes")

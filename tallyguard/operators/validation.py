@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 from tallyguard.functions import contract, texts
 from tallyguard.operators import skew
@@ -34,6 +34,13 @@ def validate_transactions(df: DataFrame) -> DataFrame:
     return contract.without_casts(_judge(df)[0])
 
 
+def valid_rows(df: DataFrame, seen: Observation) -> DataFrame:
+    """The valid side alone; ``seen`` gets the number of all rows (``n``) and of valid ones (``ok``) while it is read."""
+    judged, values = _judge(df.drop("is_valid", "errors"))
+    judged = judged.observe(seen, F.count(F.lit(1)).alias("n"), F.count_if("is_valid").alias("ok"))
+    return contract.without_casts(judged.filter("is_valid").withColumns(values).drop("is_valid", "errors"))
+
+
 def quarantine_split(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(valid rows in their contract types; invalid rows as they came, with their errors)."""
     judged, values = _judge(df.drop("is_valid", "errors"))

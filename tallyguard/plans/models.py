@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
-from tallyguard.operators import quality, registry, reports, scoring, training
+from tallyguard.operators import quality, registry, registry_store, reports, scoring, training
 from tallyguard.plans.domain import Domain, with_views
 from tallyguard.plans.registry import plan
 from tallyguard.plans.transactions import _SPLIT
@@ -43,6 +43,16 @@ def register_version(d: Domain):
     return registry.register_version(d.registry(), candidates).select("model_name", "version", "stage", "run_id")
 
 
+_REGISTERED = """SELECT 'model_' || s_suppkey AS model_name, (COALESCE((SELECT max(version::BIGINT) FROM registry
+    WHERE model_name = 'model_' || s_suppkey), 0) + 1)::VARCHAR AS version, NULL AS alias, 'None' AS stage FROM supplier"""
+_COMMITTED = f"""SELECT r.model_name, version, CASE WHEN version = new_version THEN 'champion'
+        WHEN new_version IS NOT NULL AND alias = 'champion' THEN NULL ELSE alias END AS alias,
+    CASE WHEN version = new_version THEN 'Production'
+        WHEN new_version IS NOT NULL AND stage = 'Production' THEN 'Archived' ELSE stage END AS stage, 3::BIGINT AS number
+    FROM (SELECT model_name, version, alias, stage FROM registry UNION ALL SELECT model_name, version, alias, stage FROM registered) r
+    LEFT JOIN (SELECT model_name, new_version FROM judged WHERE should_promote) USING (model_name)"""
+
+
 _MEASURES = ["accuracy", "precision", "recall", "f1_score", "auc_roc"]
 _PAIR = "SELECT c.model_name, c.version AS champion_version, n.version AS new_version, " + ", ".join(
     f"o.{m} AS champion_{m}, w.{m} AS new_{m}" for m in _MEASURES) + """
@@ -89,6 +99,28 @@ def promote_champion(d: Domain):
         "tags['brand'] as brand")
 
 
+@plan("registry_commits", with_views(_COMMITTED, "champions", "metrics", more={
+    "pair": _PAIR, "judged": _JUDGED, "registered": _REGISTERED}))
+def registry_commits(d: Domain):
+    """A promotion that another writer's registration overtakes: it is derived again, and both are in the last snapshot."""
+    store = registry_store.RegistryStore(d.spark, scratch_dir(d.spark, "registry"))
+    store.commit(lambda _: d.registry())
+    winners = registry.should_promote(_pair(d)).filter("should_promote").selectExpr(
+        "model_name", "new_version as version", "timestamp_ntz'2024-02-01 00:00:00' as ts")
+    candidates = d.table("supplier").selectExpr(
+        "concat('model_', s_suppkey) as model_name", "concat('candidate_', s_suppkey) as run_id",
+        "map('model_type', 'random_forest') as params", "map('auc', cast(s_acctbal as string)) as metrics",
+        "concat('models/', s_suppkey) as source_path", "timestamp_ntz'2024-02-01 00:00:00' as ts")
+
+    def promote(rows):
+        if store.latest() == 1:  # the other writer is quicker
+            store.commit(lambda now: registry.register_version(now, candidates))
+        return registry.promote_champion(rows, winners)
+
+    number = store.commit(promote)
+    return store.read().select("model_name", "version", "alias", "stage", F.lit(number).cast("long").alias("number"))
+
+
 @plan("metrics_long_to_wide", with_views("""
     SELECT model_name || '/' || version AS model_name, accuracy, f1_score, auc_roc, 3 AS n FROM metrics""", "metrics"))
 def metrics_long_to_wide(d: Domain):

@@ -50,7 +50,7 @@ def rows():
     return rows
 
 
-@pytest.mark.parametrize("width,similarity,sizes", [(4, 80, {}), (3, 60, {"group": 5, "first": 1})])
+@pytest.mark.parametrize("width,similarity,sizes", [(4, 80, {}), (3, 60, {"group": 5})])
 def test_classes_match_a_look_at_all_pairs(spark, rows, width, similarity, sizes):
     got = minhash.near_documents(frame(spark, rows), width, similarity, **sizes)
     assert got.columns == ["doc_id", "n_shingles", "component_id", "kept"]
@@ -62,7 +62,7 @@ def test_a_bucket_whose_first_set_is_near_to_none(spark, rows, monkeypatch):
     """With one bucket for all, the first comparison links little and the rounds have to find the rest, in blocks."""
     some = [r for r in rows if 2 < len((r[1] or "").split()) < 200]
     monkeypatch.setattr(minhash.F, "xxhash64", lambda *c, real=minhash.F.xxhash64: real(minhash.F.lit(1)) if len(c) > 2 else real(*c))
-    got = minhash.near_documents(frame(spark, some), group=16, first=1).collect()
+    got = minhash.near_documents(frame(spark, some), group=16).collect()
     key = lambda r: tuple((x is None, x) for x in r)
     assert sorted(map(tuple, got), key=key) == sorted(plain(some, 4, 80), key=key)
 
