@@ -21,6 +21,14 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def numbered(docs: DataFrame, label: str) -> tuple[DataFrame, str]:
+    """``docs`` written with a column of row numbers, and that column's name, which no other column has."""
+    name = "row_no"
+    while name.lower() in {c.lower() for c in docs.columns}:
+        name += "_"
+    return stage(docs.withColumn(name, F.monotonically_increasing_id()), label), name
+
+
 def partitions(spark: SparkSession, rows: int, per_task: int) -> int:
     """Tasks for ``rows`` rows when a task may hold ``per_task`` of them; never under the session's number."""
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows // per_task))

@@ -16,7 +16,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tallyguard.llm.common import stage, whole_text
+from tallyguard.llm.common import numbered, stage, whole_text
 
 BLOCK = 4096  # characters
 ABSENT = -1
@@ -81,6 +81,19 @@ def identities(rows: DataFrame, places: DataFrame, size: int) -> DataFrame:
     return out
 
 
+def _grouped(rows: DataFrame, size: int) -> DataFrame:
+    """(row, id, sha, group_size, best) for ``rows`` (row, id, t): best is the row that stays of equal texts."""
+    rows = rows.select("row", "id", F.length("t").alias("chars"), without_white(F.col("t")).alias("norm"))
+    about = stage(rows.select("row", "id", "chars", F.sha2(F.col("norm").cast("binary"), 256).alias("sha"), F.transform(
+        _blocks(F.col("norm"), size), lambda b: F.xxhash64(b)).alias("hashes")), "texts")
+    places = about.select("row", F.posexplode("hashes").alias("idx", "h"))
+    named = about.drop("hashes").join(identities(rows.select("row", "norm"), places, size), "row")
+    named = stage(named, "identities")
+    best = F.max(F.struct(F.col("chars"), -F.col("id"), -F.col("row"), F.col("id").alias("id"), F.col("row").alias("row")))
+    groups = stage(named.groupBy("blocks", "name").agg(F.count(F.lit(1)).alias("group_size"), best.alias("best")), "groups")
+    return named.join(groups, ["blocks", "name"]).select("row", "id", "sha", "group_size", "best")
+
+
 def exact_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = BLOCK) -> DataFrame:
     """One row per row of ``docs``: doc_id, keep_id, group_size, kept, text_sha256.
 
@@ -90,37 +103,19 @@ def exact_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", si
     others and stays null in the result. Other columns, whatever their names, are not read.
     """
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(doc_id).alias("id"), whole_text(text).alias("t"))
-    rows = rows.select("row", "id", F.length("t").alias("chars"), without_white(F.col("t")).alias("norm"))
-    about = stage(rows.select("row", "id", "chars", F.sha2(F.col("norm").cast("binary"), 256).alias("sha"), F.transform(
-        _blocks(F.col("norm"), size), lambda b: F.xxhash64(b)).alias("hashes")), "texts")
-    places = about.select("row", F.posexplode("hashes").alias("idx", "h"))
-    named = about.drop("hashes").join(identities(rows.select("row", "norm"), places, size), "row")
-    named = stage(named, "identities")
-    best = F.max(F.struct(F.col("chars"), -F.col("id"), -F.col("row"), F.col("id").alias("id"), F.col("row").alias("row")))
-    groups = stage(named.groupBy("blocks", "name").agg(F.count(F.lit(1)).alias("group_size"), best.alias("best")), "groups")
-    return named.join(groups, ["blocks", "name"]).select(
+    return _grouped(rows, size).select(
         F.col("id").alias(doc_id), F.col("best.id").alias("keep_id"), "group_size",
         (F.col("row") == F.col("best.row")).alias("kept"), F.col("sha").alias("text_sha256"))
 
 
 def drop_exact(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = BLOCK) -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns.
+    """The rows of ``docs`` that ``exact_groups`` keeps, with all their columns: one of each text.
 
-    Ids tell the rows apart. A repeated id whose rows are equal in every column keeps one
-    of them. Rows without an id are kept as they are: nothing names the ones to drop.
+    Rows are told apart by a number that is written with them once, not by their ids: rows that
+    repeat an id, or have none, are kept or dropped by their texts like all others, and a rerun of a task
+    decides alike.
     """
-    groups = stage(exact_groups(docs, doc_id, text, size).where(f"kept and `{doc_id}` is not null"), "kept-exact")
-    return keep_rows(docs, groups.select(F.col(doc_id).alias("kept_id")), doc_id)
-
-
-def keep_rows(docs: DataFrame, kept: DataFrame, doc_id: str) -> DataFrame:
-    """The rows of ``docs`` whose id is in ``kept`` (kept_id), once each, and those without an id."""
-    kept = kept.distinct()
-    twice = stage(docs.where(F.col(doc_id).isNotNull()).groupBy(F.col(doc_id).alias("kept_id"))
-                  .agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("kept_id"), "repeated-ids")
-    stay = docs.where(F.col(doc_id).isNull()).unionByName(
-        docs.join(kept, docs[doc_id] == kept["kept_id"], "left_semi"))
-    if not twice.head(1):
-        return stay
-    once = stay.join(twice, stay[doc_id] == twice["kept_id"], "left_anti")
-    return once.unionByName(stay.join(twice, stay[doc_id] == twice["kept_id"], "left_semi").dropDuplicates([doc_id]))
+    table, row = numbered(docs, "exact-rows")
+    groups = _grouped(table.select(F.col(row).alias("row"), F.col(doc_id).alias("id"), whole_text(text).alias("t")), size)
+    kept = stage(groups.where(F.col("row") == F.col("best.row")).select(F.col("row").alias(row)), "kept-exact")
+    return table.join(kept, row, "left_semi").drop(row)

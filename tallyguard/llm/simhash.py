@@ -22,7 +22,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from tallyguard.llm.common import components, partitions, stage, whole_text
+from tallyguard.llm.common import components, numbered, partitions, stage, whole_text
 
 SEED = 42
 BITS = 64
@@ -54,16 +54,15 @@ def fingerprint(text: str, width: int) -> int:
     return int(np.packbits(on, bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, width: int, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(id, fp) per row; fp is the fingerprint as a signed 64-bit integer."""
+def fingerprints(rows: DataFrame, width: int) -> DataFrame:
+    """(row, id, fp) of ``rows`` (row, id, text); fp is the fingerprint as a signed 64-bit integer."""
     def run(batches):
         for batch in batches:
             fps = [fingerprint(t, width) for t in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), pa.array(np.array(fps, dtype=np.uint64).view(np.int64))], ["id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column("row"), batch.column("id"), pa.array(
+                np.array(fps, dtype=np.uint64).view(np.int64))], ["row", "id", "fp"])
 
-    source = docs.select(F.col(doc_id).cast("long").alias("id"), whole_text(text).alias("text"))
-    return source.mapInArrow(run, "id long, fp long")
+    return rows.mapInArrow(run, "row long, id long, fp long")
 
 
 def _segments(distance: int) -> list[tuple[int, int]]:
@@ -194,18 +193,10 @@ def _whole_variants(fps: DataFrame, distance: int) -> DataFrame:
     return met.select("a", F.explode("fps").alias("b")).where("a != b").distinct()
 
 
-def near_classes(docs: DataFrame, width: int = 3, distance: int = 2, doc_id: str = "doc_id", text: str = "text",
-                 bucket: int = BUCKET) -> DataFrame:
-    """(doc_id, fingerprint, component_id) for every row of ``docs``.
-
-    Words are maximal runs of characters outside [\\x20\\x09-\\x0D], A-Z lower-cased. Fewer
-    words than a shingle has are one shingle; no words, or a null text, give fingerprint
-    zero, which links like any other. component_id is the smallest id reachable over
-    fingerprints at ``distance`` or fewer differing bits; null ids don't count for it. Rows
-    that repeat an id keep their own fingerprints. Other columns are not read.
-    """
-    spark = docs.sparkSession
-    fps = stage(fingerprints(docs, width, doc_id, text), "fingerprints")
+def _classified(rows: DataFrame, width: int, distance: int, bucket: int) -> DataFrame:
+    """(row, id, fp, root, component_id) for ``rows`` (row, id, text); rows of one root are a class."""
+    spark = rows.sparkSession
+    fps = stage(fingerprints(rows, width), "fingerprints")
     distinct = stage(fps.groupBy("fp").agg(F.min("id").alias("least")), "distinct-fingerprints")
     keyed = _variants(distinct.select("fp"), distance)
     n = partitions(spark, distinct.count() * BITS, PER_TASK)
@@ -219,15 +210,33 @@ def near_classes(docs: DataFrame, width: int = 3, distance: int = 2, doc_id: str
     rooted = distinct.join(roots, distinct["fp"] == roots["node"], "left").select(
         "fp", "least", F.coalesce("root", "fp").alias("root"))
     classes = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = stage(rooted.join(classes, "root").select("fp", "component_id"), "fingerprint-classes")
-    return fps.join(named, "fp").select(
+    named = stage(rooted.join(classes, "root").select("fp", "root", "component_id"), "fingerprint-classes")
+    return fps.join(named, "fp")
+
+
+def near_classes(docs: DataFrame, width: int = 3, distance: int = 2, doc_id: str = "doc_id", text: str = "text",
+                 bucket: int = BUCKET) -> DataFrame:
+    """(doc_id, fingerprint, component_id) for every row of ``docs``.
+
+    Words are maximal runs of characters outside [\\x20\\x09-\\x0D], A-Z lower-cased. Fewer
+    words than a shingle has are one shingle; no words, or a null text, give fingerprint
+    zero, which links like any other. component_id is the smallest id reachable over
+    fingerprints at ``distance`` or fewer differing bits; null ids don't count for it. Rows
+    that repeat an id keep their own fingerprints. Other columns are not read.
+    """
+    rows = docs.select(F.lit(0).cast("long").alias("row"), F.col(doc_id).cast("long").alias("id"), whole_text(text).alias("text"))
+    return _classified(rows, width, distance, bucket).select(
         F.col("id").alias(doc_id), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
 def drop_near(docs: DataFrame, width: int = 3, distance: int = 2, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The row with the smallest id of each class, with all its columns; rows without an id stay."""
-    from tallyguard.llm.exact_dedup import keep_rows
+    """One row of each class, with all its columns: the one with the smallest id, and the first of these.
 
-    kept = stage(near_classes(docs, width, distance, doc_id, text).where(
-        F.col(doc_id) == F.col("component_id")).select(F.col(doc_id).alias("kept_id")), "kept-near")
-    return keep_rows(docs, kept, doc_id)
+    Rows are told apart by a number that is written with them once. A row without an id stays only where
+    no other of its class has one.
+    """
+    table, row = numbered(docs, "near-rows")
+    classes = _classified(table.select(F.col(row).alias("row"), F.col(doc_id).cast("long").alias("id"), whole_text(text).alias("text")),
+                          width, distance, BUCKET)
+    first = classes.groupBy("root").agg(F.min(F.struct(F.col("id").isNull(), "id", "row"))["row"].alias(row))
+    return table.join(stage(first.select(row), "kept-near"), row, "left_semi").drop(row)
