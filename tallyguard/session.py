@@ -27,6 +27,12 @@ def build_session(app_name: str = "tallyguard", master: str | None = None,
     return builder.getOrCreate()
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """``path`` with its file system: Spark takes the default one where it names none."""
+    found = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return found.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(found).toString()
+
+
 _ROOTS: dict[str, str] = {}
 
 
@@ -40,7 +46,7 @@ def _root(spark: SparkSession) -> str:
             if master != "local" and not master.startswith("local["):
                 raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
             base = tempfile.mkdtemp(prefix="tallyguard-")
-        path = spark._jvm.org.apache.hadoop.fs.Path(f"{base.rstrip('/')}/tallyguard-{app}-{uuid.uuid4().hex[:8]}")
+        path = spark._jvm.org.apache.hadoop.fs.Path(qualified(spark, f"{base.rstrip('/')}/tallyguard-{app}-{uuid.uuid4().hex[:8]}"))
         files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
         files.mkdirs(path)
         files.deleteOnExit(path)
