@@ -4,8 +4,9 @@ Documents longer than a sequence are cut; whole pieces are sequences by themselv
 All others are items. Every task packs its own items best-fit, the largest first, and
 emits the sequences that are nearly full. What is left, underfull sequences with their
 content, are the items of the next round in an eighth of the tasks, dealt anew. Rounds
-end in one task, or as soon as a round hardly joins any: then what is left can't be
-joined. A task holds at most ``PER_TASK`` items in any round.
+end in one task, or when no task of a round could join any two: then all but one of a
+task's sequences are more than half full, and so are nearly all that are left. A task
+holds at most ``PER_TASK`` items in any round.
 """
 
 from __future__ import annotations
@@ -22,7 +23,6 @@ CAPACITY = 2048
 FULL = 8            # free tokens of a sequence that is emitted as nearly full
 PER_TASK = 50_000   # items
 FEWER = 8           # times fewer tasks in every round
-HARDLY = 0.02       # share of the items; a round that joins fewer is the last
 
 
 def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int = 0,
@@ -135,7 +135,7 @@ def pack(items: DataFrame, capacity: int = CAPACITY, full: int = FULL, per_task:
         if tasks == 1 or not left:
             break
         joined = before - packed.select("bin").distinct().count()
-        if joined < HARDLY * before and tasks <= -(-left // per_task):
+        if not joined and tasks <= -(-left // per_task):
             break
         tasks = max(-(-tasks // FEWER), -(-left // per_task))
     return out.unionByName(now.select(*keep, F.col("bin").alias("sequence_id"), "offset")) if left else out

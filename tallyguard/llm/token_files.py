@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from tallyguard.llm.common import stage, whole_text
 from tallyguard.llm.encoders import encoder
-from tallyguard.session import scratch_dir
+from tallyguard.session import qualified, scratch_dir
 
 MAGIC = b"TGPLANE1"
 BLOCK = 1 << 16  # ids
@@ -37,9 +37,21 @@ LEVEL = 3
 DOCUMENTS = 4096  # rows of the document columns in a block
 
 
+SCHEMES = {"file": "file", "hdfs": "hdfs", "viewfs": "viewfs", "s3": "s3", "s3a": "s3", "s3n": "s3", "gs": "gs", "abfs": "abfs",
+           "abfss": "abfss"}  # as Hadoop names them, and as pyarrow does
+
+
+def _uri(path: str) -> str:
+    """The path for pyarrow. It must name its file system: without a scheme each machine would take its own disk."""
+    scheme, colon, rest = path.partition(":")
+    if not colon or scheme not in SCHEMES:
+        raise ValueError(f"token files need a folder in one of {sorted(SCHEMES)}, not {path}")
+    return f"{SCHEMES[scheme]}:{'//' if scheme == 'file' and not rest.startswith('//') else ''}{rest}"
+
+
 def _open(path: str):
     """File system and plain path of a folder or file that all executors share."""
-    return pa.fs.FileSystem.from_uri(path) if "://" in path or path.startswith("file:") else (pa.fs.LocalFileSystem(), path)
+    return pa.fs.FileSystem.from_uri(_uri(path))
 
 
 def planes(values: np.ndarray, bits: bool) -> list[bytes]:
@@ -177,7 +189,8 @@ def write_files(docs: DataFrame, tokenizer: str, folder: str, end_id: int = 1, b
     A null text is empty and so only its end id; null ids come first. Repeated ids are
     documents of their own, in the order of the input.
     """
-    end = end_id.to_bytes(4, "little")
+    end, folder = end_id.to_bytes(4, "little"), qualified(docs.sparkSession, folder)
+    _uri(folder)  # refused here rather than in a task
 
     def run(batches):
         writer = sink = None

@@ -7,6 +7,7 @@ from collections import defaultdict
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tallyguard.llm import packing, token_counts, token_files
@@ -183,3 +184,24 @@ def test_empty_tables(spark):
     assert packing.packed_documents(none, BYTE).collect() == []
     assert token_files.round_trip(none, WORD).collect() == []
     assert token_counts.token_counts(none, RANKS).collect() == []
+
+
+def test_token_files_name_their_file_system(spark, tmp_path):
+    assert [token_files._uri(u) for u in ("file:/a/b", "file:///a/b", "s3a://b/k", "hdfs://n:1/k")] == [
+        "file:///a/b", "file:///a/b", "s3://b/k", "hdfs://n:1/k"]
+    for bad in ("/a/b", "dbfs:/a/b", "a/b"):
+        with pytest.raises(ValueError):
+            token_files._uri(bad)
+    docs = spark.createDataFrame([(2, "some words"), (1, "")], "doc_id long, text string")
+    files = token_files.write_files(docs, WORD, str(tmp_path / "out")).collect()
+    assert all(f.path.startswith("file:/") for f in files) and sum(f.n_docs for f in files) == 2
+
+
+def test_packing_goes_on_while_a_round_joins_any(spark):
+    """Many tasks at the end of the rounds: no two sequences of one task could be one, so few are half empty."""
+    rng = random.Random(9)
+    sizes = [rng.randint(1, 400) for _ in range(3000)] + [600] * 300
+    items = spark.createDataFrame(list(enumerate(sizes)), "item long, length long")
+    filled = [r.n for r in packing.pack(items, 1000, per_task=60).groupBy("sequence_id").agg(F.sum("length").alias("n")).collect()]
+    assert sum(filled) == sum(sizes) and max(filled) <= 1000
+    assert len(filled) <= 1.03 * -(-sum(sizes) // 1000) + 1
