@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import datetime, timedelta
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -55,24 +56,36 @@ def throughput(df: DataFrame, col: str = "ts") -> DataFrame:
     ).withColumn("rate", F.try_divide(F.col("processed"), F.col("elapsed_s")))
 
 
-def stream_performance(df: DataFrame, target_tps: float) -> DataFrame:
-    """Run performance from rows of (ts, latency_ms, is_fraud, error); failed rows predict nothing."""
+def stream_performance(df: DataFrame, target_tps: float, resources: DataFrame | None = None, label: str = "label") -> DataFrame:
+    """Run performance from rows of (ts, latency_ms, is_fraud, error, perhaps a label); failed rows predict nothing.
+
+    The accuracy is that of the predictions whose label is known, null without any. ``resources`` are samples of
+    (cpu_percent, memory_percent, disk_io_mbps) of the run; their means are one field, null without samples.
+    """
     failed = F.col("error").isNotNull()
+    known = ~failed & F.col(label).isNotNull() if label in df.columns else F.lit(False)
+    right = known & (F.col("is_fraud") == F.col(label)) if label in df.columns else known
     agg = df.agg(
+        F.min("ts").alias("streaming_start_time"),
+        intervals.seconds_between(F.min("ts"), F.max("ts")).alias("streaming_duration_seconds"),
         F.count("*").alias("total_transactions_processed"),
         F.count_if(~failed).alias("total_predictions_made"),
         F.count_if(F.col("is_fraud") & ~failed).alias("fraud_detected_count"),
         F.avg("latency_ms").alias("avg_processing_latency_ms"),
         F.max("latency_ms").alias("max_processing_latency_ms"),
-        F.min("ts").alias("_a"), F.max("ts").alias("_b"))
+        F.try_divide(F.count_if(right), F.count_if(known)).alias("model_accuracy_estimate"))
     done = F.col("total_transactions_processed")
-    elapsed = intervals.seconds_between(F.col("_a"), F.col("_b"))
+    used = F.lit(None).cast("struct<cpu_avg_percent:double,memory_avg_percent:double,disk_io_avg_mbps:double>")
+    if resources is not None:
+        used = resources.agg(F.when(F.count(F.lit(1)) > 0, F.struct(
+            F.avg("cpu_percent").alias("cpu_avg_percent"), F.avg("memory_percent").alias("memory_avg_percent"),
+            F.avg("disk_io_mbps").alias("disk_io_avg_mbps")))).scalar()
     return (agg.withColumn("target_tps", F.lit(float(target_tps)))
-            .withColumn("actual_avg_tps", F.try_divide(done, elapsed))
+            .withColumn("actual_avg_tps", F.try_divide(done, F.col("streaming_duration_seconds")))
             .withColumn("error_rate_percent", percent(done - F.col("total_predictions_made"), done))
             .withColumn("throughput_efficiency",
                         F.lit(100.0) * F.col("actual_avg_tps") / F.col("target_tps"))
-            .drop("_a", "_b"))
+            .withColumn("resource_utilization", used))
 
 
 def fraud_detection_rate(df: DataFrame, col: str = "is_fraud_predicted") -> DataFrame:
@@ -176,6 +189,12 @@ def drift_score(base: DataFrame, current: DataFrame, col: str, bounds: list[floa
 
     counted = side(base, True).unionByName(side(current, False)).groupBy(*keys, "bin").agg(
         F.count_if("base").alias("p"), F.count_if(~F.col("base")).alias("q"))
+    return _psi(counted, keys).select(
+        *keys, F.lit(col).alias("feature"), "psi", (F.col("psi") > F.lit(limit)).alias("drifted"))
+
+
+def _psi(counted: DataFrame, keys: tuple[str, ...]) -> DataFrame:
+    """(keys, psi) of counts p and q per (keys, bin); a share is never less than a small constant."""
     every_bin = Window.partitionBy(*keys)
 
     def share(name: str) -> Column:
@@ -184,21 +203,69 @@ def drift_score(base: DataFrame, current: DataFrame, col: str, bounds: list[floa
 
     shares = counted.select(*keys, share("p").alias("p"), share("q").alias("q"))
     term = (F.col("q") - F.col("p")) * F.ln(F.col("q") / F.col("p"))
-    return shares.groupBy(*keys).agg(F.coalesce(F.sum(term), F.lit(0.0)).alias("psi")).select(
-        *keys, F.lit(col).alias("feature"), "psi", (F.col("psi") > F.lit(limit)).alias("drifted"))
+    return shares.groupBy(*keys).agg(F.coalesce(F.sum(term), F.lit(0.0)).alias("psi"))
+
+
+def _stacked(df: DataFrame, features: tuple[str, ...], keys: tuple[str, ...], *more: Column) -> DataFrame:
+    """(keys, feature, value, more) of all features in one pass; null and NaN are no values."""
+    pairs = F.array(*[F.struct(F.lit(f).alias("feature"), F.col(f).cast("double").alias("value")) for f in features])
+    rows = df.select(*keys, *more, F.inline(pairs))
+    return rows.filter(F.col("value").isNotNull() & ~F.isnan("value"))
+
+
+def learn_bins(base: DataFrame, features: tuple[str, ...], bins: int = 10, keys: tuple[str, ...] = ()) -> DataFrame:
+    """(keys, feature, edges): the quantile edges of every feature of a baseline, to be kept as a table.
+
+    Edge i of n sorted values is the one at the 0-based index ``n * i div bins``, exactly. A bin holds the values
+    from its edge on and below the next, so values that tie with an edge lie above it; edges
+    that tie are one, and the bin between them is none. Features share one pass; equal values are
+    combined before they are shuffled.
+    """
+    group = [*keys, "feature"]
+    dist = _stacked(base, features, keys).groupBy(*group, "value").agg(F.count(F.lit(1)).alias("n"))
+    below = ranked.with_totals_below(dist, group, "value", ["n"], ranked.double_bits(F.col("value")))
+    index = [F.call_function("div", F.col("n_total") * i, F.lit(bins)) for i in range(1, bins)]
+    here = lambda at: (F.col("n_below") <= at) & (at < F.col("n_below") + F.col("n"))
+    edges = below.groupBy(*group).agg(*[F.max(F.when(here(at), F.col("value"))).alias(f"e{i}") for i, at in enumerate(index)])
+    return edges.select(*group, F.array_sort(F.array_distinct(F.array(*[f"e{i}" for i in range(len(index))]))).alias("edges"))
+
+
+def drift_on_bins(bins: DataFrame, base: DataFrame, current: DataFrame, features: tuple[str, ...],
+                  limit: float = DRIFT_LIMIT, keys: tuple[str, ...] = ()) -> DataFrame:
+    """(keys, feature, psi, drifted): population stability of all features over learnt bins, in one stacked pass.
+
+    Groups without bins, new since the baseline, have no index. A null key is a group.
+    """
+    group = (*keys, "feature")
+    side = lambda df, is_base: _stacked(df, features, keys, F.lit(is_base).alias("base"))
+    values = side(base, True).unionByName(side(current, False)).groupBy(*group, "value").agg(
+        F.count_if("base").alias("p"), F.count_if(~F.col("base")).alias("q"))
+    own = bins.withColumnsRenamed({c: f"_{c}_" for c in group})
+    same = reduce(Column.__and__, [F.col(c).eqNullSafe(F.col(f"_{c}_")) for c in group])
+    slot = F.size(F.filter("edges", lambda e: F.col("value") >= e)).alias("bin")
+    counted = values.join(own, same).select(*group, slot, "p", "q").groupBy(*group, "bin").agg(F.sum("p").alias("p"), F.sum("q").alias("q"))
+    return _psi(counted, group).withColumn("drifted", F.col("psi") > F.lit(limit))
 
 
 # --- decisions from quality ------------------------------------------------
 
 def freshness_check(df: DataFrame, last_training: datetime, as_of: datetime, col: str = "ts",
-                    min_records: int = MIN_NEW_RECORDS,
-                    period: timedelta = RETRAIN_PERIOD) -> DataFrame:
-    """New rows since the last training; retrain when enough rows came and the period has passed."""
+                    min_records: int = MIN_NEW_RECORDS, period: timedelta = RETRAIN_PERIOD,
+                    quality: DataFrame | None = None, drift: DataFrame | None = None) -> DataFrame:
+    """New rows since the last training; retrain when enough rows came and the period has passed.
+
+    ``quality`` is the row of ``data_quality_score``, ``drift`` any number of rows of a drift score: drift is
+    detected if one has drifted. What isn't given is null.
+    """
     due = as_of - last_training >= period
+    score = F.lit(None).cast("double") if quality is None else quality.agg(F.max("score")).scalar()
+    drifted = F.lit(None).cast("boolean") if drift is None else drift.agg(F.coalesce(F.bool_or("drifted"), F.lit(False))).scalar()
     return (df.agg(F.count_if(F.col(col) > F.lit(last_training)).alias("new_records_available"))
             .withColumn("last_training_date", F.lit(last_training))
+            .withColumn("data_quality_score", score)
             .withColumn("should_retrain",
-                        (F.col("new_records_available") >= F.lit(min_records)) & F.lit(due)))
+                        (F.col("new_records_available") >= F.lit(min_records)) & F.lit(due))
+            .withColumn("data_drift_detected", drifted))
 
 
 def model_health(df: DataFrame, drift_limit: float = DRIFT_LIMIT,

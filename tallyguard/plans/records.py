@@ -8,7 +8,7 @@ from tallyguard.functions import texts
 from tallyguard.operators import latency, reports, validation
 from tallyguard.plans.domain import Domain, with_views
 from tallyguard.plans.registry import plan
-from tallyguard.plans.transactions import _HOSTILE, _SAFE, _hostile
+from tallyguard.plans.transactions import _HOSTILE, _SAFE, RESPONSE, _hostile, responses
 from tallyguard.session import scratch_dir
 from tallyguard.sources import files, logs, sinks
 
@@ -50,16 +50,20 @@ def scan_metric_json(d: Domain):
     return files.scan_metric_json(d.spark, path).select("metric", "value", F.col("_corrupt").isNotNull().alias("corrupt"))
 
 
-@plan("prediction_log_sink", with_views("""
-    SELECT transaction_id, fraud_probability, is_fraud_predicted, ts::DATE AS log_date FROM pred""", "pred"))
+_LOGGED = ["transaction_id", "fraud_probability", "is_fraud_predicted", "model_version", "processing_time_ms", "confidence"]
+
+
+@plan("prediction_log_sink", with_views(f"""
+    SELECT {", ".join(_LOGGED)}, ts AS timestamp, ts::DATE AS log_date FROM answers JOIN tx USING (transaction_id)""",
+                                        "req", "champions", "tx", more={"answers": RESPONSE}))
 def prediction_log_sink(d: Domain):
-    """Written twice under one batch id, as after a failure: the rows are there once."""
+    """All seven fields, written twice under one batch id, as after a failure: the rows are there once."""
     path = scratch_dir(d.spark, "prediction-log")
-    rows = d.predictions().withColumnRenamed("ts", "timestamp").select(
-        "transaction_id", "fraud_probability", "is_fraud_predicted", "timestamp")
+    times = d.transactions().select("transaction_id", F.col("ts").alias("timestamp"))
+    rows = responses(d).select(*_LOGGED).join(times, "transaction_id")
     for _ in range(2):
         sinks.prediction_log_sink(rows, path, batch_id=7)
-    return d.spark.read.parquet(path).select("transaction_id", "fraud_probability", "is_fraud_predicted", "log_date")
+    return d.spark.read.parquet(path).select(*_LOGGED, "timestamp", "log_date")
 
 
 # --- logs -----------------------------------------------------------------

@@ -279,6 +279,22 @@ def stream_label_join(d: Domain):
     return _stateful(d, joined.select("transaction_id", "is_fraud_predicted", "label"))
 
 
+@plan("stream_unlabelled", with_views("""
+    SELECT transaction_id, is_fraud_predicted, CASE WHEN event_id % 4 <= 2 THEN label END AS label, event_id % 4 > 2 AS unlabelled
+    FROM pred""", "pred"))
+def stream_unlabelled(d: Domain):
+    """As ``stream_label_join``, run to the end: predictions whose label came too late are answered without it."""
+    def joined(events):
+        labels = d.transactions(events).selectExpr(
+            "coalesce(transaction_id, 'end') as transaction_id", "label",
+            "ts + make_dt_interval(0, cast(coalesce(event_id % 4, 0) as int)) as label_ts")
+        scored = scoring.decide_threshold(scoring.rule_score(d.transactions(events)))
+        both = stream.stream_label_join(scored.select("transaction_id", "ts", "is_fraud_predicted"), labels, timedelta(hours=2),
+                                        unmatched=True)
+        return both.select("transaction_id", "is_fraud_predicted", "label", F.col("label_ts").isNull().alias("unlabelled"))
+    return _to_the_end(d, joined)
+
+
 _STATES = """SELECT series, 'pending' AS state, start AS changed_at FROM runs
     UNION ALL SELECT series, 'firing', fires FROM runs WHERE fires IS NOT NULL
     UNION ALL SELECT series, CASE WHEN fires IS NULL THEN 'inactive' ELSE 'resolved' END, ends FROM runs"""

@@ -235,20 +235,26 @@ _band("single", f"WHEN {_DISTANCE} > 0.4::DOUBLE THEN 'very_high'")
 _band("batch", "")
 
 
-@plan("prediction_response", with_views("""
-    SELECT transaction_id, fraud_probability, is_fraud_predicted, 'high' AS confidence, 'model_3' AS model_name,
-           (SELECT version FROM champions WHERE model_name = 'model_3') AS model_version
-    FROM (SELECT *, CASE WHEN abs(fraud_probability - 0.5::DOUBLE) > 0.3::DOUBLE THEN 'high' END AS c FROM pred)
-    WHERE fraud_probability > 0.5
-    UNION ALL SELECT transaction_id, fraud_probability, is_fraud_predicted,
-           CASE WHEN abs(fraud_probability - 0.5::DOUBLE) > 0.3::DOUBLE THEN 'high' ELSE 'medium' END, 'model_3',
-           (SELECT version FROM champions WHERE model_name = 'model_3') FROM pred WHERE fraud_probability <= 0.5""",
-                                        "pred", "champions"))
-def prediction_response(d: Domain):
+RESPONSE = """SELECT transaction_id, CASE WHEN amount > 500 THEN 0.8::DOUBLE ELSE 0.2::DOUBLE END AS fraud_probability,
+        amount > 500 AS is_fraud_predicted,
+        CASE WHEN abs(CASE WHEN amount > 500 THEN 0.8::DOUBLE ELSE 0.2::DOUBLE END - 0.5::DOUBLE) > 0.4::DOUBLE THEN 'very_high'
+             WHEN abs(CASE WHEN amount > 500 THEN 0.8::DOUBLE ELSE 0.2::DOUBLE END - 0.5::DOUBLE) > 0.3::DOUBLE THEN 'high'
+             ELSE 'medium' END AS confidence, 'model_3' AS model_name,
+        (SELECT version FROM champions WHERE model_name = 'model_3') AS model_version,
+        round(total_ms / count(*) OVER (PARTITION BY request_id), 2) AS processing_time_ms FROM req"""
+
+
+def responses(d: Domain):
+    """The answers of all requests, a row for each transaction."""
     champions = registry.resolve_champion(d.registry())
-    rows = scoring.prediction_response(scoring.confidence_band(d.predictions()), champions, "model_3")
-    return rows.select("transaction_id", "fraud_probability", "is_fraud_predicted", "confidence",
-                       "model_name", "model_version")
+    timed = scoring.amortized_latency(scoring.decide_threshold(scoring.rule_score(d.requests())))
+    return scoring.prediction_response(scoring.confidence_band(timed), champions, "model_3")
+
+
+@plan("prediction_response", with_views(RESPONSE, "req", "champions"))
+def prediction_response(d: Domain):
+    return responses(d).select("transaction_id", "fraud_probability", "is_fraud_predicted", "confidence",
+                               "model_name", "model_version", "processing_time_ms")
 
 
 class LinearModel:
@@ -322,12 +328,20 @@ def fraud_detection_rate(d: Domain):
         0.01::DOUBLE AS target_tps, count(*) / s AS actual_avg_tps,
         100::DOUBLE * count(*) FILTER (WHERE k % 50 = 0) / count(*) AS error_rate_percent,
         100::DOUBLE * (count(*) / s) / 0.01::DOUBLE AS throughput_efficiency
+        , min(ts) AS streaming_start_time, s AS streaming_duration_seconds,
+        count(*) FILTER (WHERE k % 50 <> 0 AND (value * 5 > 500) = ((value * 5 > 500) <> (event_id % 17 = 0)))
+            / (count(*) FILTER (WHERE k % 50 <> 0))::DOUBLE AS model_accuracy_estimate,
+        round(avg(k), 6) AS cpu, round(avg(value / 5), 6) AS memory, round(avg(k / 4::DOUBLE), 6) AS disk
     FROM ev, (SELECT (epoch_us(max(ts)) - epoch_us(min(ts))) / 1000000::DOUBLE AS s FROM ev) GROUP BY s""", "ev"))
 def stream_performance(d: Domain):
     rows = d.events().selectExpr("ts", "value as latency_ms", "value * 5 > 500D as is_fraud",
+                                 "(value * 5 > 500D) <> (event_id % 17 = 0) as label",
                                  "case when k % 50 = 0 then 'failed' end as error")
-    return quality.stream_performance(rows, 0.01).withColumn(
+    used = d.events().selectExpr("k as cpu_percent", "value / 5 as memory_percent", "k / 4D as disk_io_mbps")
+    out = quality.stream_performance(rows, 0.01, used).withColumn(
         "avg_processing_latency_ms", F.round("avg_processing_latency_ms", 6))
+    parts = {"cpu": "cpu_avg_percent", "memory": "memory_avg_percent", "disk": "disk_io_avg_mbps"}
+    return out.withColumns({n: F.round(f"resource_utilization.{c}", 6) for n, c in parts.items()}).drop("resource_utilization")
 
 
 @plan("preview_predictions", with_views("""SELECT transaction_id, amount, fraud_probability, is_fraud_predicted
@@ -413,12 +427,48 @@ def drift_score(d: Domain):
     return scored.withColumn("psi", F.round("psi", 9))
 
 
+_LEARNT = {
+    "long": """SELECT * FROM (SELECT 'model_' || (event_id % 3) AS model, hour_of_day < 12 AS base,
+        unnest(['amount', 'user_age', 'location_risk_score']) AS feature, unnest([amount, user_age, location_risk_score]) AS value
+        FROM tx) WHERE value IS NOT NULL""",
+    "edges": """SELECT DISTINCT model, feature, value AS edge FROM (SELECT *, count(*) OVER (PARTITION BY model, feature) AS n,
+        row_number() OVER (PARTITION BY model, feature ORDER BY value) - 1 AS i FROM long WHERE base), range(1, 10) r(k)
+        WHERE i = n * k // 10""",
+    "slots": """SELECT model, feature, bin, count(*) FILTER (WHERE base) AS p, count(*) FILTER (WHERE NOT base) AS q
+        FROM (SELECT l.*, (SELECT count(*) FROM edges e WHERE e.model = l.model AND e.feature = l.feature AND e.edge <= l.value) AS bin
+              FROM long l) GROUP BY ALL""",
+    "shares": """SELECT model, feature, greatest(p / sum(p) OVER w::DOUBLE, 0.0001::DOUBLE) AS p,
+        greatest(q / sum(q) OVER w::DOUBLE, 0.0001::DOUBLE) AS q FROM slots WINDOW w AS (PARTITION BY model, feature)""",
+}
+
+
+@plan("drift_learnt_bins", with_views("""
+    SELECT model, feature, round(sum((q - p) * ln(q / p)), 9) AS psi, sum((q - p) * ln(q / p)) > 0.1 AS drifted
+    FROM shares GROUP BY model, feature""", "tx", more=_LEARNT))
+def drift_learnt_bins(d: Domain):
+    """Morning values against those of the rest of the day, per model and feature, over the morning's deciles."""
+    return _learnt_drift(d).withColumn("psi", F.round("psi", 9))
+
+
+def _learnt_drift(d: Domain):
+    features, keys = ("amount", "user_age", "location_risk_score"), ("model",)
+    rows = d.transactions().withColumn("model", F.expr("concat('model_', event_id % 3)"))
+    base = rows.filter("hour_of_day < 12")
+    bins = quality.learn_bins(base, features, 10, keys)
+    return quality.drift_on_bins(bins, base, rows.filter("hour_of_day >= 12"), features, keys=keys)
+
+
 @plan("freshness_check", with_views("""
     SELECT TIMESTAMP '2024-01-20 00:00:00' AS last_training_date,
         count(*) FILTER (WHERE ts > TIMESTAMP '2024-01-20 00:00:00') AS new_records_available,
-        count(*) FILTER (WHERE ts > TIMESTAMP '2024-01-20 00:00:00') >= 3000 AS should_retrain FROM tx""", "tx"))
+        count(*) FILTER (WHERE ts > TIMESTAMP '2024-01-20 00:00:00') >= 3000 AS should_retrain,
+        (SELECT count(*) FILTER (WHERE errors = '') / count(*)::DOUBLE FROM checked) AS data_quality_score,
+        (SELECT bool_or(d) FROM (SELECT sum((q - p) * ln(q / p)) > 0.1 AS d FROM shares GROUP BY model, feature)) AS data_drift_detected
+    FROM tx""", "checked", more=_LEARNT))
 def freshness_check(d: Domain):
-    checked = quality.freshness_check(d.transactions(), datetime(2024, 1, 20), datetime(2024, 1, 31), min_records=3000)
+    score = validation.data_quality_score(validation.validate_transactions(d.raw()))
+    checked = quality.freshness_check(d.transactions(), datetime(2024, 1, 20), datetime(2024, 1, 31), min_records=3000,
+                                      quality=score, drift=_learnt_drift(d))
     return checked.withColumn("last_training_date", F.col("last_training_date").cast("timestamp_ntz"))
 
 

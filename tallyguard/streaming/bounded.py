@@ -26,7 +26,8 @@ def run_to_end(start: Callable[[], StreamingQuery], rows: DataFrame, ts: str, ma
     """Run a query over all that is there, then once more for the end mark, which only has a time.
 
     ``start`` starts the query with one checkpoint and ends by itself (``availableNow``). Keys of the
-    mark are null; its rows don't leave a windowed aggregate.
+    mark are null; its rows don't leave a windowed aggregate. A join drops rows with a null key before they
+    reach the watermark, so its sides must give the mark keys that aren't null and don't match.
     """
     start().awaitTermination()
     _mark(rows, ts).write.mode("append").parquet(marks)

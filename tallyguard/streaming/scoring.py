@@ -62,11 +62,15 @@ def _each_batch(df: DataFrame, write, checkpoint: str, available_now: bool) -> S
 
 
 def stream_label_join(pred: DataFrame, labels: DataFrame, bound: timedelta,
-                      delay: timedelta = WATERMARK) -> DataFrame:
-    """Predictions (transaction_id, ts) with labels (transaction_id, label_ts, label) at most ``bound`` later."""
+                      delay: timedelta = WATERMARK, unmatched: bool = False) -> DataFrame:
+    """Predictions (transaction_id, ts) with labels (transaction_id, label_ts, label) at most ``bound`` later.
+
+    With ``unmatched``, a prediction whose label can't come any more is answered without one: when both
+    watermarks have passed its ``bound``, and it leaves the state.
+    """
     p = pred.withWatermark("ts", intervals.text(delay)).alias("p")
     late = labels.withWatermark("label_ts", intervals.text(delay)).alias("l")
     on = ((F.col("p.transaction_id") == F.col("l.transaction_id"))
           & (F.col("l.label_ts") >= F.col("p.ts"))
           & (F.col("l.label_ts") <= F.col("p.ts") + intervals.literal(bound)))
-    return p.join(late, on).drop(F.col("l.transaction_id"))
+    return p.join(late, on, "left_outer" if unmatched else "inner").drop(F.col("l.transaction_id"))

@@ -1,3 +1,4 @@
+import math
 import random
 from datetime import datetime, timedelta
 from decimal import Decimal
@@ -146,3 +147,20 @@ def test_histogram_top_bucket_is_the_count(spark):
     rows = spark.createDataFrame([(x / 10,) for x in range(200)], "seconds double")
     got = latency.latency_histogram(rows).orderBy("le").collect()
     assert got[-1].cumulative == got[-1]["count"] == 200 and [r.cumulative for r in got] == sorted(r.cumulative for r in got)
+
+
+def test_learnt_bins_and_their_ties(spark):
+    """Edges are elements of the sorted baseline; those that tie are one, and a value on an edge lies above it."""
+    rows = [("m", 1.0 * i, 5.0 if i < 8 else float(i)) for i in range(20)] + [(None, 1.0, None), ("m", None, float("nan"))]
+    base = spark.createDataFrame(rows, "model string, a double, b double").repartition(3)
+    bins = {(r.model, r.feature): r.edges for r in quality.learn_bins(base, ("a", "b"), 4, ("model",)).collect()}
+    assert bins == {("m", "a"): [5.0, 10.0, 15.0], ("m", "b"): [5.0, 10.0, 15.0], (None, "a"): [1.0]}
+    kept = quality.learn_bins(base, ("a", "b"), 4, ("model",))
+    same = quality.drift_on_bins(kept, base, base, ("a", "b"), keys=("model",)).collect()
+    assert len(same) == 3 and all(r.psi == 0 and not r.drifted for r in same)
+    moved = spark.createDataFrame([("m", 5.0, 9.0), ("m", 5.0, 9.0), ("new", 1.0, 1.0)], "model string, a double, b double")
+    got = {(r.model, r.feature): r.psi for r in quality.drift_on_bins(kept, base, moved, ("a", "b"), keys=("model",)).collect()}
+    eps = quality.PSI_EPSILON
+    one = lambda p, q: (max(q, eps) - max(p, eps)) * math.log(max(q, eps) / max(p, eps))
+    assert got["m", "a"] == pytest.approx(one(.25, 1) + 3 * one(.25, 0))  # all in the bin from the edge 5 on
+    assert got["m", "b"] == pytest.approx(one(.5, 1) + 2 * one(.25, 0)) and ("new", "a") not in got
