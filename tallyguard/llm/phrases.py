@@ -29,8 +29,8 @@ from tallyguard.llm.common import stage
 
 SHARD = 1 << 21    # words after which a task closes a shard
 TRIE = 1 << 19     # phrases of one trie, about 30 MB
-BUCKETS = 1 << 24  # hashed counts that tell which phrases can't be frequent
-CHUNK = 1 << 18    # buckets in a row
+BUCKETS = 1 << 26  # hashed counts that tell which phrases can't be frequent: a byte each in a task, a bit each when sent
+CHUNK = 1 << 20    # buckets in a row, a multiple of 8
 WIDE = 24          # children from which a trie node has a span of its own
 _BREAKS = b".,;:!?\n\x0b\x0c\r"
 _FOLD = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ" + _BREAKS, b"abcdefghijklmnopqrstuvwxyz" + b"." * len(_BREAKS))
@@ -83,12 +83,25 @@ def shards(docs: DataFrame, lang: str, text: str, size: int) -> DataFrame:
             for of, said in zip(batch.column("lang").to_pylist(), batch.column("said").to_pylist()):
                 by[of].append(said)
             for of, texts in by.items():
-                total += held[of].add(texts)
-            if total >= size:
-                yield from closed(held)
-                held, total = defaultdict(_Open), 0
+                for some in slices(texts):
+                    total += held[of].add(some)
+                    if total >= size:
+                        yield from closed(held)
+                        held, total = defaultdict(_Open), 0
         yield from closed(held)
 
+    def slices(texts):
+        """Texts of about a million characters at a time: their words are objects for a moment."""
+        some, chars = [], 0
+        for t in texts:
+            some.append(t)
+            chars += len(t)
+            if chars >= 1 << 20:
+                yield some
+                some, chars = [], 0
+        if some:
+            yield some
+
     def closed(held):
         for of, shard in held.items():
             yield pa.RecordBatch.from_pylist([{"lang": of} | shard.close()], schema=kind)
@@ -141,6 +154,11 @@ def _bucket(words: list[np.ndarray], buckets: int) -> np.ndarray:
     return (h % np.uint64(buckets)).astype(np.int64)
 
 
+def _passes(bits: np.ndarray, bucket: np.ndarray) -> np.ndarray:
+    """Whether each bucket's bit is set."""
+    return (bits[bucket >> 3] >> (7 - (bucket & 7)).astype(np.uint8) & 1).astype(bool)
+
+
 def _eligible(tokens, numbers, k: int, shorter, buckets: int) -> tuple[np.ndarray, list[np.ndarray]]:
     """Places where a phrase of k words starts whose parts may all be frequent, and the numbers of its words."""
     words = numbers[tokens]
@@ -151,13 +169,13 @@ def _eligible(tokens, numbers, k: int, shorter, buckets: int) -> tuple[np.ndarra
     at = np.flatnonzero(good)
     if shorter is not None and len(at):
         for j in (0, 1):
-            passed = shorter[_bucket([words[at + j + i] for i in range(k - 1)], buckets)]
+            passed = _passes(shorter, _bucket([words[at + j + i] for i in range(k - 1)], buckets))
             at = at[passed]
     return at, [words[at + j] for j in range(k)]
 
 
 def _bits(rows: DataFrame, buckets_of, least: int, buckets: int, chunk: int) -> np.ndarray:
-    """For each bucket, whether ``buckets_of`` the rows' batches named it ``least`` times or more."""
+    """A bit for each bucket: whether ``buckets_of`` the rows' batches named it ``least`` times or more."""
     small = np.uint8 if least < 128 else np.int64  # counts stop at least, so two of them fit
 
     def count_task(batches):
@@ -183,31 +201,29 @@ def _bits(rows: DataFrame, buckets_of, least: int, buckets: int, chunk: int) ->
                                              ["chunk", "bits"])
 
     summed = rows.mapInArrow(count_task, "chunk long, counts binary").repartition("chunk").mapInArrow(sum_task, "chunk long, bits binary")
-    out = np.zeros(buckets, bool)
+    out = np.zeros(-(-buckets // 8), np.uint8)
     for c, bits in summed.collect():  # a row for each chunk
-        size = min(chunk, buckets - c)
-        out[c:c + size] = np.unpackbits(np.frombuffer(bits, np.uint8), count=size).astype(bool)
+        out[c // 8:c // 8 + len(bits)] = np.frombuffer(bits, np.uint8)
     return out
 
 
 def _candidates(numbered: DataFrame, k: int, shorter, least: int, buckets: int, chunk: int) -> DataFrame:
     """Distinct (w0, ..., w{k-1}) of all phrases that may be frequent."""
     spark, columns = numbered.sparkSession, [f"w{j}" for j in range(k)]
-    send = lambda x: None if x is None else spark.sparkContext.broadcast(x)
-    shorter = send(shorter)
+    shorter = None if shorter is None else spark.sparkContext.broadcast(shorter)
 
     def buckets_of(batch):
         for tokens, numbers in _opened(batch):
             at, words = _eligible(tokens, numbers, k, shorter and shorter.value, buckets)
             yield _bucket(words, buckets), 1
 
-    full = send(_bits(numbered, buckets_of, least, buckets, chunk))
+    full = spark.sparkContext.broadcast(_bits(numbered, buckets_of, least, buckets, chunk))
 
     def observed(batches):
         for batch in batches:
             for tokens, numbers in _opened(batch):
                 at, words = _eligible(tokens, numbers, k, shorter and shorter.value, buckets)
-                passed = full.value[_bucket(words, buckets)]
+                passed = _passes(full.value, _bucket(words, buckets))
                 at, words = at[passed], [w[passed] for w in words]
                 key = tokens[at]
                 for j in range(1, k):  # places are at most the shard's words, so two of them fit 64 bits
@@ -216,7 +232,11 @@ def _candidates(numbered: DataFrame, k: int, shorter, least: int, buckets: int,
                 for i in range(0, len(first), 100_000):
                     yield pa.RecordBatch.from_arrays([pa.array(w[first[i:i + 100_000]]) for w in words], columns)
 
-    return numbered.mapInArrow(observed, ", ".join(f"{c} long" for c in columns)).distinct()
+    found = stage(numbered.mapInArrow(observed, ", ".join(f"{c} long" for c in columns)).distinct(), f"candidates-{k}")
+    for sent in (full, shorter):
+        if sent is not None:
+            sent.destroy()
+    return found
 
 
 class DoubleArray:
@@ -320,14 +340,13 @@ def _tries(candidates: DataFrame, k: int, size: int) -> tuple[int, DataFrame]:
     return n, stage(dealt.groupBy("trie").applyInArrow(run, "trie long, ids binary, base binary, check binary"), f"tries-{k}")
 
 
-def _counted(numbered: DataFrame, k: int, trie, ids) -> DataFrame:
-    """(w0, ..., n): the tasks' counts of every phrase of a trie."""
-    columns, width = [f"w{j}" for j in range(k)], _width(len(ids))
-    sent = numbered.sparkSession.sparkContext.broadcast((trie.base, trie.check, ids))
+def _counted(numbered: DataFrame, k: int, sent) -> DataFrame:
+    """(w0, ..., n): the tasks' counts of every phrase of a trie; ``sent`` is the trie, broadcast."""
+    columns = [f"w{j}" for j in range(k)]
 
     def run(batches):
-        base, check, ids = sent.value
-        trie, total = DoubleArray(base, check), np.zeros(len(base), np.int64)
+        base, check, ids = (np.frombuffer(x, t) for x, t in zip(sent.value, (np.int32, np.int32, "<i8")))
+        trie, total, width = DoubleArray(base, check), np.zeros(len(base), np.int64), _width(len(ids))
         for batch in batches:
             for tokens, numbers in _opened(batch):
                 code = np.minimum(np.searchsorted(ids, numbers), len(ids) - 1)
@@ -367,16 +386,18 @@ def _counted(numbered: DataFrame, k: int, trie, ids) -> DataFrame:
 def frequent_phrases(numbered: DataFrame, k: int, shorter, least: int, trie_size: int, buckets: int, chunk: int) -> DataFrame:
     """(w0, ..., a) of the phrases of k words that occur ``least`` times or more."""
     columns = [f"w{j}" for j in range(k)]
-    candidates = stage(_candidates(numbered, k, shorter, least, buckets, chunk), f"candidates-{k}")
+    candidates = _candidates(numbered, k, shorter, least, buckets, chunk)
     n, tries = _tries(candidates, k, trie_size)
     out = None
     for t in range(n):  # each trie has its own phrases, and is read and sent alone
         row = tries.where(F.col("trie") == t).first()
         if row is None:
             continue
-        trie = DoubleArray(np.frombuffer(row["base"], np.int32), np.frombuffer(row["check"], np.int32))
-        counts = _counted(numbered, k, trie, np.frombuffer(row["ids"], "<i8"))
-        counts = stage(counts.groupBy(*columns).agg(F.sum("n").alias("a")).where(F.col("a") >= least), f"phrases-{k}")
+        sent = numbered.sparkSession.sparkContext.broadcast(tuple(bytes(row[c]) for c in ("base", "check", "ids")))
+        del row
+        counts = _counted(numbered, k, sent).groupBy(*columns).agg(F.sum("n").alias("a")).where(F.col("a") >= least)
+        counts = stage(counts, f"phrases-{k}")
+        sent.destroy()  # the driver holds one trie at a time
         out = counts if out is None else out.unionByName(counts)
     return out if out is not None else candidates.withColumn("a", F.lit(0).cast("long"))
 

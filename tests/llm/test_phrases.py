@@ -61,7 +61,7 @@ def rows():
     (3, 2, 50, 40, {"shard": 50, "trie": 3000, "buckets": 64, "chunk": 8}),
     (4, 3, 80, 2000, {"shard": 1, "trie": 3000, "buckets": 1 << 12, "chunk": 1000}),
     (2, 1, 50, 5, {"trie": 6000, "buckets": 1}),
-    (3, 200, 50, 9, {})])
+    (3, 190, 50, 9, {})])
 def test_phrases_match_a_plain_count(spark, rows, longest, least, share, top, sizes):
     got = phrases.collocations(made(spark, rows), longest, least, share, top, **sizes)
     assert got.columns == ["lang", "rank", "phrase", "a", "l", "r", "n", "score"]
