@@ -8,9 +8,10 @@ length up to ``edits`` shorter with the few substrings that can match there. Can
 banded bit-parallel edit distance: a column of 2 * edits + 1 cells is two bit vectors.
 
 Repeats of a line are combined before the first shuffle. Where many lines share a
-segment, they aren't paired: the shared segment is cut out and the rests are cut into
+segment, they aren't paired at once: the shared segment is cut out and the rests are cut into
 segments again, within the bucket, until buckets are small or the rests are a few
-characters, so that nearly all of what is left are real links.
+characters. Such rests aren't cut further: lines of one template that only differ there are
+all paired, which grows with the square of their number.
 """
 
 from __future__ import annotations
@@ -229,7 +230,7 @@ def near_lines(docs: DataFrame, edits: int = EDITS, shortest: int = SHORTEST, bu
     side = lambda n: counts.select(F.col("id").alias(n), F.col("c").alias(f"{n}_c"))
     close = pairs.join(side("a"), "a").join(side("b"), "b").where(letters_apart(F.col("a_c"), F.col("b_c")) <= 2 * edits)
     both = _with_texts(stage(close.select("a", "b"), "close-lines"), long)
-    # few bytes and much work: dealt to all tasks, which adaptive execution would otherwise join
+    # meant to deal few bytes and much work to all tasks; the optimiser moves the distance below it, into the join
     both = both.repartition(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), "a", "b")
     near = edit_distance(F.split("x", ""), F.split("y", ""), edits) <= allowed
     links = stage(both.where(near).select("a", "b"), "line-links")
