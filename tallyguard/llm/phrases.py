@@ -27,9 +27,10 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tallyguard.llm.common import stage
 
-SHARD = 1 << 21    # words after which a task closes a shard
-TRIE = 1 << 19     # phrases of one trie, about 30 MB
-BUCKETS = 1 << 26  # hashed counts that tell which phrases can't be frequent: a byte each in a task, a bit each when sent
+SHARD = 1 << 20    # words after which a task closes a shard
+TRIE = 1 << 18     # phrases of one trie, about 15 MB
+AT_ONCE = 1 << 18  # positions whose states move together
+BUCKETS = 1 << 25  # hashed counts that tell which phrases can't be frequent: a byte each in a task, a bit each when sent
 CHUNK = 1 << 20    # buckets in a row, a multiple of 8
 WIDE = 24          # children from which a trie node has a span of its own
 _BREAKS = b".,;:!?\n\x0b\x0c\r"
@@ -42,7 +43,7 @@ def _planes(ids: np.ndarray) -> bytes:
 
 
 def _from_planes(blob: bytes) -> np.ndarray:
-    return np.frombuffer(zstandard.decompress(blob), np.uint8).reshape(4, -1).T.copy().view("<u4").ravel().astype(np.int64)
+    return np.frombuffer(zstandard.decompress(blob), np.uint8).reshape(4, -1).T.copy().view("<i4").ravel()
 
 
 class _Open:
@@ -60,7 +61,7 @@ class _Open:
         return len(ids)
 
     def close(self) -> dict:
-        """Words by falling count: the commonest have the shortest codes."""
+        """Words by falling count: the commonest have the smallest numbers, which compress best."""
         tokens = np.concatenate(self.tokens)
         words = list(self.vocabulary)
         counts = np.bincount(tokens, minlength=len(words))
@@ -358,17 +359,20 @@ def _counted(numbered: DataFrame, k: int, sent) -> DataFrame:
                     states = trie.step(states, _digit(code[live], d, width))
                     live, states = live[states > 0], states[states > 0]
                 first[live] = states
-                tokens = np.concatenate([tokens, np.zeros(k, np.int64)])
-                states = first[tokens]
-                at = np.flatnonzero(states)
-                states = states[at]
-                for j in range(1, k):
-                    now = code[tokens[at + j]]
-                    at, states, now = at[now >= 0], states[now >= 0], now[now >= 0]
-                    for d in range(width):
-                        states = trie.step(states, _digit(now, d, width))
-                        at, now, states = at[states > 0], now[states > 0], states[states > 0]
-                total += np.bincount(states, minlength=len(total))
+                tokens, met = np.concatenate([tokens, np.zeros(k, tokens.dtype)]), []
+                for i in range(0, len(tokens) - k, AT_ONCE):
+                    states = first[tokens[i:min(i + AT_ONCE, len(tokens) - k)]]
+                    at = np.flatnonzero(states)
+                    states, at = states[at], at + i
+                    for j in range(1, k):
+                        now = code[tokens[at + j]]
+                        at, states, now = at[now >= 0], states[now >= 0], now[now >= 0]
+                        for d in range(width):
+                            states = trie.step(states, _digit(now, d, width))
+                            at, now, states = at[states > 0], now[states > 0], states[states > 0]
+                    met.append(states)
+                if met:
+                    total += np.bincount(np.concatenate(met), minlength=len(total))
         found = np.flatnonzero(total)
         words, states = [], found
         for _ in range(k):
