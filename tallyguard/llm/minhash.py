@@ -210,6 +210,17 @@ def _apart(members: DataFrame, sets: DataFrame, roots: DataFrame, whole_of, simi
     return stage(targets.unionByName(probes).groupBy("key", "t", "p").applyInArrow(run, "a long, b long").distinct(), "links-apart")
 
 
+def _joined_roots(roots: DataFrame, more: DataFrame) -> DataFrame:
+    """(node, root) after further links: components of the components that these touch."""
+    own = lambda c: F.coalesce(F.col(f"{c}_root"), F.col(c)).alias(c)
+    a, b = (roots.select(F.col("node").alias(c), F.col("root").alias(f"{c}_root")) for c in ("a", "b"))
+    tied = stage(components(more.join(a, "a", "left").join(b, "b", "left").select(own("a"), own("b")).distinct()), "roots-apart")
+    tied = tied.select(F.col("node").alias("was"), F.col("root").alias("now"))
+    moved = roots.join(tied, roots["root"] == tied["was"], "left").select("node", F.coalesce("now", "root").alias("root"))
+    alone = tied.join(roots, tied["was"] == roots["node"], "left_anti").select(F.col("was").alias("node"), F.col("now").alias("root"))
+    return moved.unionByName(alone)
+
+
 def near_documents(docs: DataFrame, width: int = 4, similarity: int = 80, doc_id: str = "doc_id", text: str = "text",
                    group: int = GROUP) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for every row of ``docs``.
@@ -232,12 +243,12 @@ def near_documents(docs: DataFrame, width: int = 4, similarity: int = 80, doc_id
     shared = stage(keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("sid").alias("least")).where("n > 1"), "buckets")
     members = stage(keyed.join(shared, "key").select("key", "sid", "least"), "members")
     whole_of = lambda ids: _whole_sets(ids, sets, docs, width, doc_id, text)
-    star = stage(members.where("sid != least").select(F.col("least").alias("a"), F.col("sid").alias("b")).distinct(), "star-pairs")
+    star = members.where("sid != least").select(F.col("least").alias("a"), F.col("sid").alias("b")).distinct()
     links = _confirmed(stage(_likely(star, sets, similarity, bound), "likely-pairs"), whole_of, similarity)
     roots = components(links)
     more = _apart(members.select("key", "sid"), sets, roots, whole_of, similarity, bound, group)
     if more is not None and more.head(1):
-        roots = components(links.unionByName(more))
+        roots = _joined_roots(roots, more)
     rooted = sets.join(roots, sets["sid"] == roots["node"], "left").select("name", "least", F.coalesce("root", "sid").alias("root"))
     classes = rooted.groupBy("root").agg(F.min("least").alias("class"))
     named = stage(rooted.join(classes, "root").select("name", "class"), "set-classes")
