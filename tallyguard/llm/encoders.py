@@ -13,28 +13,30 @@ import struct
 
 from tokenizers import Tokenizer
 
+from tallyguard.llm.common import kept
+
 LIMIT = 300_000  # chunks kept by one worker, about 70 MB: the first seen, and so the common ones; others are cut anew
 _SPACE = re.compile(r" (?=\S)")
-_OPEN: dict[str, "Encoder"] = {}
 
 
 def encoder(path: str) -> "Encoder":
     """The worker's encoder for a vocabulary file; its cache lasts over tasks."""
-    if path not in _OPEN:
-        _OPEN[path] = Encoder(path)
-    return _OPEN[path]
+    return kept(Encoder, path)
 
 
 class Encoder:
     """``encode(text)`` gives the ids as little-endian unsigned 32-bit integers in bytes.
 
-    Strings of special tokens inside a text are ordinary text. Three ways to cut,
+    ``chunks(text)`` gives what the text is cut into, and ``ids(chunk, before)`` the ids of a chunk, ``before``
+    being empty for the first chunk and a space for the others, which have lost theirs: one after another they are
+    the ids of the text. ``count(chunk, before)`` is the number of these ids. Strings of special tokens inside a text are ordinary text. Three ways to cut,
     chosen from the tokenizer's own description: before each space that a non-space
     follows (byte-level cut, no normaliser), at ASCII white space (the cut drops
     white space anyway), or not at all.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, limit: int | None = None):
+        self.limit = LIMIT if limit is None else limit
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.normalizer, self.cutter, self.model = (
@@ -42,17 +44,21 @@ class Encoder:
         self.first: dict[str | bytes, bytes] = {}  # by chunk, without a space before it
         self.rest: dict[str, bytes] = {}           # by chunk, with one
         self.letters = _Letters(self.cutter)
+        self.count = lambda chunk, before: len(self.ids(chunk, before)) // 4
         spec = json.loads(self.tokenizer.to_str())
         cut, norm = spec.get("pre_tokenizer") or {}, spec.get("normalizer")
         steps = cut.get("pretokenizers", [])
         if cut.get("type") == "ByteLevel" and cut.get("use_regex") and not cut.get("add_prefix_space") and not norm:
-            self.encode = self._by_space
+            self.encode, self.chunks, self.count = self._by_space, self._spaced, self._count
+            self.ids = lambda chunk, before: self._get(self.rest if before else self.first, chunk, before) if chunk else b""
         elif (steps and steps[0]["type"] == "Split" and steps[0]["behavior"] == "Removed" and steps[0]["invert"]
               and "\\s" in steps[0]["pattern"].get("Regex", "")
               and {n["type"] for n in (norm or {}).get("normalizers", [])} <= {"NFC", "Replace", "Lowercase"}):
-            self.encode = self._by_white
+            self.encode, self.chunks = self._by_white, lambda text: text.split(" ")
+            self.ids = lambda chunk, before: self._by_white(chunk)
         else:
-            self.encode = self._whole
+            self.encode, self.chunks = self._whole, lambda text: [text]
+            self.ids = lambda chunk, before: self._whole(chunk)
 
     def _whole(self, text: str) -> bytes:
         ids = self.tokenizer.encode(text, add_special_tokens=False).ids
@@ -68,7 +74,7 @@ class Encoder:
         return b"".join([self._piece(p) for p, _ in self.cutter.pre_tokenize_str(chunk)])
 
     def _keep(self, kept: dict, chunk, ids: bytes) -> bytes:
-        if len(chunk) <= 64 and len(self.first) + len(self.rest) < LIMIT:
+        if len(chunk) <= 64 and len(self.first) + len(self.rest) < self.limit:
             kept[chunk] = ids
         return ids
 
@@ -96,10 +102,27 @@ class Encoder:
     def _get(self, kept: dict, chunk: str, before: str) -> bytes:
         return kept.get(chunk) or self._miss(kept, chunk, before)
 
-    def _by_space(self, text: str) -> bytes:
+    def _spaced(self, text: str) -> list[str]:
         chunks = text.split(" ")
         if "" in chunks or any([c[0].isspace() for c in chunks]):
             chunks = _SPACE.split(text)
+        return chunks
+
+    def _count(self, chunk: str, before: str) -> int:
+        """How many ids a chunk has, without making them where it is a word, or words in lines."""
+        word = chunk.rstrip(",.")
+        if word.isalpha() and max(word) < "\u0100":
+            n = len(self.model.tokenize(self.letters[before] + (word if word.isascii() else word.translate(self.letters))))
+            return n if word == chunk else n + len(self._get(self.first, chunk[len(word):], "")) // 4
+        if "\n" in chunk:
+            lines = chunk.split("\n")
+            if all(x and not x[0].isspace() and not x[-1].isspace() for x in lines):
+                newline = len(self._get(self.first, "\n", "")) // 4
+                return self._count(lines[0], before) + sum(newline + self._count(x, "") for x in lines[1:])
+        return len(self.ids(chunk, before)) // 4
+
+    def _by_space(self, text: str) -> bytes:
+        chunks = self._spaced(text)
         out = list(map(self.rest.get, chunks))
         out[0] = self._get(self.first, chunks[0], "") if chunks[0] else b""
         for i, ids in enumerate(out):

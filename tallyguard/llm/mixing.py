@@ -14,20 +14,25 @@ documents whose rate isn't 0, and a step that doesn't bring the totals closer is
 
 from __future__ import annotations
 
+from itertools import chain
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql import types as T
 
 from tallyguard.llm import subword
-from tallyguard.llm.common import stage
-from tallyguard.llm.encoders import encoder
+from tallyguard.llm.common import kept, stage
+from tallyguard.llm.encoders import Encoder
 from tallyguard.llm.toxicity import AT_ONCE, labelled_sample
 
 PER_DOMAIN = 1500  # labelled rows of each domain to train on
 STEPS = 40
 HALVINGS = 12
 VOCABULARY = "byte_bpe_50k.json"  # of the tokens that count, a public file on every machine
+CHUNKS = 400_000   # chunks whose measures a worker keeps from text to text
+LENGTH = 64        # characters of a chunk that is kept
+FEW = 50_000       # chunks whose token ids it keeps beside them, for those that hold others
 CLOSE = 1e-4       # of the total, the largest miss of a domain that ends the fit
 
 
@@ -45,6 +50,61 @@ def domain_model(docs: DataFrame, labelled: DataFrame, domains: list[str], per_d
     return model
 
 
+class _Measured:
+    """What a worker knows of the chunks it has met: their token ids, words and the sums of the words' logits.
+
+    A text is looked up once, chunk by chunk; chunks end at spaces, so no word is in two of them.
+    """
+
+    def __init__(self, vocabulary: str, model):
+        self.encoder, self.model = Encoder(vocabulary, limit=FEW), model
+        self.numbers = subword.Numbers()
+        self.rows = np.zeros((CHUNKS, 2 + (0 if model is None else model.table.shape[1])))
+        self.empty = None if model is None else model.word_rows([""])[0].astype(np.float32)
+
+    def many(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray | None]:
+        """(token ids, logits) of every text; of a text without words those of the empty word, without a model none."""
+        split = [self.encoder.chunks(t) for t in texts]
+        for chunks in split:
+            chunks[0] = (chunks[0],)  # told apart from the others: it has no space before it
+        numbers, sizes = self.numbers, np.array([len(chunks) for chunks in split])
+        if len(numbers) > CHUNKS:
+            for c in list(numbers)[CHUNKS // 2:]:
+                del numbers[c]
+        first, numbers.new = len(numbers), []
+        found = np.fromiter(map(numbers.__getitem__, chain.from_iterable(split)), np.int64, int(sizes.sum()))
+        if len(numbers) > len(self.rows):
+            self.rows = np.concatenate([self.rows, np.zeros((len(numbers) - len(self.rows), self.rows.shape[1]))])
+        for i in range(0, len(numbers.new), 20_000):
+            part = numbers.new[i:i + 20_000]
+            self.rows[first + i:first + i + len(part)] = self._measure(part)
+        sums = np.add.reduceat(self.rows[found], np.cumsum(sizes) - sizes, axis=0)
+        short = [i for i, c in enumerate(numbers.new) if len(c if isinstance(c, str) else c[0]) <= LENGTH]
+        if len(short) < len(numbers.new):  # the long ones aren't kept
+            self.rows[first:first + len(short)] = self.rows[first + np.array(short, np.int64)]
+            for c in numbers.new:
+                del numbers[c]
+            numbers.update((numbers.new[i], first + j) for j, i in enumerate(short))
+        counts, words = sums[:, 0].astype(np.int64), sums[:, 1:2]
+        if self.model is None:
+            return counts, None
+        return counts, np.where(words > 0, sums[:, 2:] / np.maximum(words, 1), self.empty) + self.model.bias
+
+    def _measure(self, chunks: list) -> np.ndarray:
+        pairs = [(c, " ") if isinstance(c, str) else (c[0], "") for c in chunks]
+        out = np.zeros((len(chunks), self.rows.shape[1]))
+        out[:, 0] = [self.encoder.count(*pair) for pair in pairs]
+        if self.model is not None:
+            words = [subword.words_of(c) if 4 * len(c) > subword.LONGEST else c.lower().split() for c, _ in pairs]
+            out[:, 1] = [len(ws) for ws in words]
+            flat = list(chain.from_iterable(words))
+            if flat:
+                owner, rows = np.repeat(np.arange(len(chunks)), out[:, 1].astype(np.int64)), self.model.word_rows(flat).astype(np.float32)
+                for k in range(rows.shape[1]):
+                    out[:, 2 + k] = np.bincount(owner, rows[:, k], len(chunks))
+        return out
+
+
 def with_memberships(docs: DataFrame, model, domains: int, text: str = "text",
                      tokens: str = "_tokens", members: str = "_members", vocabulary: str | None = None) -> DataFrame:
     """``docs`` with the number of token ids of the whole text and the probabilities of the domains.
@@ -60,20 +120,15 @@ def with_memberships(docs: DataFrame, model, domains: int, text: str = "text",
     at = docs.columns.index(text)
 
     def run(batches):
-        model, encode = shared.value, encoder(vocabulary).encode
+        measured = kept(_Measured, vocabulary, shared.value)
         for batch in batches:
-            texts, counts, found = batch.column(at), [], []
-            for i in range(0, len(texts), AT_ONCE):
-                part = [t or "" for t in texts.slice(i, AT_ONCE).to_pylist()]
-                counts += [len(encode(t)) // 4 for t in part]
-                if model is None:
-                    found += [np.full(domains, 1 / domains)] * len(part)
-                else:
-                    found += list(subword.softmax(np.concatenate(model.many(part))))
-            flat = np.concatenate(found) if found else np.zeros(0)
-            lists = pa.ListArray.from_arrays(pa.array(np.arange(0, len(flat) + 1, domains, dtype=np.int32)), pa.array(flat))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(counts, pa.int64()), lists],
-                                             [*batch.schema.names, tokens, members])
+            for i in range(0, batch.num_rows, AT_ONCE):
+                part = batch.slice(i, AT_ONCE)
+                counts, logits = measured.many([t or "" for t in part.column(at).to_pylist()])
+                found = np.full((len(counts), domains), 1 / domains) if logits is None else subword.softmax(logits)
+                lists = pa.ListArray.from_arrays(pa.array(np.arange(0, found.size + 1, domains, dtype=np.int32)), pa.array(found.ravel()))
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(counts, pa.int64()), lists],
+                                                 [*batch.schema.names, tokens, members])
 
     schema = T.StructType([*docs.schema.fields, T.StructField(tokens, T.LongType()),
                            T.StructField(members, T.ArrayType(T.DoubleType()))])

@@ -19,6 +19,8 @@ from collections import Counter
 
 import numpy as np
 
+from tallyguard.llm.common import kept
+
 BUCKETS = 1 << 18
 DIM = 4
 SHORT, LONG = 3, 6  # n-gram lengths
@@ -132,7 +134,8 @@ class Model:
     def __init__(self, table: np.ndarray, bias: np.ndarray, window: int):
         self.table, self.bias, self.window = table, bias, window
 
-    def _word_rows(self, words: list[str]) -> np.ndarray:
+    def word_rows(self, words: list[str]) -> np.ndarray:
+        """Logits of words, without the biases."""
         total, count = np.zeros((len(words), self.table.shape[1])), np.zeros(len(words))
         for owner, bucket in _gram_parts(words):
             count += np.bincount(owner, minlength=len(words))
@@ -147,22 +150,22 @@ class Model:
     def many(self, texts: list[str]) -> list[np.ndarray]:
         """``logits`` of several texts; words not seen before are hashed together."""
         words = [words_of(t) or [""] for t in texts]
-        kept = _cache_of(self)
-        numbers = kept.numbers
+        cache = kept(_Cache, self)
+        numbers = cache.numbers
         if len(numbers) > CACHE:
             for w in list(numbers)[CACHE // 2:]:
                 del numbers[w]
         first, numbers.new = len(numbers), []
         found = [np.fromiter(map(numbers.__getitem__, ws), np.int64, len(ws)) for ws in words]
         if numbers.new:
-            if len(numbers) > len(kept.rows):
+            if len(numbers) > len(cache.rows):
                 grown = np.zeros((2 * len(numbers), self.table.shape[1]), np.float32)
-                grown[:first] = kept.rows[:first]
-                kept.rows = grown
+                grown[:first] = cache.rows[:first]
+                cache.rows = grown
             for i in range(0, len(numbers.new), 20_000):
                 part = numbers.new[i:i + 20_000]
-                kept.rows[first + i:first + i + len(part)] = self._word_rows(part)
-        return [self._means(kept.rows[ids]) for ids in found]
+                cache.rows[first + i:first + i + len(part)] = self.word_rows(part)
+        return [self._means(cache.rows[ids]) for ids in found]
 
     def _means(self, rows):
         if not self.window or len(rows) <= self.window:
@@ -172,7 +175,7 @@ class Model:
         return (total[starts + self.window] - total[starts]) / self.window + self.bias
 
 
-class _Numbers(dict):
+class Numbers(dict):
     """Numbers words in the order in which they are first asked for; ``new`` lists those numbered since it was set."""
 
     new: list[str] = []
@@ -188,19 +191,10 @@ class _Cache:
 
     def __init__(self, model: Model):
         self.model = model
-        self.numbers = _Numbers()
+        self.numbers = Numbers()
         self.rows = np.zeros((1024, model.table.shape[1]), np.float32)
 
 
-_KEPT: list[_Cache] = []  # that of the last model used: a worker keeps one
-
-
-def _cache_of(model: Model) -> _Cache:
-    if not _KEPT or _KEPT[0].model is not model:
-        _KEPT[:] = [_Cache(model)]
-    return _KEPT[0]
-
-
 def softmax(z: np.ndarray) -> np.ndarray:
     e = np.exp(z - z.max(axis=1, keepdims=True))
     return e / e.sum(axis=1, keepdims=True)

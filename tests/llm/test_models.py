@@ -7,7 +7,8 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tallyguard.llm import mixing, subword, toxicity
+from tallyguard.llm import common, mixing, subword, toxicity
+from tallyguard.llm.encoders import encoder
 from tests.llm.data import CLASHING, awkward, frame, sentence
 
 BAD = ["blastard", "vilescum", "dreckig"]
@@ -211,6 +212,33 @@ def test_mixing_counts_the_tokens_of_the_library(spark):
     assert np.allclose(mass / mass.sum(), [0.9, 0.1], atol=2e-4)
 
 
+def test_chunks_are_measured_once_and_long_ones_are_not_kept():
+    path = public_tokenizers.path(mixing.VOCABULARY)
+    rng = np.random.default_rng(0)
+    model = subword.Model(rng.normal(size=(subword.BUCKETS, 2)).astype(np.float32), np.array([0.5, -0.5]), 0)
+    texts = ["", " ", " a", "a  b", " x y", "x" * 300 + " y " + "\u65e5\u672c\u8a9e" * 50, "a\n\nb \n c", "one,\ntwo. three.\nfour", " \t ",
+             "\u039f\u0394\u039f\u03a3 \u03a3\u0391\u03a3. b", "<|endoftext|> hi", "don't we'll  'tis ...,", "a b a b " * 400]
+    measured = mixing._Measured(path, model)
+    plain = Tokenizer.from_file(path)
+    plain.encode_special_tokens = True
+    for _ in range(2):
+        counts, logits = measured.many(texts)
+        assert counts.tolist() == [len(plain.encode(t, add_special_tokens=False).ids) for t in texts]
+        assert np.allclose(logits, np.concatenate(model.many(texts)), atol=1e-6)
+    assert max(len(c if isinstance(c, str) else c[0]) for c in measured.numbers) <= mixing.LENGTH
+    assert sorted(measured.numbers.values()) == list(range(len(measured.numbers)))
+
+
+def test_a_worker_keeps_one_large_cache():
+    """Of the pipeline's stages, each would otherwise leave its own behind in every worker."""
+    path = public_tokenizers.path(mixing.VOCABULARY)
+    first = encoder(path)
+    assert encoder(path) is first
+    model = subword.Model(np.zeros((subword.BUCKETS, 2), np.float32), np.zeros(2), 0)
+    model.many(["a"])
+    assert len(common._KEPT) == 1 and encoder(path) is not first
+
+
 def test_mixing_without_labels_or_documents(spark):
     known = spark.createDataFrame([], "doc_id long, domain string")
     targets = {"clean": 0.9, "junk": 0.1}
