@@ -15,7 +15,7 @@ from tokenizers import Tokenizer
 
 from tallyguard.llm.common import kept
 
-LIMIT = 300_000  # chunks kept by one worker, about 70 MB: the first seen, and so the common ones; others are cut anew
+LIMIT = 600_000  # chunks kept by one worker, about 140 MB: the first seen, and so the common ones; others are cut anew
 _SPACE = re.compile(r" (?=\S)")
 
 

@@ -205,3 +205,14 @@ def test_packing_goes_on_while_a_round_joins_any(spark):
     filled = [r.n for r in packing.pack(items, 1000, per_task=60).groupBy("sequence_id").agg(F.sum("length").alias("n")).collect()]
     assert sum(filled) == sum(sizes) and max(filled) <= 1000
     assert len(filled) <= 1.03 * -(-sum(sizes) // 1000) + 1
+
+
+def test_a_worker_keeps_the_chunks_of_a_long_run():
+    """What decides the CPU time of token ids: 400,000 different words are merged once."""
+    encoder = Encoder(public_tokenizers.path("byte_bpe_50k.json"))
+    words = [f"x{i:x}" for i in range(400_000)]
+    some = set(words[::50_000])
+    for a in range(0, len(words), 20_000):
+        encoder.encode("a " + " ".join(words[a:a + 20_000]))
+    assert some <= encoder.rest.keys()
+    assert len(encoder.first) + len(encoder.rest) <= encoder.limit
