@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tallyguard.session import scratch_dir
 
+LISTED = 1 << 20  # row numbers that are sent to all tasks, 8 MB
 WHITE = " \t\n\x0b\x0c\r"  # the characters [\x20\x09-\x0D]
 
 
@@ -42,6 +43,24 @@ def numbered(docs: DataFrame, label: str) -> tuple[DataFrame, str]:
     return stage(docs.withColumn(name, F.monotonically_increasing_id()), label), name
 
 
+def only(table: DataFrame, row: str, kept: DataFrame, label: str, listed: int | None = None) -> DataFrame:
+    """The rows of ``table`` whose number ``row`` is in ``kept``, without that number.
+
+    Where the rows that stay, or those that go, are ``LISTED`` or fewer (counted first), their numbers are sent to all
+    tasks and no row is moved; else the rows are shuffled with all their columns.
+    """
+    listed = LISTED if listed is None else listed
+    kept = stage(kept.select(row), label)
+    dropped = stage(table.select(row).join(kept, row, "left_anti"), f"{label}-dropped")
+    if dropped.count() <= listed:
+        out = table.join(F.broadcast(dropped), row, "left_anti")
+    elif kept.count() <= listed:
+        out = table.join(F.broadcast(kept), row, "left_semi")
+    else:
+        out = table.join(kept, row, "left_semi")
+    return out.drop(row)
+
+
 def partitions(spark: SparkSession, rows: int, per_task: int) -> int:
     """Tasks for ``rows`` rows when a task may hold ``per_task`` of them; never under the session's number."""
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows // per_task))

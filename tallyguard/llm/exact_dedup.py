@@ -16,7 +16,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tallyguard.llm.common import numbered, stage, whole_text
+from tallyguard.llm.common import numbered, only, stage, whole_text
 
 BLOCK = 4096  # characters
 ABSENT = -1
@@ -117,5 +117,4 @@ def drop_exact(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size
     """
     table, row = numbered(docs, "exact-rows")
     groups = _grouped(table.select(F.col(row).alias("row"), F.col(doc_id).alias("id"), whole_text(text).alias("t")), size)
-    kept = stage(groups.where(F.col("row") == F.col("best.row")).select(F.col("row").alias(row)), "kept-exact")
-    return table.join(kept, row, "left_semi").drop(row)
+    return only(table, row, groups.where(F.col("row") == F.col("best.row")).select(F.col("row").alias(row)), "kept-exact")

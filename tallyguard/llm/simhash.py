@@ -22,7 +22,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from tallyguard.llm.common import components, numbered, partitions, stage, whole_text
+from tallyguard.llm.common import components, numbered, only, partitions, stage, whole_text
 
 SEED = 42
 BITS = 64
@@ -239,4 +239,4 @@ def drop_near(docs: DataFrame, width: int = 3, distance: int = 2, doc_id: str =
     classes = _classified(table.select(F.col(row).alias("row"), F.col(doc_id).cast("long").alias("id"), whole_text(text).alias("text")),
                           width, distance, BUCKET)
     first = classes.groupBy("root").agg(F.min(F.struct(F.col("id").isNull(), "id", "row"))["row"].alias(row))
-    return table.join(stage(first.select(row), "kept-near"), row, "left_semi").drop(row)
+    return only(table, row, first, "kept-near")

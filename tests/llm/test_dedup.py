@@ -9,7 +9,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from tallyguard.llm import exact_dedup, line_dedup, simhash
-from tallyguard.llm.common import components
+from tallyguard.llm.common import components, numbered, only
 from tests.llm.data import CLASHING, awkward, frame, sentence
 
 WHITE = re.compile("[\x20\x09-\x0D]")
@@ -107,6 +107,31 @@ def test_rows_that_repeat_an_id_are_told_apart(spark):
     assert sorted((r.text[:3], r.doc_id) for r in simhash.drop_near(near).collect()) == [("one", 1), ("qui", 1), ("x y", None)]
 
 
+@pytest.mark.parametrize("dropped", [0, 1, 2, 40, 39, 20])
+@pytest.mark.parametrize("listed", [None, 1, 0])
+def test_only_the_numbered_rows_stay(spark, dropped, listed):
+    """Few numbers, of the rows that stay or of those that go, are listed; with more of both, rows are shuffled."""
+    docs = spark.createDataFrame([(i // 2 or None, f"text {i}") for i in range(40)], "doc_id long, text string").repartition(3)
+    table, row = numbered(docs, "rows")
+    kept = table.where(F.substring("text", 6, 2).cast("int") >= dropped).select(row)
+    got = only(table, row, kept, "kept", **({} if listed is None else {"listed": listed}))
+    assert got.columns == docs.columns
+    assert sorted(r.text for r in got.collect()) == sorted(f"text {i}" for i in range(dropped, 40))
+
+
+@pytest.mark.parametrize("drop", [exact_dedup.drop_exact, simhash.drop_near])
+def test_dedup_stages_move_no_texts_to_drop_a_few_rows(spark, drop):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as if the tables were large
+    try:
+        docs = spark.createDataFrame([(i, sentence(random.Random(i % 9), 30)) for i in range(30)], "doc_id long, text string")
+        kept = drop(docs)
+        plan = kept._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange hashpartitioning" not in plan and "SortMergeJoin" not in plan
+        assert kept.count() == 9
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def plain_fingerprint(text, width):
     words = [w for w in re.split(b"[\x20\x09-\x0D]+", re.sub(b"[A-Z]", lambda m: m[0].lower(), (text or "").encode())) if w]
     if not words:
