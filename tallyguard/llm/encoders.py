@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import json
 import re
+import string
 import struct
 
 from tokenizers import Tokenizer
@@ -16,7 +17,9 @@ from tokenizers import Tokenizer
 from tallyguard.llm.common import kept
 
 LIMIT = 600_000  # chunks kept by one worker, about 140 MB: the first seen, and so the common ones; others are cut anew
+WORDS = 250_000  # pieces whose number of ids one worker keeps, about 40 MB, where ids are counted
 _SPACE = re.compile(r" (?=\S)")
+_LONGER_SPACE = re.compile(r" \s")
 
 
 def encoder(path: str) -> "Encoder":
@@ -43,6 +46,7 @@ class Encoder:
             self.tokenizer.normalizer, self.tokenizer.pre_tokenizer, self.tokenizer.model)
         self.first: dict[str | bytes, bytes] = {}  # by chunk, without a space before it
         self.rest: dict[str, bytes] = {}           # by chunk, with one
+        self.sizes: dict[str, int] = {}            # numbers of ids, by piece
         self.letters = _Letters(self.cutter)
         self.count = lambda chunk, before: len(self.ids(chunk, before)) // 4
         spec = json.loads(self.tokenizer.to_str())
@@ -104,16 +108,21 @@ class Encoder:
 
     def _spaced(self, text: str) -> list[str]:
         chunks = text.split(" ")
-        if "" in chunks or any([c[0].isspace() for c in chunks]):
+        if "" in chunks or text[0].isspace() or _LONGER_SPACE.search(text):
             chunks = _SPACE.split(text)
         return chunks
 
     def _count(self, chunk: str, before: str) -> int:
         """How many ids a chunk has, without making them where it is a word, or words in lines."""
-        word = chunk.rstrip(",.")
-        if word.isalpha() and max(word) < "\u0100":
-            n = len(self.model.tokenize(self.letters[before] + (word if word.isascii() else word.translate(self.letters))))
-            return n if word == chunk else n + len(self._get(self.first, chunk[len(word):], "")) // 4
+        word = chunk.rstrip(string.punctuation)  # what follows is one piece
+        if word.isalpha() and (word.isascii() or max(word) < "\u0100"):
+            piece = self.letters[before] + (word if word.isascii() else word.translate(self.letters))
+            n = self.sizes.get(piece)
+            if n is None:
+                n = len(self.model.tokenize(piece))
+                if len(piece) <= 64 and len(self.sizes) < WORDS:
+                    self.sizes[piece] = n
+            return n if len(word) == len(chunk) else n + len(self._get(self.first, chunk[len(word):], "")) // 4
         if "\n" in chunk:
             lines = chunk.split("\n")
             if all(x and not x[0].isspace() and not x[-1].isspace() for x in lines):

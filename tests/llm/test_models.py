@@ -229,6 +229,32 @@ def test_chunks_are_measured_once_and_long_ones_are_not_kept():
     assert sorted(measured.numbers.values()) == list(range(len(measured.numbers)))
 
 
+def test_a_word_is_cut_into_ids_once_whatever_follows_it():
+    path = public_tokenizers.path(mixing.VOCABULARY)
+    plain = Tokenizer.from_file(path)
+    plain.encode_special_tokens = True
+    measured, cut = mixing._Measured(path, None), []
+
+    class Counted:
+        def __init__(self, model):
+            self.model = model
+
+        def tokenize(self, piece):
+            cut.append(piece)
+            return self.model.tokenize(piece)
+
+    measured.encoder.model = Counted(measured.encoder.model)
+    texts = ["so wordly wordly, wordly. wordly!! wordly$$$ one\nwordly x wordly.\nwordly?", "wordly \u00e9t\u00e9'' \u00e9t\u00e9'll wordly's 'wordly' (wordly)",
+             "\u00aawordly\u00ba### \u00fcber\u00df-- a_ b' c's d'' ... ,.;", "x\u00a0 \u00a0y \u2003 z w\u00a0", "\u3000a b", "a\t b", "a \tb"]
+    counts, _ = measured.many(texts)
+    assert counts.tolist() == [len(plain.encode(t, add_special_tokens=False).ids) for t in texts]
+    cut.clear()
+    measured.encoder.sizes.clear()
+    assert measured.encoder.count("wordly", " ") == sum(measured.encoder.count(f"wordly{end}", " ") - measured.encoder.count(end, "")
+                                                        for end in (",", ".", "!!", "$$$")) / 4
+    assert cut.count(measured.encoder.letters[" "] + "wordly") == 1
+
+
 def test_a_worker_keeps_one_large_cache():
     """Of the pipeline's stages, each would otherwise leave its own behind in every worker."""
     path = public_tokenizers.path(mixing.VOCABULARY)
