@@ -11,6 +11,9 @@ lost. Candidates are dealt to tries of bounded size. Each trie is broadcast, num
 states of all positions of a shard through it together, a digit of a word's code at a
 time, the accepting states are counted by bincount, and the shards' counts are summed.
 
+A task names a phrase once, whatever number of its shards hold it, and phrases and counts
+go through the shuffle as compressed columns.
+
 What is sent to all tasks has a fixed bound: one trie, and two bit maps of ``BUCKETS`` bits.
 """
 
@@ -33,6 +36,8 @@ AT_ONCE = 1 << 18  # positions whose states move together
 BUCKETS = 1 << 25  # hashed counts that tell which phrases can't be frequent: a byte each in a task, a bit each when sent
 CHUNK = 1 << 20    # buckets in a row, a multiple of 8
 WIDE = 24          # children from which a trie node has a span of its own
+HELD = 1 << 18     # phrases that a task gathers before it passes them on
+STATES = 1 << 16   # states in a row whose counts are summed in one go
 _BREAKS = b".,;:!?\n\x0b\x0c\r"
 _FOLD = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ" + _BREAKS, b"abcdefghijklmnopqrstuvwxyz" + b"." * len(_BREAKS))
 
@@ -46,6 +51,28 @@ def _from_planes(blob: bytes) -> np.ndarray:
     return np.frombuffer(zstandard.decompress(blob), np.uint8).reshape(4, -1).T.copy().view("<i4").ravel()
 
 
+def _packed(words: list[np.ndarray]) -> bytes:
+    """Rows of numbers in ascending order, as differences of the first column and byte planes of all, compressed."""
+    columns = np.stack([np.diff(words[0], prepend=0), *words[1:]]).astype("<i8")
+    return zstandard.compress(columns.view(np.uint8).reshape(len(words), -1, 8).transpose(0, 2, 1).tobytes(), 1)
+
+
+def _unpacked(blob: bytes, k: int) -> list[np.ndarray]:
+    first, *others = np.frombuffer(zstandard.decompress(blob), np.uint8).reshape(k, 8, -1).transpose(0, 2, 1).copy().view("<i8")[..., 0]
+    return [np.cumsum(first), *others]
+
+
+def _distinct(words: list[np.ndarray], part: np.ndarray | None = None) -> tuple[list[np.ndarray], np.ndarray | None]:
+    """Rows of numbers (of a part) without repeats, (parts and) rows in ascending order."""
+    columns = words if part is None else [part, *words]
+    order = np.lexsort(columns[::-1])
+    columns = [c[order] for c in columns]
+    new = np.ones(len(order), bool)
+    new[1:] = np.logical_or.reduce([c[1:] != c[:-1] for c in columns])
+    columns = [c[new] for c in columns]
+    return (columns, None) if part is None else (columns[1:], columns[0])
+
+
 class _Open:
     """The shard of one language that a task is filling."""
 
@@ -125,16 +152,17 @@ def _numbered(rows: DataFrame, label: str) -> DataFrame:
 def _with_numbers(made: DataFrame, words: DataFrame) -> DataFrame:
     """(shard, tokens, places, ids): which of a shard's words are frequent, and their numbers."""
     own = made.select("shard", "lang", F.posexplode("words").alias("at", "word")).join(
-        words.select("lang", "word", "id"), ["lang", "word"]).select("shard", (F.col("at") + 1).alias("place"), "id")
+        words.select("lang", "word", "id"), ["lang", "word"]).select(F.col("shard").alias("of"), (F.col("at") + 1).alias("place"), "id")
 
-    def run(table: pa.Table) -> pa.Table:
-        place, ids = table.column("place").to_numpy(), table.column("id").to_numpy()
-        order = np.argsort(place)
-        return pa.table({"shard": table.column("shard")[:1], "places": [place[order].astype("<i8").tobytes()],
-                         "ids": [ids[order].astype("<i8").tobytes()]})
+    def run(known: pa.Table, shard: pa.Table) -> pa.Table:
+        place, ids = known.column("place").to_numpy(), known.column("id").to_numpy()
+        order, n = np.argsort(place), min(1, len(place))  # without frequent words there is nothing to count
+        return pa.table({"shard": shard.column("shard")[:n], "tokens": shard.column("tokens")[:n],
+                         "places": pa.array([place[order].astype("<i8").tobytes()] * n, pa.binary()),
+                         "ids": pa.array([ids[order].astype("<i8").tobytes()] * n, pa.binary())})
 
-    known = own.groupBy("shard").applyInArrow(run, "shard long, places binary, ids binary")
-    return stage(made.select("shard", "tokens").join(known, "shard"), "numbered-shards")
+    met = own.groupBy("of").cogroup(made.select("shard", "tokens").groupBy("shard"))
+    return stage(met.applyInArrow(run, "shard long, tokens binary, places binary, ids binary"), "numbered-shards")
 
 
 def _opened(batch):
@@ -220,7 +248,10 @@ def _candidates(numbered: DataFrame, k: int, shorter, least: int, buckets: int,
 
     full = spark.sparkContext.broadcast(_bits(numbered, buckets_of, least, buckets, chunk))
 
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+
     def observed(batches):
+        held, size = [], 0
         for batch in batches:
             for tokens, numbers in _opened(batch):
                 at, words = _eligible(tokens, numbers, k, shorter and shorter.value, buckets)
@@ -230,10 +261,33 @@ def _candidates(numbered: DataFrame, k: int, shorter, least: int, buckets: int,
                 for j in range(1, k):  # places are at most the shard's words, so two of them fit 64 bits
                     key = np.unique(key, return_inverse=True)[1] * len(numbers) + tokens[at + j]
                 first = np.unique(key, return_index=True)[1]
-                for i in range(0, len(first), 100_000):
-                    yield pa.RecordBatch.from_arrays([pa.array(w[first[i:i + 100_000]]) for w in words], columns)
-
-    found = stage(numbered.mapInArrow(observed, ", ".join(f"{c} long" for c in columns)).distinct(), f"candidates-{k}")
+                held.append([w[first] for w in words])
+                size += len(first)
+                if size >= HELD:
+                    yield dealt(held)
+                    held, size = [], 0
+        if size:
+            yield dealt(held)
+
+    def dealt(held):
+        words = [np.concatenate(w) for w in zip(*held)]
+        words, part = _distinct(words, _bucket(words, parts))
+        starts = np.flatnonzero(np.diff(part, prepend=-1))
+        blobs = [_packed([w[a:b] for w in words]) for a, b in zip(starts, [*starts[1:], len(part)])]
+        return pa.RecordBatch.from_arrays([pa.array(part[starts]), pa.array(blobs, pa.binary())], ["part", "phrases"])
+
+    def merged(batches):
+        held = defaultdict(list)
+        for batch in batches:
+            for part, blob in zip(batch.column("part").to_pylist(), batch.column("phrases").to_pylist()):
+                held[part].append(blob)
+        for part in list(held):
+            words, _ = _distinct([np.concatenate(w) for w in zip(*(_unpacked(blob, k) for blob in held.pop(part)))])
+            for i in range(0, len(words[0]), 100_000):
+                yield pa.RecordBatch.from_arrays([pa.array(w[i:i + 100_000]) for w in words], columns)
+
+    found = stage(numbered.mapInArrow(observed, "part long, phrases binary").repartition("part").mapInArrow(
+        merged, ", ".join(f"{c} long" for c in columns)), f"candidates-{k}")
     for sent in (full, shorter):
         if sent is not None:
             sent.destroy()
@@ -341,13 +395,17 @@ def _tries(candidates: DataFrame, k: int, size: int) -> tuple[int, DataFrame]:
     return n, stage(dealt.groupBy("trie").applyInArrow(run, "trie long, ids binary, base binary, check binary"), f"tries-{k}")
 
 
-def _counted(numbered: DataFrame, k: int, sent) -> DataFrame:
-    """(w0, ..., n): the tasks' counts of every phrase of a trie; ``sent`` is the trie, broadcast."""
+def _counted(numbered: DataFrame, k: int, sent, least: int) -> DataFrame:
+    """(w0, ..., a): the phrases of a trie that occur ``least`` times or more; ``sent`` is the trie, broadcast."""
     columns = [f"w{j}" for j in range(k)]
 
-    def run(batches):
+    def opened():
         base, check, ids = (np.frombuffer(x, t) for x, t in zip(sent.value, (np.int32, np.int32, "<i8")))
-        trie, total, width = DoubleArray(base, check), np.zeros(len(base), np.int64), _width(len(ids))
+        return DoubleArray(base, check), ids, _width(len(ids))
+
+    def count_task(batches):
+        trie, ids, width = opened()
+        total = np.zeros(len(trie.base), np.int64)
         for batch in batches:
             for tokens, numbers in _opened(batch):
                 code = np.minimum(np.searchsorted(ids, numbers), len(ids) - 1)
@@ -373,23 +431,35 @@ def _counted(numbered: DataFrame, k: int, sent) -> DataFrame:
                     met.append(states)
                 if met:
                     total += np.bincount(np.concatenate(met), minlength=len(total))
-        found = np.flatnonzero(total)
-        words, states = [], found
-        for _ in range(k):
-            code = np.zeros(len(found), np.int64)
-            for d in range(width):
-                states, digit = trie.up(states)
-                code |= digit.astype(np.int64) << 8 * d
-            words.insert(0, ids[code])
-        for i in range(0, len(found), 100_000):
-            yield pa.RecordBatch.from_arrays([pa.array(x[i:i + 100_000]) for x in (*words, total[found])], [*columns, "n"])
+        for c in range(0, len(total), STATES):
+            part = total[c:c + STATES]
+            if part.any():
+                yield pa.RecordBatch.from_arrays([pa.array([c], pa.int64()), pa.array([_packed([part])], pa.binary())], ["chunk", "counts"])
+
+    def sum_task(batches):
+        (trie, ids, width), total = opened(), {}
+        for batch in batches:
+            for c, blob in zip(batch.column("chunk").to_pylist(), batch.column("counts").to_pylist()):
+                part, = _unpacked(blob, 1)
+                total[c] = total[c] + part if c in total else part
+        for c in list(total):
+            part = total.pop(c)
+            at = np.flatnonzero((part >= least) & (part > 0))
+            words, states = [], at + c
+            for _ in range(k):
+                code = np.zeros(len(at), np.int64)
+                for d in range(width):
+                    states, digit = trie.up(states)
+                    code |= digit.astype(np.int64) << 8 * d
+                words.insert(0, ids[code])
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (*words, part[at])], [*columns, "a"])
 
-    return numbered.mapInArrow(run, ", ".join(f"{c} long" for c in columns) + ", n long")
+    counts = numbered.mapInArrow(count_task, "chunk long, counts binary").repartition("chunk")
+    return counts.mapInArrow(sum_task, ", ".join(f"{c} long" for c in columns) + ", a long")
 
 
 def frequent_phrases(numbered: DataFrame, k: int, shorter, least: int, trie_size: int, buckets: int, chunk: int) -> DataFrame:
     """(w0, ..., a) of the phrases of k words that occur ``least`` times or more."""
-    columns = [f"w{j}" for j in range(k)]
     candidates = _candidates(numbered, k, shorter, least, buckets, chunk)
     n, tries = _tries(candidates, k, trie_size)
     out = None
@@ -399,8 +469,7 @@ def frequent_phrases(numbered: DataFrame, k: int, shorter, least: int, trie_size
             continue
         sent = numbered.sparkSession.sparkContext.broadcast(tuple(bytes(row[c]) for c in ("base", "check", "ids")))
         del row
-        counts = _counted(numbered, k, sent).groupBy(*columns).agg(F.sum("n").alias("a")).where(F.col("a") >= least)
-        counts = stage(counts, f"phrases-{k}")
+        counts = stage(_counted(numbered, k, sent, least), f"phrases-{k}")
         sent.destroy()  # the driver holds one trie at a time
         out = counts if out is None else out.unionByName(counts)
     return out if out is not None else candidates.withColumn("a", F.lit(0).cast("long"))

@@ -102,3 +102,28 @@ def test_the_trie_holds_what_was_put_in_and_nothing_else():
     other = rng.integers(0, 256, (50_000, 4))
     known = set(map(tuple, rows.tolist()))
     assert [s > 0 for s in ends(other).tolist()] == [tuple(r) in known for r in other.tolist()]
+
+
+def test_phrases_and_counts_are_shuffled_in_columns(spark, rows, monkeypatch):
+    """A row for each task and part, not one for each phrase, and a shard's words are moved once."""
+    plans, real = {}, phrases.stage
+
+    def watched(df, label):
+        plans[label] = df._jdf.queryExecution().executedPlan().toString()
+        return real(df, label)
+    monkeypatch.setattr(phrases, "stage", watched)
+    phrases.collocations(made(spark, rows), 2, 3)
+    assert plans["numbered-shards"].count("SortMergeJoin") <= 1 and "CoGroup" in plans["numbered-shards"]
+    assert "phrases" in plans["candidates-2"] and not any("HashAggregate" in plans[x] for x in ("candidates-2", "phrases-2"))
+
+
+@pytest.mark.parametrize("k", [1, 2, 3])
+def test_packed_rows_come_back(k):
+    rng = np.random.default_rng(k)
+    words = [rng.integers(1, 1 << 40, 5000) % 50 * (1 << 33) + rng.integers(0, 9, 5000) for _ in range(k)]
+    got, part = phrases._distinct(words, words[0] % 3)
+    assert sorted(set(zip(*(w.tolist() for w in words)))) == sorted(zip(*(w.tolist() for w in got)))
+    assert part.tolist() == sorted(part.tolist()) and (got[0] % 3 == part).all()
+    own, _ = phrases._distinct(words)
+    assert [w.tolist() for w in phrases._unpacked(phrases._packed(own), k)] == [w.tolist() for w in own]
+    assert [w.tolist() for w in phrases._unpacked(phrases._packed([w[:0] for w in own]), k)] == [[]] * k
