@@ -29,6 +29,7 @@ NO_ID = (1 << 63) - 1
 LETTERS = " etaoinr"  # whose counts are compared before the lines are
 SENT = 1 << 20  # ids of candidate lines, 8 MB, that are sent to all tasks
 PLACE = 1 << 32
+BLOCKS = 12    # of a line, looked for in the other one before their distance is computed
 
 
 def _plans(edits: int) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]]]:
@@ -125,7 +126,7 @@ def letter_counts(line: Column) -> Column:
     """How often each of ``LETTERS`` occurs, modulo 256, a byte each in one integer."""
     packed = F.lit(0).cast("long")
     for k, c in enumerate(LETTERS):
-        count = F.length(line) - F.length(F.replace(line, F.lit(c), F.lit("")))
+        count = F.octet_length(line) - F.octet_length(F.replace(line, F.lit(c), F.lit("")))  # ASCII: a byte each
         packed = packed.bitwiseOR(F.shiftleft(count.bitwiseAND(F.lit(255)).cast("long"), 8 * k))
     return packed
 
@@ -140,13 +141,45 @@ def letters_apart(x: Column, y: Column) -> Column:
     return total
 
 
-def _with_texts(pairs: DataFrame, lines: DataFrame) -> DataFrame:
-    """``pairs`` (a, b) with the lines x and y. Up to ``SENT`` ids go to all tasks; beyond, the lines are shuffled by id."""
+def parities(line: Column) -> Column:
+    """Whether the characters of each of 64 classes occur an odd number of times in a line, a bit each in one integer.
+
+    An edit takes a character from a class, adds one to a class, or both: lines at some edits differ in at most twice as many bits.
+    """
+    def bit(c: Column) -> Column:  # letters are told apart by their last five bits, digits and marks by the others
+        code = F.ascii(c)
+        return F.when(code < 64, code.bitwiseOR(F.lit(32))).otherwise(code.bitwiseAND(F.lit(31)))
+
+    return F.aggregate(F.split(line, ""), F.lit(0).cast("long"), lambda s, c: s.bitwiseXOR(
+        F.call_function("shiftleft", F.lit(1).cast("long"), bit(c))))
+
+
+def _texts_of(pairs: DataFrame, lines: DataFrame, *more: str) -> DataFrame:
+    """(id, line, ...) of the lines that occur in ``pairs`` (a, b). Up to ``SENT`` ids go to all tasks; beyond, the lines are shuffled by id."""
     ids = stage(pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct(), "candidate-ids")
     wanted = F.broadcast(ids) if ids.count() <= SENT else ids
-    texts = stage(lines.select("id", "line").join(wanted, "id", "left_semi"), "candidate-texts")
-    return pairs.join(texts.select(F.col("id").alias("a"), F.col("line").alias("x")), "a").join(
-        texts.select(F.col("id").alias("b"), F.col("line").alias("y")), "b")
+    return stage(lines.select("id", "line", *more).join(wanted, "id", "left_semi"), "candidate-texts")
+
+
+def _with_sides(pairs: DataFrame, table: DataFrame, **names: str) -> DataFrame:
+    """``pairs`` (a, b) with columns of ``table`` for a and for b: ``names`` says how they are called on either side."""
+    for i, side in enumerate("ab"):
+        pairs = pairs.join(table.select(F.col("id").alias(side), *[F.col(c).alias(n.split()[i]) for c, n in names.items()]), side)
+    return pairs
+
+
+def blocks_met(x: Column, y: Column, edits: int) -> Column:
+    """Whether all but ``edits`` of the blocks of ``x`` occur in ``y`` about where they stand in ``x``.
+
+    It holds for all lines at up to so many edits: an edit changes one block at most and shifts others by one place.
+    """
+    met, n = F.lit(0), F.length(x)
+    for i in range(BLOCKS):
+        start = F.floor(n * i / BLOCKS).cast("int")
+        size = F.floor(n * (i + 1) / BLOCKS).cast("int") - start
+        around = F.substr(y, F.greatest(F.lit(1), start + 1 - edits), size + 2 * edits)
+        met = met + F.contains(around, F.substr(x, start + 1, size)).cast("int")
+    return met >= BLOCKS - edits
 
 
 def edit_distance(a: Column, b: Column, edits: int) -> Column:
@@ -225,14 +258,16 @@ def near_lines(docs: DataFrame, edits: int = EDITS, shortest: int = SHORTEST, bu
         pairs = pairs.unionByName(few).distinct()
         allowed = F.when(F.least(F.length("x"), F.length("y")) < shortest, 1).otherwise(edits)
     pairs = stage(pairs, "line-candidates")
-    # most candidates differ by far more than the edits: their letter counts tell, without the lines
-    counts = stage(long.select("id", letter_counts(F.col("line")).alias("c")), "letter-counts")
-    side = lambda n: counts.select(F.col("id").alias(n), F.col("c").alias(f"{n}_c"))
-    close = pairs.join(side("a"), "a").join(side("b"), "b").where(letters_apart(F.col("a_c"), F.col("b_c")) <= 2 * edits)
-    both = _with_texts(stage(close.select("a", "b"), "close-lines"), long)
+    # most candidates differ by far more than the edits: counts of their letters tell, taken of these lines only
+    texts = _texts_of(pairs, long)
+    counts = stage(texts.select("id", letter_counts(F.col("line")).alias("c"), parities(F.col("line")).alias("o")), "letter-counts")
+    close = _with_sides(pairs, counts, c="a_c b_c", o="a_o b_o").where(
+        (F.bit_count(F.col("a_o").bitwiseXOR(F.col("b_o"))) <= 2 * edits) & (letters_apart(F.col("a_c"), F.col("b_c")) <= 2 * edits))
+    close = stage(close.select("a", "b"), "close-lines")
+    both = _with_sides(close, _texts_of(close, texts), line="x y")
     # meant to deal few bytes and much work to all tasks; the optimiser moves the distance below it, into the join
     both = both.repartition(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), "a", "b")
-    near = edit_distance(F.split("x", ""), F.split("y", ""), edits) <= allowed
+    near = blocks_met(F.col("x"), F.col("y"), edits) & (edit_distance(F.split("x", ""), F.split("y", ""), edits) <= allowed)
     links = stage(both.where(near).select("a", "b"), "line-links")
     degree = links.select(F.col("a").alias("id")).unionByName(links.select(F.col("b").alias("id"))).groupBy("id").agg(
         F.count(F.lit(1)).alias("links"))
@@ -260,7 +295,7 @@ def line_dedup(docs: DataFrame, edits: int = EDITS, shortest: int = SHORTEST, bu
         F.count(F.when(F.col("kept"), 1)).alias("n_kept"), F.count(F.when(F.col("links") > 0, 1)).alias("n_near"),
         F.sum("links").alias("n_links"),
         F.array_sort(F.collect_list(F.when(F.col("kept"), F.col("line_no")))).alias("kept_lines"))
-    filled = F.size(F.filter(F.split(whole_text(text), "\n"), lambda x: x.rlike("[^ \\t-\\r]")))
+    filled = F.regexp_count(whole_text(text), F.lit("[^ \\t-\\r][^\\n]*"))  # one match in each line that isn't blank
     all_docs = docs.groupBy(F.col(doc_id).cast("long").alias("doc_id")).agg(F.sum(filled).alias("n_lines"))
     zero = F.lit(0).cast("long")
     return all_docs.join(own, all_docs["doc_id"].eqNullSafe(own["owner"]), "left").select(

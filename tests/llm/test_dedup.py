@@ -285,3 +285,30 @@ def test_empty_tables(spark):
     assert simhash.near_classes(none).collect() == []
     assert line_dedup.line_dedup(none).collect() == []
     assert exact_dedup.drop_exact(none).collect() == simhash.drop_near(none).collect() == []
+
+
+def test_filters_drop_most_far_lines_and_no_near_ones(spark):
+    """Lines of one template that differ in words of letters that are not the commonest ones were all compared."""
+    rng = random.Random(8)
+    pairs = []
+    for _ in range(400):
+        line = "".join(rng.choice("etaoin shrdlu 0123é漢") for _ in range(rng.randint(8, 90)))
+        other = list(line)
+        for _ in range(rng.randint(0, 2)):
+            at, what = rng.randrange(len(other)), rng.choice(["", "m", "mm"])
+            other[at] = other[at] + what[1:] if what == "mm" else what
+        pairs.append((line, "".join(other), True))
+    line = "the rest of the line is the same in all of them, and it is a long one: "
+    for _ in range(400):
+        word = lambda: "".join(rng.choice("bcdfghjklmpquvwxyz0123456789") for _ in range(5))
+        i, j = rng.randrange(8, 30), rng.randrange(40, 60)
+        pairs.append((line[:i] + word() + line[i:], line[:j] + word() + line[j:], False))
+    x, y = F.col("x"), F.col("y")
+    got = spark.createDataFrame(pairs, "x string, y string, near boolean").select(
+        "near", (F.bit_count(line_dedup.parities(x).bitwiseXOR(line_dedup.parities(y))) <= 4).alias("even"),
+        (line_dedup.letters_apart(line_dedup.letter_counts(x), line_dedup.letter_counts(y)) <= 4).alias("letters"),
+        line_dedup.blocks_met(x, y, 2).alias("blocks")).collect()
+    assert all(r.even and r.letters and r.blocks for r in got if r.near)
+    assert all(r.letters for r in got if not r.near) and sum(r.even and r.blocks for r in got if not r.near) < 20
+    blank = spark.createDataFrame([(1, "a\n \n\t\r\n b \x0b\n\n"), (2, None), (3, " \n"), (4, "x")], "doc_id int, text string")
+    assert {r.doc_id: r.n_lines for r in line_dedup.line_dedup(blank).collect()} == {1: 2, 2: 0, 3: 0, 4: 1}
