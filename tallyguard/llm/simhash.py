@@ -54,8 +54,11 @@ def fingerprint(text: str, width: int) -> int:
     return int(np.packbits(on, bitorder="little").view("<u8")[0])
 
 
-def fingerprints(rows: DataFrame, width: int) -> DataFrame:
-    """(row, id, fp) of ``rows`` (row, id, text); fp is the fingerprint as a signed 64-bit integer."""
+def fingerprints(docs: DataFrame, width: int, doc_id: str = "doc_id", text: str = "text", row: str | None = None) -> DataFrame:
+    """(row, id, fp) of ``docs``, row being 0 without such a column; fp is the fingerprint as a signed 64-bit integer."""
+    rows = docs.select((F.lit(0) if row is None else F.col(row)).cast("long").alias("row"),
+                       F.col(doc_id).cast("long").alias("id"), whole_text(text).alias("text"))
+
     def run(batches):
         for batch in batches:
             fps = [fingerprint(t, width) for t in batch.column("text").to_pylist()]
@@ -193,10 +196,10 @@ def _whole_variants(fps: DataFrame, distance: int) -> DataFrame:
     return met.select("a", F.explode("fps").alias("b")).where("a != b").distinct()
 
 
-def _classified(rows: DataFrame, width: int, distance: int, bucket: int) -> DataFrame:
-    """(row, id, fp, root, component_id) for ``rows`` (row, id, text); rows of one root are a class."""
-    spark = rows.sparkSession
-    fps = stage(fingerprints(rows, width), "fingerprints")
+def _classified(fps: DataFrame, distance: int, bucket: int) -> DataFrame:
+    """(row, id, fp, root, component_id) for ``fps`` (row, id, fp); rows of one root are a class."""
+    spark = fps.sparkSession
+    fps = stage(fps, "fingerprints")
     distinct = stage(fps.groupBy("fp").agg(F.min("id").alias("least")), "distinct-fingerprints")
     keyed = _variants(distinct.select("fp"), distance)
     n = partitions(spark, distinct.count() * BITS, PER_TASK)
@@ -224,8 +227,7 @@ def near_classes(docs: DataFrame, width: int = 3, distance: int = 2, doc_id: str
     fingerprints at ``distance`` or fewer differing bits; null ids don't count for it. Rows
     that repeat an id keep their own fingerprints. Other columns are not read.
     """
-    rows = docs.select(F.lit(0).cast("long").alias("row"), F.col(doc_id).cast("long").alias("id"), whole_text(text).alias("text"))
-    return _classified(rows, width, distance, bucket).select(
+    return _classified(fingerprints(docs, width, doc_id, text), distance, bucket).select(
         F.col("id").alias(doc_id), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
@@ -236,7 +238,6 @@ def drop_near(docs: DataFrame, width: int = 3, distance: int = 2, doc_id: str =
     no other of its class has one.
     """
     table, row = numbered(docs, "near-rows")
-    classes = _classified(table.select(F.col(row).alias("row"), F.col(doc_id).cast("long").alias("id"), whole_text(text).alias("text")),
-                          width, distance, BUCKET)
+    classes = _classified(fingerprints(table, width, doc_id, text, row), distance, BUCKET)
     first = classes.groupBy("root").agg(F.min(F.struct(F.col("id").isNull(), "id", "row"))["row"].alias(row))
     return only(table, row, first, "kept-near")
