@@ -16,7 +16,7 @@ _KEPT: dict = {}
 def kept(make, *of):
     """``make(*of)``, made once: it lasts over a worker's tasks until another is asked for. A worker keeps one such cache."""
     # by identity: a broadcast model is the same object in all tasks of a worker, and the cache holds on to it
-    key = (make, *(x if isinstance(x, str) else id(x) for x in of))
+    key = (make, *(x if isinstance(x, (str, int)) else id(x) for x in of))
     if key not in _KEPT:
         _KEPT.clear()
         _KEPT[key] = make(*of), of

@@ -38,8 +38,8 @@ class Encoder:
     white space anyway), or not at all.
     """
 
-    def __init__(self, path: str, limit: int | None = None):
-        self.limit = LIMIT if limit is None else limit
+    def __init__(self, path: str, limit: int | None = None, words: int = WORDS):
+        self.limit, self.words = LIMIT if limit is None else limit, words
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.normalizer, self.cutter, self.model = (
@@ -49,11 +49,12 @@ class Encoder:
         self.sizes: dict[str, int] = {}            # numbers of ids, by piece
         self.letters = _Letters(self.cutter)
         self.count = lambda chunk, before: len(self.ids(chunk, before)) // 4
+        self.word_count = lambda chunk: 0
         spec = json.loads(self.tokenizer.to_str())
         cut, norm = spec.get("pre_tokenizer") or {}, spec.get("normalizer")
         steps = cut.get("pretokenizers", [])
         if cut.get("type") == "ByteLevel" and cut.get("use_regex") and not cut.get("add_prefix_space") and not norm:
-            self.encode, self.chunks, self.count = self._by_space, self._spaced, self._count
+            self.encode, self.chunks, self.count, self.word_count = self._by_space, self._spaced, self._count, self._words()
             self.ids = lambda chunk, before: self._get(self.rest if before else self.first, chunk, before) if chunk else b""
         elif (steps and steps[0]["type"] == "Split" and steps[0]["behavior"] == "Removed" and steps[0]["invert"]
               and "\\s" in steps[0]["pattern"].get("Regex", "")
@@ -120,7 +121,7 @@ class Encoder:
             n = self.sizes.get(piece)
             if n is None:
                 n = len(self.model.tokenize(piece))
-                if len(piece) <= 64 and len(self.sizes) < WORDS:
+                if len(piece) <= 64 and len(self.sizes) < self.words:
                     self.sizes[piece] = n
             return n if len(word) == len(chunk) else n + len(self._get(self.first, chunk[len(word):], "")) // 4
         if "\n" in chunk:
@@ -130,6 +131,32 @@ class Encoder:
                 return self._count(lines[0], before) + sum(newline + self._count(x, "") for x in lines[1:])
         return len(self.ids(chunk, before)) // 4
 
+    def _words(self):
+        """A function: the ``count`` after a space of a chunk of ASCII letters and what marks follow them, 0 for any other chunk."""
+        sizes, tokenize, space, marks, ends = self.sizes, self.model.tokenize, self.letters[" "], {}, string.punctuation
+
+        def count(chunk) -> int:
+            if not isinstance(chunk, str) or not chunk.isascii():
+                return 0
+            word, tail = chunk, 0
+            if not chunk.isalpha():
+                word = chunk.rstrip(ends)
+                if not word.isalpha():
+                    return 0
+                after = chunk[len(word):]
+                tail = marks.get(after) or len(self._get(self.first, after, "")) // 4
+                if len(marks) < 1000:
+                    marks[after] = tail
+            piece = space + word
+            n = sizes.get(piece)
+            if n is None:
+                n = len(tokenize(piece))
+                if len(piece) <= 64 and len(sizes) < self.words:
+                    sizes[piece] = n
+            return n + tail
+
+        return count
+
     def _by_space(self, text: str) -> bytes:
         chunks = self._spaced(text)
         out = list(map(self.rest.get, chunks))

@@ -30,7 +30,8 @@ PER_DOMAIN = 1500  # labelled rows of each domain to train on
 STEPS = 40
 HALVINGS = 12
 VOCABULARY = "byte_bpe_50k.json"  # of the tokens that count, a public file on every machine
-CHUNKS = 700_000   # chunks whose measures a worker keeps from text to text
+CHUNKS = 700_000   # chunks whose measures a worker keeps from text to text, about 200 MB with what they are made of
+FEWER = 250_000    # of them where other stages have left their traces in an executor's memory
 LENGTH = 64        # characters of a chunk that is kept
 FEW = 50_000       # chunks whose token ids it keeps beside them, for those that hold others
 CLOSE = 1e-4       # of the total, the largest miss of a domain that ends the fit
@@ -56,10 +57,10 @@ class _Measured:
     A text is looked up once, chunk by chunk; chunks end at spaces, so no word is in two of them.
     """
 
-    def __init__(self, vocabulary: str, model):
-        self.encoder, self.model = Encoder(vocabulary, limit=FEW), model
+    def __init__(self, vocabulary: str, model, most: int = CHUNKS):
+        self.encoder, self.model, self.most = Encoder(vocabulary, limit=FEW, words=most // 3), model, most
         self.numbers = subword.Numbers()
-        self.rows = np.zeros((CHUNKS, 2 + (0 if model is None else model.table.shape[1])))
+        self.rows = np.zeros((most, 2 + (0 if model is None else model.table.shape[1])))
         self.empty = None if model is None else model.word_rows([""])[0].astype(np.float32)
 
     def many(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray | None]:
@@ -68,8 +69,9 @@ class _Measured:
         for chunks in split:
             chunks[0] = (chunks[0],)  # told apart from the others: it has no space before it
         numbers, sizes = self.numbers, np.array([len(chunks) for chunks in split])
-        if len(numbers) > CHUNKS:
-            for c in list(numbers)[CHUNKS * 9 // 10:]:  # the first seen stay, and so the common ones
+        if len(numbers) > self.most:
+            stay = self.most * 9 // 10  # the first seen, and so the common ones
+            for c in [c for c, n in numbers.items() if n >= stay]:
                 del numbers[c]
         first, numbers.new = len(numbers), []
         found = np.fromiter(map(numbers.__getitem__, chain.from_iterable(split)), np.int64, int(sizes.sum()))
@@ -79,27 +81,35 @@ class _Measured:
             part = numbers.new[i:i + 20_000]
             self.rows[first + i:first + i + len(part)] = self._measure(part)
         sums = np.add.reduceat(self.rows[found], np.cumsum(sizes) - sizes, axis=0)
-        short = [i for i, c in enumerate(numbers.new) if len(c if isinstance(c, str) else c[0]) <= LENGTH]
-        if len(short) < len(numbers.new):  # the long ones aren't kept
-            self.rows[first:first + len(short)] = self.rows[first + np.array(short, np.int64)]
-            for c in numbers.new:
-                del numbers[c]
-            numbers.update((numbers.new[i], first + j) for j, i in enumerate(short))
+        new = numbers.new
+        for i in reversed([i for i, c in enumerate(new) if len(c if isinstance(c, str) else c[0]) > LENGTH]):
+            del numbers[new[i]]  # a long one isn't kept: the last one takes its place
+            last = new.pop()
+            if i < len(new):
+                new[i], numbers[last], self.rows[first + i] = last, first + i, self.rows[first + len(new)]
         counts, words = sums[:, 0].astype(np.int64), sums[:, 1:2]
         if self.model is None:
             return counts, None
         return counts, np.where(words > 0, sums[:, 2:] / np.maximum(words, 1), self.empty) + self.model.bias
 
     def _measure(self, chunks: list) -> np.ndarray:
-        count = self.encoder.count
         out = np.zeros((len(chunks), self.rows.shape[1]))
-        out[:, 0] = [count(c, " ") if isinstance(c, str) else count(c[0], "") for c in chunks]
+        most, count, short = subword.LONGEST, self.encoder.count, self.encoder.word_count  # bytes of a word that isn't cut
+        counts, flat, words = [], [], []
+        for c in chunks:
+            if (n := short(c)) and len(c) <= most:  # one word, as most chunks are
+                words.append(1)
+                flat.append(c.lower())
+            else:
+                c, before = (c, " ") if isinstance(c, str) else (c[0], "")
+                n = n or count(c, before)
+                found = c.lower().split() if 4 * len(c) <= most or len(c) <= most and c.isascii() else subword.words_of(c)
+                words.append(len(found))
+                flat += found
+            counts.append(n)
+        out[:, 0] = counts
         if self.model is not None:
-            texts = [c if isinstance(c, str) else c[0] for c in chunks]
-            most = subword.LONGEST  # bytes of a word that isn't cut
-            words = [c.lower().split() if 4 * len(c) <= most or len(c) <= most and c.isascii() else subword.words_of(c) for c in texts]
-            out[:, 1] = list(map(len, words))
-            flat = list(chain.from_iterable(words))
+            out[:, 1] = words
             if flat:
                 owner, rows = np.repeat(np.arange(len(chunks)), out[:, 1].astype(np.int64)), self.model.word_rows(flat).astype(np.float32)
                 for k in range(rows.shape[1]):
@@ -108,9 +118,11 @@ class _Measured:
 
 
 def with_memberships(docs: DataFrame, model, domains: int, text: str = "text",
-                     tokens: str = "_tokens", members: str = "_members", vocabulary: str | None = None) -> DataFrame:
+                     tokens: str = "_tokens", members: str = "_members", vocabulary: str | None = None,
+                     chunks: int = CHUNKS) -> DataFrame:
     """``docs`` with the number of token ids of the whole text and the probabilities of the domains.
 
+    ``chunks`` bounds how many a worker keeps; it changes no row.
     ``vocabulary`` is the path of a tokenizer's file, ``VOCABULARY`` if there is none. No end id is
     counted: an empty or null text has no tokens. Without a model all domains are equally likely.
     """
@@ -122,7 +134,7 @@ def with_memberships(docs: DataFrame, model, domains: int, text: str = "text",
     at = docs.columns.index(text)
 
     def run(batches):
-        measured = kept(_Measured, vocabulary, shared.value)
+        measured = kept(_Measured, vocabulary, shared.value, chunks)
         for batch in batches:
             for i in range(0, batch.num_rows, AT_ONCE):
                 part = batch.slice(i, AT_ONCE)
@@ -227,7 +239,7 @@ def mix(docs: DataFrame, labelled: DataFrame, targets: dict[str, float], whole:
     while {tokens, members, made} & set(names):
         tokens, members, made = "_" + tokens, "_" + members, "_" + made
     model = domain_model(docs, labelled, domains)
-    table = stage(with_memberships(docs, model, len(domains), tokens=tokens, members=members), "mixed")
+    table = stage(with_memberships(docs, model, len(domains), tokens=tokens, members=members, chunks=FEWER), "mixed")
     start, steps = fit_rates(table, list(targets.values()), total, domains.index(whole) if whole else None, tokens, members)
     copies = _copies(_rate(F.col(members), start, steps), F.xxhash64("doc_id", "text"), seed)
     return table.withColumn(made, F.explode(F.array_repeat(F.lit(1), copies))).select(*names)

@@ -27,7 +27,7 @@ SHORT, LONG = 3, 6  # n-gram lengths
 SEEN_IN = 3         # texts of the sample that a word must occur in to be trained on
 LONGEST = 40        # bytes of a word; longer runs are cut into overlapping words
 OVERLAP = 20        # bytes that such words share at least
-CACHE = 400_000      # words whose logits a worker keeps from text to text, the first seen
+CACHE = 150_000      # words whose logits a worker keeps from text to text, the first seen
 
 
 def words_of(text: str) -> list[str]:

@@ -272,3 +272,29 @@ def test_mixing_without_labels_or_documents(spark):
     got = mixing.rates(docs, known, targets, whole="clean").collect()
     assert len(got) == docs.count() and all(r.rate >= 0 for r in got)
     assert mixing.rates(frame(spark, []), known, targets).collect() == mixing.mix(frame(spark, []), known, targets).collect() == []
+
+
+def test_fewer_kept_chunks_change_no_count():
+    path = public_tokenizers.path(mixing.VOCABULARY)
+    plain = Tokenizer.from_file(path)
+    rng = np.random.default_rng(3)
+    model = subword.Model(rng.normal(size=(subword.BUCKETS, 2)).astype(np.float32), np.zeros(2), 0)
+    few, many = mixing._Measured(path, model, 60), mixing._Measured(path, model)
+    for _ in range(20):
+        words = ["".join(rng.choice(list("abcdEé"), rng.integers(1, 9))) + str(rng.choice(["", ",", "!?", "\nx"])) for _ in range(80)]
+        texts = [" ".join(words), "y" * 200 + " " + " ".join(words[:40]), "z" * 90]
+        counts, logits = few.many(texts)
+        assert counts.tolist() == [len(plain.encode(t, add_special_tokens=False).ids) for t in texts]
+        assert np.allclose(logits, many.many(texts)[1])
+        assert sorted(few.numbers.values()) == list(range(len(few.numbers)))
+    assert len(few.numbers) < 60 + 200 < len(many.numbers)
+
+
+def test_the_pipeline_keeps_fewer_chunks_from_task_to_task(spark, monkeypatch):
+    asked, real = [], mixing.with_memberships
+    monkeypatch.setattr(mixing, "with_memberships", lambda *a, **b: asked.append(b.get("chunks", mixing.CHUNKS)) or real(*a, **b))
+    known = spark.createDataFrame([], "doc_id long, domain string")
+    mixing.mix(frame(spark, awkward(more=5)), known, {"clean": 0.9, "junk": 0.1})
+    assert asked == [mixing.FEWER] and mixing.FEWER < mixing.CHUNKS
+    made = [common.kept(mixing._Measured, public_tokenizers.path(mixing.VOCABULARY), None, int(n)) for n in ("1000", "1000")]
+    assert made[0] is made[1]
