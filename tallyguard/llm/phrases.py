@@ -1,4 +1,4 @@
-"""Phrase collocation mining: Apriori levels counted by broadcast double-array tries.
+"""Phrase collocation mining: Apriori levels counted by double-array tries.
 
 Texts are turned once into shards: the words of a few documents as integers, with zeros
 where a piece ends, and the shard's own vocabulary. Words are counted over all shards
@@ -7,14 +7,14 @@ and frequent ones numbered; a shard then carries the numbers of its frequent wor
 Phrases of k words are found level by level. A candidate is a phrase that occurs, whose
 shorter parts are frequent, and whose hash falls in a bucket that holds enough
 occurrences of any phrases: each test can only pass too much, so no frequent phrase is
-lost. Candidates are dealt to tries of bounded size. Each trie is broadcast, numpy moves the
-states of all positions of a shard through it together, a digit of a word's code at a
-time, the accepting states are counted by bincount, and the shards' counts are summed.
-
-A task names a phrase once, whatever number of its shards hold it, and phrases and counts
-go through the shuffle as compressed columns.
-
-What is sent to all tasks has a fixed bound: one trie, and two bit maps of ``BUCKETS`` bits.
+lost. A task sums the occurrences of the candidates in its shards, and a candidate goes with
+its sum to the task of its part, as compressed columns. There all occurrences of a phrase
+meet: buckets of the part alone, more of them than rows, drop most of what isn't frequent,
+and the rest is dealt to tries of bounded size. numpy moves the states of all rows through a
+trie together, a digit of a word's code at a time, and the accepting states are counted by
+bincount. So the shards are read twice a level, however many candidates and tries there are.
+
+What is sent to all tasks has a fixed bound: two bit maps of ``BUCKETS`` bits.
 """
 
 from __future__ import annotations
@@ -31,13 +31,11 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from tallyguard.llm.common import stage
 
 SHARD = 1 << 20    # words after which a task closes a shard
-TRIE = 1 << 18     # phrases of one trie, about 15 MB
-AT_ONCE = 1 << 18  # positions whose states move together
+TRIE = 1 << 16     # rows counted by one trie, on average; about 70 MB while it is built
 BUCKETS = 1 << 25  # hashed counts that tell which phrases can't be frequent: a byte each in a task, a bit each when sent
 CHUNK = 1 << 20    # buckets in a row, a multiple of 8
 WIDE = 24          # children from which a trie node has a span of its own
 HELD = 1 << 18     # phrases that a task gathers before it passes them on
-STATES = 1 << 16   # states in a row whose counts are summed in one go
 _BREAKS = b".,;:!?\n\x0b\x0c\r"
 _FOLD = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ" + _BREAKS, b"abcdefghijklmnopqrstuvwxyz" + b"." * len(_BREAKS))
 
@@ -62,17 +60,28 @@ def _unpacked(blob: bytes, k: int) -> list[np.ndarray]:
     return [np.cumsum(first), *others]
 
 
+def _runs(columns: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """The ascending order of rows of numbers, and which of them in that order differ from the one before."""
+    order = np.lexsort(columns[::-1])
+    new = np.ones(len(order), bool)
+    new[1:] = np.logical_or.reduce([(c := column[order])[1:] != c[:-1] for column in columns])
+    return order, new
+
+
 def _distinct(words: list[np.ndarray], part: np.ndarray | None = None) -> tuple[list[np.ndarray], np.ndarray | None]:
     """Rows of numbers (of a part) without repeats, (parts and) rows in ascending order."""
     columns = words if part is None else [part, *words]
-    order = np.lexsort(columns[::-1])
-    columns = [c[order] for c in columns]
-    new = np.ones(len(order), bool)
-    new[1:] = np.logical_or.reduce([c[1:] != c[:-1] for c in columns])
-    columns = [c[new] for c in columns]
+    order, new = _runs(columns)
+    columns = [c[order[new]] for c in columns]
     return (columns, None) if part is None else (columns[1:], columns[0])
 
 
+def _summed(columns: list[np.ndarray], times: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
+    """Rows of numbers without repeats in ascending order, and the sums of their times."""
+    order, new = _runs(columns)
+    return [c[order[new]] for c in columns], np.add.reduceat(times[order], np.flatnonzero(new))
+
+
 class _Open:
     """The shard of one language that a task is filling."""
 
@@ -236,9 +245,9 @@ def _bits(rows: DataFrame, buckets_of, least: int, buckets: int, chunk: int) ->
     return out
 
 
-def _candidates(numbered: DataFrame, k: int, shorter, least: int, buckets: int, chunk: int) -> DataFrame:
-    """Distinct (w0, ..., w{k-1}) of all phrases that may be frequent."""
-    spark, columns = numbered.sparkSession, [f"w{j}" for j in range(k)]
+def _candidates(numbered: DataFrame, k: int, shorter, least: int, buckets: int, chunk: int, parts: int) -> DataFrame:
+    """(part, phrases): (w0, ..., w{k-1}, times) of all phrases that may be frequent, a row for each time a task passes on a part."""
+    spark = numbered.sparkSession
     shorter = None if shorter is None else spark.sparkContext.broadcast(shorter)
 
     def buckets_of(batch):
@@ -248,8 +257,6 @@ def _candidates(numbered: DataFrame, k: int, shorter, least: int, buckets: int,
 
     full = spark.sparkContext.broadcast(_bits(numbered, buckets_of, least, buckets, chunk))
 
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-
     def observed(batches):
         held, size = [], 0
         for batch in batches:
@@ -259,9 +266,9 @@ def _candidates(numbered: DataFrame, k: int, shorter, least: int, buckets: int,
                 at, words = at[passed], [w[passed] for w in words]
                 key = tokens[at]
                 for j in range(1, k):  # places are at most the shard's words, so two of them fit 64 bits
-                    key = np.unique(key, return_inverse=True)[1] * len(numbers) + tokens[at + j]
-                first = np.unique(key, return_index=True)[1]
-                held.append([w[first] for w in words])
+                    key = (key if j == 1 else np.unique(key, return_inverse=True)[1]) * np.int64(len(numbers)) + tokens[at + j]
+                _, first, times = np.unique(key, return_index=True, return_counts=True)
+                held.append([*(w[first] for w in words), times])
                 size += len(first)
                 if size >= HELD:
                     yield dealt(held)
@@ -270,24 +277,13 @@ def _candidates(numbered: DataFrame, k: int, shorter, least: int, buckets: int,
             yield dealt(held)
 
     def dealt(held):
-        words = [np.concatenate(w) for w in zip(*held)]
-        words, part = _distinct(words, _bucket(words, parts))
+        *words, times = [np.concatenate(c) for c in zip(*held)]
+        (part, *words), times = _summed([_bucket(words, parts), *words], times)
         starts = np.flatnonzero(np.diff(part, prepend=-1))
-        blobs = [_packed([w[a:b] for w in words]) for a, b in zip(starts, [*starts[1:], len(part)])]
+        blobs = [_packed([c[a:b] for c in (*words, times)]) for a, b in zip(starts, [*starts[1:], len(part)])]
         return pa.RecordBatch.from_arrays([pa.array(part[starts]), pa.array(blobs, pa.binary())], ["part", "phrases"])
 
-    def merged(batches):
-        held = defaultdict(list)
-        for batch in batches:
-            for part, blob in zip(batch.column("part").to_pylist(), batch.column("phrases").to_pylist()):
-                held[part].append(blob)
-        for part in list(held):
-            words, _ = _distinct([np.concatenate(w) for w in zip(*(_unpacked(blob, k) for blob in held.pop(part)))])
-            for i in range(0, len(words[0]), 100_000):
-                yield pa.RecordBatch.from_arrays([pa.array(w[i:i + 100_000]) for w in words], columns)
-
-    found = stage(numbered.mapInArrow(observed, "part long, phrases binary").repartition("part").mapInArrow(
-        merged, ", ".join(f"{c} long" for c in columns)), f"candidates-{k}")
+    found = stage(numbered.mapInArrow(observed, "part long, phrases binary"), f"candidates-{k}")
     for sent in (full, shorter):
         if sent is not None:
             sent.destroy()
@@ -377,102 +373,59 @@ def _digit(codes: np.ndarray, j: int, width: int) -> np.ndarray:
     return codes >> 8 * (width - 1 - j) & 255
 
 
-def _tries(candidates: DataFrame, k: int, size: int) -> tuple[int, DataFrame]:
-    """How many tries, and (trie, ids, base, check) of each: codes of words are their places in ids."""
-    columns = [f"w{j}" for j in range(k)]
-    n = max(1, -(-candidates.count() // size))
-
-    def run(table: pa.Table) -> pa.Table:
-        words = np.stack([table.column(c).to_numpy() for c in columns], axis=1)
-        ids, codes = np.unique(words, return_inverse=True)
-        codes, width = codes.reshape(words.shape), _width(len(ids))
-        codes = codes[np.lexsort(codes.T[::-1])]
-        trie = DoubleArray.build(np.stack([_digit(codes[:, j], d, width) for j in range(k) for d in range(width)], axis=1))
-        return pa.table({"trie": table.column("trie")[:1], "ids": [ids.astype("<i8").tobytes()],
-                         "base": [trie.base.tobytes()], "check": [trie.check.tobytes()]})
-
-    dealt = candidates.withColumn("trie", F.pmod(F.xxhash64(*columns), F.lit(n)))
-    return n, stage(dealt.groupBy("trie").applyInArrow(run, "trie long, ids binary, base binary, check binary"), f"tries-{k}")
+def _counted(words: list[np.ndarray], times: np.ndarray, least: int) -> list[np.ndarray]:
+    """[w0, ..., a]: the phrases among the rows that occur ``least`` times or more, counted by a trie of them all."""
+    ids, codes = np.unique(np.stack(words), return_inverse=True)  # codes of words are their places in ids
+    codes, width = codes.reshape(len(words), -1), _width(len(ids))
+    trie = DoubleArray.build(np.stack([_digit(c, d, width) for c in _distinct(list(codes))[0] for d in range(width)], axis=1))
+    states = np.zeros(len(times), np.int64)
+    for code in codes:
+        for d in range(width):
+            states = trie.step(states, _digit(code, d, width))
+    total = np.bincount(states, times).astype(np.int64)  # sums below 2^53 are exact
+    at = np.flatnonzero((total >= least) & (total > 0))
+    found, states = [total[at]], at
+    for _ in words:
+        code = np.zeros(len(at), np.int64)
+        for d in range(width):
+            states, digit = trie.up(states)
+            code |= digit.astype(np.int64) << 8 * d
+        found.insert(0, ids[code])
+    return found
 
 
-def _counted(numbered: DataFrame, k: int, sent, least: int) -> DataFrame:
-    """(w0, ..., a): the phrases of a trie that occur ``least`` times or more; ``sent`` is the trie, broadcast."""
-    columns = [f"w{j}" for j in range(k)]
+def _counted_part(words: list[np.ndarray], times: np.ndarray, least: int, parts: int, size: int):
+    """[w0, ..., a] of the frequent phrases of a part, from some of its rows at a time, ``size`` on average."""
+    cells = 2 * len(times)
+    cell = _bucket(words, parts * cells) // parts  # of the hash, the part is what is left over
+    enough = (np.bincount(cell, times) >= least)[cell]
+    words, times, cell = [w[enough] for w in words], times[enough], cell[enough]
+    tries = max(1, -(-len(times) // size))
+    of = cell % tries  # all rows of a phrase have one cell
+    order = np.argsort(of, kind="stable")
+    for rows in np.split(order, np.searchsorted(of[order], np.arange(1, tries))):
+        if len(rows):
+            yield _counted([w[rows] for w in words], times[rows], least)
 
-    def opened():
-        base, check, ids = (np.frombuffer(x, t) for x, t in zip(sent.value, (np.int32, np.int32, "<i8")))
-        return DoubleArray(base, check), ids, _width(len(ids))
 
-    def count_task(batches):
-        trie, ids, width = opened()
-        total = np.zeros(len(trie.base), np.int64)
-        for batch in batches:
-            for tokens, numbers in _opened(batch):
-                code = np.minimum(np.searchsorted(ids, numbers), len(ids) - 1)
-                code[ids[code] != numbers] = -1
-                first = np.zeros(len(code), np.int64)  # the state after each word of the shard's list
-                live = np.flatnonzero(code >= 0)
-                states = np.zeros(len(live), np.int64)
-                for d in range(width):
-                    states = trie.step(states, _digit(code[live], d, width))
-                    live, states = live[states > 0], states[states > 0]
-                first[live] = states
-                tokens, met = np.concatenate([tokens, np.zeros(k, tokens.dtype)]), []
-                for i in range(0, len(tokens) - k, AT_ONCE):
-                    states = first[tokens[i:min(i + AT_ONCE, len(tokens) - k)]]
-                    at = np.flatnonzero(states)
-                    states, at = states[at], at + i
-                    for j in range(1, k):
-                        now = code[tokens[at + j]]
-                        at, states, now = at[now >= 0], states[now >= 0], now[now >= 0]
-                        for d in range(width):
-                            states = trie.step(states, _digit(now, d, width))
-                            at, now, states = at[states > 0], now[states > 0], states[states > 0]
-                    met.append(states)
-                if met:
-                    total += np.bincount(np.concatenate(met), minlength=len(total))
-        for c in range(0, len(total), STATES):
-            part = total[c:c + STATES]
-            if part.any():
-                yield pa.RecordBatch.from_arrays([pa.array([c], pa.int64()), pa.array([_packed([part])], pa.binary())], ["chunk", "counts"])
+def frequent_phrases(numbered: DataFrame, k: int, shorter, least: int, trie_size: int, buckets: int, chunk: int) -> DataFrame:
+    """(w0, ..., a) of the phrases of k words that occur ``least`` times or more."""
+    parts = int(numbered.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    columns = [*(f"w{j}" for j in range(k)), "a"]
 
-    def sum_task(batches):
-        (trie, ids, width), total = opened(), {}
+    def count_parts(batches):
+        held = defaultdict(list)
         for batch in batches:
-            for c, blob in zip(batch.column("chunk").to_pylist(), batch.column("counts").to_pylist()):
-                part, = _unpacked(blob, 1)
-                total[c] = total[c] + part if c in total else part
-        for c in list(total):
-            part = total.pop(c)
-            at = np.flatnonzero((part >= least) & (part > 0))
-            words, states = [], at + c
-            for _ in range(k):
-                code = np.zeros(len(at), np.int64)
-                for d in range(width):
-                    states, digit = trie.up(states)
-                    code |= digit.astype(np.int64) << 8 * d
-                words.insert(0, ids[code])
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (*words, part[at])], [*columns, "a"])
-
-    counts = numbered.mapInArrow(count_task, "chunk long, counts binary").repartition("chunk")
-    return counts.mapInArrow(sum_task, ", ".join(f"{c} long" for c in columns) + ", a long")
+            for part, blob in zip(batch.column("part").to_pylist(), batch.column("phrases").to_pylist()):
+                held[part].append(blob)
+        for part in list(held):
+            *words, times = [np.concatenate(c) for c in zip(*(_unpacked(blob, k + 1) for blob in held.pop(part)))]
+            for found in _counted_part(words, times, least, parts, trie_size):
+                for i in range(0, len(found[0]), 100_000):
+                    yield pa.RecordBatch.from_arrays([pa.array(c[i:i + 100_000]) for c in found], columns)
 
-
-def frequent_phrases(numbered: DataFrame, k: int, shorter, least: int, trie_size: int, buckets: int, chunk: int) -> DataFrame:
-    """(w0, ..., a) of the phrases of k words that occur ``least`` times or more."""
-    candidates = _candidates(numbered, k, shorter, least, buckets, chunk)
-    n, tries = _tries(candidates, k, trie_size)
-    out = None
-    for t in range(n):  # each trie has its own phrases, and is read and sent alone
-        row = tries.where(F.col("trie") == t).first()
-        if row is None:
-            continue
-        sent = numbered.sparkSession.sparkContext.broadcast(tuple(bytes(row[c]) for c in ("base", "check", "ids")))
-        del row
-        counts = stage(_counted(numbered, k, sent, least), f"phrases-{k}")
-        sent.destroy()  # the driver holds one trie at a time
-        out = counts if out is None else out.unionByName(counts)
-    return out if out is not None else candidates.withColumn("a", F.lit(0).cast("long"))
+    candidates = _candidates(numbered, k, shorter, least, buckets, chunk, parts)
+    return stage(candidates.repartition("part").mapInArrow(count_parts, ", ".join(f"{c} long" for c in columns)), f"phrases-{k}")
 
 
 def _score(a: Column, left: Column, right: Column) -> Column:
@@ -481,6 +434,12 @@ def _score(a: Column, left: Column, right: Column) -> Column:
     return F.call_function("div", F.lit(1_000_000).cast("decimal(7,0)") * big(a) * big(a), big(left) * big(right))
 
 
+def _leading(rows: DataFrame, top: int, *within: Column) -> DataFrame:
+    """The ``top`` rows of each language (and of ``within``) by score and a, with all that tie with the last of them."""
+    order = Window.partitionBy("lang", *within).orderBy(F.col("score").desc(), F.col("a").desc())
+    return rows.withColumn("place", F.rank().over(order)).where(F.col("place") <= top).drop("place")
+
+
 def collocations(docs: DataFrame, longest: int = 3, least: int = 10, share: int = 50, top: int = 2000, lang: str = "lang",
                  text: str = "text", shard: int = SHARD, trie: int = TRIE, buckets: int = BUCKETS, chunk: int = CHUNK) -> DataFrame:
     """(lang, rank, phrase, a, l, r, n, score): the ``top`` phrases of each language.
@@ -502,6 +461,7 @@ def collocations(docs: DataFrame, longest: int = 3, least: int = 10, share: int
     words = _numbered(vocabulary.where(F.col("a") >= least), "frequent-words")
     numbered = _with_numbers(made, words)
     levels, shorter = {1: words.select(F.col("id").alias("w0"), "a")}, None
+    salts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     for k in range(2, longest + 1):
         levels[k] = frequent_phrases(numbered, k, shorter, least, trie, buckets, chunk)
         if k < longest:
@@ -514,19 +474,20 @@ def collocations(docs: DataFrame, longest: int = 3, least: int = 10, share: int
         of, cuts = levels[k], []
         for j in range(1, k):
             left, right = columns[:j], columns[j:]
-            of = of.join(levels[j].select(*left, F.col("a").alias(f"l{j}")), left)
+            known = levels[j] if j > 1 else words.select(F.col("id").alias("w0"), "a", "lang")
+            of = of.join(known.select(*left, F.col("a").alias(f"l{j}"), *(["lang"] if j == 1 else [])), left)
             of = of.join(levels[k - j].select(*[F.col(f"w{i}").alias(c) for i, c in enumerate(right)], F.col("a").alias(f"r{j}")), right)
             cuts.append(F.struct(_score(F.col("a"), F.col(f"l{j}"), F.col(f"r{j}")).alias("score"), F.lit(j).alias("cut"),
                                  F.col(f"l{j}").alias("l"), F.col(f"r{j}").alias("r")))
-        of = of.withColumn("best", F.least(*cuts) if len(cuts) > 1 else cuts[0]).select(*columns, "a", "best.l", "best.r", "best.score")
+        of = of.withColumn("best", F.least(*cuts) if len(cuts) > 1 else cuts[0]).select("lang", *columns, "a", "best.l", "best.r", "best.score")
         around = [levels[m].select(*[F.col(f"w{i + j}").alias(c) for j, c in enumerate(columns)], F.col("a").alias("most"))
                   for m in range(k + 1, longest + 1) for i in range(m - k + 1)]
         if around:
             inside = reduce(DataFrame.unionByName, around).groupBy(*columns).agg(F.max("most").alias("most"))
             of = of.join(inside, columns, "left").where(F.col("most").isNull() | (100 * F.col("most") < share * F.col("a"))).drop("most")
+        of = _leading(_leading(of, top, F.pmod(F.xxhash64(*columns), F.lit(salts))), top)  # no task sorts a whole language, few phrases get their words
         for j, c in enumerate(columns):
-            own = words.select(F.col("id").alias(c), F.col("word").alias(f"s{j}"), *(["lang"] if j == 0 else []))
-            of = of.join(own, c)
+            of = of.join(words.select(F.col("id").alias(c), F.col("word").alias(f"s{j}")), c)
         ranked.append(of.select("lang", F.concat_ws(" ", *[f"s{j}" for j in range(k)]).alias("phrase"), "a", "l", "r", "score"))
     order = Window.partitionBy("lang").orderBy(F.col("score").desc(), F.col("a").desc(), "phrase")
     best = reduce(DataFrame.unionByName, ranked).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)

@@ -127,3 +127,39 @@ def test_packed_rows_come_back(k):
     own, _ = phrases._distinct(words)
     assert [w.tolist() for w in phrases._unpacked(phrases._packed(own), k)] == [w.tolist() for w in own]
     assert [w.tolist() for w in phrases._unpacked(phrases._packed([w[:0] for w in own]), k)] == [[]] * k
+
+
+def test_the_shards_are_read_twice_a_level_whatever_the_number_of_tries(spark, rows, monkeypatch):
+    labels, real = Counter(), phrases.stage
+
+    def watched(df, label):
+        labels[label] += 1
+        return real(df, label)
+    monkeypatch.setattr(phrases, "stage", watched)
+    got = phrases.collocations(made(spark, rows), 3, 2, 50, 40, trie=20)
+    assert sorted(map(tuple, got.collect())) == plain(rows, 3, 2, 50, 40)
+    assert all(labels[f"{what}-{k}"] == 1 for what in ("candidates", "phrases") for k in (2, 3)), labels
+
+
+@pytest.mark.parametrize("size", [30, 10 ** 6])
+def test_rows_of_a_part_are_summed_for_each_phrase(size):
+    rng = np.random.default_rng(size)
+    words = [rng.geometric(0.05, 20_000) * 999_983, rng.integers(1, 300, 20_000), rng.geometric(0.3, 20_000)]
+    own = phrases._bucket(words, 7) == 4
+    words, times = [w[own] for w in words], rng.integers(1, 4, int(own.sum()))
+    expected = Counter()
+    for *phrase, n in zip(*(w.tolist() for w in words), times.tolist()):
+        expected[tuple(phrase)] += n
+    got = [row for found in phrases._counted_part(words, times, 5, 7, size) for row in zip(*(c.tolist() for c in found))]
+    assert sorted(got) == sorted((*phrase, n) for phrase, n in expected.items() if n >= 5) and got
+    columns, sums = phrases._summed(words, times)
+    assert dict(zip(zip(*(c.tolist() for c in columns)), sums.tolist())) == expected
+
+
+def test_leading_rows_of_a_language_keep_those_that_tie(spark):
+    table = spark.createDataFrame([("en", s, a, i % 2) for i, (s, a) in enumerate([(9, 1), (9, 2), (8, 5), (8, 5), (8, 5), (8, 4)])]
+                                  + [("de", 1, 1, 0)], "lang string, score long, a long, half int")
+    some = phrases._leading(table, 2, table.half)
+    assert {(r.lang, r.score, r.a) for r in some.collect()} >= {(r.lang, r.score, r.a) for r in phrases._leading(table, 3).collect()}
+    assert sorted((r.lang, r.score, r.a) for r in phrases._leading(table, 3).collect()) == [
+        ("de", 1, 1), ("en", 8, 5), ("en", 8, 5), ("en", 8, 5), ("en", 9, 1), ("en", 9, 2)]
